@@ -7,13 +7,15 @@ per required subject, which bounds every window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..rules import DEFAULT_RULES, Rules, key, keys
 from .keyed import over_matches
 
-STUDENT = Window.partitionBy("studentID")
+
+def _student() -> WindowSpec:
+    return Window.partitionBy("studentID")
 
 
 def _is(subject: str) -> Column:
@@ -25,7 +27,7 @@ def _member(rules: Rules) -> Column:
 
 
 def _owns(subject: str) -> Column:
-    return F.max(_is(subject)).over(STUDENT)
+    return F.max(_is(subject)).over(_student())
 
 
 def _taken() -> Column:
@@ -45,7 +47,7 @@ def _with_transfer(ledger: DataFrame, donor: DataFrame, rules: Rules) -> DataFra
     ``short`` is NULL without a receiver row: then nothing is transferred and
     all of it is rest.  The in-progress need is what completed semesters leave.
     """
-    short = F.max(F.when(_is(rules.receiver), F.col("semsReqdTotal") - _taken())).over(STUDENT)
+    short = F.max(F.when(_is(rules.receiver), F.col("semsReqdTotal") - _taken())).over(_student())
     given = donor.select(
         "studentID", F.col("semsComp").alias("donorDone"), F.col("semsInp").alias("donorOpen")
     )
@@ -123,7 +125,7 @@ def group_surplus(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 
 def settle_group(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     def settled(column: str, surplus: str) -> Column:
-        received = over_matches(F.col(surplus), rules.multi_match, STUDENT)
+        received = over_matches(F.col(surplus), rules.multi_match, _student())
         return (
             F.when(_is(rules.group_subject), F.col(column) + F.coalesce(received, F.lit(0)))
             .when(F.col(surplus).isNotNull(), F.col(column) - F.col(surplus))
@@ -190,7 +192,7 @@ def spill_to_sink(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """
 
     def settled(column: str, overflow: str) -> Column:
-        received = F.coalesce(F.sum(overflow).over(STUDENT), F.lit(0))
+        received = F.coalesce(F.sum(overflow).over(_student()), F.lit(0))
         given = F.coalesce(F.col(overflow), F.lit(0))
         return F.when(_is(rules.sink), F.col(column) + received).otherwise(F.col(column) - given)
 

@@ -168,12 +168,20 @@ class Graduation:
     def graded(self) -> DataFrame:
         return status.subject_status(self.settled)
 
-    @cached_property
-    def final(self) -> DataFrame:
+    def final_of(self, graded: DataFrame) -> DataFrame:
         return status.final_status_of(
-            self.graded, self.inputs.reqs, self.year, self.rules, self.small
+            graded, self.inputs.reqs, self.year, self.rules, self.small
         )
 
+    @cached_property
+    def final(self) -> DataFrame:
+        return self.final_of(self.graded)
+
+    @cached_property
+    def graded_table(self) -> DataFrame:
+        """The graded ledger written once, for outputs that need it more than once."""
+        return cut(self.graded)
+
 
 @dataclass(frozen=True)
 class Outputs:
@@ -212,8 +220,8 @@ def run(
     """
     inputs = Inputs(students, reqs, transcript, student_status)
     steps = Graduation(inputs, curr_grad_year, mid_year, rules)
-    graded = cut(steps.graded)
-    final = status.final_status_of(graded, steps.inputs.reqs, steps.year, rules, steps.small)
+    graded = steps.graded_table
+    final = steps.final_of(graded)
     return Outputs(
         ledger=status.final_report(graded),
         student_status=status.publish_student_status(steps.inputs.student_status, final),

@@ -1,0 +1 @@
+"""SQL used to check the Spark results."""
