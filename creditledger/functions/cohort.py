@@ -9,7 +9,12 @@ LONGEST_YEAR_TEXT = 11  # sign and digits of a 32-bit integer
 
 
 def expected_grad_year(grade: Column, curr_grad_year: int) -> Column:
-    return (F.lit(curr_grad_year) + F.lit(12) - grade).cast("string")
+    """Year text, empty for a NULL grade.
+
+    Never NULL, so that no not-null filter of one lookup moves below the shuffle
+    of the students and keeps the other lookup from sharing it.
+    """
+    return F.coalesce((F.lit(curr_grad_year) + F.lit(12) - grade).cast("string"), F.lit(""))
 
 
 def has_dated_semester(grade: Column) -> Column:
@@ -18,7 +23,8 @@ def has_dated_semester(grade: Column) -> Column:
 
 
 def current_semester(grade: Column, mid_year: int) -> Column:
-    return F.when(has_dated_semester(grade), (grade - 9) * 2 + 1 + mid_year).otherwise(1)
+    dated = F.when(has_dated_semester(grade), (grade - 9) * 2 + 1 + mid_year)
+    return F.coalesce(dated, F.lit(1))
 
 
 def grad_year_of_semester(semester: Column, curr_grad_year: int) -> Column:

@@ -67,10 +67,19 @@ def course_sums(transcript: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
     One row per student and subject as spelled.  Partial sums are taken before
     the shuffle, so a student or course with very many rows arrives as a few.
     """
-    counted = any_grade_subject(rules) | high_school_only(rules)
-    finished, running = F.col("mark").isNotNull(), F.col("mark").isNull()
     passed = mark_above_zero(F.col("mark"), transcript.schema["mark"].dataType)
-    return transcript.groupBy("studentID", "subject").agg(
+    flagged = transcript.select(
+        "studentID",
+        "subject",
+        "earnedCredits",
+        "attemptedCredits",
+        (any_grade_subject(rules) | high_school_only(rules)).alias("counted"),
+        F.col("mark").isNull().alias("running"),
+        passed.alias("passed"),
+    )
+    counted, running, passed = F.col("counted"), F.col("running"), F.col("passed")
+    finished = ~running
+    return flagged.groupBy("studentID", "subject").agg(
         F.count(F.when(counted, 1)).alias("countedRows"),
         _credits(counted & finished, "earnedCredits").alias("countedDone"),
         _credits(counted & running, "attemptedCredits").alias("countedOpen"),

@@ -1,9 +1,9 @@
 """The graduation run: every ledger version, and the named outputs.
 
-Three cuts, each where several consumers need one expensive result: the credit
-sums (the only pass over the transcript), the ledger after the first overflow
-round and the settled ledger.  Between cuts all ledger steps stay hashed on
-studentID.
+The transcript is read once: its credit sums are written to the shared folder
+and every later step reads those.  All ledger steps stay hashed on studentID,
+so the two places that need the same ledger version share its shuffles.  A run
+that writes all outputs also keeps the versions that several outputs need.
 """
 
 from __future__ import annotations
@@ -47,6 +47,7 @@ class Graduation:
         mid_year: int,
         rules: Rules = DEFAULT_RULES,
         hot_rows: int | None = None,
+        keep_stages: bool = False,
     ) -> None:
         if not isinstance(curr_grad_year, int):
             raise ValueError("curr_grad_year must be given as an int")
@@ -57,6 +58,10 @@ class Graduation:
         self.mid_year = mid_year
         self.rules = rules
         self.hot_rows = hot_rows
+        self.keep_stages = keep_stages
+
+    def _kept(self, df: DataFrame) -> DataFrame:
+        return cut(df) if self.keep_stages else df
 
     @cached_property
     def small(self) -> bool:
@@ -120,17 +125,13 @@ class Graduation:
 
     @cached_property
     def grouped(self) -> DataFrame:
-        return transfer.settle_group(self.transferred, self.rules)
+        ledger = self._kept(transfer.settle_group(self.transferred, self.rules))
+        return ledger.repartition("studentID") if self.keep_stages else ledger
 
     @cached_property
     def spilled(self) -> DataFrame:
         return transfer.spill_to_sink(self.grouped, self.rules)
 
-    @cached_property
-    def snapshot(self) -> DataFrame:
-        """The ledger all dual courses are measured against."""
-        return cut(self.spilled).repartition("studentID")
-
     # --- dual courses
 
     @cached_property
@@ -144,11 +145,11 @@ class Graduation:
 
     @cached_property
     def dual_needs(self) -> DataFrame:
-        return dual.measure_needs(self.dual_split, self.snapshot, self.rules, self.hot_students)
+        return dual.measure_needs(self.dual_split, self.spilled, self.rules, self.hot_students)
 
     @cached_property
     def dual(self) -> DataFrame:
-        return dual.allocate(self.dual_needs, self.rules)
+        return self._kept(dual.allocate(self.dual_needs, self.rules))
 
     @cached_property
     def postings(self) -> DataFrame:
@@ -156,7 +157,7 @@ class Graduation:
 
     @cached_property
     def posted(self) -> DataFrame:
-        return dual.post_dual(self.snapshot, self.postings)
+        return dual.post_dual(self.spilled, self.postings)
 
     @cached_property
     def settled(self) -> DataFrame:
@@ -215,11 +216,11 @@ def run(
 ) -> Outputs:
     """Grade every student; returns DataFrames ready to be written.
 
-    The settled ledger is written once to the shared folder, so that the
-    outputs derived from it do not repeat the run.
+    Ledger versions that several outputs need are written once to the shared
+    folder, so that no output repeats the run.
     """
     inputs = Inputs(students, reqs, transcript, student_status)
-    steps = Graduation(inputs, curr_grad_year, mid_year, rules)
+    steps = Graduation(inputs, curr_grad_year, mid_year, rules, keep_stages=True)
     graded = steps.graded_table
     final = steps.final_of(graded)
     return Outputs(

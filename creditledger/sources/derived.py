@@ -113,8 +113,10 @@ def requirements(spark: SparkSession) -> DataFrame:
                 for subject, full in part.items():
                     due = -(-full * semester // 8)
                     rows.append((cohort, semester, subject, due, max(due - slack, 0)))
-    return spark.createDataFrame(
-        rows, "gradYear string, semester int, subject string, semsReqd int, semsClose int"
+    return spark.sql(
+        "select * from values "
+        + ", ".join(map(str, rows))
+        + " as r(gradYear, semester, subject, semsReqd, semsClose)"
     )
 
 
