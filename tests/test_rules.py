@@ -1,0 +1,382 @@
+"""One small case per odd rule."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from creditledger import Graduation, Rules
+from creditledger.operators import credits, dual, keyed, requirements, status, transfer
+from creditledger.schema import LEDGER, conform, empty_ledger, STUDENTS
+from worlds import YEAR, make_inputs
+
+REQS = "gradYear string, semester int, subject string, semsReqd int, semsClose int"
+
+
+def reqs_of(spark, *rows):
+    return spark.createDataFrame(rows, REQS)
+
+
+def seniors(spark, *ids):
+    return spark.createDataFrame([(i, 12) for i in ids or (1,)], "studentID long, grade int")
+
+
+def ledger_of(spark, rows):
+    """``rows``: (student, subject, complete, in progress, total)."""
+    data = [(s, 7, x, x.upper(), c, i, 0, 0, r, None, None) for s, x, c, i, r in rows]
+    return spark.createDataFrame(data, LEDGER)
+
+
+def counts(df, *more):
+    return {(r.studentID, r.subject): (r.semsComplete, r.semsInProgress) for r in df.collect()}
+
+
+# --- requirements
+
+
+def test_cohort_text_contains_the_year(spark):
+    reqs = reqs_of(spark, ("12024", 8, "English", 8, 7), (None, 8, "Art", 1, 1), ("", 8, "PE", 1, 1))
+    assert requirements.seed_ledger(seniors(spark), reqs, YEAR).count() == 1
+    token = Rules(cohort_match="token")
+    assert requirements.seed_ledger(seniors(spark), reqs, YEAR, token).count() == 0
+    named = reqs_of(spark, ("class of 2024, 2025", 8, "English", 8, 7))
+    assert requirements.seed_ledger(seniors(spark), named, YEAR, token).count() == 1
+
+
+def test_two_full_requirements_for_a_subject(spark):
+    reqs = reqs_of(spark, ("2024", 8, "English", 8, 7), ("2024,2025", 8, "english", 6, 5))
+    with pytest.raises(PySparkException, match="two full requirements"):
+        requirements.seed_ledger(seniors(spark), reqs, YEAR).collect()
+    rows = requirements.seed_ledger(seniors(spark), reqs, YEAR, Rules(duplicate_seed="max"))
+    assert [r.semsReqdTotal for r in rows.collect()] == [8]
+
+
+def test_ambiguous_current_requirement_takes_the_least(spark):
+    reqs = reqs_of(
+        spark, ("2028", 8, "Art", 4, 3), ("2028", 1, "Art", 2, 1), ("2031", 1, "ART", 1, 1)
+    )
+    students = spark.createDataFrame([(1, 8)], "studentID long, grade int")
+    by_grade = requirements.requirements_by_grade(students, reqs, YEAR, 0)
+    assert by_grade.count() == 2
+    ledger = requirements.attach_requirements(
+        requirements.seed_ledger(students, reqs, YEAR), by_grade
+    )
+    row = ledger.first()
+    assert (row.semester, row.semsReqdGrade, row.semsClose, row.semsReqdTotal) == (1, 1, 1, 4)
+
+
+def test_large_requirements_join_without_broadcast(spark):
+    reqs = reqs_of(spark, ("2024", 8, "English", 8, 7), ("2024", 7, "English", 7, 6))
+    students = seniors(spark, *range(200))
+    for build in (
+        lambda small: requirements.seed_ledger(students, reqs, YEAR, small=small),
+        lambda small: requirements.requirements_by_grade(students, reqs, YEAR, 0, small=small),
+    ):
+        narrow, wide = build(True), build(False)
+        assert narrow.count() == 200
+        assert narrow.exceptAll(wide).count() == 0 and wide.exceptAll(narrow).count() == 0
+
+
+def test_missing_parameters_raise(spark):
+    inputs = make_inputs(spark, [(1, 12)], [("2024", 8, "English", 8, 7)], [(1, "Art", 9, 1, 1, 5.0, 5.0)])
+    with pytest.raises(ValueError):
+        Graduation(inputs, None, 0)
+    with pytest.raises(ValueError):
+        Graduation(inputs, YEAR, 2)
+    with pytest.raises(ValueError):
+        Rules(multi_match="first")
+
+
+def test_schema_is_checked(spark):
+    assert empty_ledger(spark).columns == LEDGER.names
+    with pytest.raises(ValueError, match="missing"):
+        conform(spark.range(1), STUDENTS, "students")
+    with pytest.raises(TypeError):
+        conform(spark.createDataFrame([("a", 9)], "studentID string, grade int"), STUDENTS, "students")
+    narrow = spark.createDataFrame([(1, 9)], "STUDENTID int, Grade long")
+    assert conform(narrow, STUDENTS, "students").dtypes == [("studentID", "bigint"), ("grade", "int")]
+
+
+# --- transcript
+
+
+def transcript_of(spark, rows, mark="int"):
+    return spark.createDataFrame(
+        rows,
+        f"studentID long, subject string, studentGrade int, semester int, mark {mark},"
+        " earnedCredits double, attemptedCredits double",
+    )
+
+
+def test_which_courses_count_before_high_school(spark):
+    rows = transcript_of(
+        spark,
+        [
+            (1, "Foreign Languange", 7, 1, 3, 5.0, 5.0),
+            (1, "Foreign Language", 8, 1, 3, 5.0, 5.0),
+            (1, "wld lang/v&p arts/cte", 7, 1, 3, 5.0, 5.0),
+            (1, "English", 8, 3, 3, 5.0, 5.0),
+            (1, "English", 8, 2, 3, 5.0, 5.0),
+            (1, "History", None, 3, 3, 5.0, 5.0),
+            (1, None, 9, 1, 3, 5.0, 5.0),
+            (1, "Lost", 9, 1, 3, None, 5.0),
+            (1, "Open", 9, 1, None, 5.0, 5.0),
+        ],
+    )
+    got = {r.subject: (r.semsComp, r.semsInp) for r in
+           credits.counted_semesters(credits.course_sums(rows)).collect()}
+    assert got == {
+        "Foreign Languange": (1, 0),
+        "wld lang/v&p arts/cte": (1, 0),
+        "English": (1, 0),
+        "Lost": (0, 0),
+        "Open": (0, 1),
+    }
+    both = credits.credits_to_semesters(rows, credits.high_school_only()).unionByName(
+        credits.credits_to_semesters(rows, credits.any_grade_subject())
+    )
+    assert {r.subject: (r.semsComp, r.semsInp) for r in both.collect()} == got
+
+
+def test_letter_marks(spark):
+    rows = transcript_of(
+        spark,
+        [
+            (1, "Art", 9, 1, "A", 5.0, 5.0),
+            (1, "Art|Music", 9, 1, "A", 5.0, 5.0),
+            (1, "Art|Dance", 9, 1, " 85%", 5.0, 5.0),
+            (1, "Art|Drama", 9, 1, ".5", 5.0, 5.0),
+            (1, "Art|Film", 9, 1, "0", 5.0, 5.0),
+        ],
+        "string",
+    )
+    sums = credits.course_sums(rows)
+    plain = {r.subject: r.semsComp for r in credits.counted_semesters(sums).collect()}
+    assert plain["Art"] == 1
+    duals = {r.subject: r.semsComplete for r in credits.split_dual_courses(sums).collect()}
+    assert duals == {"Art|Music": 0, "Art|Dance": 1, "Art|Drama": 1, "Art|Film": 0}
+
+
+def test_dual_names_split_at_the_first_bar(spark):
+    rows = transcript_of(spark, [(1, s, 9, 1, 3, 5.0, 5.0) for s in ("A|B|C", "|B", "A|", "a|b|c")])
+    got = {(r.subj_key, r.primarySubj, r.secondarySubj, r.semsComplete)
+           for r in credits.split_dual_courses(credits.course_sums(rows)).collect()}
+    assert got == {("A|B|C", "A", "B|C", 2), ("|B", "", "B", 1), ("A|", "A", "", 1)}
+
+
+def test_irrelevant_courses_are_dropped_the_same_way_with_large_requirements(spark):
+    reqs = reqs_of(spark, ("2024", 8, "English", 8, 7))
+    rows = transcript_of(
+        spark,
+        [(i, s, 9, 1, 3, 5.0, 5.0) for i in range(40) for s in ("ENGLISH", "Art", "algebra II", "x|y")],
+    )
+    before = credits.course_sums(credits.relevant_courses(rows, reqs, Rules(), True))
+    after = credits.relevant_courses(credits.course_sums(rows), reqs, Rules(), False)
+    assert before.count() == 120
+    assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0
+
+
+# --- transfers
+
+
+def test_donor_without_receiver_goes_to_the_remainder(spark):
+    ledger = ledger_of(
+        spark,
+        [
+            (1, "Mathematics", 1, 0, 4),
+            (2, "Algebra I", 1, 0, 4),
+            (2, "Mathematics", 0, 0, 4),
+            (3, "Algebra I", 0, 0, 2),
+        ],
+    )
+    donor = spark.createDataFrame([(1, 3, 2), (2, 2, 3)], "studentID long, semsComp long, semsInp long")
+    got = counts(transfer.apply_donor(ledger, donor))
+    assert got == {
+        (1, "Mathematics"): (4, 2),
+        (2, "Algebra I"): (3, 1),
+        (2, "Mathematics"): (0, 2),
+        (3, "Algebra I"): (0, 0),
+    }
+    assert [tuple(r) for r in transfer.donor_transfer(ledger, donor).collect()] == [(2, 2, 1, 0, 2)]
+
+
+SCIENCES = [
+    (1, "General Science", 0, 0, 2),
+    (1, "Biological Science", 4, 1, 2),
+    (1, "Physical Science", 2, 2, 2),
+    (2, "Biological Science", 9, 9, 2),
+]
+
+
+def test_group_surplus_policies(spark):
+    ledger = ledger_of(spark, SCIENCES)
+    rest = {
+        (1, "Biological Science"): (2, 0),
+        (1, "Physical Science"): (2, 0),
+        (2, "Biological Science"): (9, 9),
+    }
+    assert counts(transfer.settle_group(ledger)) == {**rest, (1, "General Science"): (2, 3)}
+    least = transfer.settle_group(ledger, Rules(multi_match="min"))
+    assert counts(least) == {**rest, (1, "General Science"): (0, 1)}
+    with pytest.raises(PySparkException, match="several source rows"):
+        transfer.settle_group(ledger, Rules(multi_match="error")).collect()
+
+
+def test_overflow_leaves_its_subject_even_without_a_sink(spark):
+    ledger = ledger_of(
+        spark,
+        [(1, "Art", 3, 2, 2), (2, "Art", 1, 3, 2), (2, "Electives", 9, 9, 1), (3, "Art", 1, 1, 2)],
+    )
+    once = transfer.spill_to_sink(ledger)
+    assert counts(once) == {
+        (1, "Art"): (2, 0),
+        (2, "Art"): (1, 1),
+        (2, "Electives"): (9, 11),
+        (3, "Art"): (1, 1),
+    }
+    assert counts(transfer.spill_to_sink(once)) == counts(once)
+    posting = {r.studentID: tuple(r)[1:] for r in transfer.sink_posting(ledger).collect()}
+    assert posting == {1: (1, 2, False), 2: (0, 2, True)}
+
+
+# --- dual courses
+
+
+def dual_of(spark, rows):
+    """``rows``: (subject, C, I, R of primary, need of primary, need of secondary, owns group)."""
+    data = []
+    for subject, c, i, reqd, p_need, s_need, owns in rows:
+        p, s = subject.upper().split("|")
+        data.append((1, subject.upper(), subject, p, s, c, i, *[0] * 8, reqd, p_need, s_need, owns))
+    counters = ", ".join(f"{n} long" for n in credits.DUAL_COUNTERS)
+    return spark.createDataFrame(
+        data,
+        "studentID long, subj_key string, subject string, primary_key string, secondary_key string,"
+        f" semsComplete long, semsInProgress long, {counters}, primaryReqd long, primaryNeed long,"
+        " secondaryNeed long, hasGroup boolean",
+    )
+
+
+def allocated(spark, *rows):
+    names = ("primaryComplete", "primaryInProgress", "secondaryComplete", "secondaryInProgress",
+             "semsCompleteGS", "semsInProgressGS", "overflowComplete", "overflowInProgress")
+    done = dual.allocate(dual_of(spark, rows)).collect()
+    return {r.subject: tuple(r[n] for n in names) for r in done}
+
+
+def test_dual_allocation_branches(spark):
+    got = allocated(
+        spark,
+        ("a|a", 3, 1, 4, 2, None, False),  # completed fill the primary
+        ("a|b", 1, 3, 4, 2, 0, False),  # topped up from in progress
+        ("a|c", 1, 1, 4, 5, 3, False),  # the primary takes all
+        ("x|d", 2, 1, None, None, 1, False),  # primary is no ledger subject
+        ("x|e", 1, 1, None, None, 2, False),  # top-up exceeds what is there
+        ("x|y", 2, 1, None, None, None, False),  # neither is
+    )
+    assert got == {
+        "a|a": (2, 0, 0, 0, 0, 0, 1, 1),
+        "a|b": (1, 1, 0, 0, 0, 0, 0, 2),
+        "a|c": (1, 1, 0, 0, 0, 0, 0, 0),
+        "x|d": (0, 0, 1, 0, 0, 0, 1, 1),
+        "x|e": (0, 0, 1, 2, 0, 0, 0, -1),
+        "x|y": (0, 0, 0, 0, 0, 0, 2, 1),
+    }
+
+
+def test_dual_group_rules(spark):
+    got = allocated(
+        spark,
+        ("Physical Science|b", 5, 0, 9, 2, 3, True),  # rest to the group, not the secondary
+        ("Physical Science|c", 5, 0, 9, 2, 3, False),  # no group row: stays over
+        ("a|Biological Science", 3, 0, 2, 0, 0, True),  # surplus is taken off twice
+        ("x|Biological Science", 3, 0, None, None, 0, True),  # primary has no ledger row
+    )
+    assert got == {
+        "Physical Science|b": (2, 0, 0, 0, 2, 0, 1, 0),
+        "Physical Science|c": (2, 0, 0, 0, 0, 0, 3, 0),
+        "a|Biological Science": (0, 0, 0, 0, 1, 0, 1, 0),
+        "x|Biological Science": (0, 0, 0, 0, 0, 0, 3, 0),
+    }
+
+
+def test_two_dual_courses_see_the_same_need(spark):
+    ledger = ledger_of(spark, [(1, "Art", 1, 0, 2), (1, "Electives", 0, 0, 5)])
+    rows = transcript_of(spark, [(1, f"Art|{s}", 9, 1, 3, 5.0, 5.0) for s in ("x", "y")])
+    duals = credits.split_dual_courses(credits.course_sums(rows))
+    done = dual.allocate(dual.measure_needs(duals, ledger))
+    assert [r.primaryComplete for r in done.collect()] == [1, 1]
+    posted = dual.post_dual(ledger, dual.dual_postings(done))
+    assert counts(posted) == {(1, "Art"): (3, 0), (1, "Electives"): (0, 0)}
+    assert counts(transfer.spill_to_sink(posted)) == {(1, "Art"): (2, 0), (1, "Electives"): (1, 0)}
+
+
+def test_group_postings_policies(spark):
+    rows = (
+        ("Physical Science|b", 5, 0, 9, 2, 3, True),
+        ("Physical Science|c", 3, 0, 9, 2, 3, True),
+    )
+    done = dual.allocate(dual_of(spark, rows))
+
+    def to_group(policy):
+        rows = dual.dual_postings(done, Rules(multi_match=policy))
+        return rows.filter("subj_key = 'GENERAL SCIENCE'").select("addComplete").collect()[0][0]
+
+    assert (to_group("sum"), to_group("min")) == (3, 1)
+    with pytest.raises(PySparkException, match="several source rows"):
+        to_group("error")
+
+
+# --- status, keys and updates
+
+
+def test_students_without_a_total_keep_their_status(spark):
+    inputs = make_inputs(
+        spark,
+        [(1, 12), (2, 11), (3, 6)],
+        [("2024", 8, "Art", 1, 1), ("2025", 8, "Art", 1, 1), ("2025", 5, "Total", 1, 0),
+         ("2025", 5, "Art", 1, 0)],
+        [(2, "Art", 9, 1, 1, 5.0, 5.0)],
+        [(1, "old"), (2, "old"), (3, "old"), (4, "old")],
+    )
+    steps = Graduation(inputs, YEAR, 0)
+    # Student 1 has no current requirement row: nothing is due, so the subject is on track.
+    report = {r.studentID: tuple(r) for r in status.final_report(steps.graded).collect()}
+    assert report[1] == (1, "Art", 0, 0, 0, 0, 1, "on track")
+    published = status.publish_student_status(inputs.student_status, steps.final).collect()
+    assert {r.studentID: r.gradStatus for r in published} == {1: "old", 2: "on track", 3: "old", 4: "old"}
+    overall = status.overall_status(steps.graded, steps.final).collect()
+    assert {r.studentID: r.overallOnTrack for r in overall} == {1: 0, 2: 2}
+
+
+def test_status_codes(spark):
+    rows = spark.createDataFrame([(3,), (2,), (1,)], "n int")
+    codes = rows.select(status.status_code(F.col("n"), F.lit(3), F.lit(2)).alias("c"))
+    labels = codes.select(status.status_label(F.col("c")).alias("l"))
+    assert [r.l for r in labels.collect()] == ["on track", "close", "off track"]
+
+
+def test_assert_unique(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "a")], "k int, v string")
+    assert keyed.assert_unique(df.distinct(), ["k", "v"]).count() == 2
+    with pytest.raises(ValueError, match="duplicate"):
+        keyed.assert_unique(df, ["k", "v"])
+    assert [tuple(r) for r in keyed.duplicate_keys(df, ["k", "v"]).collect()] == [(1, "a", 2)]
+
+
+def test_update_from_policies(spark):
+    target = spark.createDataFrame([(1, 10, "x"), (2, 20, "y"), (None, 5, "z")], "k int, n int, t string")
+    source = spark.createDataFrame([(1, 5), (1, 3), (3, 9), (None, 1)], "k int, m int")
+
+    def run(**how):
+        rows = keyed.update_from(target, source, ["k"], **how).collect()
+        return {r.t: r.n for r in rows}
+
+    assert run(add={"n": "m"}, multi_match="sum") == {"x": 18, "y": 20, "z": 5}
+    assert run(assign={"n": "m"}, multi_match="min") == {"x": 3, "y": 20, "z": 5}
+    with pytest.raises(PySparkException, match="several source rows"):
+        run(assign={"n": "m"}, multi_match="error")
+    empty = spark.createDataFrame([(2, None)], "k int, m int")
+    rows = keyed.update_from(target, empty, ["k"], assign={"n": "m"}, multi_match=None).collect()
+    assert {r.t: r.n for r in rows} == {"x": 10, "y": None, "z": 5}
