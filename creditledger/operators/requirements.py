@@ -43,9 +43,11 @@ def distinct_students(students: DataFrame) -> DataFrame:
     """Distinct students hashed on studentID, ready for the per-student steps.
 
     Copies collapse before they move, so a student listed very often costs one
-    row in the second shuffle.
+    row in the second shuffle.  The filter is the one later joins would infer on
+    one side only; stated here, both lookups of the students share a shuffle.
     """
-    return students.select("studentID", "grade").distinct().repartition("studentID")
+    known = students.filter(F.col("studentID").isNotNull())
+    return known.select("studentID", "grade").distinct().repartition("studentID")
 
 
 def seed_ledger(
