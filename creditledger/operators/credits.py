@@ -42,23 +42,32 @@ def _semesters(credits: str, rules: Rules) -> Column:
     return F.floor(F.sum(credits) / rules.credits_per_semester).cast("bigint")
 
 
-def relevant_courses(transcript: DataFrame, reqs: DataFrame, rules: Rules, small: bool) -> DataFrame:
+def _vocabulary(reqs: DataFrame, rules: Rules) -> DataFrame:
+    full = reqs.filter(F.col("semester") == rules.full_semester)
+    return full.select(subject_key("subject").alias("subj_key")).distinct()
+
+
+def _flag_required(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool) -> DataFrame:
+    """Add ``subj_key`` and ``required``: true where some cohort requires the subject."""
+    vocabulary = _vocabulary(reqs, rules).withColumn("required", F.lit(True))
+    keyed = rows.withColumn("subj_key", subject_key("subject"))
+    return lookup_join(keyed, vocabulary, ["subj_key"], small, ["studentID", "subject"], "left")
+
+
+def relevant_courses(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool) -> DataFrame:
     """Drop rows that can reach no ledger: neither required, donor nor dual."""
-    vocabulary = (
-        reqs.filter(F.col("semester") == rules.full_semester)
-        .select(subject_key("subject").alias("subj_key"))
-        .distinct()
-        .withColumn("required", F.lit(True))
-    )
-    keyed = transcript.withColumn("subj_key", subject_key("subject"))
     needed = (
         F.col("required").isNotNull()
         | (F.col("subj_key") == key(rules.donor))
         | F.col("subject").contains(rules.dual_separator)
     )
-    spread_by = [c for c in ("studentID", "subject") if c in transcript.columns]
-    found = lookup_join(keyed, vocabulary, ["subj_key"], small, spread_by, "left")
-    return found.filter(needed).select(transcript.columns)
+    return _flag_required(rows, reqs, rules, small).filter(needed).select(rows.columns)
+
+
+def required_courses(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool) -> DataFrame:
+    """Only courses that some cohort requires, so few per student however many were taken."""
+    flagged = _flag_required(rows, reqs, rules, small)
+    return flagged.filter(F.col("required").isNotNull()).select(rows.columns)
 
 
 def course_sums(transcript: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:

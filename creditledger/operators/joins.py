@@ -80,3 +80,18 @@ def spread_left_join(
     left = facts.select("*", slot(salt))
     copies = lookup.withColumn("_salt", F.explode(every)).select("*", slot(F.col("_salt")))
     return left.join(copies.drop(key, "_salt"), "_slot", "left").drop("_slot")
+
+
+def split_left_join(facts: DataFrame, lookup: DataFrame, key: str, hot: list) -> DataFrame:
+    """Left join on ``key`` that leaves the fact rows of hot keys where they are.
+
+    For facts that may be plain copies of each other, which no salt derived from
+    the row could spread.  ``lookup`` has one row per key, so its part for the hot
+    keys is at most ``HOT_KEYS`` rows and is broadcast.
+    """
+    if not hot:
+        return facts.join(lookup, key, "left")
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    stay = facts.filter(is_hot).join(F.broadcast(lookup.filter(is_hot)), key, "left")
+    move = facts.filter(~is_hot).join(lookup.filter(~is_hot), key, "left")
+    return stay.unionByName(move)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cohort import grad_year_of_semester
 from ..rules import DEFAULT_RULES, Rules, keys
-from .joins import lookup_join, requirements_are_small
+from .joins import lookup_join, requirements_are_small, split_left_join
 from .keyed import update_from
 from .requirements import cohort_rows
 
@@ -114,12 +114,17 @@ def overall_status(ledger: DataFrame, final: DataFrame) -> DataFrame:
     )
 
 
-def publish_student_status(status: DataFrame, final: DataFrame) -> DataFrame:
-    """New labels for students with a final status; other rows stay, none is added."""
+def publish_student_status(
+    status: DataFrame, final: DataFrame, hot: list | None = None
+) -> DataFrame:
+    """New labels for students with a final status; other rows stay, none is added.
+
+    ``hot`` lists students with very many status rows.
+    """
     least = final.groupBy("studentID").agg(F.min("finalStatus").alias("finalStatus"))
     labels = least.select("studentID", status_label(F.col("finalStatus")).alias("label"))
-    return update_from(
-        status, labels, ["studentID"], assign={"gradStatus": "label"}, multi_match=None
+    return split_left_join(status, labels, "studentID", hot or []).select(
+        "studentID", F.coalesce("label", "gradStatus").alias("gradStatus")
     )
 
 

@@ -109,8 +109,8 @@ class Graduation:
 
     @cached_property
     def counted(self) -> DataFrame:
-        sums = self.sums.repartition("studentID")
-        counts = credits.counted_semesters(sums, self.rules)
+        sums = credits.required_courses(self.sums, self.inputs.reqs, self.rules, self.small)
+        counts = credits.counted_semesters(sums.repartition("studentID"), self.rules)
         return credits.merge_counts(self.required, counts)
 
     @cached_property
@@ -178,6 +178,11 @@ class Graduation:
     def final(self) -> DataFrame:
         return self.final_of(self.graded)
 
+    def published(self, final: DataFrame) -> DataFrame:
+        before = self.inputs.student_status
+        hot = joins.hot_keys(before, "studentID", self.hot_rows)
+        return status.publish_student_status(before, final, hot)
+
     @cached_property
     def graded_table(self) -> DataFrame:
         """The graded ledger written once, for outputs that need it more than once."""
@@ -225,7 +230,7 @@ def run(
     final = steps.final_of(graded)
     return Outputs(
         ledger=status.final_report(graded),
-        student_status=status.publish_student_status(steps.inputs.student_status, final),
+        student_status=steps.published(final),
         final_status=final,
         totals=transfer.student_totals(steps.grouped),
         overflow=transfer.subject_overflow(steps.grouped, rules).drop("subj_key"),

@@ -15,10 +15,22 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings; results are the same without them, only slower."""
+BYTES_PER_PARTITION = 512 << 20
+MOST_PARTITIONS = 100_000
+
+
+def configure(spark: SparkSession, transcript_bytes: int | None = None) -> SparkSession:
+    """Apply the settings; results are the same without them, only slower.
+
+    Given the size of the transcript, shuffles start with enough partitions for
+    each to fit a task; adaptive execution merges those that turn out small.
+    """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    if transcript_bytes is not None:
+        usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        sized = min(-(-transcript_bytes // BYTES_PER_PARTITION), MOST_PARTITIONS)
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(usual, sized)))
     return spark
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from brute_force import grade_student
 from creditledger import Graduation, Rules
-from creditledger.operators import credits, dual, joins
+from creditledger.operators import credits, dual, joins, status
 from creditledger.sources import derived
 from worlds import YEAR, make_inputs, random_world
 
@@ -72,8 +72,8 @@ def test_ledger_is_not_shuffled_between_steps(at_scale):
     plan = plan_of(steps.graded, run=True)
     moved = re.findall(r"[+:]- Exchange hashpartitioning\((.*?), \d+\)", plan)
     # Students twice (distinct, then by student), course sums, donor, dual courses twice.
-    # The tiny requirement table, keyed by year, does not matter.
-    names = sorted(re.sub(r"#\d+L?", "", m) for m in moved if not m.startswith("year"))
+    # The tiny requirement tables, keyed by year or subject, do not matter.
+    names = sorted(re.sub(r"#\d+L?", "", m) for m in moved if m.startswith("studentID"))
     assert names == [
         "studentID",
         "studentID",
@@ -87,7 +87,7 @@ def test_ledger_is_not_shuffled_between_steps(at_scale):
 
 def hot_world():
     """One student holds most rows: many copies, and many distinct dual courses."""
-    students, reqs, courses, status = random_world(5, 60)
+    students, reqs, courses, before = random_world(5, 60)
     hot = students[0][0]
     students = [(s, 12 if s == hot else g) for s, g in students]
     names = ("English", "Mathematics", "Physical Science", "Biological Science", "Nothing")
@@ -95,12 +95,12 @@ def hot_world():
         subject = f"{names[n % 5]}|{names[n % 3] if n % 2 else f'Topic {n}'}"
         courses.append((hot, subject, 10, 1, n % 4 if n % 3 else None, 5.0, 5.0))
         courses.append((hot, "English", 10, 1, 3, 0.0, 5.0))
-    return students, reqs, courses, status, hot
+    return students, reqs, courses, before, hot
 
 
 def test_hot_student_is_split_and_complete(at_scale):
-    students, reqs, courses, status, hot = hot_world()
-    steps = Graduation(make_inputs(at_scale, students, reqs, courses, status), YEAR, 0, hot_rows=200)
+    students, reqs, courses, before, hot = hot_world()
+    steps = Graduation(make_inputs(at_scale, students, reqs, courses, before), YEAR, 0, hot_rows=200)
     assert steps.hot_students == [hot]
     assert "_slot" in plan_of(steps.dual)
     got = {
@@ -112,15 +112,15 @@ def test_hot_student_is_split_and_complete(at_scale):
     assert got == {k: (w["c"], w["i"]) for k, w in ledger.items()}
     assert len(duals) > 1000
 
-    plain = Graduation(make_inputs(at_scale, students, reqs, courses, status), YEAR, 0)
+    plain = Graduation(make_inputs(at_scale, students, reqs, courses, before), YEAR, 0)
     assert plain.hot_students == []
     assert plain.dual.exceptAll(steps.dual).count() == 0
     assert steps.dual.exceptAll(plain.dual).count() == 0
 
 
 def test_salted_rows_spread_over_tasks(at_scale):
-    students, reqs, courses, status, hot = hot_world()
-    steps = Graduation(make_inputs(at_scale, students, reqs, courses, status), YEAR, 0, hot_rows=200)
+    students, reqs, courses, before, hot = hot_world()
+    steps = Graduation(make_inputs(at_scale, students, reqs, courses, before), YEAR, 0, hot_rows=200)
     needs = dual.needs_by_student(steps.spilled)
     joined = joins.spread_left_join(steps.dual_split, needs, "studentID", [hot], ["subj_key"], 64)
     at_scale.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -133,10 +133,36 @@ def test_salted_rows_spread_over_tasks(at_scale):
     assert max(sizes) < sum(sizes) / 2
 
 
+def test_only_required_courses_move_to_their_student(at_scale):
+    """A student's many dual courses must not all arrive in one ledger task."""
+    students, reqs, courses, before, hot = hot_world()
+    steps = Graduation(make_inputs(at_scale, students, reqs, courses, before), YEAR, 0)
+    rows = credits.required_courses(steps.sums, steps.inputs.reqs, steps.rules, steps.small)
+    assert rows.filter(F.col("studentID") == hot).count() <= 20
+    assert steps.sums.filter(F.col("studentID") == hot).count() > 1000
+
+
+def test_hot_status_rows_stay_in_place(spark):
+    before = spark.createDataFrame(
+        [(1, "old")] * 300 + [(2, "old"), (3, "old"), (None, "old")], "studentID long, gradStatus string"
+    )
+    final = spark.createDataFrame([(1, 2), (2, 0), (2, 1)], "studentID long, finalStatus int")
+    hot = joins.hot_keys(before, "studentID", 100)
+    assert hot == [1]
+    for keys in ([], hot):
+        rows = status.publish_student_status(before, final, keys).groupBy("studentID", "gradStatus")
+        assert {tuple(r) for r in rows.count().collect()} == {
+            (1, "on track", 300),
+            (2, "off track", 1),
+            (3, "old", 1),
+            (None, "old", 1),
+        }
+
+
 def test_many_copies_of_a_student_row_add_nothing(spark):
-    students, reqs, courses, status = random_world(6, 30)
-    once = Graduation(make_inputs(spark, students, reqs, courses, status), YEAR, 0, Rules())
+    students, reqs, courses, before = random_world(6, 30)
+    once = Graduation(make_inputs(spark, students, reqs, courses, before), YEAR, 0, Rules())
     many = [*students, *[students[0]] * 500]
-    again = Graduation(make_inputs(spark, many, reqs, courses, status), YEAR, 0, Rules())
+    again = Graduation(make_inputs(spark, many, reqs, courses, before), YEAR, 0, Rules())
     assert once.settled.exceptAll(again.settled).count() == 0
     assert again.settled.exceptAll(once.settled).count() == 0
