@@ -26,10 +26,14 @@ def any_grade_subject(rules: Rules = DEFAULT_RULES) -> Column:
     return subject_key("subject").isin(keys(rules.any_grade_subjects))
 
 
-def high_school_only(rules: Rules = DEFAULT_RULES) -> Column:
+def taken_late() -> Column:
     """Taken after grade 8, or in the summer term of grade 8."""
     grade, term = F.col("studentGrade"), F.col("semester")
-    return ((grade > 8) | ((grade == 8) & (term == 3))) & ~any_grade_subject(rules)
+    return (grade > 8) | ((grade == 8) & (term == 3))
+
+
+def high_school_only(rules: Rules = DEFAULT_RULES) -> Column:
+    return taken_late() & ~any_grade_subject(rules)
 
 
 def _credits(condition: Column, credits: str) -> Column:
@@ -82,7 +86,7 @@ def course_sums(transcript: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
         "subject",
         "earnedCredits",
         "attemptedCredits",
-        (any_grade_subject(rules) | high_school_only(rules)).alias("counted"),
+        (any_grade_subject(rules) | taken_late()).alias("counted"),
         F.col("mark").isNull().alias("running"),
         passed.alias("passed"),
     )

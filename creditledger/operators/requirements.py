@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cohort import (
@@ -50,6 +50,38 @@ def distinct_students(students: DataFrame) -> DataFrame:
     return known.select("studentID", "grade").distinct().repartition("studentID")
 
 
+def _full_rows(reqs: DataFrame, rules: Rules) -> DataFrame:
+    full = cohort_rows(reqs.filter(F.col("semester") == rules.full_semester), rules)
+    return full.filter(~F.col("subj_key").isin(keys(rules.seed_excluded)))
+
+
+def _checked_total(least: Column, most: Column, rules: Rules) -> Column:
+    if rules.duplicate_seed == "max":
+        return most
+    differ = ~least.eqNullSafe(most)
+    return refuse(differ, "a subject has two full requirements for one student", most)
+
+
+def _ledger_rows(rows: DataFrame, total: Column, found: dict[str, Column]) -> DataFrame:
+    """Ledger rows without semesters; ``found`` fills in the current requirement."""
+    return rows.select(
+        "studentID",
+        found.get("semester", F.lit(-1)).alias("semester"),
+        "subject",
+        "subj_key",
+        F.lit(0).cast("bigint").alias("semsComplete"),
+        F.lit(0).cast("bigint").alias("semsInProgress"),
+        found.get("semsReqdGrade", F.lit(0)).alias("semsReqdGrade"),
+        found.get("semsClose", F.lit(0)).alias("semsClose"),
+        total.cast("int").alias("semsReqdTotal"),
+    )
+
+
+def _graduating(students: DataFrame, curr_grad_year: int) -> DataFrame:
+    year = expected_grad_year(F.col("grade"), curr_grad_year)
+    return students.select("studentID", year.alias("year"))
+
+
 def seed_ledger(
     students: DataFrame,
     reqs: DataFrame,
@@ -59,14 +91,11 @@ def seed_ledger(
 ) -> DataFrame:
     """A zero row per student and subject of the student's full requirement."""
     full = (
-        cohort_rows(reqs.filter(F.col("semester") == rules.full_semester), rules)
-        .filter(~F.col("subj_key").isin(keys(rules.seed_excluded)))
+        _full_rows(reqs, rules)
         .groupBy("year", "subj_key", "semsReqd")
         .agg(F.min("subject").alias("subject"))
     )
-    due = students.select(
-        "studentID", expected_grad_year(F.col("grade"), curr_grad_year).alias("year")
-    )
+    due = _graduating(students, curr_grad_year)
     rows = (
         lookup_join(due, full, ["year"], _small(reqs, small), ["studentID"])
         .groupBy("studentID", "subj_key")
@@ -76,21 +105,17 @@ def seed_ledger(
             F.max("semsReqd").alias("most"),
         )
     )
-    total = F.col("most")
-    if rules.duplicate_seed == "error":
-        two = ~F.col("least").eqNullSafe(F.col("most"))
-        total = refuse(two, "a subject has two full requirements for one student", total)
-    zero = F.lit(0)
-    return rows.select(
-        "studentID",
-        F.lit(-1).alias("semester"),
-        "subject",
-        "subj_key",
-        zero.cast("bigint").alias("semsComplete"),
-        zero.cast("bigint").alias("semsInProgress"),
-        zero.alias("semsReqdGrade"),
-        zero.alias("semsClose"),
-        total.cast("int").alias("semsReqdTotal"),
+    return _ledger_rows(rows, _checked_total(F.col("least"), F.col("most"), rules), {})
+
+
+def _current_rows(reqs: DataFrame, curr_grad_year: int, rules: Rules) -> DataFrame:
+    """Requirement rows by (semester, cohort): the four dated cohorts, or any."""
+    fields = ["semester", "subject", "subj_key", "semsReqd", "semsClose"]
+    own_years = [str(curr_grad_year + ahead) for ahead in range(4)]
+    own = cohort_rows(reqs, rules).filter(F.col("year").isin(own_years))
+    first = reqs.filter(F.col("semester") == 1).withColumn("subj_key", subject_key("subject"))
+    return own.select(F.col("year").alias("cohort"), *fields).unionByName(
+        first.select(F.lit(ANY_COHORT).alias("cohort"), *fields)
     )
 
 
@@ -108,25 +133,18 @@ def requirements_by_grade(
     every cohort, hence several rows per subject are possible.
     """
     grade = F.col("grade")
-    dated = has_dated_semester(grade)
     wanted = students.select(
         "studentID",
         current_semester(grade, mid_year).alias("semester"),
-        F.when(dated, expected_grad_year(grade, curr_grad_year))
+        F.when(has_dated_semester(grade), expected_grad_year(grade, curr_grad_year))
         .otherwise(ANY_COHORT)
         .alias("cohort"),
     )
-    fields = ["semester", "subject", "subj_key", "semsReqd", "semsClose"]
-    own_years = [str(curr_grad_year + ahead) for ahead in range(4)]
-    own = cohort_rows(reqs, rules).filter(F.col("year").isin(own_years))
-    first = reqs.filter(F.col("semester") == 1).withColumn("subj_key", subject_key("subject"))
-    lookup = own.select(F.col("year").alias("cohort"), *fields).unionByName(
-        first.select(F.lit(ANY_COHORT).alias("cohort"), *fields)
-    )
+    lookup = _current_rows(reqs, curr_grad_year, rules)
     found = lookup_join(
         wanted, lookup, ["semester", "cohort"], _small(reqs, small), ["studentID"]
     )
-    return found.select("studentID", *fields)
+    return found.select("studentID", "semester", "subject", "subj_key", "semsReqd", "semsClose")
 
 
 def attach_requirements(ledger: DataFrame, by_grade: DataFrame) -> DataFrame:
@@ -141,3 +159,53 @@ def attach_requirements(ledger: DataFrame, by_grade: DataFrame) -> DataFrame:
         assign={"semester": "semester", "semsReqdGrade": "semsReqd", "semsClose": "semsClose"},
         multi_match="min",
     )
+
+
+def required_ledger(
+    students: DataFrame,
+    reqs: DataFrame,
+    curr_grad_year: int,
+    mid_year: int,
+    rules: Rules = DEFAULT_RULES,
+    small: bool | None = None,
+) -> DataFrame:
+    """Ledger rows with their current requirement, for students listed once.
+
+    The graduation year decides both the full and the current requirement, so
+    they are matched per year among the requirements.  Each student then needs
+    one lookup, and no grouping since no other row of the student can add to it.
+    """
+    least = F.min(F.struct("semester", "semsReqd", "semsClose")).alias("now")
+    current = (
+        _current_rows(reqs, curr_grad_year, rules)
+        .groupBy("semester", "cohort", "subj_key")
+        .agg(least)
+        .withColumnRenamed("semester", "at")
+    )
+    grade = F.lit(curr_grad_year) + 12 - F.col("year").try_cast("int")
+    template = (
+        _full_rows(reqs, rules)
+        .groupBy("year", "subj_key")
+        .agg(
+            F.min("subject").alias("subject"),
+            F.min("semsReqd").alias("least"),
+            F.max("semsReqd").alias("most"),
+        )
+        .select(
+            "*",
+            current_semester(grade, mid_year).alias("at"),
+            F.when(has_dated_semester(grade), F.col("year")).otherwise(ANY_COHORT).alias("cohort"),
+        )
+        .join(current, ["at", "cohort", "subj_key"], "left")
+        .select("year", "subj_key", "subject", "least", "most", "now")
+    )
+    rows = lookup_join(
+        _graduating(students, curr_grad_year), template, ["year"], _small(reqs, small), ["studentID"]
+    )
+    now = F.col("now")
+    found = {
+        "semester": F.coalesce(now["semester"], F.lit(-1)),
+        "semsReqdGrade": F.when(now.isNotNull(), now["semsReqd"]).otherwise(0),
+        "semsClose": F.when(now.isNotNull(), now["semsClose"]).otherwise(0),
+    }
+    return _ledger_rows(rows, _checked_total(F.col("least"), F.col("most"), rules), found)

@@ -106,29 +106,32 @@ def _with_surplus(ledger: DataFrame, rules: Rules) -> DataFrame:
     """Add the surplus of member rows, in-progress semesters taken first."""
     surplus = _over(_taken() - F.col("semsReqdTotal"))
     open_part = F.least(F.col("semsInProgress"), surplus)
-    gives = _member(rules) & _owns(rules.group_subject)
     return ledger.withColumns(
         {
-            "surplusInProgress": F.when(gives, open_part),
-            "surplusComplete": F.when(gives, surplus - open_part),
+            "surplusInProgress": F.when(_member(rules), open_part),
+            "surplusComplete": F.when(_member(rules), surplus - open_part),
         }
     )
 
 
 def group_surplus(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Surplus of the member rows of students who own the group subject."""
     return (
         _with_surplus(ledger, rules)
-        .filter(F.col("surplusComplete").isNotNull())
+        .withColumn("owns", _owns(rules.group_subject))
+        .filter(_member(rules) & F.col("owns"))
         .select("studentID", "subject", "subj_key", "surplusComplete", "surplusInProgress")
     )
 
 
 def settle_group(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Post the surplus to the group subject and take it from the members."""
+
     def settled(column: str, surplus: str) -> Column:
         received = over_matches(F.col(surplus), rules.multi_match, _student())
         return (
             F.when(_is(rules.group_subject), F.col(column) + F.coalesce(received, F.lit(0)))
-            .when(F.col(surplus).isNotNull(), F.col(column) - F.col(surplus))
+            .when(_member(rules) & _owns(rules.group_subject), F.col(column) - F.col(surplus))
             .otherwise(F.col(column))
         )
 

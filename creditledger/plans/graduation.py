@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..operators import credits, dual, joins, requirements, status, transfer
-from ..operators.keyed import assert_unique
+from ..operators.keyed import assert_unique, duplicate_keys
 from ..rules import DEFAULT_RULES, Rules
 from ..session import cut
 
@@ -69,6 +69,11 @@ class Graduation:
 
     # --- requirements
 
+    @cached_property
+    def listed_once(self) -> bool:
+        """Whether no student has two rows, as a list of students should be."""
+        return duplicate_keys(self.inputs.students, ["studentID"]).isEmpty()
+
     @cached_property
     def students(self) -> DataFrame:
         return requirements.distinct_students(self.inputs.students)
@@ -87,7 +92,17 @@ class Graduation:
 
     @cached_property
     def required(self) -> DataFrame:
-        return requirements.attach_requirements(self.seed, self.by_grade)
+        if not self.listed_once:
+            return requirements.attach_requirements(self.seed, self.by_grade)
+        known = self.inputs.students.filter(F.col("studentID").isNotNull())
+        return requirements.required_ledger(
+            known.repartition("studentID"),
+            self.inputs.reqs,
+            self.year,
+            self.mid_year,
+            self.rules,
+            self.small,
+        )
 
     # --- transcript
 
@@ -132,6 +147,11 @@ class Graduation:
     def spilled(self) -> DataFrame:
         return transfer.spill_to_sink(self.grouped, self.rules)
 
+    @cached_property
+    def snapshot(self) -> DataFrame:
+        """The ledger that dual courses are measured against and posted to, written once."""
+        return cut(self.spilled)
+
     # --- dual courses
 
     @cached_property
@@ -145,7 +165,7 @@ class Graduation:
 
     @cached_property
     def dual_needs(self) -> DataFrame:
-        return dual.measure_needs(self.dual_split, self.spilled, self.rules, self.hot_students)
+        return dual.measure_needs(self.dual_split, self.snapshot, self.rules, self.hot_students)
 
     @cached_property
     def dual(self) -> DataFrame:
@@ -157,7 +177,7 @@ class Graduation:
 
     @cached_property
     def posted(self) -> DataFrame:
-        return dual.post_dual(self.spilled, self.postings)
+        return dual.post_dual(self.snapshot.repartition("studentID"), self.postings)
 
     @cached_property
     def settled(self) -> DataFrame:
