@@ -22,8 +22,15 @@ DUAL_COUNTERS = (
 )
 
 
+def with_key(rows: DataFrame) -> DataFrame:
+    """Add ``subj_key`` once; the conditions below and all later steps read it."""
+    if "subj_key" in rows.columns:
+        return rows
+    return rows.withColumn("subj_key", subject_key("subject"))
+
+
 def any_grade_subject(rules: Rules = DEFAULT_RULES) -> Column:
-    return subject_key("subject").isin(keys(rules.any_grade_subjects))
+    return F.col("subj_key").isin(keys(rules.any_grade_subjects))
 
 
 def taken_late() -> Column:
@@ -52,10 +59,10 @@ def _vocabulary(reqs: DataFrame, rules: Rules) -> DataFrame:
 
 
 def _flag_required(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool) -> DataFrame:
-    """Add ``subj_key`` and ``required``: true where some cohort requires the subject."""
+    """Add ``required``: true where some cohort requires the subject."""
     vocabulary = _vocabulary(reqs, rules).withColumn("required", F.lit(True))
-    keyed = rows.withColumn("subj_key", subject_key("subject"))
-    return lookup_join(keyed, vocabulary, ["subj_key"], small, ["studentID", "subject"], "left")
+    spread_by = ["studentID", "subject"]
+    return lookup_join(with_key(rows), vocabulary, ["subj_key"], small, spread_by, "left")
 
 
 def relevant_courses(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool) -> DataFrame:
@@ -65,13 +72,13 @@ def relevant_courses(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool
         | (F.col("subj_key") == key(rules.donor))
         | F.col("subject").contains(rules.dual_separator)
     )
-    return _flag_required(rows, reqs, rules, small).filter(needed).select(rows.columns)
+    return _flag_required(rows, reqs, rules, small).filter(needed).drop("required")
 
 
 def required_courses(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool) -> DataFrame:
     """Only courses that some cohort requires, so few per student however many were taken."""
     flagged = _flag_required(rows, reqs, rules, small)
-    return flagged.filter(F.col("required").isNotNull()).select(rows.columns)
+    return flagged.filter(F.col("required").isNotNull()).drop("required")
 
 
 def course_sums(transcript: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -81,7 +88,7 @@ def course_sums(transcript: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
     the shuffle, so a student or course with very many rows arrives as a few.
     """
     passed = mark_above_zero(F.col("mark"), transcript.schema["mark"].dataType)
-    flagged = transcript.select(
+    flagged = with_key(transcript).select(
         "studentID",
         "subject",
         "earnedCredits",
@@ -92,7 +99,7 @@ def course_sums(transcript: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
     )
     counted, running, passed = F.col("counted"), F.col("running"), F.col("passed")
     finished = ~running
-    return flagged.groupBy("studentID", "subject").agg(
+    sums = flagged.groupBy("studentID", "subject").agg(
         F.count(F.when(counted, 1)).alias("countedRows"),
         _credits(counted & finished, "earnedCredits").alias("countedDone"),
         _credits(counted & running, "attemptedCredits").alias("countedOpen"),
@@ -100,17 +107,14 @@ def course_sums(transcript: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
         _credits(running, "attemptedCredits").alias("anyOpen"),
         _credits(passed, "earnedCredits").alias("passedDone"),
     )
+    return with_key(sums)
 
 
 def _by_subject(sums: DataFrame, done: str, open_: str, rules: Rules) -> DataFrame:
-    return (
-        sums.withColumn("subj_key", subject_key("subject"))
-        .groupBy("studentID", "subj_key")
-        .agg(
-            F.min("subject").alias("subject"),
-            _semesters(done, rules).alias("semsComp"),
-            _semesters(open_, rules).alias("semsInp"),
-        )
+    return sums.groupBy("studentID", "subj_key").agg(
+        F.min("subject").alias("subject"),
+        _semesters(done, rules).alias("semsComp"),
+        _semesters(open_, rules).alias("semsInp"),
     )
 
 
@@ -118,7 +122,8 @@ def credits_to_semesters(
     transcript: DataFrame, where: Column | None = None, rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
     """Completed and in-progress semesters per student and subject."""
-    rows = transcript if where is None else transcript.filter(where)
+    rows = with_key(transcript)
+    rows = rows if where is None else rows.filter(where)
     return _by_subject(course_sums(rows, rules), "anyDone", "anyOpen", rules)
 
 
@@ -130,7 +135,7 @@ def counted_semesters(sums: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
 
 def donor_semesters(sums: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Semesters of the donor subject, whatever the grade."""
-    rows = sums.filter(subject_key("subject") == key(rules.donor))
+    rows = sums.filter(F.col("subj_key") == key(rules.donor))
     return rows.groupBy("studentID").agg(
         _semesters("anyDone", rules).alias("semsComp"),
         _semesters("anyOpen", rules).alias("semsInp"),
