@@ -61,8 +61,9 @@ def _vocabulary(reqs: DataFrame, rules: Rules) -> DataFrame:
 def _flag_required(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool) -> DataFrame:
     """Add ``required``: true where some cohort requires the subject."""
     vocabulary = _vocabulary(reqs, rules).withColumn("required", F.lit(True))
-    spread_by = ["studentID", "subject"]
-    return lookup_join(with_key(rows), vocabulary, ["subj_key"], small, spread_by, "left")
+    keyed, spread_by = with_key(rows), ["studentID", "subject"]
+    found = lookup_join(keyed, vocabulary, ["subj_key"], small, spread_by, "left")
+    return found.select(*keyed.columns, "required")
 
 
 def relevant_courses(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool) -> DataFrame:

@@ -108,11 +108,10 @@ def seed_ledger(
     return _ledger_rows(rows, _checked_total(F.col("least"), F.col("most"), rules), {})
 
 
-def _current_rows(reqs: DataFrame, curr_grad_year: int, rules: Rules) -> DataFrame:
-    """Requirement rows by (semester, cohort): the four dated cohorts, or any."""
+def _current_rows(reqs: DataFrame, rules: Rules) -> DataFrame:
+    """Requirement rows by (semester, cohort), a cohort being a year or any."""
     fields = ["semester", "subject", "subj_key", "semsReqd", "semsClose"]
-    own_years = [str(curr_grad_year + ahead) for ahead in range(4)]
-    own = cohort_rows(reqs, rules).filter(F.col("year").isin(own_years))
+    own = cohort_rows(reqs, rules)
     first = reqs.filter(F.col("semester") == 1).withColumn("subj_key", subject_key("subject"))
     return own.select(F.col("year").alias("cohort"), *fields).unionByName(
         first.select(F.lit(ANY_COHORT).alias("cohort"), *fields)
@@ -140,7 +139,7 @@ def requirements_by_grade(
         .otherwise(ANY_COHORT)
         .alias("cohort"),
     )
-    lookup = _current_rows(reqs, curr_grad_year, rules)
+    lookup = _current_rows(reqs, rules)
     found = lookup_join(
         wanted, lookup, ["semester", "cohort"], _small(reqs, small), ["studentID"]
     )
@@ -177,7 +176,7 @@ def required_ledger(
     """
     least = F.min(F.struct("semester", "semsReqd", "semsClose")).alias("now")
     current = (
-        _current_rows(reqs, curr_grad_year, rules)
+        _current_rows(reqs, rules)
         .groupBy("semester", "cohort", "subj_key")
         .agg(least)
         .withColumnRenamed("semester", "at")

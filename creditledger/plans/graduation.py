@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..operators import credits, dual, joins, requirements, status, transfer
-from ..operators.keyed import assert_unique, duplicate_keys
+from ..operators.keyed import duplicate_keys
 from ..rules import DEFAULT_RULES, Rules
 from ..session import cut
 
@@ -67,6 +67,11 @@ class Graduation:
     def small(self) -> bool:
         return joins.requirements_are_small(self.inputs.reqs)
 
+    @cached_property
+    def reqs(self) -> DataFrame:
+        """Requirements; in one partition when small, so lookups need no shuffle."""
+        return self.inputs.reqs.coalesce(1) if self.small else self.inputs.reqs
+
     # --- requirements
 
     @cached_property
@@ -81,13 +86,13 @@ class Graduation:
     @cached_property
     def seed(self) -> DataFrame:
         return requirements.seed_ledger(
-            self.students, self.inputs.reqs, self.year, self.rules, self.small
+            self.students, self.reqs, self.year, self.rules, self.small
         )
 
     @cached_property
     def by_grade(self) -> DataFrame:
         return requirements.requirements_by_grade(
-            self.students, self.inputs.reqs, self.year, self.mid_year, self.rules, self.small
+            self.students, self.reqs, self.year, self.mid_year, self.rules, self.small
         )
 
     @cached_property
@@ -97,7 +102,7 @@ class Graduation:
         known = self.inputs.students.filter(F.col("studentID").isNotNull())
         return requirements.required_ledger(
             known.repartition("studentID"),
-            self.inputs.reqs,
+            self.reqs,
             self.year,
             self.mid_year,
             self.rules,
@@ -113,7 +118,7 @@ class Graduation:
         Irrelevant courses go before the aggregate when the requirements can be
         broadcast, and after it, on far fewer rows, when they cannot.
         """
-        rows, reqs = self.inputs.transcript, self.inputs.reqs
+        rows, reqs = self.inputs.transcript, self.reqs
         if self.small:
             rows = credits.relevant_courses(rows, reqs, self.rules, True)
             sums = credits.course_sums(rows, self.rules)
@@ -124,7 +129,7 @@ class Graduation:
 
     @cached_property
     def counted(self) -> DataFrame:
-        sums = credits.required_courses(self.sums, self.inputs.reqs, self.rules, self.small)
+        sums = credits.required_courses(self.sums, self.reqs, self.rules, self.small)
         counts = credits.counted_semesters(sums.repartition("studentID"), self.rules)
         return credits.merge_counts(self.required, counts)
 
@@ -191,7 +196,7 @@ class Graduation:
 
     def final_of(self, graded: DataFrame) -> DataFrame:
         return status.final_status_of(
-            graded, self.inputs.reqs, self.year, self.rules, self.small
+            graded, self.reqs, self.year, self.rules, self.small
         )
 
     @cached_property
@@ -256,8 +261,3 @@ def run(
         overflow=transfer.subject_overflow(steps.grouped, rules).drop("subj_key"),
         dual=steps.dual.select(*DUAL_COLUMNS),
     )
-
-
-def check_counts(counts: DataFrame) -> DataFrame:
-    """Fail when the transcript counts hold a student and subject twice."""
-    return assert_unique(counts, ["studentID", "subj_key"])

@@ -5,15 +5,16 @@ from __future__ import annotations
 import contextlib
 import io
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from brute_force import grade_student
-from creditledger import Graduation, Rules
+from creditledger import Graduation, Rules, configure, run
 from creditledger.operators import credits, dual, joins, status
-from creditledger.sources import derived
+from creditledger.sources import derived, tables
 from worlds import YEAR, make_inputs, random_world
 
 FOLDER = "/root/testdata/sf0.001"
@@ -67,22 +68,31 @@ def test_sums_are_taken_before_the_shuffle(spark):
     assert "partial_sum" in plan[shuffle:]
 
 
+def shuffles(df) -> list[str]:
+    """Hash keys of the executed shuffles of fact rows (requirements do not matter)."""
+    moved = re.findall(r"[+:]- Exchange hashpartitioning\((.*?), \d+\)", plan_of(df, run=True))
+    return sorted(re.sub(r"#\d+L?", "", m) for m in moved if m.startswith("studentID"))
+
+
 def test_ledger_is_not_shuffled_between_steps(at_scale):
     steps = Graduation(derived.inputs(at_scale, FOLDER), YEAR, 0)
-    plan = plan_of(steps.graded, run=True)
-    moved = re.findall(r"[+:]- Exchange hashpartitioning\((.*?), \d+\)", plan)
-    # Students twice (distinct, then by student), course sums, donor, dual courses twice.
-    # The tiny requirement tables, keyed by year or subject, do not matter.
-    names = sorted(re.sub(r"#\d+L?", "", m) for m in moved if m.startswith("studentID"))
-    assert names == [
-        "studentID",
-        "studentID",
-        "studentID",
-        "studentID",
-        "studentID, grade",
-        "studentID, subj_key",
-    ]
-    assert plan.count("ReusedExchange") >= 4
+    # Students, course sums and donor; joins and windows add none.
+    assert shuffles(steps.spilled) == ["studentID"] * 3
+    # The written ledger, its needs per student, dual courses by course and by student.
+    assert shuffles(steps.graded) == [*["studentID"] * 3, "studentID, subj_key"]
+    assert shuffles(steps.final) == shuffles(steps.graded)
+
+
+def test_lookups_of_students_share_a_shuffle(at_scale):
+    inputs = derived.inputs(at_scale, FOLDER)
+    twice = inputs.students.unionByName(inputs.students)
+    steps = Graduation(replace(inputs, students=twice), YEAR, 0)
+    assert not steps.listed_once
+    assert shuffles(steps.required) == ["studentID", "studentID, grade"]
+    once = Graduation(inputs, YEAR, 0)
+    assert once.listed_once
+    assert steps.required.exceptAll(once.required).count() == 0
+    assert once.required.exceptAll(steps.required).count() == 0
 
 
 def hot_world():
@@ -166,3 +176,44 @@ def test_many_copies_of_a_student_row_add_nothing(spark):
     again = Graduation(make_inputs(spark, many, reqs, courses, before), YEAR, 0, Rules())
     assert once.settled.exceptAll(again.settled).count() == 0
     assert again.settled.exceptAll(once.settled).count() == 0
+
+
+def test_large_requirements_change_nothing(spark):
+    world = random_world(7, 60)
+    small = Graduation(make_inputs(spark, *world), YEAR, 0)
+    large = Graduation(make_inputs(spark, *world), YEAR, 0)
+    large.__dict__["small"] = False
+    for name in ("graded", "final", "dual"):
+        one, other = getattr(small, name), getattr(large, name)
+        assert one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
+    assert "_salt" in plan_of(large.required)
+
+
+def test_tables_round_trip(spark, tmp_path):
+    world = random_world(8, 40)
+    inputs = make_inputs(spark, *world)
+    for name, table in tables.INPUT_TABLES.items():
+        getattr(inputs, name).write.parquet(f"{tmp_path}/in/{table}")
+    read = tables.read_inputs(spark, f"{tmp_path}/in")
+    out = run(read.students, read.reqs, read.transcript, read.student_status, YEAR, 0)
+    tables.write_outputs(out, f"{tmp_path}/out")
+    report = spark.read.parquet(f"{tmp_path}/out/grad_progress")
+    want = status.final_report(Graduation(inputs, YEAR, 0).graded)
+    assert report.columns == want.columns
+    assert report.exceptAll(want).count() == 0 and want.exceptAll(report).count() == 0
+    published = spark.read.parquet(f"{tmp_path}/out/student_status")
+    assert published.count() == inputs.student_status.count()
+
+
+def test_shuffles_are_sized_by_the_transcript(spark):
+    name = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(name)
+    try:
+        configure(spark, transcript_bytes=1 << 20)
+        assert spark.conf.get(name) == usual
+        configure(spark, transcript_bytes=10 << 40)
+        assert spark.conf.get(name) == "20480"
+        configure(spark, transcript_bytes=100 * 10**12)
+        assert spark.conf.get(name) == "100000"
+    finally:
+        spark.conf.set(name, usual)

@@ -52,6 +52,17 @@ def test_two_full_requirements_for_a_subject(spark):
     assert [r.semsReqdTotal for r in rows.collect()] == [8]
 
 
+def test_conflict_of_an_unused_year_is_no_error(spark):
+    reqs = reqs_of(
+        spark, ("2024", 8, "Art", 1, 1), ("1990", 8, "Art", 8, 7), ("1990", 8, "art", 6, 5)
+    )
+    rows = requirements.required_ledger(seniors(spark), reqs, YEAR, 0)
+    assert [(r.semsReqdTotal, r.semester) for r in rows.collect()] == [(1, -1)]
+    clash = reqs.unionByName(reqs_of(spark, ("2024,1", 8, "ART", 2, 1)))
+    with pytest.raises(PySparkException, match="two full requirements"):
+        requirements.required_ledger(seniors(spark), clash, YEAR, 0).collect()
+
+
 def test_ambiguous_current_requirement_takes_the_least(spark):
     reqs = reqs_of(
         spark, ("2028", 8, "Art", 4, 3), ("2028", 1, "Art", 2, 1), ("2031", 1, "ART", 1, 1)
@@ -72,6 +83,7 @@ def test_large_requirements_join_without_broadcast(spark):
     for build in (
         lambda small: requirements.seed_ledger(students, reqs, YEAR, small=small),
         lambda small: requirements.requirements_by_grade(students, reqs, YEAR, 0, small=small),
+        lambda small: requirements.required_ledger(students, reqs, YEAR, 0, small=small),
     ):
         narrow, wide = build(True), build(False)
         assert narrow.count() == 200
