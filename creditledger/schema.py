@@ -19,9 +19,9 @@ TRANSCRIPT = {
     "subject": T.StringType(),
     "studentGrade": T.IntegerType(),
     "semester": T.IntegerType(),
-    "mark": None,  # numeric, or text read as a number; NULL = in progress
-    "earnedCredits": None,  # double or decimal; decimal sums are exact in any order
-    "attemptedCredits": None,
+    "mark": (T.NumericType, T.StringType, T.NullType),  # NULL = in progress
+    "earnedCredits": (T.NumericType,),  # decimal sums are exact in any order
+    "attemptedCredits": (T.NumericType,),
 }
 STUDENT_STATUS = {"studentID": T.LongType(), "gradStatus": T.StringType()}
 
@@ -46,12 +46,12 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER)
 
 
-def conform(df: DataFrame, wanted: dict[str, T.DataType | None], table: str) -> DataFrame:
-    """Select the wanted columns, cast to their types.
+def conform(df: DataFrame, wanted: dict, table: str) -> DataFrame:
+    """Select the wanted columns in their types.
 
-    Integers widen or narrow to the declared width (an overflow fails under
-    ANSI mode); any other difference is an error, since guessing would change
-    results.
+    A type means exactly that one, except that integers widen or narrow (an
+    overflow fails under ANSI mode); a tuple lists the kinds a column may have.
+    Any other difference is an error, since guessing would change results.
     """
     present = {f.name.lower(): f for f in df.schema.fields}
     missing = [name for name in wanted if name.lower() not in present]
@@ -60,9 +60,9 @@ def conform(df: DataFrame, wanted: dict[str, T.DataType | None], table: str) ->
     columns = []
     for name, dtype in wanted.items():
         have = present[name.lower()].dataType
-        if dtype is None:
-            if not isinstance(have, (T.NumericType, T.StringType, T.NullType)):
-                raise TypeError(f"{table}.{name}: {have.simpleString()} is not numeric")
+        if isinstance(dtype, tuple):
+            if not isinstance(have, dtype):
+                raise TypeError(f"{table}.{name}: cannot use {have.simpleString()}")
             columns.append(F.col(name).alias(name))
             continue
         both_integral = isinstance(dtype, T.IntegralType) and isinstance(have, T.IntegralType)

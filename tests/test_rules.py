@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from creditledger import Graduation, Rules
 from creditledger.operators import credits, dual, keyed, requirements, status, transfer
-from creditledger.schema import LEDGER, conform, empty_ledger, STUDENTS
+from creditledger.schema import LEDGER, STUDENTS, TRANSCRIPT, conform, empty_ledger
 from worlds import YEAR, make_inputs
 
 REQS = "gradYear string, semester int, subject string, semsReqd int, semsClose int"
@@ -151,6 +151,16 @@ def test_which_courses_count_before_high_school(spark):
     assert {r.subject: (r.semsComp, r.semsInp) for r in both.collect()} == got
 
 
+def test_decimal_credits_add_up_exactly(spark):
+    rows = transcript_of(spark, [(1, "Art", 9, 1, 3, c, c) for c in (1.1, 2.2, 1.7)])
+    exact = rows.withColumn("earnedCredits", F.col("earnedCredits").cast("decimal(9,2)"))
+    got = credits.counted_semesters(credits.course_sums(conform(exact, TRANSCRIPT, "transcript")))
+    assert [(r.semsComp, r.semsInp) for r in got.collect()] == [(1, 0)]
+    with pytest.raises(TypeError):
+        text = rows.withColumn("earnedCredits", F.lit("5"))
+        conform(text, TRANSCRIPT, "transcript")
+
+
 def test_letter_marks(spark):
     rows = transcript_of(
         spark,
