@@ -38,7 +38,11 @@ class Inputs:
 
 
 class Graduation:
-    """Each step as a lazily built DataFrame; nothing runs until one is used."""
+    """Each step as a lazily built DataFrame; nothing runs until one is used.
+
+    ``hot_rows`` overrides from how many rows on a student counts as hot.
+    ``keep_stages`` also writes the versions that only several outputs share.
+    """
 
     def __init__(
         self,
@@ -77,7 +81,11 @@ class Graduation:
     @cached_property
     def listed_once(self) -> bool:
         """Whether no student has two rows, as a list of students should be."""
-        return duplicate_keys(self.inputs.students, ["studentID"]).isEmpty()
+        return duplicate_keys(self._known_students, ["studentID"]).isEmpty()
+
+    @property
+    def _known_students(self) -> DataFrame:
+        return self.inputs.students.filter(F.col("studentID").isNotNull())
 
     @cached_property
     def students(self) -> DataFrame:
@@ -99,9 +107,8 @@ class Graduation:
     def required(self) -> DataFrame:
         if not self.listed_once:
             return requirements.attach_requirements(self.seed, self.by_grade)
-        known = self.inputs.students.filter(F.col("studentID").isNotNull())
         return requirements.required_ledger(
-            known.repartition("studentID"),
+            self._known_students.repartition("studentID"),
             self.reqs,
             self.year,
             self.mid_year,
