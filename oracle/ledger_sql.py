@@ -45,15 +45,15 @@ def _steps(year: int, mid_year: int) -> list[tuple[str, str]]:
         ),
         (
             "req",
-            f"""with f as (select * from (values {_FULL}) v(cohort, subject, due)),
-              s as (select unnest([1,2,3,4,5,6,7,8]) as semester),
+            f"""with f as (select *, unnest([1,2,3,4,5,6,7,8]) as semester
+                from (values {_FULL}) v(cohort, subject, due)),
               r as (select cohort, semester, subject, cast(ceil(due * semester / 8.0) as int) as reqd, 1 as slack
-                    from f, s
+                    from f
                     union all
                     select cohort, semester,
                       case when cohort = {_quoted(SHORT_TOTAL_COHORT)} and semester < 8 then 'T' else 'Total' end,
                       cast(ceil(sum(due) * semester / 8.0) as int), 3
-                    from f, s group by cohort, semester)
+                    from f group by cohort, semester)
             select cohort, semester, subject, upper(subject) as k, reqd, greatest(reqd - slack, 0) as close_at
             from r""",
         ),
