@@ -38,6 +38,11 @@ def _over(amount: Column) -> Column:
     return F.greatest(F.lit(0).cast("bigint"), amount)
 
 
+def _with_changed(rows: DataFrame, ledger: DataFrame, changed: dict[str, Column]) -> DataFrame:
+    """The ledger columns of ``rows``, some of them replaced."""
+    return rows.select([changed.get(c, F.col(c)).alias(c) for c in ledger.columns])
+
+
 # --- donor to receiver, rest to a third subject ---------------------------------
 
 
@@ -52,17 +57,10 @@ def _with_transfer(ledger: DataFrame, donor: DataFrame, rules: Rules) -> DataFra
         "studentID", F.col("semsComp").alias("donorDone"), F.col("semsInp").alias("donorOpen")
     )
     rows = ledger.join(given, "studentID", "left").withColumn("short", short)
-    rows = rows.withColumn(
-        "transferComplete",
-        F.when(
-            F.col("short").isNotNull(), F.least(_over(F.col("short")), F.col("donorDone"))
-        ).otherwise(0),
-    )
-    still = _over(F.col("short") - F.col("transferComplete"))
-    return rows.withColumn(
-        "transferInProgress",
-        F.when(F.col("short").isNotNull(), F.least(still, F.col("donorOpen"))).otherwise(0),
-    )
+    need, known = F.col("short"), F.col("short").isNotNull()
+    done = F.when(known, F.least(_over(need), F.col("donorDone"))).otherwise(0)
+    open_ = F.when(known, F.least(_over(need - done), F.col("donorOpen"))).otherwise(0)
+    return rows.withColumns({"transferComplete": done, "transferInProgress": open_})
 
 
 def donor_transfer(ledger: DataFrame, donor: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -87,16 +85,11 @@ def apply_donor(ledger: DataFrame, donor: DataFrame, rules: Rules = DEFAULT_RULE
             .otherwise(F.col(column))
         )
 
-    return (
-        _with_transfer(ledger, donor, rules)
-        .withColumns(
-            {
-                "semsComplete": posted("semsComplete", "transferComplete", "donorDone"),
-                "semsInProgress": posted("semsInProgress", "transferInProgress", "donorOpen"),
-            }
-        )
-        .select(ledger.columns)
-    )
+    changed = {
+        "semsComplete": posted("semsComplete", "transferComplete", "donorDone"),
+        "semsInProgress": posted("semsInProgress", "transferInProgress", "donorOpen"),
+    }
+    return _with_changed(_with_transfer(ledger, donor, rules), ledger, changed)
 
 
 # --- surplus of group members to the group subject ------------------------------
@@ -135,16 +128,11 @@ def settle_group(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
             .otherwise(F.col(column))
         )
 
-    return (
-        _with_surplus(ledger, rules)
-        .withColumns(
-            {
-                "semsComplete": settled("semsComplete", "surplusComplete"),
-                "semsInProgress": settled("semsInProgress", "surplusInProgress"),
-            }
-        )
-        .select(ledger.columns)
-    )
+    changed = {
+        "semsComplete": settled("semsComplete", "surplusComplete"),
+        "semsInProgress": settled("semsInProgress", "surplusInProgress"),
+    }
+    return _with_changed(_with_surplus(ledger, rules), ledger, changed)
 
 
 def student_totals(ledger: DataFrame) -> DataFrame:
@@ -199,13 +187,8 @@ def spill_to_sink(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
         given = F.coalesce(F.col(overflow), F.lit(0))
         return F.when(_is(rules.sink), F.col(column) + received).otherwise(F.col(column) - given)
 
-    return (
-        _with_overflow(ledger, rules)
-        .withColumns(
-            {
-                "semsComplete": settled("semsComplete", "compOverflow"),
-                "semsInProgress": settled("semsInProgress", "inpOverflow"),
-            }
-        )
-        .select(ledger.columns)
-    )
+    changed = {
+        "semsComplete": settled("semsComplete", "compOverflow"),
+        "semsInProgress": settled("semsInProgress", "inpOverflow"),
+    }
+    return _with_changed(_with_overflow(ledger, rules), ledger, changed)

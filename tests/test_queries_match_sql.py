@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as entry_points
 from creditledger import Graduation
 from creditledger.sources import derived
-from oracle.ledger_sql import expected
+from ledger_oracle.ledger_sql import expected
 
 FOLDER = os.environ.get("LEDGER_SF_DIR", "/root/testdata/sf0.01")
 QUERIES = entry_points.queries()
