@@ -39,15 +39,26 @@ def cohort_rows(reqs: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     )
 
 
+def listing(students: DataFrame) -> tuple[bool, bool]:
+    """Whether every student has one row, and whether every student has one grade."""
+    known, rows = F.count("grade"), F.count(F.lit(1))
+    per_student = students.groupBy("studentID").agg(
+        rows.alias("rows"),
+        (
+            F.min("grade").eqNullSafe(F.max("grade")) & ((known == 0) | (known == rows))
+        ).alias("one_grade"),
+    )
+    most, one_grade = per_student.agg(F.max("rows"), F.bool_and("one_grade")).first()
+    return most in (None, 1), one_grade is not False
+
+
 def distinct_students(students: DataFrame) -> DataFrame:
     """Distinct students hashed on studentID, ready for the per-student steps.
 
     Copies collapse before they move, so a student listed very often costs one
-    row in the second shuffle.  The filter is the one later joins would infer on
-    one side only; stated here, both lookups of the students share a shuffle.
+    row in the second shuffle.
     """
-    known = students.filter(F.col("studentID").isNotNull())
-    return known.select("studentID", "grade").distinct().repartition("studentID")
+    return students.select("studentID", "grade").distinct().repartition("studentID")
 
 
 def _full_rows(reqs: DataFrame, rules: Rules) -> DataFrame:
@@ -168,7 +179,7 @@ def required_ledger(
     rules: Rules = DEFAULT_RULES,
     small: bool | None = None,
 ) -> DataFrame:
-    """Ledger rows with their current requirement, for students listed once.
+    """Ledger rows with their current requirement, for students with one row each.
 
     The graduation year decides both the full and the current requirement, so
     they are matched per year among the requirements.  Each student then needs

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..operators import credits, dual, joins, requirements, status, transfer
-from ..operators.keyed import duplicate_keys
 from ..rules import DEFAULT_RULES, Rules
 from ..session import cut
 
@@ -79,17 +78,21 @@ class Graduation:
     # --- requirements
 
     @cached_property
-    def listed_once(self) -> bool:
-        """Whether no student has two rows, as a list of students should be."""
-        return duplicate_keys(self._known_students, ["studentID"]).isEmpty()
+    def listing(self) -> tuple[bool, bool]:
+        return requirements.listing(self._known_students)
 
     @property
     def _known_students(self) -> DataFrame:
+        """Rows with a student; said here so that all uses share one shuffle."""
         return self.inputs.students.filter(F.col("studentID").isNotNull())
 
     @cached_property
     def students(self) -> DataFrame:
-        return requirements.distinct_students(self.inputs.students)
+        """Distinct students, hashed on studentID; a list without copies moves once."""
+        listed_once, _ = self.listing
+        if listed_once:
+            return self._known_students.repartition("studentID")
+        return requirements.distinct_students(self._known_students)
 
     @cached_property
     def seed(self) -> DataFrame:
@@ -105,15 +108,11 @@ class Graduation:
 
     @cached_property
     def required(self) -> DataFrame:
-        if not self.listed_once:
+        _, one_grade = self.listing
+        if not one_grade:
             return requirements.attach_requirements(self.seed, self.by_grade)
         return requirements.required_ledger(
-            self._known_students.repartition("studentID"),
-            self.reqs,
-            self.year,
-            self.mid_year,
-            self.rules,
-            self.small,
+            self.students, self.reqs, self.year, self.mid_year, self.rules, self.small
         )
 
     # --- transcript

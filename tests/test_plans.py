@@ -83,16 +83,28 @@ def test_ledger_is_not_shuffled_between_steps(at_scale):
     assert shuffles(steps.final) == shuffles(steps.graded)
 
 
-def test_lookups_of_students_share_a_shuffle(at_scale):
+def test_listed_students(at_scale):
+    """Copies of a student cost one more shuffle; a second grade needs the general way."""
     inputs = derived.inputs(at_scale, FOLDER)
-    twice = inputs.students.unionByName(inputs.students)
-    steps = Graduation(replace(inputs, students=twice), YEAR, 0)
-    assert not steps.listed_once
-    assert shuffles(steps.required) == ["studentID", "studentID, grade"]
     once = Graduation(inputs, YEAR, 0)
-    assert once.listed_once
-    assert steps.required.exceptAll(once.required).count() == 0
-    assert once.required.exceptAll(steps.required).count() == 0
+    assert once.listing == (True, True)
+    assert shuffles(once.required) == ["studentID"]
+
+    copies = replace(inputs, students=inputs.students.unionByName(inputs.students))
+    twice = Graduation(copies, YEAR, 0)
+    assert twice.listing == (False, True)
+    assert shuffles(twice.required) == ["studentID", "studentID, grade"]
+
+    # A grade without any requirement adds nothing but takes the general way.
+    other = inputs.students.withColumn("grade", F.lit(6)).filter("studentID < 40")
+    two = Graduation(replace(inputs, students=inputs.students.unionByName(other)), YEAR, 0)
+    assert two.listing == (False, False)
+    assert shuffles(two.required) == ["studentID", "studentID, grade"]
+    for more in (twice, two):
+        seeds = more.required.select("studentID", "subj_key", "semsReqdTotal")
+        want = once.required.select("studentID", "subj_key", "semsReqdTotal")
+        assert seeds.exceptAll(want).count() == 0 and want.exceptAll(seeds).count() == 0
+    assert twice.required.exceptAll(once.required).count() == 0
 
 
 def hot_world():

@@ -63,6 +63,30 @@ def test_conflict_of_an_unused_year_is_no_error(spark):
         requirements.required_ledger(seniors(spark), clash, YEAR, 0).collect()
 
 
+def test_student_with_two_grades_gets_both_cohorts(spark):
+    reqs = [
+        ("2024", 8, "Art", 2, 1), ("2025", 8, "Art", 2, 1), ("2025", 8, "Music", 1, 1),
+        ("2024", 7, "Art", 2, 1), ("2025", 5, "Art", 1, 0), ("2025", 5, "Music", 1, 1),
+    ]
+    students = [(1, 12), (1, 11), (2, 12), (2, 12), (3, None)]
+    inputs = make_inputs(spark, students, reqs, [(1, "Art", 9, 1, 1, 5.0, 5.0)])
+    steps = Graduation(inputs, YEAR, 0)
+    assert steps.listing == (False, False)
+    rows = {
+        (r.studentID, r.subject): (r.semester, r.semsReqdGrade, r.semsClose, r.semsReqdTotal)
+        for r in steps.required.collect()
+    }
+    assert rows == {
+        (1, "Art"): (5, 1, 0, 2),
+        (1, "Music"): (5, 1, 1, 1),
+        (2, "Art"): (7, 2, 1, 2),
+    }
+    nulls = spark.createDataFrame([(1, None), (1, 9)], "studentID long, grade int")
+    assert requirements.listing(nulls) == (False, False)
+    assert requirements.listing(nulls.filter("grade is null")) == (True, True)
+    assert requirements.listing(nulls.filter("studentID > 1")) == (True, True)
+
+
 def test_ambiguous_current_requirement_takes_the_least(spark):
     reqs = reqs_of(
         spark, ("2028", 8, "Art", 4, 3), ("2028", 1, "Art", 2, 1), ("2031", 1, "ART", 1, 1)
