@@ -37,8 +37,10 @@ class Inputs:
 
 
 class Graduation:
-    """Each step as a lazily built DataFrame; nothing runs until one is used.
+    """Each step as a DataFrame, built when first asked for.
 
+    Asking for a step runs the size checks and writes the tables it rests on;
+    the step itself stays lazy.
     ``hot_rows`` overrides from how many rows on a student counts as hot.
     ``keep_stages`` also writes the versions that only several outputs share.
     """
