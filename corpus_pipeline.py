@@ -8,10 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditledger.llm import mixing, quality, simhash
+from creditledger.llm import decontamination, langid, mixing, quality, simhash
 from creditledger.llm.common import cut, read
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents with letters of which most words are in one language."""
+    return langid.keep_known(docs)
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep what passes the base test and what the label model holds for good."""
     return quality.keep_good(docs)
@@ -22,6 +27,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents in which no benchmark passage is met."""
+    return decontamination.keep_clean(docs, read(spark, sf_dir, "benchmark"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes: the documents' columns and how many words of each are taken."""
     rows = mixing.mix(docs)
@@ -29,8 +39,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", known_language),
     ("quality_rules", good_quality),
     ("simhash_near_dedup", one_of_each),
+    ("benchmark_decontamination", without_benchmarks),
     ("mixing", mixed),
 ]
 

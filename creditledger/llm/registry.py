@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, quality, simhash, tokens
+from . import (
+    chat,
+    decontamination,
+    html_text,
+    langid,
+    lm_scoring,
+    mixing,
+    quality,
+    simhash,
+    tokens,
+    warc,
+)
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
+    "op2_lm_scoring": lm_scoring.op2_lm_scoring,
     "op3_token_counts": tokens.op3_token_counts,
+    "op4_decontamination": decontamination.op4_decontamination,
+    "op5_html_extraction": html_text.op5_html_extraction,
     "op6_mixing": mixing.op6_mixing,
     "op7_simhash": simhash.op7_simhash,
     "op8_quality_rules": quality.op8_quality_rules,
+    "op9_language_id": langid.op9_language_id,
+    "op10_warc": warc.op10_warc,
 }
 
 ORACLE_SQL = {
     "op1_chat_formatting": chat.OP1_SQL,
+    "op2_lm_scoring": lm_scoring.OP2_SQL,
     "op6_mixing": mixing.OP6_SQL,
 }
