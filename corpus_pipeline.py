@@ -33,9 +33,13 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes: the documents' columns and how many words of each are taken."""
-    rows = mixing.mix(docs)
-    return rows.filter("_mix.taken > 0").select(*docs.columns, "_mix.*")
+    """What the mix takes: the documents' columns and how many words of each are taken.
+
+    The columns of the mix replace columns of the same names.
+    """
+    rows = mixing.mix(docs).filter("_mix.taken > 0")
+    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
+    return rows.select(*own, "_mix.*")
 
 
 STAGES = [

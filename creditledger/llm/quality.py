@@ -284,4 +284,90 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = rate(read(spark, sf_dir, "documents"))
-    return rated.select("doc_id", *COUNTS, "base_failed", "kept", "posterior")
+    return rated.select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+def _quoted(words) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+def _iteration(t: int, n_places: int) -> str:
+    """One round of the label model over the table ``patterns``, from model t - 1 to model t."""
+    s = SMOOTHING
+    return f"""
+), e{t} AS MATERIALIZED (
+  SELECT votes, n, n / (1 + exp(-(ln(prior / (1 - prior))
+         + list_sum(list_transform(votes, lambda k: ln(good[k + 1] / bad[k + 1])))))) AS g
+  FROM patterns, m{t - 1}
+), s{t} AS MATERIALIZED (
+  SELECT k, sum(g) AS g, sum(n - g) AS b FROM (SELECT unnest(votes) AS k, n, g FROM e{t}) GROUP BY k
+), t{t} AS MATERIALIZED (SELECT coalesce(sum(g), 0) AS g, coalesce(sum(n - g), 0) AS b FROM e{t}
+), m{t} AS MATERIALIZED (
+  SELECT any_value((t.g + {s}) / (t.g + t.b + 2 * {s})) AS prior,
+         list((coalesce(x.g, 0) + {s}) / (t.g + 3 * {s}) ORDER BY p.k) AS good,
+         list((coalesce(x.b, 0) + {s}) / (t.b + 3 * {s}) ORDER BY p.k) AS bad
+  FROM range({n_places}) AS p(k) LEFT JOIN s{t} AS x ON x.k = p.k CROSS JOIN t{t} AS t"""
+
+
+def op8_sql() -> str:
+    n_places = 3 * len(RULES)
+    rounds = "".join(_iteration(t, n_places) for t in range(1, ITERATIONS + 1))
+    start_good = [float(x) for x in START_RATES_GOOD * len(RULES)]
+    start_bad = [float(x) for x in START_RATES_BAD * len(RULES)]
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), windows AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM texts)
+), repeated AS (
+  SELECT r, count(DISTINCT at) AS n_repeat_words
+  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS at
+        FROM windows JOIN (SELECT r, w FROM windows GROUP BY r, w HAVING count(*) > 1) USING (r, w))
+  GROUP BY r
+), measured AS (
+  SELECT r, doc_id, len(words) AS n, length(array_to_string(words, '')) AS chars,
+         length(text) - length(regexp_replace(text, '[{SYMBOLS}]', '', 'g')) AS symbols,
+         length(text) - length(regexp_replace(text, '[{CAPITALS}]', '', 'g')) AS capitals,
+         length(text) - length(regexp_replace(text, '[{MARKS}]', '', 'g')) AS marks,
+         len(list_filter(words, lambda x: lower(x) IN ({_quoted(FUNCTION_WORDS)}))) AS functions,
+         len(list_filter(words, lambda x: right(x, 1) IN ('.', '!', '?'))) AS ends,
+         list_filter(string_split(text, chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         coalesce(n_repeat_words, 0) AS repeats
+  FROM texts LEFT JOIN repeated USING (r)
+), counted AS (
+  SELECT *, len(lines) - len(list_distinct(lines)) AS dups,
+         n < {MIN_WORDS} OR 100 * repeats > {MOST_REPEATED_PERCENT} * n AS base_failed
+  FROM measured
+), voted AS (
+  SELECT *, list_transform([
+      CASE WHEN symbols * 50 < chars THEN 2 WHEN symbols * 12 > chars THEN 0 ELSE 1 END,
+      CASE WHEN repeats * 10 < n THEN 2 WHEN repeats * 10 > n * 3 THEN 0 ELSE 1 END,
+      CASE WHEN capitals * 8 < chars THEN 2 WHEN capitals * 2 > chars THEN 0 ELSE 1 END,
+      CASE WHEN functions * 12 > n THEN 2 WHEN functions * 50 < n THEN 0 ELSE 1 END,
+      CASE WHEN chars >= n * 3 AND chars <= n * 10 THEN 2
+           WHEN chars < n * 2 OR chars > n * 14 THEN 0 ELSE 1 END,
+      CASE WHEN ends * 60 > n AND ends * 3 < n THEN 2 WHEN ends * 2 > n THEN 0 ELSE 1 END,
+      CASE WHEN marks * 20 < n THEN 2 WHEN marks * 2 > n THEN 0 ELSE 1 END,
+      CASE WHEN dups * 100 < n THEN 2 WHEN dups * 10 > n THEN 0 ELSE 1 END
+    ], lambda v, j: 3 * (j - 1) + v) AS votes
+  FROM counted
+), patterns AS MATERIALIZED (
+  SELECT votes, count(*)::DOUBLE AS n FROM voted WHERE NOT base_failed GROUP BY votes
+), m0 AS (
+  SELECT {START_PRIOR}::DOUBLE AS prior, {start_good}::DOUBLE[] AS good,
+         {start_bad}::DOUBLE[] AS bad{rounds}
+)
+SELECT doc_id, n::BIGINT AS n_words, chars::BIGINT AS word_chars, symbols::BIGINT AS n_symbols,
+       dups::BIGINT AS n_dup_lines, repeats::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND 1 / (1 + exp(-(ln(prior / (1 - prior))
+         + list_sum(list_transform(votes, lambda k: ln(good[k + 1] / bad[k + 1]))))))
+         >= {KEEP_AT} AS kept
+FROM voted, m{ITERATIONS}
+"""
+
+
+OP8_SQL = op8_sql()

@@ -32,4 +32,5 @@ ORACLE_SQL = {
     "op1_chat_formatting": chat.OP1_SQL,
     "op2_lm_scoring": lm_scoring.OP2_SQL,
     "op6_mixing": mixing.OP6_SQL,
+    "op8_quality_rules": quality.OP8_SQL,
 }
