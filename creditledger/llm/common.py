@@ -23,8 +23,12 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
+def session_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}"
+    return f"{session_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -34,13 +38,20 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_cut(df: DataFrame) -> None:
     """Remove the files of a table that ``cut`` wrote and that nothing reads any more."""
-    spark = df.sparkSession
-    roots = {f[: f.index("/llm/") + len("/llm/") + 32] for f in df.inputFiles()}
-    for root in roots:
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        _remove(df.sparkSession, folder)
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove all tables that this session has cut; results must have been written."""
+    _remove(spark, session_folder(spark))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

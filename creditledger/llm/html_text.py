@@ -261,6 +261,9 @@ LABELLED = (
     (18, 0.00, 60, 0.0, 2, 1.0, 0, 0, 0, 1),
     (5, 0.00, 40, 0.0, 50, 0.0, 0, 0, 0, 1),
     (2, 0.00, 30, 0.1, 25, 0.0, 0, 0, 0, 1),
+    (2, 0.00, 25, 0.0, 1, 1.0, 0, 0, 0, 1),
+    (1, 0.00, 14, 0.0, 1, 0.0, 0, 0, 0, 1),
+    (5, 0.00, 40, 0.0, 0, 0.0, 0, 0, 0, 1),
     (8, 0.20, 35, 0.0, 60, 0.0, 0, 0, 0, 1),
     (6, 0.00, 2, 1.0, 50, 0.0, 0, 0, 1, 1),
     (4, 0.00, 40, 0.0, 45, 0.0, 0, 0, 1, 1),

@@ -323,8 +323,8 @@ WITH texts AS (
   SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
   FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM texts)
 ), repeated AS (
-  SELECT r, count(DISTINCT at) AS n_repeat_words
-  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS at
+  SELECT r, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place
         FROM windows JOIN (SELECT r, w FROM windows GROUP BY r, w HAVING count(*) > 1) USING (r, w))
   GROUP BY r
 ), measured AS (

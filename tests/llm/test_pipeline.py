@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from creditledger.llm import langid
+from creditledger.llm import common, langid
 from test_mixing import brute as brute_mix
 from test_simhash import brute_components, brute_fingerprint
 
@@ -63,3 +63,13 @@ def test_odd_rows(spark, odd_docs, no_docs):
         more = odd_docs.withColumn("score", F.lit("x")).withColumn("size", F.lit(1))
         if name != "mixing":
             assert stage(spark, more, FOLDER).columns == more.columns, name
+
+
+def test_tables_between_steps_are_removed_when_asked(spark):
+    from pathlib import Path
+
+    folder = Path(common.session_folder(spark).removeprefix("file:"))
+    corpus_pipeline.run(spark, FOLDER).count()
+    assert any(folder.iterdir())
+    common.clean(spark)
+    assert not folder.exists()

@@ -61,7 +61,7 @@ def test_segments_are_written_and_joined(spark):
     assert ordered(got) == ordered(brute([(1, "u", page), (2, "u", page), (3, "u", "small")]))
     records = warc.read_records(spark, folder).collect()
     kinds = [r.record_type for r in records]
-    assert kinds.count("continuation") == -(-len(records[0].block) * 0 - 0) + sum(r.segment is not None and r.segment > 1 for r in records)
+    assert kinds.count("continuation") == sum((r.segment or 1) > 1 for r in records)
     assert kinds.count("continuation") >= 4 and kinds.count("revisit") == 1
     last = max((r for r in records if r.segment), key=lambda r: r.segment)
     assert last.total == sum(len(r.block) for r in records if r.segment)
@@ -135,7 +135,6 @@ def test_odd_rows(spark):
     ]
     _, got = round_trip(spark, rows)
     assert ordered(got) == ordered(brute(rows))
-    assert round_trip(spark, rows[:0] or [(1, "u", "x")])[1]
     empty = spark.createDataFrame([], SCHEMA + ", digest string, n long, first long")
     folder = common.new_folder(spark)
     warc.write(empty, folder)
