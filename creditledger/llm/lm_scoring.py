@@ -5,17 +5,17 @@ go on with the word, if the pair is in the count table, that is, was seen ``MIN_
 else ``BACKOFF`` times the word's share of all words.  A document's first word has its share of
 all words.  Counts cover all documents, a document's score is the sum of the logarithms.
 
-Pairs are exploded from the texts and partitioned by the hash of their second word.  A
-partition thus holds all pairs with its words, and so the count table of its pairs and words;
-it joins the pairs to these counts and sums by document.  What is left are the counts of first
-words of pairs that were found: these rows are joined to the table of word counts, and all
-partial sums of a document are added up.
-
-Words with a large share of all words are known beforehand, at most some thousand: their exact
-counts go to every task, so that nothing is requested for them, and their pairs are partitioned
-by both words.  Which words these are is looked up in a bounded sample, as it decides where rows
-go and not what comes out.  Between the steps pairs travel in packed arrays, one row for each
-batch of documents and partition, that list a word once however often the batch has it.
+Pairs are exploded from the texts and partitioned by hash.  Words with a share of at least
+``FREQUENT`` of all words, at most 1 / ``FREQUENT`` of them, have their exact counts sent to
+every task; which words these are is looked up in a bounded sample, as it decides where rows go
+and not what comes out.  A pair goes to the partition of its second word, to that of its first
+word if only that one is rare, and to one of its own if both are frequent.  A partition thus
+has all occurrences of its rare words, and so the count table of its pairs and words, and no
+word or pair is more than a partition can hold: it joins the pairs to these counts and sums by
+document.  What is left are pairs of two rare words, whose first word is counted elsewhere:
+these rows are joined to the table of word counts, and all partial sums of a document are added
+up.  Between the steps pairs travel in packed arrays, one row for each batch of documents and
+partition, that list a word once however often the batch has it.
 
 Words and pairs are known by 64-bit hashes.
 
@@ -27,37 +27,74 @@ gives an empty table.  Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, read, tasks
+from .common import cut, read
 
 BACKOFF = 0.4
 MIN_COUNT = 2
 #: Pairs that a partition holds on average, and words that are packed at once.
-PARTITION_PAIRS = 3_000_000
+PARTITION_PAIRS = 4_000_000
 BATCH_WORDS = 1_000_000
 #: Words of at least this share are frequent; the sample that they are looked up in.
-FREQUENT = 0.0005
-SAMPLE_DOCS = 2000
+FREQUENT = 0.00001
+SAMPLE_DOCS = 4000
 #: Stands before the first word of a document; a word with this hash is no word of a text.
 START = np.uint64(0)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words of some texts, and each text's number of words."""
-    import xxhash
+#: White space between words, and a random number for each byte.
+IS_SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8))
+BYTE_KEYS = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64)
+#: Bytes that are hashed at once.
+PIECE_BYTES = 1 << 20
 
-    words = [(t or "").encode("utf-8", "replace").split() for t in texts]
-    flat = list(chain.from_iterable(words))
-    hashes = {w: xxhash.xxh64_intdigest(w) or 1 for w in dict.fromkeys(flat)}
-    own = np.fromiter(map(hashes.__getitem__, flat), np.uint64, len(flat))
-    return own, np.fromiter(map(len, words), np.int64, len(words))
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of some texts, and each text's number of words.
+
+    A word's hash is the sum of its bytes' numbers times powers of an odd number, then mixed.
+    It is taken over all words at once, text after text without a copy of any word.
+    """
+    texts = texts.fill_null("") if texts.null_count else texts
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset :][: len(texts) + 1]
+    if not len(texts) or offsets[0] == offsets[-1]:
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)
+    hashes, sizes = [], []
+    at = 0
+    while at < len(texts):
+        # As many whole texts as make a piece.
+        stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PIECE_BYTES, "right")) - 1)
+        own = data[offsets[at] : offsets[stop]]
+        bounds = (offsets[at : stop + 1] - offsets[at]).astype(np.int64)
+        inside = ~IS_SPACE[own]
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        first_bytes = bounds[:-1][bounds[:-1] < bounds[1:]]
+        begins[first_bytes] = inside[first_bytes]
+        starts = np.flatnonzero(begins)
+        sizes.append(np.diff(np.searchsorted(starts, bounds)))
+        if len(starts):
+            places = np.flatnonzero(inside)
+            first = np.searchsorted(places, starts)
+            lengths = np.diff(np.concatenate([first, [len(places)]]))
+            in_word = np.arange(len(places)) - np.repeat(first, lengths)
+            powers = np.full(int(lengths.max()), MIX)
+            powers = np.cumprod(powers, dtype=np.uint64)
+            total = np.add.reduceat(BYTE_KEYS[own[places]] * powers[in_word], first)
+            total = (total ^ (total >> np.uint64(32))) * MIX
+            total ^= total >> np.uint64(29)
+            hashes.append(np.where(total == START, MIX, total))
+        at = stop
+    none = [np.zeros(0, np.uint64)]
+    return np.concatenate(hashes or none), np.concatenate(sizes).astype(np.int64)
 
 
 def paired(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -73,7 +110,7 @@ def word_counts(docs: DataFrame, only: np.ndarray | None = None) -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, _ = word_hashes(batch.column("text").to_pylist())
+            own, _ = word_hashes(batch.column("text"))
             n_all = len(own)
             if only is not None:
                 at = np.minimum(np.searchsorted(only, own), max(0, len(only) - 1))
@@ -133,20 +170,25 @@ def packed(n_parts: int, frequent: np.ndarray):
     pair the place of its first word in ``firsts`` and of its document in the batch.  Each
     partition also gets its share of the batch's documents: row, id, number of words.
     """
+    # Two bytes are sorted in linear time.
+    part_type = np.uint16 if n_parts < 1 << 16 else np.uint32
 
-    def pack(doc_ids: list, texts: list, first_row: int) -> pa.RecordBatch:
+    def pack(doc_ids: pa.Array, texts: pa.Array, first_row: int) -> pa.RecordBatch:
         second, sizes = word_hashes(texts)
         doc = np.repeat(np.arange(len(texts)), sizes)
         first = np.concatenate([[START], second[:-1]]).astype(np.uint64)[: len(second)]
         starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-        first[starts] = START
         hot = lookup(frequent, np.ones(len(frequent), bool), second)
-        key = np.where(hot, paired(first, second), second * MIX)
-        part = ((key >> np.uint64(20)) % np.uint64(n_parts)).astype(np.int32)
-        order = np.argsort(second, kind="stable")
+        hot_before = np.concatenate([[True], hot[:-1]])[: len(second)]
+        first[starts], hot_before[starts] = START, True
+        key = np.where(hot, np.where(hot_before, paired(first, second), first * MIX), second * MIX)
+        part = ((key >> np.uint64(20)) % np.uint64(n_parts)).astype(part_type)
+        order = np.argsort(second)
         order = order[np.argsort(part[order], kind="stable")]
         part, second, first, doc = part[order], second[order], first[order], doc[order]
-        bounds = np.searchsorted(part, np.arange(n_parts + 1))
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=n_parts))])
+        known_id = ~np.asarray(doc_ids.is_null())
+        id_values = doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         row_part = (first_row + np.arange(len(texts))) % n_parts
         rows = []
         for p in range(n_parts):
@@ -159,11 +201,8 @@ def packed(n_parts: int, frequent: np.ndarray):
             new = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]])[:n])
             runs = np.diff(np.concatenate([new, [n]]))
             firsts, first_at = np.unique(first[own], return_inverse=True)
-            ids = pa.array([doc_ids[i] for i in mine], pa.int64())
             # A null id is told apart by its number of words, written as its complement.
-            known = np.array([doc_ids[i] is not None for i in mine], bool)
-            counts = np.where(known, sizes[mine], ~sizes[mine])
-            values = ids.fill_null(0).to_numpy(zero_copy_only=False)
+            counts = np.where(known_id[mine], sizes[mine], ~sizes[mine])
             rows.append(
                 (
                     p,
@@ -174,7 +213,7 @@ def packed(n_parts: int, frequent: np.ndarray):
                     firsts.tobytes(),
                     small(first_at).tobytes(),
                     small(doc[own]).tobytes(),
-                    values.astype(np.int64).tobytes(),
+                    id_values[mine].tobytes(),
                     counts.astype(np.int64).tobytes(),
                     small(mine).tobytes(),
                 )
@@ -190,20 +229,16 @@ def packed(n_parts: int, frequent: np.ndarray):
 
         # Rows of a task are numbered from a start that no other task reaches.
         row = TaskContext.get().partitionId() << 40
-        ids, texts, waiting = [], [], 0
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text"))
-            for doc_id, text in zip(*columns, strict=True):
-                ids.append(doc_id)
-                texts.append(text)
-                # About six characters make a word.
-                waiting += len(text or "")
-                if waiting >= 6 * BATCH_WORDS:
-                    yield pack(ids, texts, row)
-                    row += len(ids)
-                    ids, texts, waiting = [], [], 0
-        if ids:
-            yield pack(ids, texts, row)
+            ids, texts = batch.column("doc_id"), batch.column("text")
+            # About six bytes make a word.
+            filled = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+            group = filled // (6 * BATCH_WORDS)
+            cuts = np.flatnonzero(np.diff(group)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(texts)], strict=True):
+                if b > a:
+                    yield pack(ids.slice(a, b - a), texts.slice(a, b - a), row)
+                    row += int(b - a)
 
     return pieces
 
@@ -219,7 +254,7 @@ def joined(frequent: np.ndarray, counts: np.ndarray, n_words: int):
     def rows(kind: str, key, doc_row, value, n) -> pa.Table:
         size = len(n)
         columns = [
-            pa.array([kind] * size, pa.string()),
+            pa.DictionaryArray.from_arrays(np.zeros(size, np.int8), [kind]).cast(pa.string()),
             pa.array(np.zeros(size, np.int64) if key is None else key, pa.int64()),
             pa.array(np.zeros(size, np.int64) if doc_row is None else doc_row, pa.int64()),
             pa.array(np.zeros(size) if value is None else value, pa.float64()),
@@ -228,43 +263,65 @@ def joined(frequent: np.ndarray, counts: np.ndarray, n_words: int):
         return pa.table(columns, names=[f.split()[0] for f in FOUND.split(", ")])
 
     def join(table: pa.Table) -> pa.Table:
-        words, firsts, docs = [], [], []
-        doc_rows, doc_ids, doc_words = [], [], []
+        # Words are kept as listed in the packed rows; pairs refer to their places.
+        seconds, runs, firsts, first_at, doc_at, doc_rows = [], [], [], [], [], []
+        ids, id_rows, sizes = [], [], []
+        n_firsts = n_docs = 0
         for r in table.to_pylist():
-            n = r["n_pairs"]
             own = np.frombuffer(r["words"], np.uint64)
-            words.append(np.repeat(own, grown(r["runs"], len(own))))
-            firsts.append(np.frombuffer(r["firsts"], np.uint64)[grown(r["first_at"], n)])
-            docs.append(grown(r["doc_at"], n) + r["first_row"])
-            ids = np.frombuffer(r["doc_ids"], np.int64)
-            doc_ids.append(ids)
-            doc_words.append(np.frombuffer(r["doc_words"], np.int64))
-            doc_rows.append(grown(r["doc_rows"], len(ids)) + r["first_row"])
-        second, first, doc = map(np.concatenate, (words, firsts, docs))
-        out = [rows("document", *map(np.concatenate, (doc_ids, doc_rows)), None, np.concatenate(doc_words))]
-        if len(second):
-            _, at, n = np.unique(paired(first, second), return_inverse=True, return_counts=True)
-            n_pair = n[at]
-            del at
-            own, at, n = np.unique(second, return_inverse=True, return_counts=True)
-            hot_counts = lookup(frequent, counts, own)
-            known = np.where(hot_counts > 0, hot_counts, n)
-            n_second = known[at]
-            cold = hot_counts == 0
-            out.append(rows("word", own[cold].view(np.int64), None, None, n[cold]))
-            begins = first == START
-            found = (n_pair >= MIN_COUNT) & ~begins
-            n_first = lookup(frequent, counts, first)
-            share = np.log(n_second / n_words) + np.where(begins, 0.0, np.log(BACKOFF))
-            value = np.where(found, np.log(n_pair / np.maximum(n_first, 1)), share)
-            docs_here, at = np.unique(doc, return_inverse=True)
-            sums = np.bincount(at, value, len(docs_here))
-            backed_off = np.bincount(at, ~found & ~begins, len(docs_here)).astype(np.int64)
-            out.append(rows("sum", None, docs_here, sums, backed_off))
-            asked = found & (n_first == 0)
-            out.append(
-                rows("ask", first[asked].view(np.int64), doc[asked], None, np.ones(asked.sum(), np.int64))
-            )
+            seconds.append(own)
+            runs.append(grown(r["runs"], len(own)))
+            own = np.frombuffer(r["firsts"], np.uint64)
+            firsts.append(own)
+            first_at.append((grown(r["first_at"], r["n_pairs"]) + n_firsts).astype(np.int32))
+            n_firsts += len(own)
+            at = grown(r["doc_at"], r["n_pairs"])
+            here = int(at.max()) + 1 if len(at) else 0
+            doc_at.append((at + n_docs).astype(np.int32))
+            doc_rows.append(np.arange(here) + r["first_row"])
+            n_docs += here
+            own = np.frombuffer(r["doc_ids"], np.int64)
+            ids.append(own)
+            id_rows.append(grown(r["doc_rows"], len(own)) + r["first_row"])
+            sizes.append(np.frombuffer(r["doc_words"], np.int64))
+        del table
+        out = [rows("document", *map(np.concatenate, (ids, id_rows)), None, np.concatenate(sizes))]
+        seconds, runs, firsts = map(np.concatenate, (seconds, runs, firsts))
+        first_at, doc_at, doc_rows = map(np.concatenate, (first_at, doc_at, doc_rows))
+        if not len(first_at):
+            return out[0]
+        words, at = np.unique(seconds, return_inverse=True)
+        n = np.bincount(at, runs).astype(np.int64)
+        hot_counts = lookup(frequent, counts, words)
+        log_share = np.log(np.where(hot_counts > 0, hot_counts, n) / n_words)[at]
+        words, n = words[hot_counts == 0], n[hot_counts == 0]
+        out.append(rows("word", words.view(np.int64), None, None, n))
+        # A rare first word is counted here if its own pairs are; else its count is 0 so far.
+        n_first = lookup(frequent, counts, firsts)
+        n_first = np.where(n_first > 0, n_first, lookup(words, n, firsts))
+        second_at = np.repeat(np.arange(len(seconds), dtype=np.int32), runs)
+        pairs = paired(firsts[first_at], seconds[second_at])
+        order = np.argsort(pairs)
+        new = np.flatnonzero(np.concatenate([[True], np.diff(pairs[order]) != 0]))
+        del pairs
+        lengths = np.diff(np.concatenate([new, [len(order)]]))
+        n_pair = np.empty(len(order), np.int32)
+        n_pair[order] = np.repeat(lengths, lengths)
+        del order, new, lengths
+        begins = (firsts == START)[first_at]
+        found = (n_pair >= MIN_COUNT) & ~begins
+        value = np.where(begins, 0.0, np.log(BACKOFF)) + log_share[second_at]
+        del second_at
+        history = np.log(np.maximum(n_first, 1))[first_at[found]]
+        value[found] = np.log(n_pair[found]) - history
+        del n_pair, history
+        sums = np.bincount(doc_at, value, n_docs)
+        backed_off = np.bincount(doc_at[~found & ~begins], minlength=n_docs)
+        met = np.bincount(doc_at, minlength=n_docs) > 0
+        out.append(rows("sum", None, doc_rows[met], sums[met], backed_off[met]))
+        asked = np.flatnonzero(found & (n_first == 0)[first_at])
+        key, doc = firsts[first_at[asked]].view(np.int64), doc_rows[doc_at[asked]]
+        out.append(rows("ask", key, doc, None, np.ones(len(asked), np.int64)))
         return pa.concat_tables(out)
 
     return join
@@ -277,7 +334,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
     """
     own = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     frequent, counts, n_words = frequent_words(own)
-    n_parts = max(tasks(docs.sparkSession), -(-n_words // PARTITION_PAIRS))
+    n_parts = max(1, -(-n_words // PARTITION_PAIRS))
     pairs = own.mapInArrow(packed(n_parts, frequent), PACKED)
     found = pairs.groupBy("part").applyInArrow(joined(frequent, counts, n_words), FOUND)
     found = cut(found)
