@@ -13,7 +13,7 @@ from creditledger.llm.common import cut, read
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents with letters of which most words are in one language."""
+    """Keep documents with letters, unless no language has a fair share of the words."""
     return langid.keep_known(docs)
 
 

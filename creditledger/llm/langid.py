@@ -49,7 +49,8 @@ BATCH_CHARS = 1 << 19
 SEED = 7
 #: Odd multipliers that mix hashes.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-MIN_SHARE = 0.5
+#: Texts in which no language has this share of the words are in none.
+MIN_SHARE = 0.3
 
 
 @dataclass
@@ -347,7 +348,7 @@ def identify(
 
 
 def keep_known(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """The rows of ``docs`` with letters, mostly in one language."""
+    """The rows of ``docs`` with letters, in which a language has a share of ``min_share``."""
     rated = identify(docs)
     sure = (F.col("_lang.lang_pred") != "und") & (F.col("_lang.score") >= min_share)
     return rated.filter(sure).drop("_lang")
