@@ -39,8 +39,8 @@ from .common import cut, read
 BACKOFF = 0.4
 MIN_COUNT = 2
 #: Pairs that a partition holds on average, and words that are packed at once.
-PARTITION_PAIRS = 4_000_000
-BATCH_WORDS = 1_000_000
+PARTITION_PAIRS = 2_500_000
+BATCH_WORDS = 700_000
 #: Words of at least this share are frequent; the sample that they are looked up in.
 FREQUENT = 0.00001
 SAMPLE_DOCS = 4000
