@@ -39,9 +39,11 @@ FUNCTION_WORDS = (
 ).split()
 START_PRIOR = 0.9
 #: Starting rates of the votes bad, none and good of any rule, on good and on bad documents.
-START_RATES_GOOD = [0.05, 0.25, 0.7]
-START_RATES_BAD = [0.4, 0.3, 0.3]
-SMOOTHING = 1.0
+START_RATES_GOOD = [0.01, 0.15, 0.84]
+START_RATES_BAD = [0.25, 0.15, 0.6]
+#: Weight of the starting values against the documents, in documents: estimates from few
+#: documents stay near them, and no rate becomes zero.
+START_DOCS = 5.0
 ITERATIONS = 25
 KEEP_AT = 0.5
 
@@ -197,8 +199,8 @@ def label_model(patterns: DataFrame, n_rules: int, iterations: int = ITERATIONS)
     """Expectation-maximisation over (votes, n): one row ``model`` of prior and vote rates.
 
     All patterns, at most 3 ** n_rules, are gathered into one array, in a fixed order so that
-    sums repeat exactly, and the iterations fold over it inside one expression.  Rates are
-    smoothed by ``SMOOTHING`` documents a vote.
+    sums repeat exactly, and the iterations fold over it inside one expression.  The starting
+    values count as ``START_DOCS`` further documents of each kind.
     """
 
     def total(rows: Column, value) -> Column:
@@ -212,17 +214,22 @@ def label_model(patterns: DataFrame, n_rules: int, iterations: int = ITERATIONS)
         def update(rows: Column) -> Column:
             good, bad = total(rows, lambda r: r["g"]), total(rows, lambda r: r["b"])
 
-            def rates(side: str, whole: Column) -> Column:
+            def rates(side: str, whole: Column, start: list[float]) -> Column:
+                begins = F.array(*[F.lit(x * START_DOCS) for x in start])
+
                 def rate(k: Column) -> Column:
                     cast = F.filter(rows, lambda r: F.array_contains(r["votes"], k))
-                    return (total(cast, lambda r: r[side]) + SMOOTHING) / (whole + 3 * SMOOTHING)
+                    own = F.get(begins, F.pmod(k, F.lit(3)))
+                    return (total(cast, lambda r: r[side]) + own) / (whole + START_DOCS)
 
                 places = F.sequence(F.lit(0), F.lit(3 * n_rules - 1))
                 return F.transform(places, rate)
 
-            prior = (good + SMOOTHING) / (good + bad + 2 * SMOOTHING)
+            prior = (good + START_PRIOR * START_DOCS) / (good + bad + START_DOCS)
             return F.struct(
-                prior.alias("prior"), rates("g", good).alias("good"), rates("b", bad).alias("bad")
+                prior.alias("prior"),
+                rates("g", good, START_RATES_GOOD).alias("good"),
+                rates("b", bad, START_RATES_BAD).alias("bad"),
             )
 
         return let(F.transform(rows, rated), update)
@@ -293,7 +300,8 @@ def _quoted(words) -> str:
 
 def _iteration(t: int, n_places: int) -> str:
     """One round of the label model over the table ``patterns``, from model t - 1 to model t."""
-    s = SMOOTHING
+    s = START_DOCS
+    good, bad = ([s * x for x in rates] for rates in (START_RATES_GOOD, START_RATES_BAD))
     return f"""
 ), e{t} AS MATERIALIZED (
   SELECT votes, n, n / (1 + exp(-(ln(prior / (1 - prior))
@@ -303,9 +311,9 @@ def _iteration(t: int, n_places: int) -> str:
   SELECT k, sum(g) AS g, sum(n - g) AS b FROM (SELECT unnest(votes) AS k, n, g FROM e{t}) GROUP BY k
 ), t{t} AS MATERIALIZED (SELECT coalesce(sum(g), 0) AS g, coalesce(sum(n - g), 0) AS b FROM e{t}
 ), m{t} AS MATERIALIZED (
-  SELECT any_value((t.g + {s}) / (t.g + t.b + 2 * {s})) AS prior,
-         list((coalesce(x.g, 0) + {s}) / (t.g + 3 * {s}) ORDER BY p.k) AS good,
-         list((coalesce(x.b, 0) + {s}) / (t.b + 3 * {s}) ORDER BY p.k) AS bad
+  SELECT any_value((t.g + {START_PRIOR * s}) / (t.g + t.b + {s})) AS prior,
+         list((coalesce(x.g, 0) + {good}[p.k % 3 + 1]) / (t.g + {s}) ORDER BY p.k) AS good,
+         list((coalesce(x.b, 0) + {bad}[p.k % 3 + 1]) / (t.b + {s}) ORDER BY p.k) AS bad
   FROM range({n_places}) AS p(k) LEFT JOIN s{t} AS x ON x.k = p.k CROSS JOIN t{t} AS t"""
 
 

@@ -51,14 +51,18 @@ def model_by_hand(patterns, n_rules):
         odds = math.log(prior / (1 - prior)) + sum(math.log(good[k] / bad[k]) for k in votes)
         return 1 / (1 + math.exp(-odds))
 
-    s = quality.SMOOTHING
+    s = quality.START_DOCS
+    starts = [[s * x for x in r] * n_rules for r in (quality.START_RATES_GOOD, quality.START_RATES_BAD)]
     for _ in range(quality.ITERATIONS):
         share = [(votes, n, posterior(votes)) for votes, n in patterns]
         g = sum(n * q for _, n, q in share)
         b = sum(n * (1 - q) for _, n, q in share)
-        new_good = [(sum(n * q for v, n, q in share if k in v) + s) / (g + 3 * s) for k in range(3 * n_rules)]
-        new_bad = [(sum(n * (1 - q) for v, n, q in share if k in v) + s) / (b + 3 * s) for k in range(3 * n_rules)]
-        prior, good, bad = (g + s) / (g + b + 2 * s), new_good, new_bad
+        places = range(3 * n_rules)
+        sums = [(sum(n * q for v, n, q in share if k in v) + starts[0][k]) for k in places]
+        new_good = [x / (g + s) for x in sums]
+        sums = [(sum(n * (1 - q) for v, n, q in share if k in v) + starts[1][k]) for k in places]
+        new_bad = [x / (b + s) for x in sums]
+        prior, good, bad = (g + quality.START_PRIOR * s) / (g + b + s), new_good, new_bad
     return prior, good, bad
 
 
