@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import read
 
 Q = 10
-WINDOW, STRIDE = 160, 80
+WINDOW, STRIDE = 100, 50
 EDIT_RATE = 0.08
 BLOCK_CHARS = 16 << 20
 PIECE_CHARS = 1 << 20
