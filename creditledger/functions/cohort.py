@@ -36,10 +36,10 @@ def named_years(cohort: Column, match: str) -> Column:
 
     With ``contains`` these are all its substrings that read as an integer, so
     an equality join on the year finds exactly the cohorts whose text contains
-    it.  With ``token`` only whole numbers count.
+    it.  With ``token`` only whole numbers count; the dash of a range is no sign.
     """
     if match == "token":
-        return F.array_distinct(F.regexp_extract_all(cohort, F.lit(r"-?[0-9]+"), F.lit(0)))
+        return F.array_distinct(F.regexp_extract_all(cohort, F.lit(r"[0-9]+"), F.lit(0)))
     starts = F.when(F.length(cohort) > 0, F.sequence(F.lit(1), F.length(cohort)))
     lengths = F.sequence(F.lit(1), F.lit(LONGEST_YEAR_TEXT))
     pieces = F.flatten(

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.text import mark_above_zero, subject_key, text_after, text_before
 from ..rules import DEFAULT_RULES, Rules, key, keys
 from .joins import lookup_join
-from .keyed import update_from
 
 DUAL_COUNTERS = (
     "primaryComplete",
@@ -49,7 +48,7 @@ def _credits(condition: Column, credits: str) -> Column:
     return F.coalesce(amount, F.lit(0))
 
 
-def _semesters(credits: str, rules: Rules) -> Column:
+def _semesters(credits: Column | str, rules: Rules) -> Column:
     return F.floor(F.sum(credits) / rules.credits_per_semester).cast("bigint")
 
 
@@ -76,10 +75,15 @@ def relevant_courses(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool
     return _flag_required(rows, reqs, rules, small).filter(needed).drop("required")
 
 
-def required_courses(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool) -> DataFrame:
-    """Only courses that some cohort requires, so few per student however many were taken."""
+def ledger_courses(rows: DataFrame, reqs: DataFrame, rules: Rules, small: bool) -> DataFrame:
+    """Only courses that some cohort requires, and the donor, so few per student.
+
+    ``required`` tells the former from a donor that no cohort requires.
+    """
     flagged = _flag_required(rows, reqs, rules, small)
-    return flagged.filter(F.col("required").isNotNull()).drop("required")
+    required = F.col("required").isNotNull()
+    kept = flagged.withColumn("required", required)
+    return kept.filter(F.col("required") | (F.col("subj_key") == key(rules.donor)))
 
 
 def course_sums(transcript: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -143,13 +147,41 @@ def donor_semesters(sums: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     )
 
 
-def merge_counts(ledger: DataFrame, counts: DataFrame) -> DataFrame:
-    return update_from(
-        ledger,
-        counts,
-        ["studentID", "subj_key"],
-        assign={"semsComplete": "semsComp", "semsInProgress": "semsInp"},
-        multi_match=None,
+def student_semesters(sums: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """One row per student: counted semesters by subject, and the donor's.
+
+    Counts and donor come from one grouping, on rows that move to their student
+    once.  ``sums`` holds required and donor courses only, which bounds the map.
+    """
+    counted = (F.col("countedRows") > 0) & F.col("subject").isNotNull()
+    is_donor = F.col("subj_key") == key(rules.donor)
+    per_subject = sums.groupBy("studentID", "subj_key").agg(
+        F.count(F.when(counted & F.col("required"), 1)).alias("counts"),
+        *[
+            _semesters(F.when(counted, F.col(c)), rules).alias(c)
+            for c in ("countedDone", "countedOpen")
+        ],
+        *[_semesters(c, rules).alias(c) for c in ("anyDone", "anyOpen")],
+    )
+    of_subject = F.struct(F.col("countedDone").alias("semsComp"), F.col("countedOpen").alias("semsInp"))
+    entry = F.when(F.col("counts") > 0, F.struct("subj_key", of_subject))
+    return per_subject.groupBy("studentID").agg(
+        F.map_from_entries(F.collect_list(entry)).alias("counts"),
+        F.max(F.when(is_donor, F.col("anyDone"))).alias("donorDone"),
+        F.max(F.when(is_donor, F.col("anyOpen"))).alias("donorOpen"),
+    )
+
+
+def count_semesters(ledger: DataFrame, semesters: DataFrame) -> DataFrame:
+    """The ledger with its counts, and the student's donor semesters beside them."""
+    found = F.try_element_at("counts", F.col("subj_key"))
+    joined = ledger.join(semesters, "studentID", "left")
+    changed = {
+        "semsComplete": F.coalesce(found["semsComp"], F.col("semsComplete")),
+        "semsInProgress": F.coalesce(found["semsInp"], F.col("semsInProgress")),
+    }
+    return joined.select(
+        *[changed.get(c, F.col(c)).alias(c) for c in ledger.columns], "donorDone", "donorOpen"
     )
 
 

@@ -11,10 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..rules import DEFAULT_RULES, Rules, key, keys
-from .joins import spread_left_join
+from .joins import spread_join
 from .keyed import one_row_per_key, update_from
 
-DUAL_SALTS = 256
 NEEDS = ("primaryReqd", "primaryNeed", "secondaryNeed", "hasGroup")
 
 
@@ -26,8 +25,15 @@ def needs_by_student(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
     """One row per student: requirement and open need of each ledger subject.
 
     The map has one entry per required subject, so its size does not grow with
-    the number of courses.
+    the number of courses.  Where a subject has two ledger rows, the one with the
+    larger requirement counts.
     """
+    if rules.duplicate_seed == "keep":
+        own = F.struct("semsReqdTotal", "semsComplete", "semsInProgress")
+        ledger = (
+            ledger.groupBy("studentID", "subj_key").agg(F.max(own).alias("own"))
+            .select("studentID", "subj_key", "own.*")
+        )
     entry = F.struct(
         "subj_key",
         F.struct(
@@ -42,14 +48,14 @@ def needs_by_student(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
 
 
 def measure_needs(
-    dual: DataFrame, ledger: DataFrame, rules: Rules = DEFAULT_RULES, hot: list | None = None
+    dual: DataFrame, ledger: DataFrame, rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
     """Give each dual course the needs of its two subjects, NULL without a ledger row.
 
-    ``hot`` lists students whose dual courses must be split over several tasks.
+    The courses of students who have very many are split over several tasks.
     """
     needs = needs_by_student(ledger, rules)
-    rows = spread_left_join(dual, needs, "studentID", hot or [], ["subj_key"], DUAL_SALTS)
+    rows = spread_join(dual, needs, ["studentID"], F.xxhash64("subj_key"))
     primary = F.try_element_at("needs", F.col("primary_key"))
     secondary = F.try_element_at("needs", F.col("secondary_key"))
     return rows.select(

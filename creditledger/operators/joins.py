@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.cohort import LONGEST_YEAR_TEXT
 
 BROADCAST_BYTES = 64 << 20
-LOOKUP_SALTS = 64
-HOT_ROWS = 100_000
-HOT_KEYS = 1_000
+#: Parts that an average partition's share of a hot key is cut into.  Parts are dealt by hash;
+#: with so many, no task gets twice the mean.
+PARTS = 16
 
 
 def requirements_are_small(reqs: DataFrame) -> bool:
@@ -25,73 +25,67 @@ def requirements_are_small(reqs: DataFrame) -> bool:
     return (bound or 0) <= BROADCAST_BYTES
 
 
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    small: bool,
-    spread_by: list[str],
-    how: str = "inner",
-) -> DataFrame:
-    """Join on few distinct keys (grade, year, semester, subject).
-
-    A small lookup is broadcast.  A large one cannot be, and hashing on so few
-    keys would leave most tasks idle, so fact rows are spread over salts and
-    the lookup is repeated once per salt.
-    """
-    if small:
-        return facts.join(F.broadcast(lookup), on, how)
-    salts = F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(LOOKUP_SALTS)).cast("int")
-    copies = lookup.withColumn("_salt", F.explode(salts))
-    return facts.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+def partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(facts: DataFrame, key: str, at_least: int | None = None) -> list:
-    """The keys with the most rows, where one task would get too many.
+def hot_keys(facts: DataFrame, on: list[str]) -> DataFrame:
+    """Keys with more rows than an average partition, and into how many parts they go.
 
-    At most ``HOT_KEYS`` come back to the driver.  That is enough: a key outside
-    that list holds less than one part in ``HOT_KEYS`` of all rows.
+    All of them: as each has more than one partition's share of the rows, there
+    are fewer than partitions, which bounds the table.  Null keys are keys too.
     """
-    floor = HOT_ROWS if at_least is None else at_least
-    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    top = counts.filter(F.col("rows") > floor).orderBy(F.desc("rows")).limit(HOT_KEYS)
-    return [row[0] for row in top.select(key).collect()]
+    n = partitions(facts)
+    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
+    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).scalar()
+    parts = F.ceil(F.col("rows") * n * PARTS / total).cast("int")
+    return counts.filter(F.col("rows") * n > total).select(
+        F.struct(*on).alias("_hot"), parts.alias("_parts")
+    )
 
 
-def spread_left_join(
-    facts: DataFrame, lookup: DataFrame, key: str, hot: list, spread_by: list[str], salts: int
+def spread_join(
+    facts: DataFrame, lookup: DataFrame, on: list[str], spread: Column, how: str = "left"
 ) -> DataFrame:
-    """Left join on ``key`` that splits the fact rows of hot keys over salts.
-
-    ``lookup`` has one row per key; only the rows of hot keys are repeated.  The
-    salted key is a single struct so that a side already hashed on ``key`` alone
-    does not count as co-partitioned, which would undo the salting.
+    """Join on ``on`` that splits the fact rows of every hot key over several tasks.
+
+    ``lookup`` is repeated for hot keys only, once for each part.  ``spread``
+    deals the rows of a key: a hash of columns that tell its rows apart, or the
+    input partition where rows may be plain copies; both are the same again when
+    a lost task is repeated.  The salted key is one struct, so that a side
+    already hashed on the key alone does not count as co-partitioned.  A null in
+    the key matches nothing, but its rows are spread like others.
     """
-    if not hot:
-        return facts.join(lookup, key, "left")
-    is_hot = F.col(key).isin(hot)
+    hot = F.broadcast(hot_keys(facts, on))
 
-    def slot(salt: Column) -> Column:
-        return F.struct(F.col(key), salt.cast("int").alias("salt")).alias("_slot")
+    def salted(rows: DataFrame, salt: Column) -> DataFrame:
+        own = F.struct(*on)
+        parts = F.coalesce("_parts", F.lit(1))
+        marked = rows.join(hot, own.eqNullSafe(F.col("_hot")), "left").withColumn("_parts", parts)
+        placed = marked.withColumn("_salt", salt)
+        slot = F.struct(*[F.col(c) for c in on], F.col("_salt").cast("int").alias("salt"))
+        return placed.withColumn("_slot", slot).drop("_hot", "_parts", "_salt")
 
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(0)
-    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = facts.select("*", slot(salt))
-    copies = lookup.withColumn("_salt", F.explode(every)).select("*", slot(F.col("_salt")))
-    return left.join(copies.drop(key, "_salt"), "_slot", "left").drop("_slot")
+    known = lookup.dropna(subset=on)
+    left = salted(facts, F.pmod(spread, F.col("_parts")))
+    every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    return left.join(salted(known, every).drop(*on), "_slot", how).drop("_slot")
 
 
-def split_left_join(facts: DataFrame, lookup: DataFrame, key: str, hot: list) -> DataFrame:
-    """Left join on ``key`` that leaves the fact rows of hot keys where they are.
+def lookup_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    small: bool,
+    spread_by: list[str],
+    how: str = "inner",
+) -> DataFrame:
+    """Join on few distinct keys (grade, year, semester, subject).
 
-    For facts that may be plain copies of each other, which no salt derived from
-    the row could spread.  ``lookup`` has one row per key, so its part for the hot
-    keys is at most ``HOT_KEYS`` rows and is broadcast.
+    A small lookup is broadcast.  A large one cannot be, and hashing on so few
+    keys would leave most tasks idle, so fact rows are spread.
     """
-    if not hot:
-        return facts.join(lookup, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    stay = facts.filter(is_hot).join(F.broadcast(lookup.filter(is_hot)), key, "left")
-    move = facts.filter(~is_hot).join(lookup.filter(~is_hot), key, "left")
-    return stay.unionByName(move)
+    if small:
+        return facts.join(F.broadcast(lookup), on, how)
+    joined = spread_join(facts, lookup, on, F.xxhash64(*spread_by), how)
+    return joined.select(*on, *[c for c in joined.columns if c not in on])

@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from .joins import spread_join
+
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
-def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Return ``df`` unchanged, or raise when two rows share a key."""
-    found = duplicate_keys(df, keys).limit(3).collect()
-    if found:
-        raise ValueError(f"duplicate keys {keys}: {[tuple(r)[: len(keys)] for r in found]}")
-    return df
+def refusing(df: DataFrame, problem: Column, message: str) -> DataFrame:
+    """``df``, or a failing query where ``problem`` holds for a row.
+
+    The check is a filter: it stays whichever columns are read, and if none are.
+    """
+    passes = F.when(problem, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
+    return df.filter(passes)
 
 
-def refuse(problem: Column, message: str, value: Column) -> Column:
-    """``value``, or a failing query on rows where ``problem`` holds."""
-    return F.when(problem, F.raise_error(F.lit(message))).otherwise(value)
+def assert_unique(df: DataFrame, keys: list[str], message: str | None = None) -> DataFrame:
+    """``df`` unchanged, or a failing query when two rows share a key."""
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    counted = df.withColumn("_copies", copies)
+    text = message or f"duplicate keys {tuple(keys)}"
+    return refusing(counted, F.col("_copies") > 1, text).drop("_copies")
 
 
 def one_row_per_key(
@@ -33,21 +39,16 @@ def one_row_per_key(
     if multi_match == "min":
         return source.groupBy(*on).agg(least).select(*on, "least.*")
     if multi_match == "error":
-        rows = source.groupBy(*on).agg(least, F.count(F.lit(1)).alias("copies"))
-        message = f"several source rows match one {tuple(on)}"
-        checked = refuse(F.col("copies") > 1, message, F.col("least")).alias("least")
-        return rows.select(*on, checked).select(*on, "least.*")
+        return assert_unique(source, on, f"several source rows match one {tuple(on)}")
     raise ValueError(f"unknown multi_match {multi_match!r}")
 
 
 def over_matches(value: Column, multi_match: str, group: WindowSpec) -> Column:
-    """The same policies over a window; ``value`` is NULL on rows that do not match."""
-    if multi_match == "sum":
-        return F.sum(value).over(group)
-    if multi_match == "min":
-        return F.min(value).over(group)
-    copies = F.count(value).over(group)
-    return refuse(copies > 1, "several source rows match one group row", F.max(value).over(group))
+    """The same policies over a window; ``value`` is NULL on rows that do not match.
+
+    With ``error`` the caller has refused groups with several matches.
+    """
+    return F.sum(value).over(group) if multi_match == "sum" else F.min(value).over(group)
 
 
 def update_from(
@@ -57,11 +58,13 @@ def update_from(
     assign: dict[str, str] | None = None,
     add: dict[str, str] | None = None,
     multi_match: str | None = "error",
+    spread: Column | None = None,
 ) -> DataFrame:
     """Change columns of matching target rows; keep the others, never insert.
 
     ``assign`` replaces target columns by source columns, ``add`` increments
     them.  ``multi_match=None`` states that ``source`` has one row per key.
+    ``spread`` deals the target rows of a key that has very many of them.
     """
     assign, add = assign or {}, add or {}
     values = list(dict.fromkeys([*assign.values(), *add.values()]))
@@ -77,7 +80,11 @@ def update_from(
         name: F.when(matched, F.col(name) + F.col(f"_from.{value}")).otherwise(F.col(name))
         for name, value in add.items()
     }
-    return target.join(source, on, "left").select(
+    if spread is None:
+        joined = target.join(source, on, "left")
+    else:
+        joined = spread_join(target, source, on, spread)
+    return joined.select(
         [
             changed[c].cast(types[c]).alias(c) if c in changed else F.col(c)
             for c in target.columns

@@ -14,7 +14,7 @@ from ..functions.cohort import (
 from ..functions.text import subject_key
 from ..rules import DEFAULT_RULES, Rules, keys
 from .joins import lookup_join, requirements_are_small
-from .keyed import refuse, update_from
+from .keyed import refusing
 
 ANY_COHORT = "any"
 
@@ -39,26 +39,15 @@ def cohort_rows(reqs: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     )
 
 
-def listing(students: DataFrame) -> tuple[bool, bool]:
-    """Whether every student has one row, and whether every student has one grade."""
-    known, rows = F.count("grade"), F.count(F.lit(1))
-    per_student = students.groupBy("studentID").agg(
-        rows.alias("rows"),
-        (
-            F.min("grade").eqNullSafe(F.max("grade")) & ((known == 0) | (known == rows))
-        ).alias("one_grade"),
-    )
-    most, one_grade = per_student.agg(F.max("rows"), F.bool_and("one_grade")).first()
-    return most in (None, 1), one_grade is not False
-
-
-def distinct_students(students: DataFrame) -> DataFrame:
-    """Distinct students hashed on studentID, ready for the per-student steps.
+def by_student(students: DataFrame) -> DataFrame:
+    """One row per student and grade, hashed on studentID.
 
-    Copies collapse before they move, so a student listed very often costs one
-    row in the second shuffle.
+    Grades are gathered as sets before they move, so that a student listed very
+    often, or with several grades, is one row for each map task.
     """
-    return students.select("studentID", "grade").distinct().repartition("studentID")
+    known = students.filter(F.col("studentID").isNotNull())
+    sets = known.groupBy("studentID").agg(F.collect_set(F.struct("grade")).alias("grades"))
+    return sets.select("studentID", F.inline("grades"))
 
 
 def _full_rows(reqs: DataFrame, rules: Rules) -> DataFrame:
@@ -66,14 +55,18 @@ def _full_rows(reqs: DataFrame, rules: Rules) -> DataFrame:
     return full.filter(~F.col("subj_key").isin(keys(rules.seed_excluded)))
 
 
-def _checked_total(least: Column, most: Column, rules: Rules) -> Column:
+def _seeded(rows: DataFrame, totals: Column, rules: Rules) -> DataFrame:
+    """Settle the different full requirements ``totals`` of a ledger row: one row each, or one."""
+    if rules.duplicate_seed == "error":
+        message = "a subject has two full requirements for one student"
+        rows = refusing(rows, F.size(totals) > 1, message)
     if rules.duplicate_seed == "max":
-        return most
-    differ = ~least.eqNullSafe(most)
-    return refuse(differ, "a subject has two full requirements for one student", most)
+        totals = F.array(F.array_max(totals))
+    each = rows.withColumn("_total", F.explode(totals))
+    return each.withColumn("semsReqdTotal", F.col("_total.semsReqd").cast("int")).drop("_total")
 
 
-def _ledger_rows(rows: DataFrame, total: Column, found: dict[str, Column]) -> DataFrame:
+def _ledger_rows(rows: DataFrame, found: dict[str, Column]) -> DataFrame:
     """Ledger rows without semesters; ``found`` fills in the current requirement."""
     return rows.select(
         "studentID",
@@ -84,15 +77,10 @@ def _ledger_rows(rows: DataFrame, total: Column, found: dict[str, Column]) -> Da
         F.lit(0).cast("bigint").alias("semsInProgress"),
         found.get("semsReqdGrade", F.lit(0)).alias("semsReqdGrade"),
         found.get("semsClose", F.lit(0)).alias("semsClose"),
-        total.cast("int").alias("semsReqdTotal"),
+        "semsReqdTotal",
     )
 
 
-def _graduating(students: DataFrame, curr_grad_year: int) -> DataFrame:
-    year = expected_grad_year(F.col("grade"), curr_grad_year)
-    return students.select("studentID", year.alias("year"))
-
-
 def seed_ledger(
     students: DataFrame,
     reqs: DataFrame,
@@ -106,17 +94,16 @@ def seed_ledger(
         .groupBy("year", "subj_key", "semsReqd")
         .agg(F.min("subject").alias("subject"))
     )
-    due = _graduating(students, curr_grad_year)
+    year = expected_grad_year(F.col("grade"), curr_grad_year)
+    due = students.select("studentID", year.alias("year"))
     rows = (
         lookup_join(due, full, ["year"], _small(reqs, small), ["studentID"])
         .groupBy("studentID", "subj_key")
         .agg(
-            F.min("subject").alias("subject"),
-            F.min("semsReqd").alias("least"),
-            F.max("semsReqd").alias("most"),
+            F.min("subject").alias("subject"), F.collect_set(F.struct("semsReqd")).alias("totals")
         )
     )
-    return _ledger_rows(rows, _checked_total(F.col("least"), F.col("most"), rules), {})
+    return _ledger_rows(_seeded(rows, F.col("totals"), rules), {})
 
 
 def _current_rows(reqs: DataFrame, rules: Rules) -> DataFrame:
@@ -157,21 +144,7 @@ def requirements_by_grade(
     return found.select("studentID", "semester", "subject", "subj_key", "semsReqd", "semsClose")
 
 
-def attach_requirements(ledger: DataFrame, by_grade: DataFrame) -> DataFrame:
-    """Copy the current requirement into the ledger.
-
-    Where several rows match, the least (semester, semsReqd, semsClose) counts.
-    """
-    return update_from(
-        ledger,
-        by_grade,
-        ["studentID", "subj_key"],
-        assign={"semester": "semester", "semsReqdGrade": "semsReqd", "semsClose": "semsClose"},
-        multi_match="min",
-    )
-
-
-def required_ledger(
+def ledger_requirements(
     students: DataFrame,
     reqs: DataFrame,
     curr_grad_year: int,
@@ -179,43 +152,49 @@ def required_ledger(
     rules: Rules = DEFAULT_RULES,
     small: bool | None = None,
 ) -> DataFrame:
-    """Ledger rows with their current requirement, for students with one row each.
+    """Ledger rows with their current requirement; 0 and semester -1 where there is none.
 
-    The graduation year decides both the full and the current requirement, so
-    they are matched per year among the requirements.  Each student then needs
-    one lookup, and no grouping since no other row of the student can add to it.
+    A student's grades ask for full requirements by year and for current ones by
+    semester and cohort.  Both kinds are one lookup on one key, so that a student
+    moves once and the answers are grouped where they arise.
     """
-    least = F.min(F.struct("semester", "semsReqd", "semsClose")).alias("now")
-    current = (
-        _current_rows(reqs, rules)
-        .groupBy("semester", "cohort", "subj_key")
-        .agg(least)
-        .withColumnRenamed("semester", "at")
+    year = F.concat(F.lit("full "), "year").alias("ask")
+    total = F.struct("semsReqd").alias("total")
+    full = _full_rows(reqs, rules).select(
+        year, "subj_key", "subject", total, F.lit(None).alias("now")
     )
-    grade = F.lit(curr_grad_year) + 12 - F.col("year").try_cast("int")
-    template = (
-        _full_rows(reqs, rules)
-        .groupBy("year", "subj_key")
+    now = F.struct("semester", "semsReqd", "semsClose").alias("now")
+    at = F.concat(F.lit("now "), F.col("semester").cast("string"), F.lit(" "), "cohort")
+    current = _current_rows(reqs, rules).select(
+        at.alias("ask"), "subj_key", F.lit(None).alias("subject"), F.lit(None).alias("total"), now
+    )
+    lookup = full.unionByName(current)
+    grade = F.col("grade")
+    own_year = expected_grad_year(grade, curr_grad_year)
+    cohort = F.when(has_dated_semester(grade), own_year).otherwise(ANY_COHORT)
+    semester = current_semester(grade, mid_year).cast("string")
+    asks = F.array(
+        F.concat(F.lit("full "), own_year), F.concat(F.lit("now "), semester, F.lit(" "), cohort)
+    )
+    asking = students.select("studentID", F.explode(asks).alias("ask"))
+    rows = (
+        lookup_join(asking, lookup, ["ask"], _small(reqs, small), ["studentID"])
+        .groupBy("studentID", "subj_key")
         .agg(
             F.min("subject").alias("subject"),
-            F.min("semsReqd").alias("least"),
-            F.max("semsReqd").alias("most"),
+            F.collect_set("total").alias("totals"),
+            F.min("now").alias("now"),
+            F.max("now").alias("last"),
         )
-        .select(
-            "*",
-            current_semester(grade, mid_year).alias("at"),
-            F.when(has_dated_semester(grade), F.col("year")).otherwise(ANY_COHORT).alias("cohort"),
-        )
-        .join(current, ["at", "cohort", "subj_key"], "left")
-        .select("year", "subj_key", "subject", "least", "most", "now")
-    )
-    rows = lookup_join(
-        _graduating(students, curr_grad_year), template, ["year"], _small(reqs, small), ["studentID"]
+        .filter(F.size("totals") > 0)
     )
-    now = F.col("now")
-    found = {
-        "semester": F.coalesce(now["semester"], F.lit(-1)),
-        "semsReqdGrade": F.when(now.isNotNull(), now["semsReqd"]).otherwise(0),
-        "semsClose": F.when(now.isNotNull(), now["semsClose"]).otherwise(0),
+    if rules.current_match == "error":
+        message = "several current requirements match one ledger row"
+        rows = refusing(rows, F.col("now") != F.col("last"), message)
+    found = F.col("now")
+    current = {
+        "semester": F.coalesce(found["semester"], F.lit(-1)),
+        "semsReqdGrade": F.when(found.isNotNull(), found["semsReqd"]).otherwise(0),
+        "semsClose": F.when(found.isNotNull(), found["semsClose"]).otherwise(0),
     }
-    return _ledger_rows(rows, _checked_total(F.col("least"), F.col("most"), rules), found)
+    return _ledger_rows(_seeded(rows, F.col("totals"), rules), current)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cohort import grad_year_of_semester
 from ..rules import DEFAULT_RULES, Rules, keys
-from .joins import lookup_join, requirements_are_small, split_left_join
+from .joins import lookup_join, requirements_are_small, spread_join
 from .keyed import update_from
 from .requirements import cohort_rows
 
@@ -88,10 +88,6 @@ def _final(rows: DataFrame) -> DataFrame:
     )
 
 
-def final_status(worst: DataFrame, total: DataFrame) -> DataFrame:
-    return _final(worst.join(total, "studentID"))
-
-
 def final_status_of(
     ledger: DataFrame,
     reqs: DataFrame,
@@ -99,7 +95,7 @@ def final_status_of(
     rules: Rules = DEFAULT_RULES,
     small: bool | None = None,
 ) -> DataFrame:
-    """The same from a graded ledger, without joining two aggregates of it."""
+    """Worst subject and graded total of each student, and the lesser of the two."""
     return _final(total_status(student_standing(ledger), reqs, curr_grad_year, rules, small))
 
 
@@ -114,16 +110,14 @@ def overall_status(ledger: DataFrame, final: DataFrame) -> DataFrame:
     )
 
 
-def publish_student_status(
-    status: DataFrame, final: DataFrame, hot: list | None = None
-) -> DataFrame:
+def publish_student_status(status: DataFrame, final: DataFrame) -> DataFrame:
     """New labels for students with a final status; other rows stay, none is added.
 
-    ``hot`` lists students with very many status rows.
+    Students with very many status rows are split over several tasks.
     """
     least = final.groupBy("studentID").agg(F.min("finalStatus").alias("finalStatus"))
     labels = least.select("studentID", status_label(F.col("finalStatus")).alias("label"))
-    return split_left_join(status, labels, "studentID", hot or []).select(
+    return spread_join(status, labels, ["studentID"], F.spark_partition_id()).select(
         "studentID", F.coalesce("label", "gradStatus").alias("gradStatus")
     )
 

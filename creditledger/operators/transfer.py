@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..rules import DEFAULT_RULES, Rules, key, keys
-from .keyed import over_matches
+from .keyed import over_matches, refusing
 
 
 def _student() -> WindowSpec:
@@ -46,26 +46,23 @@ def _with_changed(rows: DataFrame, ledger: DataFrame, changed: dict[str, Column]
 # --- donor to receiver, rest to a third subject ---------------------------------
 
 
-def _with_transfer(ledger: DataFrame, donor: DataFrame, rules: Rules) -> DataFrame:
+def _with_transfer(ledger: DataFrame, rules: Rules) -> DataFrame:
     """Add what the student's donor gives to the receiver and what is left.
 
     ``short`` is NULL without a receiver row: then nothing is transferred and
     all of it is rest.  The in-progress need is what completed semesters leave.
     """
     short = F.max(F.when(_is(rules.receiver), F.col("semsReqdTotal") - _taken())).over(_student())
-    given = donor.select(
-        "studentID", F.col("semsComp").alias("donorDone"), F.col("semsInp").alias("donorOpen")
-    )
-    rows = ledger.join(given, "studentID", "left").withColumn("short", short)
+    rows = ledger.withColumn("short", short)
     need, known = F.col("short"), F.col("short").isNotNull()
     done = F.when(known, F.least(_over(need), F.col("donorDone"))).otherwise(0)
     open_ = F.when(known, F.least(_over(need - done), F.col("donorOpen"))).otherwise(0)
     return rows.withColumns({"transferComplete": done, "transferInProgress": open_})
 
 
-def donor_transfer(ledger: DataFrame, donor: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def donor_transfer(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Per student with a donor and a receiver row: semesters transferred and left."""
-    rows = _with_transfer(ledger, donor, rules)
+    rows = _with_transfer(ledger, rules)
     return rows.filter(_is(rules.receiver) & F.col("donorDone").isNotNull()).select(
         "studentID",
         "transferComplete",
@@ -75,7 +72,11 @@ def donor_transfer(ledger: DataFrame, donor: DataFrame, rules: Rules = DEFAULT_R
     )
 
 
-def apply_donor(ledger: DataFrame, donor: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def apply_donor(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Post the transfer and the rest.
+
+    ``ledger`` has ``donorDone`` and ``donorOpen`` beside it, NULL without a donor.
+    """
     gives = F.col("donorDone").isNotNull()
 
     def posted(column: str, transfer: str, available: str) -> Column:
@@ -89,7 +90,23 @@ def apply_donor(ledger: DataFrame, donor: DataFrame, rules: Rules = DEFAULT_RULE
         "semsComplete": posted("semsComplete", "transferComplete", "donorDone"),
         "semsInProgress": posted("semsInProgress", "transferInProgress", "donorOpen"),
     }
-    return _with_changed(_with_transfer(ledger, donor, rules), ledger, changed)
+    own = ledger.drop("donorDone", "donorOpen")
+    return _with_changed(_with_transfer(ledger, rules), own, changed)
+
+
+def lost_donor(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Donor semesters left over for students without a row that takes them."""
+    rows = _with_transfer(ledger, rules)
+    return (
+        rows.groupBy("studentID")
+        .agg(
+            F.max(F.col("donorDone") - F.col("transferComplete")).alias("semsComplete"),
+            F.max(F.col("donorOpen") - F.col("transferInProgress")).alias("semsInProgress"),
+            F.max(_is(rules.remainder)).alias("taken"),
+        )
+        .filter(~F.col("taken") & ((F.col("semsComplete") > 0) | (F.col("semsInProgress") > 0)))
+        .select("studentID", "semsComplete", "semsInProgress")
+    )
 
 
 # --- surplus of group members to the group subject ------------------------------
@@ -132,7 +149,12 @@ def settle_group(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
         "semsComplete": settled("semsComplete", "surplusComplete"),
         "semsInProgress": settled("semsInProgress", "surplusInProgress"),
     }
-    return _with_changed(_with_surplus(ledger, rules), ledger, changed)
+    rows = _with_surplus(ledger, rules)
+    if rules.multi_match == "error":
+        rows = rows.withColumn("_members", F.count("surplusComplete").over(_student()))
+        several = _is(rules.group_subject) & (F.col("_members") > 1)
+        rows = refusing(rows, several, "several source rows match one group row")
+    return _with_changed(rows, ledger, changed)
 
 
 def student_totals(ledger: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """The graduation run: every ledger version, and the named outputs.
 
-The transcript is read once: its credit sums are written to the shared folder
-and every later step reads those.  All ledger steps stay hashed on studentID,
-so the two places that need the same ledger version share its shuffles.  A run
-that writes all outputs also keeps the versions that several outputs need.
+Given a shared folder, the transcript is read once: its credit sums are written
+there and every later step reads those.  All ledger steps stay hashed on
+studentID, and so does the written ledger, which is kept in buckets of it.
+Without a folder nothing is written, and every step is one lazy plan.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..operators import credits, dual, joins, requirements, status, transfer
 from ..rules import DEFAULT_RULES, Rules
-from ..session import cut
+from ..session import Scratch
 
 
 @dataclass(frozen=True)
@@ -27,11 +27,16 @@ class Inputs:
     transcript: DataFrame
     student_status: DataFrame
 
-    def conformed(self) -> Inputs:
+    def conformed(self, rules: Rules = DEFAULT_RULES) -> Inputs:
+        """The columns in use in their types; subjects as the rules compare them."""
+
+        def subjects(df: DataFrame) -> DataFrame:
+            return df.withColumn("subject", F.rtrim("subject")) if rules.rtrim_subjects else df
+
         return Inputs(
             schema.conform(self.students, schema.STUDENTS, "students"),
-            schema.conform(self.reqs, schema.REQUIREMENTS, "reqs"),
-            schema.conform(self.transcript, schema.TRANSCRIPT, "transcript"),
+            subjects(schema.conform(self.reqs, schema.REQUIREMENTS, "reqs")),
+            subjects(schema.conform(self.transcript, schema.TRANSCRIPT, "transcript")),
             schema.conform(self.student_status, schema.STUDENT_STATUS, "student_status"),
         )
 
@@ -39,10 +44,10 @@ class Inputs:
 class Graduation:
     """Each step as a DataFrame, built when first asked for.
 
-    Asking for a step runs the size checks and writes the tables it rests on;
-    the step itself stays lazy.
-    ``hot_rows`` overrides from how many rows on a student counts as hot.
-    ``keep_stages`` also writes the versions that only several outputs share.
+    ``folder`` is a folder that all executors see, for the tables that steps
+    rest on: asking for a step writes these, the step itself stays lazy.
+    ``close`` removes them.  ``keep_stages`` also writes the versions that only
+    several outputs share.
     """
 
     def __init__(
@@ -51,22 +56,25 @@ class Graduation:
         curr_grad_year: int,
         mid_year: int,
         rules: Rules = DEFAULT_RULES,
-        hot_rows: int | None = None,
+        folder: str | None = None,
         keep_stages: bool = False,
     ) -> None:
         if not isinstance(curr_grad_year, int):
             raise ValueError("curr_grad_year must be given as an int")
         if mid_year not in (0, 1):
             raise ValueError("mid_year must be 0 or 1")
-        self.inputs = inputs.conformed()
+        self.inputs = inputs.conformed(rules)
         self.year = curr_grad_year
         self.mid_year = mid_year
         self.rules = rules
-        self.hot_rows = hot_rows
         self.keep_stages = keep_stages
+        self.scratch = Scratch(inputs.students.sparkSession, folder)
+
+    def close(self) -> None:
+        self.scratch.close()
 
     def _kept(self, df: DataFrame) -> DataFrame:
-        return cut(df) if self.keep_stages else df
+        return self.scratch.cut(df) if self.keep_stages else df
 
     @cached_property
     def small(self) -> bool:
@@ -79,22 +87,9 @@ class Graduation:
 
     # --- requirements
 
-    @cached_property
-    def listing(self) -> tuple[bool, bool]:
-        return requirements.listing(self._known_students)
-
-    @property
-    def _known_students(self) -> DataFrame:
-        """Rows with a student; said here so that all uses share one shuffle."""
-        return self.inputs.students.filter(F.col("studentID").isNotNull())
-
     @cached_property
     def students(self) -> DataFrame:
-        """Distinct students, hashed on studentID; a list without copies moves once."""
-        listed_once, _ = self.listing
-        if listed_once:
-            return self._known_students.repartition("studentID")
-        return requirements.distinct_students(self._known_students)
+        return requirements.by_student(self.inputs.students)
 
     @cached_property
     def seed(self) -> DataFrame:
@@ -110,12 +105,10 @@ class Graduation:
 
     @cached_property
     def required(self) -> DataFrame:
-        _, one_grade = self.listing
-        if not one_grade:
-            return requirements.attach_requirements(self.seed, self.by_grade)
-        return requirements.required_ledger(
+        ledger = requirements.ledger_requirements(
             self.students, self.reqs, self.year, self.mid_year, self.rules, self.small
         )
+        return schema.check_ledger(ledger)
 
     # --- transcript
 
@@ -133,28 +126,29 @@ class Graduation:
         else:
             sums = credits.course_sums(rows, self.rules)
             sums = credits.relevant_courses(sums, reqs, self.rules, False)
-        return cut(sums)
+        return self.scratch.cut(sums)
 
     @cached_property
-    def counted(self) -> DataFrame:
-        sums = credits.required_courses(self.sums, self.reqs, self.rules, self.small)
-        counts = credits.counted_semesters(sums.repartition("studentID"), self.rules)
-        return credits.merge_counts(self.required, counts)
+    def with_donor(self) -> DataFrame:
+        """The counted ledger, with each student's donor semesters beside it."""
+        courses = credits.ledger_courses(self.sums, self.reqs, self.rules, self.small)
+        semesters = credits.student_semesters(courses.repartition("studentID"), self.rules)
+        return credits.count_semesters(self.required, semesters)
 
     @cached_property
-    def donor(self) -> DataFrame:
-        return credits.donor_semesters(self.sums, self.rules)
+    def counted(self) -> DataFrame:
+        return self.with_donor.drop("donorDone", "donorOpen")
 
     # --- transfers and overflow
 
     @cached_property
     def transferred(self) -> DataFrame:
-        return transfer.apply_donor(self.counted, self.donor, self.rules)
+        return transfer.apply_donor(self.with_donor, self.rules)
 
     @cached_property
     def grouped(self) -> DataFrame:
-        ledger = self._kept(transfer.settle_group(self.transferred, self.rules))
-        return ledger.repartition("studentID") if self.keep_stages else ledger
+        ledger = transfer.settle_group(self.transferred, self.rules)
+        return self.scratch.cut_hashed(ledger, "studentID") if self.keep_stages else ledger
 
     @cached_property
     def spilled(self) -> DataFrame:
@@ -163,7 +157,7 @@ class Graduation:
     @cached_property
     def snapshot(self) -> DataFrame:
         """The ledger that dual courses are measured against and posted to, written once."""
-        return cut(self.spilled)
+        return self.scratch.cut_hashed(self.spilled, "studentID")
 
     # --- dual courses
 
@@ -171,14 +165,9 @@ class Graduation:
     def dual_split(self) -> DataFrame:
         return credits.split_dual_courses(self.sums, self.rules)
 
-    @cached_property
-    def hot_students(self) -> list:
-        rows = credits.dual_rows(self.sums, self.rules)
-        return joins.hot_keys(rows, "studentID", self.hot_rows)
-
     @cached_property
     def dual_needs(self) -> DataFrame:
-        return dual.measure_needs(self.dual_split, self.snapshot, self.rules, self.hot_students)
+        return dual.measure_needs(self.dual_split, self.snapshot, self.rules)
 
     @cached_property
     def dual(self) -> DataFrame:
@@ -190,7 +179,7 @@ class Graduation:
 
     @cached_property
     def posted(self) -> DataFrame:
-        return dual.post_dual(self.snapshot.repartition("studentID"), self.postings)
+        return dual.post_dual(self.snapshot, self.postings)
 
     @cached_property
     def settled(self) -> DataFrame:
@@ -200,36 +189,83 @@ class Graduation:
 
     @cached_property
     def graded(self) -> DataFrame:
-        return status.subject_status(self.settled)
+        return schema.check_ledger(status.subject_status(self.settled))
 
     def final_of(self, graded: DataFrame) -> DataFrame:
         return status.final_status_of(
             graded, self.reqs, self.year, self.rules, self.small
         )
 
+    def total_status_of(self, graded: DataFrame) -> DataFrame:
+        totals = status.total_sems(graded)
+        return status.total_status(totals, self.reqs, self.year, self.rules, self.small)
+
     @cached_property
     def final(self) -> DataFrame:
         return self.final_of(self.graded)
 
     def published(self, final: DataFrame) -> DataFrame:
-        before = self.inputs.student_status
-        hot = joins.hot_keys(before, "studentID", self.hot_rows)
-        return status.publish_student_status(before, final, hot)
+        return status.publish_student_status(self.inputs.student_status, final)
 
     @cached_property
     def graded_table(self) -> DataFrame:
         """The graded ledger written once, for outputs that need it more than once."""
-        return cut(self.graded)
+        return self.scratch.cut_hashed(self.graded, "studentID")
+
+    @cached_property
+    def lost(self) -> DataFrame:
+        """What the rules leave without a place, for people to look at.
+
+        ``donor``: donor semesters and no row that takes the rest; ``overflow``:
+        surplus and no sink row; ``requirement``: a ledger row without a current
+        requirement, with the semesters it has when grading begins.
+        """
+        over = transfer.sink_posting(self.grouped, self.rules).filter(~F.col("posted"))
+        amounts = ("semsComplete", "semsInProgress")
+        rows = {
+            "donor": transfer.lost_donor(self.with_donor, self.rules),
+            "overflow": over.withColumnsRenamed(
+                {"compOverflow": "semsComplete", "inpOverflow": "semsInProgress"}
+            ),
+            "requirement": self.settled.filter(F.col("semester") == -1),
+        }
+        subject = {"donor": F.lit(self.rules.donor), "requirement": F.col("subject")}
+        parts = [
+            df.select(
+                "studentID",
+                F.lit(kind).alias("kind"),
+                subject.get(kind, F.lit(None).cast("string")).alias("subject"),
+                *amounts,
+            )
+            for kind, df in rows.items()
+        ]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @dataclass(frozen=True)
 class Outputs:
+    """DataFrames ready to be written; ``close`` removes the tables they rest on."""
+
     ledger: DataFrame
     student_status: DataFrame
     final_status: DataFrame
     totals: DataFrame
     overflow: DataFrame
     dual: DataFrame
+    counts: DataFrame
+    total_status: DataFrame
+    second_overflow: DataFrame
+    lost: DataFrame
+    scratch: Scratch
+
+    def close(self) -> None:
+        self.scratch.close()
+
+    def __enter__(self) -> Outputs:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
 
 
 DUAL_COLUMNS = (
@@ -250,22 +286,36 @@ def run(
     student_status: DataFrame,
     curr_grad_year: int,
     mid_year: int,
+    folder: str,
     rules: Rules = DEFAULT_RULES,
 ) -> Outputs:
     """Grade every student; returns DataFrames ready to be written.
 
-    Ledger versions that several outputs need are written once to the shared
-    folder, so that no output repeats the run.
+    Ledger versions that several outputs need are written once to ``folder``,
+    which all executors must see, so that no output repeats the run.  Close the
+    outputs, or use them in a ``with`` block, to remove these tables.
     """
+    if not folder:
+        raise ValueError("a run needs a folder that all executors see")
     inputs = Inputs(students, reqs, transcript, student_status)
-    steps = Graduation(inputs, curr_grad_year, mid_year, rules, keep_stages=True)
-    graded = steps.graded_table
-    final = steps.final_of(graded)
-    return Outputs(
-        ledger=status.final_report(graded),
-        student_status=steps.published(final),
-        final_status=final,
-        totals=transfer.student_totals(steps.grouped),
-        overflow=transfer.subject_overflow(steps.grouped, rules).drop("subj_key"),
-        dual=steps.dual.select(*DUAL_COLUMNS),
-    )
+    steps = Graduation(inputs, curr_grad_year, mid_year, rules, folder, keep_stages=True)
+    try:
+        graded = steps.graded_table
+        final = steps.final_of(graded)
+        sums = credits.counted_semesters(steps.sums, rules)
+        return Outputs(
+            ledger=status.final_report(graded),
+            student_status=steps.published(final),
+            final_status=final,
+            totals=transfer.student_totals(steps.grouped),
+            overflow=transfer.subject_overflow(steps.grouped, rules).drop("subj_key"),
+            dual=steps.dual.select(*DUAL_COLUMNS),
+            counts=sums.select("studentID", "subject", "semsComp", "semsInp"),
+            total_status=steps.total_status_of(graded),
+            second_overflow=transfer.subject_overflow(steps.posted, rules).drop("subj_key"),
+            lost=steps.lost,
+            scratch=steps.scratch,
+        )
+    except BaseException:
+        steps.close()
+        raise

@@ -10,7 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 MULTI_MATCH = ("sum", "min", "error")
-DUPLICATE_SEED = ("error", "max")
+CURRENT_MATCH = ("min", "error")
+DUPLICATE_SEED = ("keep", "max", "error")
 COHORT_MATCH = ("contains", "token")
 
 
@@ -46,12 +47,15 @@ class Rules:
 
     # How to settle what the data leaves open.
     multi_match: str = "sum"  # several source rows for one group-subject row
-    duplicate_seed: str = "error"  # one subject, two full requirements
+    current_match: str = "min"  # several current requirements for one ledger row
+    duplicate_seed: str = "keep"  # one subject, two full requirements
     cohort_match: str = "contains"  # how a cohort text names a year
+    rtrim_subjects: bool = False  # subjects are equal whatever spaces follow them
 
     def __post_init__(self) -> None:
         for name, allowed in (
             ("multi_match", MULTI_MATCH),
+            ("current_match", CURRENT_MATCH),
             ("duplicate_seed", DUPLICATE_SEED),
             ("cohort_match", COHORT_MATCH),
         ):

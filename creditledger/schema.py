@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +42,13 @@ LEDGER = T.StructType(
 )
 
 
-def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], LEDGER)
+def check_ledger(ledger: DataFrame) -> DataFrame:
+    """``ledger`` if its columns are the ledger's, in their types; looks at the schema only."""
+    wanted = {f.name: f.dataType for f in LEDGER}
+    wrong = [f.name for f in ledger.schema if wanted.get(f.name) != f.dataType]
+    if wrong:
+        raise TypeError(f"not columns of a ledger, or of another type: {wrong}")
+    return ledger
 
 
 def conform(df: DataFrame, wanted: dict, table: str) -> DataFrame:

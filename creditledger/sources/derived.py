@@ -84,10 +84,8 @@ def students(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def student_status(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        _read(spark, folder, "customer")
-        .filter(F.col("c_custkey") % 10 != 9)
-        .select(F.col("c_custkey").alias("studentID"), F.lit("unknown").alias("gradStatus"))
+    return _read(spark, folder, "customer").select(
+        F.col("c_custkey").alias("studentID"), F.lit("unknown").alias("gradStatus")
     )
 
 
@@ -129,6 +127,13 @@ def requirements(spark: SparkSession) -> DataFrame:
     )
 
 
+def second_requirement(spark: SparkSession) -> DataFrame:
+    """A second full requirement of a subject, in other letters, for two of the years."""
+    return spark.sql(
+        "select '2024,2025' as gradYear, 8 as semester, 'english' as subject, 6 as semsReqd, 5 as semsClose"
+    )
+
+
 def inputs(spark: SparkSession, folder: str) -> Inputs:
     return Inputs(
         students(spark, folder),

@@ -20,6 +20,10 @@ OUTPUT_TABLES = {
     "totals": "grad_total_sems",
     "overflow": "grad_subj_overflow",
     "dual": "dual_courses",
+    "counts": "grad_sems",
+    "total_status": "total_grad_sems_status",
+    "second_overflow": "grad_subj_overflow2",
+    "lost": "lost_semesters",
 }
 
 

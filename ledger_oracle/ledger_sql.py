@@ -30,7 +30,7 @@ def _steps(year: int, mid_year: int) -> list[tuple[str, str]]:
         ("student", "select c_custkey as sid, cast(6 + c_custkey % 8 as int) as grade from customer"),
         (
             "status_before",
-            "select c_custkey as sid, 'unknown' as gs from customer where c_custkey % 10 <> 9",
+            "select c_custkey as sid, 'unknown' as gs from customer",
         ),
         (
             "course",
@@ -81,6 +81,18 @@ def _steps(year: int, mid_year: int) -> list[tuple[str, str]]:
             from seed s left join (select * from by_grade qualify
               row_number() over (partition by sid, k order by semester, reqd, close_at) = 1) b using (sid, k)""",
         ),
+        (
+            "required_twice",
+            f"""select s.*, coalesce(b.semester, -1) as semester, coalesce(b.reqd, 0) as reqd,
+              coalesce(b.close_at, 0) as close_at
+            from (select distinct st.sid, r.k, min(r.subject) over (partition by st.sid, r.k) as subject, r.reqd as total
+                  from student st join (select cohort, semester, subject, k, reqd from req
+                    union all select '2024,2025', 8, 'english', 'ENGLISH', 6) r
+                    on contains(r.cohort, cast({year} + 12 - st.grade as varchar))
+                  where r.semester = 8 and r.k <> 'TOTAL') s
+            left join (select * from by_grade qualify
+              row_number() over (partition by sid, k order by semester, reqd, close_at) = 1) b using (sid, k)""",
+        ),
         # --- transcript
         (
             "hs",
@@ -141,6 +153,19 @@ def _steps(year: int, mid_year: int) -> list[tuple[str, str]]:
             from l2 l left join science s on s.sid = l.sid and s.k = l.k
             left join (select sid, sum(sc) as sc, sum(si) as si from science group by sid) t on t.sid = l.sid""",
         ),
+        (
+            "lost",
+            """select d.sid, 'donor' as kind, 'ALGEBRA II' as subject,
+              d.dc - coalesce(g.tc, 0) as c, d.di - coalesce(g.ti, 0) as i
+            from donor d left join give g on g.sid = d.sid
+            where d.sid in (select sid from l1) and (d.dc > coalesce(g.tc, 0) or d.di > coalesce(g.ti, 0))
+            union all
+            select sid, 'overflow', null, sum(greatest(c - total, 0)),
+              sum(greatest(i - greatest(total - c, 0), 0))
+            from (select sid, k, total, c, i from l3 where k <> 'MATHEMATICS'
+                  union all select sid, k, total, c, i from l1 where k = 'MATHEMATICS')
+            where c + i > total group by sid""",
+        ),
         # --- first overflow round
         ("over1", _overflow("l3")),
         ("l4", _spilled("l3", "over1")),
@@ -268,6 +293,8 @@ _SELECTS = {
       close_at::int as "semsClose" from by_grade""",
     "ledger_requirements": """select sid as "studentID", subject, semester, reqd::int as "semsReqdGrade",
       close_at::int as "semsClose", total::int as "semsReqdTotal" from required""",
+    "ledger_requirements_twice": """select sid as "studentID", subject, semester, reqd::int as "semsReqdGrade",
+      close_at::int as "semsClose", total::int as "semsReqdTotal" from required_twice""",
     "credits_high_school": f"select {_COUNTS} from hs",
     "credits_any_grade": f"select {_COUNTS} from anyg",
     "credits_all": f"select {_COUNTS} from counts",
@@ -321,6 +348,8 @@ _SELECTS = {
       total::int as "semsReqdTotal", {_LABEL} as "subjStatus" from graded""",
     "update_from": """select s.sid as "studentID", coalesce(t.total, 0)::bigint as sems, s.gs as "gradStatus"
       from status_before s left join (select sid, sum(c + i) as total from l3 group by sid) t on t.sid = s.sid""",
+    "lost_semesters": """select sid as "studentID", kind, subject, c::bigint as "semsComplete",
+      i::bigint as "semsInProgress" from lost""",
 }
 
 

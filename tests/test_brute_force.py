@@ -24,13 +24,12 @@ def by_student(world, mid_year):
 
 
 @pytest.mark.parametrize(("seed", "mid_year"), [(1, 0), (2, 1)])
-def test_run_agrees_with_brute_force(spark, seed, mid_year):
+def test_run_agrees_with_brute_force(spark, tmp_path, seed, mid_year):
     world = random_world(seed)
     want = by_student(world, mid_year)
     inputs = make_inputs(spark, *world)
-    out = run(
-        inputs.students, inputs.reqs, inputs.transcript, inputs.student_status, YEAR, mid_year
-    )
+    tables = (inputs.students, inputs.reqs, inputs.transcript, inputs.student_status)
+    out = run(*tables, YEAR, mid_year, str(tmp_path))
 
     ledger = {
         (r.studentID, r.hsSubject.upper()): (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import re
+from collections import Counter
 from dataclasses import replace
 
 import pytest
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from brute_force import grade_student
 from creditledger import Graduation, Rules, configure, run
-from creditledger.operators import credits, dual, joins, status
+from creditledger.operators import credits, joins, status
 from creditledger.sources import derived, tables
 from worlds import YEAR, make_inputs, random_world
 
@@ -45,6 +46,21 @@ def plan_of(df, run: bool = False) -> str:
     return text.getvalue().split("Initial Plan")[0]
 
 
+@pytest.fixture
+def written(request, tmp_path):
+    """Steps of a run that writes its tables, which are removed afterwards."""
+    made = []
+
+    def steps(inputs, **how):
+        made.append(Graduation(inputs, YEAR, 0, folder=str(tmp_path), **how))
+        return made[-1]
+
+    yield steps
+    for one in made:
+        one.close()
+    assert not list(tmp_path.rglob("*.parquet"))
+
+
 @pytest.mark.parametrize("name", ["final_report", "status_publish", "dual_overflow", "credits_all"])
 def test_no_nested_loops_and_no_python(spark, name):
     plan = plan_of(entry_points.queries()[name](spark, FOLDER), run=True)
@@ -52,9 +68,9 @@ def test_no_nested_loops_and_no_python(spark, name):
         assert bad not in plan
 
 
-def test_transcript_is_read_once(spark):
+def test_transcript_is_read_once(spark, written):
     """The ledger reads the written sums only; the sums read the transcript once."""
-    steps = Graduation(derived.inputs(spark, FOLDER), YEAR, 0)
+    steps = written(derived.inputs(spark, FOLDER))
     assert "l_orderkey" not in plan_of(steps.settled)
     sums = plan_of(credits.course_sums(steps.inputs.transcript))
     assert len(re.findall(r"FileScan parquet \[l_orderkey", sums)) == 1
@@ -74,32 +90,45 @@ def shuffles(df) -> list[str]:
     return sorted(re.sub(r"#\d+L?", "", m) for m in moved if m.startswith("studentID"))
 
 
-def test_ledger_is_not_shuffled_between_steps(at_scale):
-    steps = Graduation(derived.inputs(at_scale, FOLDER), YEAR, 0)
-    # Students, course sums and donor; joins and windows add none.
-    assert shuffles(steps.spilled) == ["studentID"] * 3
-    # The written ledger, its needs per student, dual courses by course and by student.
-    assert shuffles(steps.graded) == [*["studentID"] * 3, "studentID, subj_key"]
-    assert shuffles(steps.final) == shuffles(steps.graded)
+def test_ledger_is_not_shuffled_between_steps(at_scale, written):
+    steps = written(derived.inputs(at_scale, FOLDER))
+    # Students and course sums, each once; joins, windows and the donor add none.
+    assert shuffles(steps.spilled) == ["studentID"] * 2
+    # The written ledger stays where it is.  Dual courses are hashed by course, counted by
+    # student, and their postings gathered.
+    steps.snapshot
+    own = shuffles(steps.graded)
+    assert own == ["studentID"] + ["studentID, subj_key"] * 2
+    assert shuffles(steps.final) == own
+
+
+def test_asking_for_a_step_runs_nothing(spark):
+    """Without a folder no job runs while plans are built, but the look at the requirements."""
+    context = spark.sparkContext
+    steps = Graduation(derived.inputs(spark, FOLDER), YEAR, 0)
+    assert steps.small
+    context.setJobGroup("plans only", "")
+    try:
+        assert steps.required.columns and steps.published(steps.final).columns
+        assert list(context.statusTracker().getJobIdsForGroup("plans only")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_listed_students(at_scale):
-    """Copies of a student cost one more shuffle; a second grade needs the general way."""
+    """Copies of a student, and a second grade, take the same way and the same shuffle."""
     inputs = derived.inputs(at_scale, FOLDER)
     once = Graduation(inputs, YEAR, 0)
-    assert once.listing == (True, True)
     assert shuffles(once.required) == ["studentID"]
 
     copies = replace(inputs, students=inputs.students.unionByName(inputs.students))
     twice = Graduation(copies, YEAR, 0)
-    assert twice.listing == (False, True)
-    assert shuffles(twice.required) == ["studentID", "studentID, grade"]
+    assert shuffles(twice.required) == ["studentID"]
 
-    # A grade without any requirement adds nothing but takes the general way.
+    # A grade without any full requirement adds none.
     other = inputs.students.withColumn("grade", F.lit(6)).filter("studentID < 40")
     two = Graduation(replace(inputs, students=inputs.students.unionByName(other)), YEAR, 0)
-    assert two.listing == (False, False)
-    assert shuffles(two.required) == ["studentID", "studentID, grade"]
+    assert shuffles(two.required) == ["studentID"]
     for more in (twice, two):
         seeds = more.required.select("studentID", "subj_key", "semsReqdTotal")
         want = once.required.select("studentID", "subj_key", "semsReqdTotal")
@@ -107,6 +136,21 @@ def test_listed_students(at_scale):
     assert twice.required.exceptAll(once.required).count() == 0
 
 
+@pytest.fixture(scope="module")
+def both_ways(spark, tmp_path_factory):
+    inputs = derived.inputs(spark, FOLDER)
+    lazy = Graduation(inputs, YEAR, 0)
+    kept = Graduation(inputs, YEAR, 0, folder=str(tmp_path_factory.mktemp("kept")))
+    yield lazy, kept
+    kept.close()
+
+
+@pytest.mark.parametrize("name", list(entry_points.QUERIES))
+def test_queries_are_the_same_without_a_folder(both_ways, name):
+    lazy, kept = (Counter(entry_points.QUERIES[name](g).collect()) for g in both_ways)
+    assert lazy == kept and lazy
+
+
 def hot_world():
     """One student holds most rows: many copies, and many distinct dual courses."""
     students, reqs, courses, before = random_world(5, 60)
@@ -122,9 +166,9 @@ def hot_world():
 
 def test_hot_student_is_split_and_complete(at_scale):
     students, reqs, courses, before, hot = hot_world()
-    steps = Graduation(make_inputs(at_scale, students, reqs, courses, before), YEAR, 0, hot_rows=200)
-    assert steps.hot_students == [hot]
-    assert "_slot" in plan_of(steps.dual)
+    steps = Graduation(make_inputs(at_scale, students, reqs, courses, before), YEAR, 0)
+    found = joins.hot_keys(steps.dual_split, ["studentID"]).collect()
+    assert [r._hot.studentID for r in found] == [hot] and found[0]._parts >= 7 * 8
     got = {
         r.subj_key: (r.semsComplete, r.semsInProgress)
         for r in steps.settled.filter(F.col("studentID") == hot).collect()
@@ -134,51 +178,78 @@ def test_hot_student_is_split_and_complete(at_scale):
     assert got == {k: (w["c"], w["i"]) for k, w in ledger.items()}
     assert len(duals) > 1000
 
-    plain = Graduation(make_inputs(at_scale, students, reqs, courses, before), YEAR, 0)
-    assert plain.hot_students == []
-    assert plain.dual.exceptAll(steps.dual).count() == 0
-    assert steps.dual.exceptAll(plain.dual).count() == 0
+
+def sizes_of_tasks(df) -> list[int]:
+    return [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.fixture
+def many_partitions(at_scale):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {k: at_scale.conf.get(k, None) for k in names}
+    at_scale.conf.set(names[0], "2100")
+    at_scale.conf.set(names[1], "false")
+    yield at_scale
+    for k, v in before.items():
+        at_scale.conf.unset(k) if v is None else at_scale.conf.set(k, v)
+
+
+def test_every_hot_key_is_split(many_partitions):
+    """Far more hot keys than a list would hold: none is left whole."""
+    spark = many_partitions
+    keys, copies = 1010, 40
+    facts = spark.range(keys * copies).select((F.col("id") % keys).alias("k"), F.col("id").alias("n"))
+    unknown = F.lit(None).cast("long").alias("k")
+    facts = facts.unionByName(spark.range(keys * copies).select(unknown, F.col("id").alias("n")))
+    lookup = spark.range(keys).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    hot = joins.hot_keys(facts, ["k"]).collect()
+    assert {r._hot.k for r in hot} == {*range(keys), None}
+    joined = joins.spread_join(facts, lookup, ["k"], F.xxhash64("n"))
+    want = facts.join(lookup, ["k"], "left").select("k", "n", "v")
+    rows = joined.select("k", "n", "v")
+    assert rows.exceptAll(want).count() == 0 and want.exceptAll(rows).count() == 0
+    inner = joins.spread_join(facts, lookup, ["k"], F.xxhash64("n"), "inner")
+    assert inner.count() == keys * copies
 
 
 def test_salted_rows_spread_over_tasks(at_scale):
-    students, reqs, courses, before, hot = hot_world()
-    steps = Graduation(make_inputs(at_scale, students, reqs, courses, before), YEAR, 0, hot_rows=200)
-    needs = dual.needs_by_student(steps.spilled)
-    joined = joins.spread_left_join(steps.dual_split, needs, "studentID", [hot], ["subj_key"], 64)
+    """One key with half of all rows, and null keys with a third: no task has twice the mean."""
     at_scale.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        rows = joined.filter(F.col("studentID") == hot).groupBy(F.spark_partition_id()).count()
-        sizes = [r[1] for r in rows.collect()]
+        sixth = F.col("id") % 6
+        k = F.when(sixth < 3, 7).when(sixth < 5, F.lit(None)).otherwise(F.col("id"))
+        facts = at_scale.range(0, 60000, 1, 16).select(k.alias("k"), F.lit("copy").alias("c"))
+        lookup = at_scale.range(60000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+        for spread in (F.spark_partition_id(), F.xxhash64(F.rand(1))):
+            joined = joins.spread_join(facts, lookup, ["k"], spread)
+            sizes = sizes_of_tasks(joined)
+            assert sum(sizes) == 60000
+            assert max(sizes) < 2 * sum(sizes) / 8
     finally:
         at_scale.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(sizes) > 4
-    assert max(sizes) < sum(sizes) / 2
 
 
 def test_only_required_courses_move_to_their_student(at_scale):
     """A student's many dual courses must not all arrive in one ledger task."""
     students, reqs, courses, before, hot = hot_world()
     steps = Graduation(make_inputs(at_scale, students, reqs, courses, before), YEAR, 0)
-    rows = credits.required_courses(steps.sums, steps.inputs.reqs, steps.rules, steps.small)
+    rows = credits.ledger_courses(steps.sums, steps.inputs.reqs, steps.rules, steps.small)
     assert rows.filter(F.col("studentID") == hot).count() <= 20
     assert steps.sums.filter(F.col("studentID") == hot).count() > 1000
 
 
-def test_hot_status_rows_stay_in_place(spark):
+def test_copies_of_a_status_row_are_all_published(spark):
     before = spark.createDataFrame(
         [(1, "old")] * 300 + [(2, "old"), (3, "old"), (None, "old")], "studentID long, gradStatus string"
     )
     final = spark.createDataFrame([(1, 2), (2, 0), (2, 1)], "studentID long, finalStatus int")
-    hot = joins.hot_keys(before, "studentID", 100)
-    assert hot == [1]
-    for keys in ([], hot):
-        rows = status.publish_student_status(before, final, keys).groupBy("studentID", "gradStatus")
-        assert {tuple(r) for r in rows.count().collect()} == {
-            (1, "on track", 300),
-            (2, "off track", 1),
-            (3, "old", 1),
-            (None, "old", 1),
-        }
+    rows = status.publish_student_status(before, final).groupBy("studentID", "gradStatus")
+    assert {tuple(r) for r in rows.count().collect()} == {
+        (1, "on track", 300),
+        (2, "off track", 1),
+        (3, "old", 1),
+        (None, "old", 1),
+    }
 
 
 def test_many_copies_of_a_student_row_add_nothing(spark):
@@ -198,7 +269,7 @@ def test_large_requirements_change_nothing(spark):
     for name in ("graded", "final", "dual"):
         one, other = getattr(small, name), getattr(large, name)
         assert one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
-    assert "_salt" in plan_of(large.required)
+    assert "_slot" in plan_of(large.required)
 
 
 def test_tables_round_trip(spark, tmp_path):
@@ -207,8 +278,17 @@ def test_tables_round_trip(spark, tmp_path):
     for name, table in tables.INPUT_TABLES.items():
         getattr(inputs, name).write.parquet(f"{tmp_path}/in/{table}")
     read = tables.read_inputs(spark, f"{tmp_path}/in")
-    out = run(read.students, read.reqs, read.transcript, read.student_status, YEAR, 0)
-    tables.write_outputs(out, f"{tmp_path}/out")
+    shared = tmp_path / "shared"
+    named = (read.students, read.reqs, read.transcript, read.student_status)
+    before = {t.name for t in spark.catalog.listTables()}
+    with run(*named, YEAR, 0, str(shared)) as out:
+        tables.write_outputs(out, f"{tmp_path}/out")
+        assert list(shared.rglob("*.parquet"))
+    assert not list(shared.rglob("*.parquet"))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert {p.name for p in (tmp_path / "out").iterdir()} == set(tables.OUTPUT_TABLES.values())
+    with pytest.raises(ValueError, match="folder"):
+        run(*named, YEAR, 0, "")
     report = spark.read.parquet(f"{tmp_path}/out/grad_progress")
     want = status.final_report(Graduation(inputs, YEAR, 0).graded)
     assert report.columns == want.columns
@@ -226,6 +306,6 @@ def test_shuffles_are_sized_by_the_transcript(spark):
         configure(spark, transcript_bytes=10 << 40)
         assert spark.conf.get(name) == "20480"
         configure(spark, transcript_bytes=100 * 10**12)
-        assert spark.conf.get(name) == "100000"
+        assert spark.conf.get(name) == str(-(-100 * 10**12 // (512 << 20)))
     finally:
         spark.conf.set(name, usual)

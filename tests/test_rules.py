@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from creditledger import Graduation, Rules
 from creditledger.operators import credits, dual, keyed, requirements, status, transfer
-from creditledger.schema import LEDGER, STUDENTS, TRANSCRIPT, conform, empty_ledger
+from creditledger.schema import LEDGER, STUDENTS, TRANSCRIPT, check_ledger, conform
 from worlds import YEAR, make_inputs
 
 REQS = "gradYear string, semester int, subject string, semsReqd int, semsClose int"
@@ -44,23 +44,62 @@ def test_cohort_text_contains_the_year(spark):
     assert requirements.seed_ledger(seniors(spark), named, YEAR, token).count() == 1
 
 
+@pytest.mark.parametrize("cohort", ["2022-2024", "2022/2024", "class of 2024", "2024-2022", "2024"])
+def test_years_in_a_range_are_whole_numbers(spark, cohort):
+    reqs = reqs_of(spark, (cohort, 8, "English", 8, 7), (cohort, 7, "Total", 4, 2))
+    for rules in (Rules(), Rules(cohort_match="token")):
+        assert requirements.seed_ledger(seniors(spark), reqs, YEAR, rules).count() == 1
+        totals = spark.createDataFrame(
+            [(1, 7, 3, 0)], "studentID long, semester int, semsComplete long, semsInProgress long"
+        )
+        graded = status.total_status(totals, reqs, YEAR, rules).collect()
+        assert [tuple(r) for r in graded] == [(1, 7, 1)]
+
+
 def test_two_full_requirements_for_a_subject(spark):
     reqs = reqs_of(spark, ("2024", 8, "English", 8, 7), ("2024,2025", 8, "english", 6, 5))
-    with pytest.raises(PySparkException, match="two full requirements"):
-        requirements.seed_ledger(seniors(spark), reqs, YEAR).collect()
-    rows = requirements.seed_ledger(seniors(spark), reqs, YEAR, Rules(duplicate_seed="max"))
-    assert [r.semsReqdTotal for r in rows.collect()] == [8]
+
+    def totals(**how):
+        both = (
+            requirements.seed_ledger(seniors(spark), reqs, YEAR, Rules(**how)),
+            requirements.ledger_requirements(seniors(spark), reqs, YEAR, 0, Rules(**how)),
+        )
+        found = [sorted(r.semsReqdTotal for r in rows.collect()) for rows in both]
+        assert found[0] == found[1]
+        return found[0]
+
+    assert totals() == totals(duplicate_seed="keep") == [6, 8]
+    assert totals(duplicate_seed="max") == [8]
+    refused = Rules(duplicate_seed="error")
+    rows = requirements.seed_ledger(seniors(spark), reqs, YEAR, refused)
+    ledger = requirements.ledger_requirements(seniors(spark), reqs, YEAR, 0, refused)
+    for failing in (rows, rows.select("studentID"), ledger, ledger.select("subject")):
+        with pytest.raises(PySparkException, match="two full requirements"):
+            failing.count()
+        with pytest.raises(PySparkException, match="two full requirements"):
+            failing.collect()
+
+
+def test_both_rows_of_a_subject_go_through_the_run(spark):
+    reqs = [("2024", 8, "Art", 4, 3), ("2024,1", 8, "ART", 2, 1), ("2024", 8, "Electives", 9, 9)]
+    courses = [(1, "Art", 9, 1, 1, 5.0, 5.0)] * 3 + [(1, "Art|Music", 9, 1, 1, 5.0, 5.0)]
+    steps = Graduation(make_inputs(spark, [(1, 12)], reqs, courses), YEAR, 0)
+    rows = [(r.subj_key, r.semsReqdTotal, r.semsComplete) for r in steps.settled.collect()]
+    # Three courses count in both rows; the smaller one gives its surplus to the sink, and the
+    # dual course fills the larger one's need, which both rows are given.
+    assert sorted(rows) == [("ART", 2, 2), ("ART", 4, 4), ("ELECTIVES", 9, 2)]
 
 
 def test_conflict_of_an_unused_year_is_no_error(spark):
+    refused = Rules(duplicate_seed="error")
     reqs = reqs_of(
         spark, ("2024", 8, "Art", 1, 1), ("1990", 8, "Art", 8, 7), ("1990", 8, "art", 6, 5)
     )
-    rows = requirements.required_ledger(seniors(spark), reqs, YEAR, 0)
+    rows = requirements.ledger_requirements(seniors(spark), reqs, YEAR, 0, refused)
     assert [(r.semsReqdTotal, r.semester) for r in rows.collect()] == [(1, -1)]
     clash = reqs.unionByName(reqs_of(spark, ("2024,1", 8, "ART", 2, 1)))
     with pytest.raises(PySparkException, match="two full requirements"):
-        requirements.required_ledger(seniors(spark), clash, YEAR, 0).collect()
+        requirements.ledger_requirements(seniors(spark), clash, YEAR, 0, refused).collect()
 
 
 def test_student_with_two_grades_gets_both_cohorts(spark):
@@ -71,7 +110,6 @@ def test_student_with_two_grades_gets_both_cohorts(spark):
     students = [(1, 12), (1, 11), (2, 12), (2, 12), (3, None)]
     inputs = make_inputs(spark, students, reqs, [(1, "Art", 9, 1, 1, 5.0, 5.0)])
     steps = Graduation(inputs, YEAR, 0)
-    assert steps.listing == (False, False)
     rows = {
         (r.studentID, r.subject): (r.semester, r.semsReqdGrade, r.semsClose, r.semsReqdTotal)
         for r in steps.required.collect()
@@ -81,10 +119,9 @@ def test_student_with_two_grades_gets_both_cohorts(spark):
         (1, "Music"): (5, 1, 1, 1),
         (2, "Art"): (7, 2, 1, 2),
     }
-    nulls = spark.createDataFrame([(1, None), (1, 9)], "studentID long, grade int")
-    assert requirements.listing(nulls) == (False, False)
-    assert requirements.listing(nulls.filter("grade is null")) == (True, True)
-    assert requirements.listing(nulls.filter("studentID > 1")) == (True, True)
+    nulls = spark.createDataFrame([(1, None), (1, 9), (None, 9)], "studentID long, grade int")
+    listed = requirements.by_student(nulls).collect()
+    assert sorted(map(str, listed)) == sorted(map(str, nulls.filter("studentID = 1").collect()))
 
 
 def test_ambiguous_current_requirement_takes_the_least(spark):
@@ -94,11 +131,17 @@ def test_ambiguous_current_requirement_takes_the_least(spark):
     students = spark.createDataFrame([(1, 8)], "studentID long, grade int")
     by_grade = requirements.requirements_by_grade(students, reqs, YEAR, 0)
     assert by_grade.count() == 2
-    ledger = requirements.attach_requirements(
-        requirements.seed_ledger(students, reqs, YEAR), by_grade
-    )
-    row = ledger.first()
+    row = requirements.ledger_requirements(students, reqs, YEAR, 0).first()
     assert (row.semester, row.semsReqdGrade, row.semsClose, row.semsReqdTotal) == (1, 1, 1, 4)
+    refused = requirements.ledger_requirements(
+        students, reqs, YEAR, 0, Rules(current_match="error")
+    )
+    with pytest.raises(PySparkException, match="several current requirements"):
+        refused.select("studentID").count()
+    seniors_only = requirements.ledger_requirements(
+        seniors(spark), reqs, 2028, 0, Rules(current_match="error")
+    )
+    assert seniors_only.count() == 1
 
 
 def test_large_requirements_join_without_broadcast(spark):
@@ -107,7 +150,7 @@ def test_large_requirements_join_without_broadcast(spark):
     for build in (
         lambda small: requirements.seed_ledger(students, reqs, YEAR, small=small),
         lambda small: requirements.requirements_by_grade(students, reqs, YEAR, 0, small=small),
-        lambda small: requirements.required_ledger(students, reqs, YEAR, 0, small=small),
+        lambda small: requirements.ledger_requirements(students, reqs, YEAR, 0, small=small),
     ):
         narrow, wide = build(True), build(False)
         assert narrow.count() == 200
@@ -125,7 +168,12 @@ def test_missing_parameters_raise(spark):
 
 
 def test_schema_is_checked(spark):
-    assert empty_ledger(spark).columns == LEDGER.names
+    ledger = spark.createDataFrame([], LEDGER)
+    assert check_ledger(ledger.drop("overallOnTrack")).columns == LEDGER.names[:-1]
+    with pytest.raises(TypeError, match="semester"):
+        check_ledger(ledger.withColumn("semester", F.lit("1")))
+    with pytest.raises(TypeError, match="grade"):
+        check_ledger(ledger.withColumn("grade", F.lit(1)))
     with pytest.raises(ValueError, match="missing"):
         conform(spark.range(1), STUDENTS, "students")
     with pytest.raises(TypeError):
@@ -236,15 +284,42 @@ def test_donor_without_receiver_goes_to_the_remainder(spark):
             (3, "Algebra I", 0, 0, 2),
         ],
     )
-    donor = spark.createDataFrame([(1, 3, 2), (2, 2, 3)], "studentID long, semsComp long, semsInp long")
-    got = counts(transfer.apply_donor(ledger, donor))
+    donor = spark.createDataFrame([(1, 3, 2), (2, 2, 3)], "studentID long, donorDone long, donorOpen long")
+    given = ledger.join(donor, "studentID", "left")
+    got = counts(transfer.apply_donor(given))
     assert got == {
         (1, "Mathematics"): (4, 2),
         (2, "Algebra I"): (3, 1),
         (2, "Mathematics"): (0, 2),
         (3, "Algebra I"): (0, 0),
     }
-    assert [tuple(r) for r in transfer.donor_transfer(ledger, donor).collect()] == [(2, 2, 1, 0, 2)]
+    assert [tuple(r) for r in transfer.donor_transfer(given).collect()] == [(2, 2, 1, 0, 2)]
+
+
+def test_what_no_row_takes_is_listed(spark):
+    reqs = [("2024", 8, "Algebra I", 1, 1), ("2024", 7, "Algebra I", 1, 1), ("2024", 8, "Art", 1, 1)]
+    courses = [(1, "Algebra II", 9, 1, 3, 5.0, 5.0)] * 3 + [(1, "Art", 9, 1, 3, 5.0, 5.0)] * 4
+    steps = Graduation(make_inputs(spark, [(1, 12), (2, 12)], reqs, courses), YEAR, 0)
+    rows = sorted(tuple(r)[:2] + tuple(r)[2:] for r in steps.lost.collect())
+    assert rows == [
+        (1, "donor", "ALGEBRA II", 2, 0),
+        (1, "overflow", None, 3, 0),
+        (1, "requirement", "Art", 1, 0),
+        (2, "requirement", "Art", 0, 0),
+    ]
+    complete = [*reqs, ("2024", 8, "Mathematics", 9, 9), ("2024", 8, "Electives", 9, 9)]
+    now = [(c, 7, s, r, x) for c, n, s, r, x in complete if n == 8]
+    steps = Graduation(make_inputs(spark, [(1, 12)], [*complete, *now], courses), YEAR, 0)
+    assert steps.lost.count() == 0
+
+
+def test_trailing_spaces_of_subjects(spark):
+    reqs = [("2024", 8, "Art  ", 2, 1)]
+    courses = [(1, "art", 9, 1, 3, 5.0, 5.0), (1, "ART ", 9, 1, 3, 5.0, 5.0)]
+    inputs = make_inputs(spark, [(1, 12)], reqs, courses)
+    assert [r.semsComplete for r in Graduation(inputs, YEAR, 0).counted.collect()] == [0]
+    trimmed = Graduation(inputs, YEAR, 0, Rules(rtrim_subjects=True)).counted.collect()
+    assert [(r.subject, r.semsComplete) for r in trimmed] == [("Art", 2)]
 
 
 SCIENCES = [
@@ -392,6 +467,8 @@ def test_students_without_a_total_keep_their_status(spark):
     assert report[1] == (1, "Art", 0, 0, 0, 0, 1, "on track")
     published = status.publish_student_status(inputs.student_status, steps.final).collect()
     assert {r.studentID: r.gradStatus for r in published} == {1: "old", 2: "on track", 3: "old", 4: "old"}
+    none = status.publish_student_status(inputs.student_status.filter("studentID > 2"), steps.final)
+    assert sorted(r.studentID for r in none.collect()) == [3, 4]
     overall = status.overall_status(steps.graded, steps.final).collect()
     assert {r.studentID: r.overallOnTrack for r in overall} == {1: 0, 2: 2}
 
@@ -406,8 +483,10 @@ def test_status_codes(spark):
 def test_assert_unique(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "a")], "k int, v string")
     assert keyed.assert_unique(df.distinct(), ["k", "v"]).count() == 2
-    with pytest.raises(ValueError, match="duplicate"):
-        keyed.assert_unique(df, ["k", "v"])
+    assert keyed.assert_unique(df.distinct(), ["k", "v"]).columns == ["k", "v"]
+    for failing in (keyed.assert_unique(df, ["k", "v"]), keyed.assert_unique(df, ["k"]).select("v")):
+        with pytest.raises(PySparkException, match="duplicate"):
+            failing.count()
     assert [tuple(r) for r in keyed.duplicate_keys(df, ["k", "v"]).collect()] == [(1, "a", 2)]
 
 
@@ -423,6 +502,7 @@ def test_update_from_policies(spark):
     assert run(assign={"n": "m"}, multi_match="min") == {"x": 3, "y": 20, "z": 5}
     with pytest.raises(PySparkException, match="several source rows"):
         run(assign={"n": "m"}, multi_match="error")
+    assert run(add={"n": "m"}, multi_match="sum", spread=F.hash("t")) == {"x": 18, "y": 20, "z": 5}
     empty = spark.createDataFrame([(2, None)], "k int, m int")
     rows = keyed.update_from(target, empty, ["k"], assign={"n": "m"}, multi_match=None).collect()
     assert {r.t: r.n for r in rows} == {"x": 10, "y": None, "z": 5}
