@@ -293,26 +293,54 @@ def labelled_sample(docs: DataFrame, id_column: str, text: str, lang: str) -> li
     return [(r._lang, r._window) for r in rows.orderBy("_hash", "_window").limit(most).collect()]
 
 
-def in_batches(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    start, waiting = 0, 0
-    for i, text in enumerate(texts):
-        waiting += len(text)
-        if waiting >= BATCH_CHARS or i == len(texts) - 1:
-            yield start, texts[start : i + 1]
-            start, waiting = i + 1, 0
-
-
-def shares(model: Model, texts: list[str]) -> np.ndarray:
-    """For each text the mean probability of each language over its words; zeros without words."""
+def pieces(text: str) -> Iterator[str]:
+    """Cut a long text at line ends, or else at spaces, into pieces of a batch at most."""
+    at = 0
+    while len(text) - at > BATCH_CHARS:
+        stop = at + BATCH_CHARS
+        stop = text.rfind("\n", at, stop) + 1 or text.rfind(" ", at, stop) + 1 or stop
+        yield text[at:stop]
+        at = stop
+    yield text[at:]
+
+
+def in_batches(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Batches of pieces, with the text that each belongs to."""
+    owners, parts, waiting = [], [], 0
+    for owner, text in enumerate(texts):
+        for part in pieces(text):
+            owners.append(owner)
+            parts.append(part)
+            waiting += len(part)
+            if waiting >= BATCH_CHARS:
+                yield owners, parts
+                owners, parts, waiting = [], [], 0
+    if parts:
+        yield owners, parts
+
+
+def totals(model: Model, texts: list[str]) -> np.ndarray:
+    """For each text the sum of its words' probabilities of each language, and their number."""
     codes, starts, lengths, line = words_of(texts)
     k = len(model.languages)
+    found = np.zeros((len(texts), k + 1))
     if not len(starts) or not k:
-        return np.zeros((len(texts), k))
+        return found
     marginal, _ = posteriors(emissions(model, codes, starts, lengths), model.transitions, line)
     lowered = np.array([len(t.lower()) + 1 for t in texts])
     owner = np.searchsorted(np.cumsum(lowered), starts, side="right")
-    total = np.stack([np.bincount(owner, marginal[:, j], len(texts)) for j in range(k)], axis=1)
-    return total / np.maximum(np.bincount(owner, minlength=len(texts)), 1)[:, None]
+    for j in range(k):
+        found[:, j] = np.bincount(owner, marginal[:, j], len(texts))
+    found[:, k] = np.bincount(owner, minlength=len(texts))
+    return found
+
+
+def shares(model: Model, texts: list[str]) -> np.ndarray:
+    """For each text the mean probability of each language over its words; zeros without words."""
+    found = np.zeros((len(texts), len(model.languages) + 1))
+    for owners, parts in in_batches(texts):
+        np.add.at(found, owners, totals(model, parts))
+    return found[:, :-1] / np.maximum(found[:, -1:], 1)
 
 
 def predicted(text: Column, model: Model) -> Column:
@@ -322,16 +350,12 @@ def predicted(text: Column, model: Model) -> Column:
     def labelled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names = np.array([*model.languages, "und"], object)
         for batch in batches:
-            best = np.full(len(batch), len(model.languages))
-            score = np.zeros(len(batch))
-            for start, texts in in_batches(batch.fillna("").tolist()):
-                share = shares(model, texts)
-                if share.shape[1]:
-                    own = slice(start, start + len(texts))
-                    some = share.sum(axis=1) > 0
-                    best[own] = np.where(some, share.argmax(axis=1), len(model.languages))
-                    score[own] = np.minimum(share.max(axis=1), 1.0)
-            yield pd.DataFrame({"lang_pred": names[best], "score": score})
+            share = shares(model, batch.fillna("").tolist())
+            # Nothing at all is more than nothing: texts without words are ``und``.
+            share = np.concatenate([share, np.where(share.any(axis=1), 0.0, 1e-9)[:, None]], axis=1)
+            best = share.argmax(axis=1)
+            score = np.where(best < len(model.languages), share.max(axis=1), 0.0)
+            yield pd.DataFrame({"lang_pred": names[best], "score": np.minimum(score, 1.0)})
 
     return labelled(text)
 

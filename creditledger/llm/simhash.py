@@ -14,7 +14,8 @@ Of two shards the later one asks the earlier one, so that each pair meets once.
 prune more and ask more shards; their number follows from the number of fingerprints.
 
 A shard with more than ``TILE`` fingerprints is cut into tiles that are compared pairwise, in
-tasks of their own.  A task returns a spanning forest of the links it found, never all pairs.
+tasks of their own.  A task holds one tile, reads the fingerprints that ask it one batch after
+the other, and returns a spanning forest of the links it found, never all pairs.
 Components come from alternating large-star and small-star steps over tables in the shared
 folder until nothing changes.
 
@@ -26,6 +27,7 @@ empty table.  Other columns are left alone; working columns are named ``_sim...`
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import product
 
@@ -45,31 +47,48 @@ TILE = 8192
 DEEP_FROM = 50_000_000
 #: The vantage point of each level, in the bits of its block.
 VANTAGE = 0x9E3779B97F4A7C15
-UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
+LOWERED = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
+#: Bytes of a text whose shingles are held at once.
+PIECE_BYTES = 1 << 20
 BLOCK_ROWS = 1 << 16
 
 
+def pieces(data: bytes) -> Iterator[bytes]:
+    """Cut long data behind white space, so that words of a piece at a time are held."""
+    at = 0
+    while len(data) - at > PIECE_BYTES:
+        found = SPACE.search(data, at + PIECE_BYTES)
+        if not found:
+            break
+        yield data[at : found.end()]
+        at = found.end()
+    yield data[at:]
+
+
 def fingerprint(text: str | None, shingle: int) -> int:
     """The fingerprint of a text, as an unsigned 64-bit number."""
     import xxhash
 
-    words = (text or "").encode("utf-8", "replace").translate(bytes.maketrans(UPPER, LOWER)).split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
     digest = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        return digest(joined, SEED)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = [0, *(ends[:-1] + 1).tolist()]
-    spans = zip(starts, ends[shingle - 1 :].tolist(), strict=False)
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), np.uint64)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), BLOCK_ROWS):
-        block = hashes[at : at + BLOCK_ROWS].astype("<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(ones * 2 > len(hashes), bitorder="little")
-    return int(bits.view("<u8")[0])
+    ones, n, words = np.zeros(64, np.int64), 0, []
+    for piece in pieces((text or "").encode("utf-8", "replace")):
+        # The last words of the piece before begin shingles that end in this one.
+        words = words[max(0, len(words) - shingle + 1) :] if n else words
+        words += piece.translate(LOWERED).split()
+        if len(words) < shingle:
+            continue
+        joined = b" ".join(words)
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        starts = [0, *(ends[:-1] + 1).tolist()]
+        spans = zip(starts, ends[shingle - 1 :].tolist(), strict=False)
+        hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), "<u8")
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int64)
+        n += len(hashes)
+    if not n:
+        return digest(b" ".join(words), SEED) if words else 0
+    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
@@ -113,34 +132,49 @@ def steps_to_earlier(levels: int, bits: int) -> np.ndarray:
     return steps[steps @ places < 0]
 
 
-class Forest:
-    """Disjoint sets over 0..n-1, as a label for each; records the links that joined two sets."""
+class Tile:
+    """Stored fingerprints, in sets of those that links are known to join.
+
+    ``linked`` compares fingerprints with the stored ones and gives, for each, one link to
+    every set it touches, which thereby become one set.  Only the stored ones are held, however
+    many ask; and of the links within a set no more than a tree is given.
+    """
+
+    def __init__(self, stored: np.ndarray, bits: int) -> None:
+        self.stored, self.bits = stored, bits
+        self.label = np.arange(len(stored))
+
+    def linked(self, asking: np.ndarray, first: int | None = None) -> Iterator[tuple[int, int]]:
+        """Links as (place among ``asking``, place among the stored).
 
-    def __init__(self, n: int) -> None:
-        self.label = np.arange(n)
-        self.links: list[tuple[int, int]] = []
+        ``first`` says that the asking ones are stored, from that place on.
+        """
+        near = np.bitwise_count(asking[:, None] ^ self.stored[None, :]) <= self.bits
+        for i in np.flatnonzero(near.any(axis=1)):
+            met = np.flatnonzero(near[i])
+            labels, at = np.unique(self.label[met], return_index=True)
+            own = labels[0] if first is None else self.label[first + i]
+            if len(labels) > 1:
+                self.label[np.isin(self.label, labels)] = own
+            for label, k in zip(labels, at, strict=True):
+                if first is None or label != own:
+                    yield int(i), int(met[k])
 
-    def join(self, one: int, others: np.ndarray) -> None:
-        own = self.label[one]
-        labels, first = np.unique(self.label[others], return_index=True)
-        new = labels != own
-        if new.any():
-            self.links += [(one, int(others[i])) for i in first[new]]
-            self.label[np.isin(self.label, labels[new])] = own
 
+def rows_at_once(stored: np.ndarray) -> int:
+    return max(1, (1 << 22) // max(1, len(stored)))
 
-def links_of(stored: np.ndarray, asking: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links among ``stored`` and between it and ``asking``."""
-    every = np.concatenate([stored, asking])
-    forest = Forest(len(every))
-    rows = max(1, (1 << 22) // max(1, len(every)))
-    for at in range(0, len(stored), rows):
-        block = stored[at : at + rows]
-        near = np.bitwise_count(block[:, None] ^ every[None, :]) <= bits
-        for i in np.flatnonzero(near.sum(axis=1) > 1):
-            forest.join(at + int(i), np.flatnonzero(near[i]))
-    pairs = np.array(forest.links, np.int64).reshape(-1, 2)
-    return every[pairs[:, 0]], every[pairs[:, 1]]
+
+def links_of(tile: Tile, asking: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links among the stored fingerprints of a tile, or of ``asking`` to them."""
+    own = tile.stored if asking is None else asking
+    step = rows_at_once(tile.stored)
+    u, v = [], []
+    for at in range(0, len(own), step) if len(tile.stored) else ():
+        for i, j in tile.linked(own[at : at + step], at if asking is None else None):
+            u.append(own[at + i])
+            v.append(tile.stored[j])
+    return np.array(u, np.uint64), np.array(v, np.uint64)
 
 
 def placed(levels: int, bits: int, tiles: dict[int, int]):
@@ -192,37 +226,40 @@ def placed(levels: int, bits: int, tiles: dict[int, int]):
     return spread
 
 
-def linked(bits: int):
-    """Rows sorted by (``shard``, ``tile``) to links (``u``, ``v``)."""
+def searched(bits: int):
+    """Rows sorted by (``shard``, ``tile``), stored ones first, to links (``u``, ``v``)."""
 
-    def found(fps: list[np.ndarray], flags: list[np.ndarray]) -> pa.RecordBatch:
-        own, stored = np.concatenate(fps), np.concatenate(flags)
-        u, v = links_of(own[stored], own[~stored], bits) if stored.any() else (own[:0], own[:0])
-        columns = [pa.array(x.view(np.int64)) for x in (u, v)]
+    def batch_of(links: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        columns = [pa.array(x.view(np.int64)) for x in links]
         return pa.RecordBatch.from_arrays(columns, names=["u", "v"])
 
-    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_key, fps, flags = None, [], []
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, parts, tile = None, [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            shard, tile, stored, fp = (
+            shard, number, stored, fp = (
                 batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names
             )
             fp = fp.view(np.uint64)
-            new = np.flatnonzero((np.diff(shard) != 0) | (np.diff(tile) != 0)) + 1
-            for a, b in zip([0, *new], [*new, len(fp)], strict=True):
-                key = (shard[a], tile[a])
-                if key != open_key and fps:
-                    yield found(fps, flags)
-                    fps, flags = [], []
-                open_key = key
-                fps.append(fp[a:b])
-                flags.append(stored[a:b])
-        if fps:
-            yield found(fps, flags)
-
-    return searched
+            changes = (np.diff(shard) != 0) | (np.diff(number) != 0) | (np.diff(stored) != 0)
+            cuts = np.flatnonzero(changes) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(fp)], strict=True):
+                if (shard[a], number[a]) != key:
+                    if parts and tile is None:
+                        yield batch_of(links_of(Tile(np.concatenate(parts), bits)))
+                    key, parts, tile = (shard[a], number[a]), [], None
+                if stored[a]:
+                    parts.append(fp[a:b])
+                elif parts:
+                    if tile is None:
+                        tile = Tile(np.concatenate(parts), bits)
+                        yield batch_of(links_of(tile))
+                    yield batch_of(links_of(tile, fp[a:b]))
+        if parts and tile is None:
+            yield batch_of(links_of(Tile(np.concatenate(parts), bits)))
+
+    return search
 
 
 def near_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
@@ -239,10 +276,10 @@ def near_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     tiles = {row.shard: -(-row["count"] // TILE) for row in sizes.collect()}
     schema = "shard bigint, tile bigint, stored boolean, fp bigint"
     rows = distinct.select("fp").mapInArrow(placed(levels, bits, tiles), schema)
-    # Only shards that something is stored in are compared; empty ones end in ``linked``.
+    # Shards that nothing is stored in have no rows but asking ones, which meet nothing.
     dealt = rows.repartition(4 * tasks(distinct.sparkSession), "shard", "tile")
-    ordered = dealt.sortWithinPartitions("shard", "tile")
-    return ordered.mapInArrow(linked(bits), "u bigint, v bigint")
+    ordered = dealt.sortWithinPartitions("shard", "tile", F.desc("stored"))
+    return ordered.mapInArrow(searched(bits), "u bigint, v bigint")
 
 
 def components(links: DataFrame) -> DataFrame:

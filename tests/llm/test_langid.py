@@ -73,6 +73,17 @@ def test_words_of_a_switched_line_get_their_languages(spark, model):
     assert (np.diag(model.transitions) > np.median(model.transitions)).all()
 
 
+def test_pieces_of_long_texts(spark, model, monkeypatch):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60).collect()
+    texts = [r.text for r in docs] + ["", "12", "x" * 900]
+    want = langid.shares(model, texts)
+    assert ["".join(langid.pieces(t)) for t in texts] == texts
+    monkeypatch.setattr(langid, "BATCH_CHARS", 300)
+    got = langid.shares(model, texts)
+    assert (got[:-1].argmax(axis=1) == want[:-1].argmax(axis=1)).mean() > 0.95
+    assert np.abs(got[:-1] - want[:-1]).max() < 0.1
+
+
 def test_learns_from_text_and_allowed_languages_only(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     spoiled = docs.withColumn("lang", F.when(langid.held_out("doc_id"), "xx").otherwise(F.col("lang")))

@@ -82,8 +82,19 @@ def test_no_pairs_within_a_dense_group():
     rng = np.random.default_rng(1)
     center = np.uint64(rng.integers(1 << 63))
     near = np.unique(center ^ (np.uint64(1) << rng.integers(0, 64, 3000).astype(np.uint64)))
-    u, v = simhash.links_of(near, np.array([center]), 3)
-    assert len(u) == len(near)
+    tile = simhash.Tile(near, 3)
+    u, v = simhash.links_of(tile)
+    assert len(u) == len(near) - 1
+    u, v = simhash.links_of(tile, np.array([center, ~center]))
+    assert u.tolist() == [center]
+
+
+def test_pieces_of_long_texts(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices(["a", "B ", "\n", "ccc", " d"], k=rng.randrange(200))) for _ in range(60)]
+    monkeypatch.setattr(simhash, "PIECE_BYTES", 11)
+    for k in (1, 2, 3, 5):
+        assert [simhash.fingerprint(t, k) for t in texts] == [brute_fingerprint(t, k) for t in texts]
 
 
 def test_long_chain_is_one_component(spark):
