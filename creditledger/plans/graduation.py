@@ -139,6 +139,10 @@ class Graduation:
     def counted(self) -> DataFrame:
         return self.with_donor.drop("donorDone", "donorOpen")
 
+    @cached_property
+    def donor(self) -> DataFrame:
+        return credits.donor_semesters(self.sums, self.rules)
+
     # --- transfers and overflow
 
     @cached_property
