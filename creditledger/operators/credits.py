@@ -9,6 +9,7 @@ from ..functions.text import mark_above_zero, subject_key, text_after, text_befo
 from ..rules import DEFAULT_RULES, Rules, key, keys
 from .joins import lookup_join
 
+# Column names of the dual courses' counters.
 DUAL_COUNTERS = (
     "primaryComplete",
     "primaryInProgress",

@@ -2,7 +2,8 @@
 
 Every rule reads and changes rows of a single student, so each is a window
 over studentID and the chain shares one shuffle.  A student has at most one row
-per required subject, which bounds every window.
+per required subject, which bounds every window.  Names of columns that are
+written out, as ``compOverflow`` and ``inpOverflow``, are fixed values.
 """
 
 from __future__ import annotations

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Column names of the inputs and of the ledger.
 STUDENTS = {"studentID": T.LongType(), "grade": T.IntegerType()}
 REQUIREMENTS = {
     "gradYear": T.StringType(),
