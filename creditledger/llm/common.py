@@ -75,5 +75,14 @@ def n_words_of(text: Column) -> Column:
     return F.length(plain).cast("bigint")
 
 
+def arrow_rows(spark: SparkSession, rows: int = 1000) -> None:
+    """Set how many rows go to Python at once; with long texts, few, so that little is held.
+
+    A setting of the session that stays, as plans read it when they run.  Results are the same
+    with any number.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import arrow_rows, read
 
 Q = 10
 WINDOW, STRIDE = 100, 50
@@ -267,6 +267,7 @@ def leaks(
     item_text: str = "text",
 ) -> DataFrame:
     """One row per document and benchmark item met in it, with the region of least edits."""
+    arrow_rows(docs.sparkSession)
     schema = pa.schema(
         [("doc_id", pa.int64())]
         + [(name, pa.int64()) for name in ("item_id", "n_regions", "start", "end", "edits")]
@@ -314,6 +315,7 @@ def contaminated(text: Column, items: list[tuple[object, str]], spark: SparkSess
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is met."""
+    arrow_rows(docs.sparkSession)
     for items in blocks(benchmark, "item_id", "text"):
         docs = docs.filter(~contaminated(F.col(text), items, docs.sparkSession))
     return docs

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import arrow_rows, read
 
 # Fixed values of HTML: elements by their role.
 HIDDEN = (
@@ -340,6 +340,7 @@ def extracted(page: Column) -> Column:
 
 def extract(pages: DataFrame, page: str = "html") -> DataFrame:
     """``pages`` with ``_html_text``, the main text of each page."""
+    arrow_rows(pages.sparkSession)
     return pages.withColumn("_html_text", extracted(F.col(page)))
 
 

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import arrow_rows, read
 
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 1000
@@ -367,6 +367,7 @@ def identify(
 
     The model learns from the rows of ``docs`` with a language that are not held out.
     """
+    arrow_rows(docs.sparkSession)
     model = train(labelled_sample(docs, id_column, text, lang))
     return docs.withColumn("_lang", predicted(F.col(text), model))
 

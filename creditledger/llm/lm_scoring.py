@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, read
+from .common import arrow_rows, cut, read
 
 BACKOFF = 0.4
 MIN_COUNT = 2
@@ -332,6 +332,8 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
 
     ``score`` is the sum of the natural logarithms of its words' scores.
     """
+    # Words are listed once a batch, so that larger ones make fewer bytes.
+    arrow_rows(docs.sparkSession, 10_000)
     own = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     frequent, counts, n_words = frequent_words(own)
     n_parts = max(1, -(-n_words // PARTITION_PAIRS))

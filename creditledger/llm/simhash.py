@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, drop_cut, read, tasks
+from .common import arrow_rows, cut, drop_cut, read, tasks
 
 SHINGLE = 3
 BITS = 3
@@ -327,6 +327,7 @@ def grouped(
 
     (``component_id``, ``keeper_hash``) names the row that stays for the component.
     """
+    arrow_rows(docs.sparkSession)
     own = docs.select(
         F.col(id_column).alias("doc_id"),
         F.xxhash64(text).alias("text_hash"),

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import arrow_rows, read
 
 BATCH_BYTES = 1 << 20
 PIECE_BYTES = 1 << 16
@@ -120,6 +120,7 @@ def count_tokens(
     docs: DataFrame, path: str, text: str = "text", limit: int = TOKEN_LIMIT
 ) -> DataFrame:
     """``docs`` with a struct ``_tokens``: ``n_bytes``, ``n_tokens``, ``over_limit``."""
+    arrow_rows(docs.sparkSession)
     bytes_of = F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("bigint")
     counted = docs.withColumn("_tokens_n", n_tokens(F.col(text), path))
     n = F.col("_tokens_n")

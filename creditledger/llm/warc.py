@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, new_folder, read
+from .common import arrow_rows, cut, new_folder, read
 
 VERSION = b"WARC/1.1"
 END = b"\r\n"
@@ -164,6 +164,7 @@ def with_first(pages: DataFrame) -> DataFrame:
 
 def write(pages: DataFrame, folder: str) -> None:
     """Write archives of ``pages`` (page_id, url, html) into ``folder``."""
+    arrow_rows(pages.sparkSession)
     own = with_first(pages.select("page_id", "url", "html"))
 
     def framed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -330,6 +331,7 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     Responses are measured on the payload taken from the archive, and must agree with the
     digest in their headers; revisits have what their headers say of the full payload.
     """
+    arrow_rows(spark)
     records = reassembled(read_records(spark, folder))
     found = records.withColumn("found", payloads(F.col("block")))
     revisit = F.col("record_type") == "revisit"
