@@ -5,17 +5,21 @@ go on with the word, if the pair is in the count table, that is, was seen ``MIN_
 else ``BACKOFF`` times the word's share of all words.  A document's first word has its share of
 all words.  Counts cover all documents, a document's score is the sum of the logarithms.
 
-Pairs are exploded from the texts and partitioned by hash.  Words with a share of at least
-``FREQUENT`` of all words, at most 1 / ``FREQUENT`` of them, have their exact counts sent to
-every task; which words these are is looked up in a bounded sample, as it decides where rows go
-and not what comes out.  A pair goes to the partition of its second word, to that of its first
-word if only that one is rare, and to one of its own if both are frequent.  A partition thus
-has all occurrences of its rare words, and so the count table of its pairs and words, and no
-word or pair is more than a partition can hold: it joins the pairs to these counts and sums by
-document.  What is left are pairs of two rare words, whose first word is counted elsewhere:
-these rows are joined to the table of word counts, and all partial sums of a document are added
-up.  Between the steps pairs travel in packed arrays, one row for each batch of documents and
-partition, that list a word once however often the batch has it.
+Words and pairs with a share of at least ``FREQUENT`` of all words, at most 1 / ``FREQUENT`` of
+each, are found exactly: every task sums up its words with counters that may lose a bounded
+number of each (Misra and Gries), and whatever may be frequent by these is counted in full.
+Their counts are sent to every task, so that a frequent pair, or a frequent word that begins a
+document, is scored where the text is and added up by document; it is never shuffled.
+
+The other pairs are partitioned by hash: to the partition of the second word, to that of the
+first word if only that one is rare, and to one of its own if both are frequent.  A partition
+thus has all occurrences of its rare words, and so the count table of its pairs and words.  One
+word or pair has less than ``FREQUENT`` of all rows, which is less than a mean partition up to
+``PARTITION_PAIRS / FREQUENT`` words, 2.5e11 of them.  A partition joins the pairs to these
+counts and sums by document.  What is left are pairs of two rare words, whose first word is
+counted elsewhere: these rows are joined to the table of word counts, and all partial sums of a
+document are added up.  Between the steps pairs travel in packed arrays, one row for each batch
+of documents and partition, that list a word once however often the batch has it.
 
 Words and pairs are known by 64-bit hashes.
 
@@ -27,6 +31,7 @@ gives an empty table.  Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +46,10 @@ MIN_COUNT = 2
 #: Pairs that a partition holds on average, and words that are packed at once.
 PARTITION_PAIRS = 2_500_000
 BATCH_WORDS = 700_000
-#: Words of at least this share are frequent; the sample that they are looked up in.
+#: Bytes of text that a task sums up at least, so that it can leave out what is rare in many.
+TASK_BYTES = 16 << 20
+#: Words and pairs of at least this share of all words are frequent.
 FREQUENT = 0.00001
-SAMPLE_DOCS = 4000
 #: Stands before the first word of a document; a word with this hash is no word of a text.
 START = np.uint64(0)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -102,50 +108,139 @@ def paired(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def word_counts(docs: DataFrame, only: np.ndarray | None = None) -> DataFrame:
-    """(``word``, ``n``) over all texts, pre-added by batch; 0 stands for all words together.
+@dataclass
+class Frequent:
+    """Sorted hashes of the frequent words and pairs, and their exact counts."""
 
-    With ``only``, a sorted array of hashes, no other words are counted.
-    """
+    words: np.ndarray
+    counts: np.ndarray
+    pairs: np.ndarray
+    pair_counts: np.ndarray
+    n_words: int
+
+
+#: What is counted: words, pairs, all words together, and what counters may have lost.
+WORDS, PAIRS, ALL, LOST = range(4)
+COUNTED = "kind int, key bigint, n bigint"
+
+
+def counted_rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    columns = [
+        pa.array(np.full(len(n), kind, np.int32)),
+        pa.array(keys.astype(np.uint64).view(np.int64)),
+        pa.array(n.astype(np.int64)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["kind", "key", "n"])
+
+
+def words_and_pairs(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The hashes of the words and of the pairs of some texts, ``BATCH_WORDS`` at once."""
+    words, sizes = word_hashes(texts)
+    begins = np.zeros(len(words), bool)
+    begins[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    for a in range(0, len(words), BATCH_WORDS):
+        stop = min(a + BATCH_WORDS, len(words))
+        second = np.flatnonzero(~begins[a:stop]) + a
+        yield words[a:stop], paired(words[second - 1], words[second])
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own, _ = word_hashes(batch.column("text"))
-            n_all = len(own)
-            if only is not None:
-                at = np.minimum(np.searchsorted(only, own), max(0, len(only) - 1))
-                own = own[only[at] == own] if len(only) else own[:0]
-            words, n = np.unique(own, return_counts=True)
-            words = np.concatenate([words, [START]]).astype(np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words), pa.array(np.concatenate([n, [n_all]]).astype(np.int64))],
-                names=["word", "n"],
-            )
 
-    rows = docs.select("text").mapInArrow(counted, "word bigint, n bigint")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
+class Counters:
+    """Counts of at most ``size`` keys; no key lost more than ``lost`` of its occurrences."""
 
+    def __init__(self, size: int):
+        self.size, self.lost = size, 0
+        self.keys, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-def frequent_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """Sorted hashes of the frequent words, their exact counts, and the number of all words."""
-    n_docs = docs.count()
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, n_docs // SAMPLE_DOCS)))
-    sample = cut(word_counts(docs.filter(part == 0)))
-    all_words = sample.filter("word = 0").agg(F.sum("n")).first()[0] or 0
-    least = max(1, int(all_words * FREQUENT))
-    found = sample.filter((F.col("word") != 0) & (F.col("n") >= least)).select("word").collect()
-    only = np.sort(np.array([r.word for r in found], np.int64).view(np.uint64))
-    counts = {np.uint64(r.word & (2**64 - 1)): r.n for r in word_counts(docs, only).collect()}
-    n = np.array([counts.get(w, 0) for w in only], np.int64)
-    return only, n, counts.get(START, 0)
+    def add(self, keys: np.ndarray) -> None:
+        keys, n = np.unique(keys, return_counts=True)
+        self.keys, at = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
+        self.n = np.bincount(at, np.concatenate([self.n, n]), len(self.keys)).astype(np.int64)
+        if len(self.keys) > self.size:
+            # What is taken off is taken off more than ``size`` keys at once.
+            off = np.partition(self.n, -self.size - 1)[-self.size - 1]
+            self.lost += int(off)
+            self.n -= off
+            self.keys, self.n = self.keys[self.n > 0], self.n[self.n > 0]
+
+
+def candidates(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sorted hashes of words and pairs, all frequent ones among them; the number of all words."""
+    share = FREQUENT
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {kind: Counters(max(1, int(4 / share))) for kind in (WORDS, PAIRS)}
+        n_all = 0
+        for batch in batches:
+            for words, pairs in words_and_pairs(batch.column("text")):
+                n_all += len(words)
+                found[WORDS].add(words)
+                found[PAIRS].add(pairs)
+        yield counted_rows(ALL, np.zeros(1), np.array([n_all]))
+        least = int(n_all * share / 4)
+        for kind, own in found.items():
+            kept = own.n > least
+            yield counted_rows(kind, own.keys[kept], own.n[kept])
+            yield counted_rows(LOST, np.array([kind]), np.array([own.lost + least]))
+
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    texts = docs.select("text").coalesce(max(1, size // TASK_BYTES))
+    sums = texts.mapInArrow(summed, COUNTED).groupBy("kind", "key")
+    sums = cut(sums.agg(F.sum("n").alias("n")))
+    totals = {(r.kind, r.key): r.n for r in sums.filter(F.col("kind") >= ALL).collect()}
+    n_words = totals.get((ALL, 0), 0)
+    found = []
+    for kind in (WORDS, PAIRS):
+        least = least_count(n_words, kind) - totals.get((LOST, kind), 0)
+        own = sums.filter((F.col("kind") == kind) & (F.col("n") >= least)).select("key")
+        found.append(np.sort(own.toArrow()["key"].to_numpy().view(np.uint64)))
+    return *found, n_words
+
+
+def least_count(n_words: int, kind: int) -> int:
+    """How often a frequent word or pair is met; pairs below ``MIN_COUNT`` are not counted."""
+    return max(MIN_COUNT if kind == PAIRS else 1, int(n_words * FREQUENT))
+
+
+def frequent_words(docs: DataFrame) -> Frequent:
+    """The frequent words and pairs with their counts over all texts."""
+    *keys, n_words = candidates(docs)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros(len(k), np.int64) for k in keys]
+        for batch in batches:
+            for both in words_and_pairs(batch.column("text")):
+                for known, total, own in zip(keys, sums, both, strict=True):
+                    at, met = places(known, own)
+                    total += np.bincount(at[met], minlength=len(known))
+        for kind, known, total in zip((WORDS, PAIRS), keys, sums, strict=True):
+            yield counted_rows(kind, known[total > 0], total[total > 0])
+
+    sums = docs.select("text").mapInArrow(counted, COUNTED).groupBy("kind", "key")
+    table = sums.agg(F.sum("n").alias("n")).toArrow()
+    kinds, found, n = (table[c].to_numpy() for c in ("kind", "key", "n"))
+    exact = []
+    for kind in (WORDS, PAIRS):
+        own = (kinds == kind) & (n >= least_count(n_words, kind))
+        hashes = found[own].view(np.uint64)
+        order = np.argsort(hashes)
+        exact += [hashes[order], n[own][order]]
+    return Frequent(*exact, n_words)
+
+
+def places(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each key among sorted ones, and whether it is there."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == keys
 
 
 def lookup(sorted_words: np.ndarray, values: np.ndarray, words: np.ndarray) -> np.ndarray:
     """The value of each word, 0 for words that are not listed."""
     if not len(sorted_words):
         return np.zeros(len(words), values.dtype)
-    at = np.minimum(np.searchsorted(sorted_words, words), len(sorted_words) - 1)
-    return np.where(sorted_words[at] == words, values[at], values.dtype.type(0))
+    at, met = places(sorted_words, words)
+    return np.where(met, values[at], values.dtype.type(0))
 
 
 def small(values: np.ndarray) -> np.ndarray:
@@ -159,16 +254,18 @@ def grown(data: bytes, n: int) -> np.ndarray:
 
 PACKED = (
     "part int, first_row bigint, n_pairs bigint, words binary, runs binary, firsts binary, "
-    "first_at binary, doc_at binary, doc_ids binary, doc_words binary, doc_rows binary"
+    "first_at binary, doc_at binary, doc_ids binary, doc_words binary, doc_rows binary, "
+    "doc_sums binary"
 )
 
 
-def packed(n_parts: int, frequent: np.ndarray):
+def packed(n_parts: int, frequent: Frequent):
     """Arrow batches of (doc_id, text) to rows of ``PACKED``.
 
     A row has, sorted by word, the different words with the lengths of their runs, and for each
     pair the place of its first word in ``firsts`` and of its document in the batch.  Each
-    partition also gets its share of the batch's documents: row, id, number of words.
+    partition also gets its share of the batch's documents: row, id, number of words, and the
+    sum of what is scored here, by the counts of frequent words and pairs.
     """
     # Two bytes are sorted in linear time.
     part_type = np.uint16 if n_parts < 1 << 16 else np.uint32
@@ -178,9 +275,25 @@ def packed(n_parts: int, frequent: np.ndarray):
         doc = np.repeat(np.arange(len(texts)), sizes)
         first = np.concatenate([[START], second[:-1]]).astype(np.uint64)[: len(second)]
         starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-        hot = lookup(frequent, np.ones(len(frequent), bool), second)
+        at, hot = places(frequent.words, second)
+        n_second = frequent.counts[at] if len(frequent.words) else at
+        n_first = np.concatenate([[0], n_second[:-1]])[: len(second)]
         hot_before = np.concatenate([[True], hot[:-1]])[: len(second)]
         first[starts], hot_before[starts] = START, True
+        begins = np.zeros(len(second), bool)
+        begins[starts] = True
+        own = np.flatnonzero(begins & hot)
+        both = np.flatnonzero(hot & hot_before & ~begins)
+        at, met = places(frequent.pairs, paired(first[both], second[both]))
+        both, at = both[met], at[met]
+        sums = np.bincount(doc[own], np.log(n_second[own] / frequent.n_words), len(texts))
+        if len(both):
+            value = np.log(frequent.pair_counts[at] / n_first[both])
+            sums = sums + np.bincount(doc[both], value, len(texts))
+        rest = np.ones(len(second), bool)
+        rest[own], rest[both] = False, False
+        second, first, doc = second[rest], first[rest], doc[rest]
+        hot, hot_before = hot[rest], hot_before[rest]
         key = np.where(hot, np.where(hot_before, paired(first, second), first * MIX), second * MIX)
         part = ((key >> np.uint64(20)) % np.uint64(n_parts)).astype(part_type)
         order = np.argsort(second)
@@ -216,9 +329,10 @@ def packed(n_parts: int, frequent: np.ndarray):
                     id_values[mine].tobytes(),
                     counts.astype(np.int64).tobytes(),
                     small(mine).tobytes(),
+                    sums[mine].astype(np.float64).tobytes(),
                 )
             )
-        kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 8]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 9]
         names = [f.split()[0] for f in PACKED.split(", ")]
         columns = zip(*rows, strict=True)
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
@@ -249,7 +363,7 @@ FOUND = "kind string, key bigint, doc_row bigint, value double, n bigint"
 
 
 def joined(frequent: np.ndarray, counts: np.ndarray, n_words: int):
-    """All rows of a partition to rows of ``FOUND``."""
+    """All rows of a partition to rows of ``FOUND``; ``frequent`` words are counted already."""
 
     def rows(kind: str, key, doc_row, value, n) -> pa.Table:
         size = len(n)
@@ -265,7 +379,7 @@ def joined(frequent: np.ndarray, counts: np.ndarray, n_words: int):
     def join(table: pa.Table) -> pa.Table:
         # Words are kept as listed in the packed rows; pairs refer to their places.
         seconds, runs, firsts, first_at, doc_at, doc_rows = [], [], [], [], [], []
-        ids, id_rows, sizes = [], [], []
+        ids, id_rows, own_sums, sizes = [], [], [], []
         n_firsts = n_docs = 0
         for r in table.to_pylist():
             own = np.frombuffer(r["words"], np.uint64)
@@ -283,9 +397,10 @@ def joined(frequent: np.ndarray, counts: np.ndarray, n_words: int):
             own = np.frombuffer(r["doc_ids"], np.int64)
             ids.append(own)
             id_rows.append(grown(r["doc_rows"], len(own)) + r["first_row"])
+            own_sums.append(np.frombuffer(r["doc_sums"], np.float64))
             sizes.append(np.frombuffer(r["doc_words"], np.int64))
         del table
-        out = [rows("document", *map(np.concatenate, (ids, id_rows)), None, np.concatenate(sizes))]
+        out = [rows("document", *map(np.concatenate, (ids, id_rows, own_sums, sizes)))]
         seconds, runs, firsts = map(np.concatenate, (seconds, runs, firsts))
         first_at, doc_at, doc_rows = map(np.concatenate, (first_at, doc_at, doc_rows))
         if not len(first_at):
@@ -327,6 +442,12 @@ def joined(frequent: np.ndarray, counts: np.ndarray, n_words: int):
     return join
 
 
+def rare_pairs(docs: DataFrame, frequent: Frequent) -> DataFrame:
+    """Rows of ``PACKED``: what is not scored by the counts of frequent words and pairs."""
+    n_parts = max(1, -(-frequent.n_words // PARTITION_PAIRS))
+    return docs.mapInArrow(packed(n_parts, frequent), PACKED)
+
+
 def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``n_backed_off``, ``score``.
 
@@ -335,11 +456,9 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
     # Words are listed once a batch, so that larger ones make fewer bytes.
     arrow_rows(docs.sparkSession, 10_000)
     own = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    frequent, counts, n_words = frequent_words(own)
-    n_parts = max(1, -(-n_words // PARTITION_PAIRS))
-    pairs = own.mapInArrow(packed(n_parts, frequent), PACKED)
-    found = pairs.groupBy("part").applyInArrow(joined(frequent, counts, n_words), FOUND)
-    found = cut(found)
+    frequent = frequent_words(own)
+    join = joined(frequent.words, frequent.counts, frequent.n_words)
+    found = cut(rare_pairs(own, frequent).groupBy("part").applyInArrow(join, FOUND))
 
     def of(kind: str) -> DataFrame:
         return found.filter(F.col("kind") == kind)
@@ -357,9 +476,14 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
         F.when(F.col("n") >= 0, F.col("key")).alias("doc_id"),
         F.col("doc_row").alias("row"),
         F.when(F.col("n") < 0, F.bitwise_not("n")).otherwise(F.col("n")).alias("n_words"),
+        F.col("value").alias("own"),
     )
+    total = F.col("own") + F.coalesce("score", F.lit(0.0))
     return documents.join(sums, F.col("row") == F.col("doc_row"), "left").select(
-        "doc_id", "n_words", F.coalesce("n_backed", F.lit(0)).alias("n_backed_off"), "score"
+        "doc_id",
+        "n_words",
+        F.coalesce("n_backed", F.lit(0)).alias("n_backed_off"),
+        F.when(F.col("n_words") > 0, total).alias("score"),
     )
 
 
