@@ -33,6 +33,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,33 +166,39 @@ def with_first(pages: DataFrame) -> DataFrame:
 def write(pages: DataFrame, folder: str) -> None:
     """Write archives of ``pages`` (page_id, url, html) into ``folder``."""
     arrow_rows(pages.sparkSession)
-    own = with_first(pages.select("page_id", "url", "html"))
+    own = with_first(pages.select(F.col("page_id").cast("bigint"), "url", "html"))
 
-    def framed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batch_of(records: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
+
+    # Ids stay Arrow longs: pandas turns longs beside nulls into doubles, which rounds them.
+    def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             out, size = [], 0
-            columns = (batch[c].tolist() for c in ("page_id", "url", "html", "first", "rows"))
-            for page_id, url, page, first, rows in zip(*columns, strict=True):
-                page_id = None if pd.isna(page_id) else int(page_id)
-                first = None if pd.isna(first) else int(first)
-                repeats = first is not None and first != page_id
+            names = ("page_id", "url", "html", "response", "rows")
+            columns = (batch.column(c) for c in names)
+            for page_id, url, page, response, rows in zip(*columns, strict=True):
+                page_id, response = page_id.as_py(), response.as_py()
                 # Records that may not be the only one with an id get a number of their own.
-                suffix = f":{task}:{row}" if repeats or rows > 1 else ""
+                suffix = f":{task}:{row}" if response is not None or rows.as_py() > 1 else ""
                 row += 1
-                for record in records_of(page_id, url, page, first if repeats else None, suffix):
+                for record in records_of(page_id, url.as_py(), page.as_py(), response, suffix):
                     out.append(record)
                     size += len(record)
                 if size > 1 << 24:
-                    yield pd.DataFrame({"record": out})
+                    yield batch_of(out)
                     out, size = [], 0
-            yield pd.DataFrame({"record": out})
+            yield batch_of(out)
 
     rows = F.coalesce("first.n", F.lit(0)).alias("rows")
-    named = own.select("page_id", "url", "html", F.col("first.page_id").alias("first"), rows)
-    text = named.mapInPandas(framed, "record binary").select(F.col("record").cast("string"))
+    first = F.col("first.page_id")
+    repeats = first.isNotNull() & ~first.eqNullSafe(F.col("page_id"))
+    response = F.when(repeats, first).alias("response")
+    named = own.select("page_id", "url", "html", response, rows)
+    text = named.mapInArrow(framed, "record binary").select(F.col("record").cast("string"))
     text.write.option("lineSep", CLOSE).option("compression", "gzip").text(folder)
 
 
@@ -230,14 +237,21 @@ def record_row(fields: dict[str, str], block: bytes) -> tuple:
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """All records of the archives in ``folder``, segments as they are."""
-    names = [f.strip().split()[0] for f in RECORD.split(",")]
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    fields_of = [f.split() for f in RECORD.split(",")]
+    schema = pa.schema([(name, kinds[kind]) for name, kind in fields_of])
     lines = spark.read.option("lineSep", CLOSE).text(folder)
     raw = lines.select(
         F.col("value").cast("binary").alias("part"), F.col("_metadata.file_path").alias("path")
     )
     close = CLOSE.encode()
 
-    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+        arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         size, path = 0, None
         waiting, fields, start, end = bytearray(), None, 0, 0
@@ -249,7 +263,8 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
             waiting.clear()
 
         for batch in batches:
-            for part, own_path in zip(batch["part"], batch["path"], strict=True):
+            for part, own_path in zip(batch.column("part"), batch.column("path"), strict=True):
+                part, own_path = part.as_py(), own_path.as_py()
                 if own_path != path:
                     end_of_archive()
                     path = own_path
@@ -272,12 +287,12 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
                     del waiting[: end + len(close)]
                     fields = None
                 if size > 1 << 24:
-                    yield pd.DataFrame(out, columns=names)
+                    yield batch_of(out)
                     out, size = [], 0
         end_of_archive()
-        yield pd.DataFrame(out, columns=names)
+        yield batch_of(out)
 
-    return raw.mapInPandas(joined, RECORD)
+    return raw.mapInArrow(joined, RECORD)
 
 
 def reassembled(records: DataFrame) -> DataFrame:

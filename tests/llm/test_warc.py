@@ -139,3 +139,14 @@ def test_odd_rows(spark):
     folder = common.new_folder(spark)
     warc.write(empty, folder)
     assert warc.read_pages(spark, folder).count() == 0
+
+
+def test_large_ids_beside_nulls_are_exact(spark):
+    big = 2**60 + 1
+    rows = [(big + i, "u", "same") for i in range(3)]
+    rows += [(big + 10 + i, "u", f"own {i}") for i in range(3)] + [(None, "u", "no id"), (None, "u", "same")]
+    rows += [(big + 20, "u", "long " * 50000), (big + 21, "u", "long " * 50000)]
+    folder, got = round_trip(spark, rows)
+    assert ordered(got) == ordered(brute(rows))
+    pages = {r.record_id: r for r in warc.read_pages(spark, folder).collect()}
+    assert all(pages[r.refers_to].record_type == "response" for r in pages.values() if r.refers_to)
