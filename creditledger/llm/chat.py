@@ -6,10 +6,12 @@ of 128-bit turn hashes, each of which covers the turn's number, role and text.
 whole hash is the hash of a proper beginning of another log is dropped by an anti-join; of
 logs with equal turns that of the smallest id stays.
 
-Running hashes are taken inside blocks of turn numbers, and the blocks before are added, so
-that a log with a third of all rows is many tasks.  The joined tables hold one row for each
-different beginning, however many logs share it.  Rendering also works by block: a log of up
-to ``BLOCK`` turns is one text, a longer one is a numbered sequence of texts to be joined.
+Running hashes are taken inside ranges of the sorted rows, and the ranges before are added, so
+that a log with a third of all rows is many tasks, whatever its turn numbers are.  The joined
+tables hold one row for each different beginning, however many logs share it.  Rendering takes
+different rows only and works by block of turn numbers: a log of up to ``BLOCK`` turns is one
+text, a longer one is a numbered sequence of texts to be joined.  As the number of a block is
+that of its turns, different rows without a number, or with the same one, are one text.
 
 Built-in expressions only: no UDF, no pandas, no RDD.
 
@@ -23,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, read
+from .common import cut, read, tasks
 
 BLOCK = 1024
 HASH = ("a", "b")
@@ -33,17 +35,21 @@ def _block(turn: str) -> Column:
     return F.coalesce(F.floor(F.col(turn) / BLOCK), F.lit(-1)).cast("bigint")
 
 
+def ranged(turns: DataFrame) -> DataFrame:
+    """The hashes of the different turns, ``block`` being their place among even sorted ranges."""
+    first = F.xxhash64("turn", "role", "text", F.isnull("role"), F.isnull("text"))
+    second = F.xxhash64(F.lit("second"), "text", "role", "turn", F.isnull("turn"))
+    hashed = turns.select("conv_id", "turn", first.alias("a"), second.alias("b")).distinct()
+    hashed = hashed.repartitionByRange(tasks(turns.sparkSession), "conv_id", "turn", *HASH)
+    return cut(hashed.withColumn("block", F.spark_partition_id()))
+
+
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) to one row per turn: ``conv_id``, ``n``, ``a``, ``b``, ``all``.
 
     ``n`` turns have the hash (``a``, ``b``); ``all`` is the number of turns of the log.
     """
-    first = F.xxhash64("turn", "role", "text", F.isnull("role"), F.isnull("text"))
-    second = F.xxhash64(F.lit("second"), "text", "role", "turn", F.isnull("turn"))
-    hashed = turns.select(
-        "conv_id", "turn", _block("turn").alias("block"), first.alias("a"), second.alias("b")
-    )
-    hashed = cut(hashed.distinct())
+    hashed = ranged(turns)
     blocks = hashed.groupBy("conv_id", "block").agg(
         F.count(F.lit(1)).alias("rows"), *[F.bit_xor(h).alias(h) for h in HASH]
     )
@@ -93,7 +99,8 @@ def render(turns: DataFrame) -> DataFrame:
     role, text = (F.coalesce(F.col(c), empty) for c in ("role", "text"))
     turn = F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), text, F.lit("<|im_end|>\n"))
     row = F.struct("turn", "role", "text", turn.alias("rendered"))
-    rows = F.array_distinct(F.sort_array(F.collect_list(row)))
+    # A set, in every task before the shuffle: a row that was logged many times is held once.
+    rows = F.array_distinct(F.sort_array(F.collect_set(row)))
     return (
         turns.groupBy("conv_id", _block("turn").alias("part"))
         .agg(rows.alias("rows"))

@@ -82,3 +82,20 @@ def test_plan_is_native(spark):
     df = spark.createDataFrame([(1, 0, "user", "a")], SCHEMA)
     plan = chat.render(df)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "ArrowEval"))
+
+
+def test_copies_are_not_collected(spark):
+    text = "x" * 3000
+    copies = spark.range(800_000).selectExpr("1L AS conv_id", "0L AS turn", "'user' AS role", f"'{text}' AS text")
+    (row,) = chat.render(copies.coalesce(1)).collect()
+    assert row.n_turns == 1 and row.rendered == f"<|im_start|>user\n{text}<|im_end|>\n"
+
+
+def test_rows_without_a_number_are_many_ranges(spark):
+    own = [(1, None, "user", f"t{k}") for k in range(3000)] + [(1, 7, "user", f"u{k}") for k in range(3000)]
+    rows = own + [(2, *r[1:]) for r in sorted(own, key=lambda r: (r[1] is not None, r[3]))]
+    rows += [(3, None, "user", "again")] * 5000 + [(None, None, "tool", f"v{k}") for k in range(2000)]
+    ranges = chat.ranged(spark.createDataFrame(rows, SCHEMA)).groupBy("conv_id", "block").count().collect()
+    assert sum(r["count"] for r in ranges) == 14001
+    assert max(r["count"] for r in ranges) < 2900
+    assert rendered(spark, rows) == brute(rows)
