@@ -6,6 +6,10 @@ and after it, and by where it stands: inside an element for navigation, advertis
 like, inside the article, or inside a heading.  A decision tree grown on the small labelled
 table below decides which blocks are main text.
 
+A word in a container's id, class or role is a hint: a full one if it is a whole name, half a
+one if it is part of a name or begins one, when long blocks without links stay.  It is no hint
+on a container that holds the page's article, or most of its text.
+
 The tree is grown on the driver from the table, some dozens of rows, and has a few nodes.
 Pages are worked on one by one in Arrow batches; they are never shuffled.
 
@@ -67,7 +71,7 @@ class Block:
     text: str
     words: int
     link_density: float
-    boilerplate: bool
+    boilerplate: float
     article: bool
     heading: bool
 
@@ -101,33 +105,83 @@ HIDING = re.compile(
 HIDDEN_FLAG = re.compile(r"(?:^|\s)hidden(?=\s|$|=|/)", re.I)
 QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 NAME_PARTS = re.compile(r"[a-zA-Z]+")
+#: How sure it is that an element is not for the article: by a part of a name, a name, its kind.
+PART, NAME, KIND = 0.5, 1.0, 2.0
+#: Words that a container must hold at least, and its share of the page's, to be no hint; the
+#: share that the article within it must have.
+WRAPPER_WORDS, WRAPPER_SHARE, ARTICLE_SHARE = 50, 0.5, 1 / 3
 
 
-def unwanted(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is for something else than the article."""
+def unwanted(name: str, attributes: str, in_article: bool) -> float:
+    """How sure it is that an element is for something else than the article; 0 if nothing says."""
     if name in Names.boilerplate or name == "header" and not in_article:
-        return True
+        return KIND
     if not attributes or name in ("body", "html", "article", "main"):
-        return False
+        return 0.0
     if HIDING.search(attributes) or HIDDEN_FLAG.search(QUOTED.sub("", attributes)):
-        return True
+        return KIND
+    level = 0.0
     for found in ATTRIBUTE.finditer(attributes):
         value = found.group(1) or found.group(2) or found.group(3) or ""
-        for part in map(str.lower, NAME_PARTS.findall(value)):
-            if part in Names.hints or part.startswith(Names.hint_starts):
-                if not (in_article and part in Names.page_hints):
-                    return True
-    return False
+        for token in value.lower().split():
+            for part in NAME_PARTS.findall(token):
+                if part in Names.hints or part.startswith(Names.hint_starts):
+                    if not (in_article and part in Names.page_hints):
+                        whole = part == token and part in Names.hints
+                        level = max(level, NAME if whole else PART)
+    return level
+
+
+def weigh(found: list[Block], under: list[tuple], hints: list[float], articles: list) -> None:
+    """Set ``boilerplate`` by the hints that each block is ``under``, but for the page's wrappers.
+
+    ``hints`` has the level of each hint, ``articles`` for each article element the hints it is
+    under and its words.
+    """
+    held = [0] * len(hints)
+    total = 0
+    for block, own in zip(found, under, strict=True):
+        total += block.words if not block.boilerplate else 0
+        for hint in own:
+            held[hint] += block.words
+    least = max(WRAPPER_WORDS, WRAPPER_SHARE * total)
+    most = {hint for hint, words in enumerate(held) if words > least}
+    # Comments may be longer than the article: what stands beside one is not the page's wrapper.
+    outside = [set(own) for own, words in articles if words >= WRAPPER_WORDS and most.issuperset(own)]
+    wrappers = {hint for hint in most if all(hint in own for own in outside)}
+    above, words = max(articles, key=lambda a: a[1], default=((), 0))
+    if words >= max(WRAPPER_WORDS, ARTICLE_SHARE * total):
+        wrappers.update(above)
+    for block, own in zip(found, under, strict=True):
+        left = [hints[hint] for hint in own if hint not in wrappers]
+        block.boilerplate = 1.0 if block.boilerplate else max(left, default=0.0)
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page, in its order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []
+    # Of each open element: name, whether its kind is not for the article, its article, its hint.
+    stack: list[tuple[str, bool, int | None, int | None]] = []
+    under: list[tuple] = []
+    hints: list[float] = []
+    articles: list[list] = []
     open_parts: list[tuple[str, bool]] = []
     heading, links = "", 0
     hidden_until = ""
 
+    def open_hints() -> tuple:
+        return tuple(s[3] for s in stack if s[3] is not None)
+
+    def opened(name: str, level: float) -> None:
+        article = hint = None
+        if name in Names.article:
+            article = len(articles)
+            articles.append([open_hints(), 0])
+        if 0 < level < KIND:
+            hint = len(hints)
+            hints.append(level)
+        stack.append((name, level == KIND, article, hint))
+
     def flush() -> None:
         if not open_parts:
             return
@@ -137,9 +191,12 @@ def blocks_of(page: str) -> list[Block]:
             linked = sum(len(part.split()) for part, in_link in open_parts if in_link)
             words = len(text.split())
             bad = any(s[1] for s in stack)
-            good = any(s[2] for s in stack)
+            own = {s[2] for s in stack if s[2] is not None}
+            for article in own:
+                articles[article][1] += words
             density = min(1.0, linked / words)
-            found.append(Block(text, words, density, bad, good, bool(heading)))
+            found.append(Block(text, words, density, bad, bool(own), bool(heading)))
+            under.append(open_hints())
         open_parts.clear()
 
     at = 0
@@ -180,15 +237,16 @@ def blocks_of(page: str) -> list[Block]:
                     while stack.pop()[0] != name:
                         pass
             else:
-                inside = any(s[2] for s in stack)
-                stack.append((name, unwanted(name, attributes, inside), name in Names.article))
-        elif not closing and unwanted(name, attributes, True) and name in ("p", "li", "span"):
+                inside = any(s[2] is not None for s in stack)
+                opened(name, unwanted(name, attributes, inside))
+        elif not closing and name in ("p", "li", "span") and unwanted(name, attributes, True):
             # An element that may lack its end tag: what it is for ends with the next block.
-            stack.append((name, True, False))
+            opened(name, unwanted(name, attributes, True))
             continue
         while stack and stack[-1][0] in ("p", "li", "span"):
             stack.pop()
     flush()
+    weigh(found, under, hints, articles)
     return found
 
 
@@ -253,6 +311,16 @@ LABELLED = (
     (7, 0.00, 80, 0.0, 0, 0.0, 1, 0, 0, 0),
     (4, 0.00, 0, 0.0, 3, 1.0, 1, 0, 1, 0),
     (35, 0.60, 3, 1.0, 3, 1.0, 1, 0, 0, 0),
+    # Under half a hint: long text without links stays, short text and links do not.
+    (80, 0.00, 60, 0.0, 70, 0.0, 0.5, 1, 0, 1),
+    (60, 0.00, 50, 0.0, 5, 1.0, 0.5, 0, 0, 1),
+    (50, 0.05, 0, 0.0, 60, 0.0, 0.5, 0, 0, 1),
+    (20, 0.00, 60, 0.0, 70, 0.0, 0.5, 1, 0, 0),
+    (15, 0.00, 40, 0.0, 50, 0.0, 0.5, 0, 0, 0),
+    (20, 0.10, 0, 0.0, 0, 0.0, 0.5, 0, 0, 0),
+    (3, 1.00, 60, 0.0, 3, 1.0, 0.5, 1, 0, 0),
+    (6, 0.00, 2, 1.0, 30, 0.0, 0.5, 0, 1, 0),
+    (60, 0.80, 50, 0.8, 40, 0.9, 0.5, 0, 0, 0),
     # Pages without an article element: running text.
     (70, 0.00, 50, 0.0, 60, 0.0, 0, 0, 0, 1),
     (30, 0.10, 45, 0.0, 25, 0.0, 0, 0, 0, 1),

@@ -95,3 +95,29 @@ def test_odd_rows(spark):
     assert len(out) == 4
     assert [r._html_text for r in out if r.page_id == 1] == ["", ""]
     assert h.extract(pages.filter("1 = 0")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["layout has-sidebar", "elementor-widget-container", "post social-studies", "popular-science", "commentary", "widget"],
+)
+@pytest.mark.parametrize("element", ["article", "div"])
+def test_wrappers_with_a_hint_in_their_name(tree, name, element):
+    long = " ".join(f"word{i}" for i in range(70))
+    body = f"<h1>The title</h1><p>{long}</p><p>Short one.</p><p>{long}</p>"
+    ads = "<div class='ad'>Buy this now</div><div class='related'><article>A teaser</article></div>"
+    page = f"<body><nav><a href='/'>Home</a></nav><div class='{name}'><{element}>{body}</{element}>{ads}</div></body>"
+    assert h.main_text(page, tree) == f"The title {long} Short one. {long}"
+
+
+def test_long_text_under_part_of_a_name(tree):
+    long = " ".join(f"word{i}" for i in range(70))
+    page = f"<div>{f'<p>{long}</p>' * 4}</div><div class='social-studies'><p>{long}</p></div><div class='ad'><p>{long}</p></div>"
+    assert h.main_text(page, tree) == " ".join([long] * 5)
+
+
+def test_comments_longer_than_the_article(tree):
+    long = " ".join(f"word{i}" for i in range(70))
+    said = f"<section id='comments'>{f'<p>{long} indeed</p>' * 9}</section>"
+    page = f"<div class='layout has-sidebar'><article><p>{long}</p></article>{said}</div>"
+    assert h.main_text(page, tree) == long
