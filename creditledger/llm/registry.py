@@ -8,6 +8,7 @@ from . import (
     html_text,
     langid,
     lm_scoring,
+    merkle,
     mixing,
     quality,
     simhash,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_language_id": langid.op9_language_id,
     "op10_warc": warc.op10_warc,
+    "op11_merkle": merkle.op11_merkle,
 }
 
 ORACLE_SQL = {
@@ -33,4 +35,5 @@ ORACLE_SQL = {
     "op2_lm_scoring": lm_scoring.OP2_SQL,
     "op6_mixing": mixing.OP6_SQL,
     "op8_quality_rules": quality.OP8_SQL,
+    "op11_merkle": merkle.OP11_SQL,
 }

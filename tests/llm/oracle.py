@@ -6,7 +6,7 @@ from collections import Counter
 
 import duckdb
 
-TABLES = ("documents", "benchmark", "labels", "pages", "conversations")
+TABLES = ("documents", "benchmark", "labels", "pages", "conversations", "embeddings")
 
 
 def tables(folder: str):
