@@ -14,7 +14,7 @@ sizes of the sources are.
 
 Numbers come from range-sorted rows: the place within a sorted partition, plus the rows of the
 source in the partitions before.  The table of those sums has a row for each partition and one
-for each source.  Every level is written to the shared folder.  On the way back down every node
+for each source.  Every level, and the paths above it, are written to the shared folder.  On the way back down every node
 appends the path of its parent, one join a level on the number of the run.  So a leaf meets its
 path without a key that many leaves share, and nothing is gathered on the driver but the number
 of nodes of the largest tree.
@@ -130,7 +130,7 @@ def with_siblings(nodes: DataFrame, arity: int) -> DataFrame:
 
     A node also finds itself, at offset zero, so that one that is alone in its run stays.
     """
-    run = F.floor(F.col("idx") / arity).cast("bigint")
+    run = F.expr(f"idx div {arity}")
     placed = nodes.withColumn("run", run).repartition("tree", "run")
     offsets = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(arity - 1).cast("bigint")))
     asking = placed.withColumn("_offset", offsets)
@@ -179,7 +179,7 @@ def climb(nodes: DataFrame, arity: int) -> tuple[list[DataFrame], DataFrame]:
         text = folded(as_text(F.col("node")), F.col("left"), F.col("right"))
         nodes = parents.select(
             "tree",
-            F.ceil(F.col("n") / arity).alias("n"),
+            F.expr(f"(n + {arity - 1}) div {arity}").alias("n"),
             F.col("run").alias("idx"),
             F.unhex(text).alias("node"),
         )
@@ -205,7 +205,7 @@ def descend(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
         # Of trees that end at this height only the top is there, which keeps its path.
         high = here.select("tree", F.col("idx").alias("_run"), "path", *carried)
         ended = above.join(level.select("tree").filter("idx = 0"), "tree", "left_anti")
-        above = high.unionByName(ended.select(*high.columns))
+        above = cut(high.unionByName(ended.select(*high.columns)))
     return tops
 
 
@@ -254,7 +254,7 @@ def manifest(
     paths = descend(high, root)
     if high:
         paths = paths.select(F.col("idx").alias("tree"), "path", "root")
-    paths = subroots.withColumnRenamed("node", "subroot").join(paths, "tree")
+    paths = cut(subroots.withColumnRenamed("node", "subroot").join(paths, "tree"))
     ends = ["subroot", "root", "path"]
     columns = ["id", "tree", "idx", F.col("node").alias("leaf"), "other", *ends]
     alone = nodes.filter("n = 1").join(paths, "tree").select(*columns)

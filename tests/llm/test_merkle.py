@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditledger.llm import merkle
+from creditledger.llm.common import cut
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 LOWERED = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -137,11 +138,13 @@ def test_only_changed_texts_fail(spark):
 
 def test_a_level_moves_its_nodes_once(spark):
     """Nodes hashed on their run are joined and grouped where they are."""
-    nodes = spark.range(1000).select(
-        F.lit(0).cast("bigint").alias("tree"),
-        F.lit(1000).cast("bigint").alias("n"),
-        F.col("id").alias("idx"),
-        F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("node"),
+    nodes = cut(
+        spark.range(1000).select(
+            F.lit(0).cast("bigint").alias("tree"),
+            F.lit(1000).cast("bigint").alias("n"),
+            F.col("id").alias("idx"),
+            F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("node"),
+        )
     )
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(threshold)
@@ -151,5 +154,5 @@ def test_a_level_moves_its_nodes_once(spark):
             plan = merkle.with_siblings(nodes, 16)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set(threshold, before)
-    assert plan.count("Exchange hashpartitioning(tree") == 2  # the two sides of the self-join
+    assert plan.count("Exchange hashpartitioning(tree") == 2, plan  # the two sides of the self-join
     assert plan.count("Exchange") == 2
