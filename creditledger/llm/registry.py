@@ -6,6 +6,7 @@ from . import (
     chat,
     decontamination,
     html_text,
+    jaccard,
     langid,
     lm_scoring,
     merkle,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_language_id": langid.op9_language_id,
     "op10_warc": warc.op10_warc,
     "op11_merkle": merkle.op11_merkle,
+    "op13_ngram_join": jaccard.op13_ngram_join,
 }
 
 ORACLE_SQL = {
@@ -36,4 +38,5 @@ ORACLE_SQL = {
     "op6_mixing": mixing.OP6_SQL,
     "op8_quality_rules": quality.OP8_SQL,
     "op11_merkle": merkle.OP11_SQL,
+    "op13_ngram_join": jaccard.OP13_SQL,
 }
