@@ -12,16 +12,16 @@ nodes that ask it come one batch after the other.  The bits in which two bitmaps
 the overlap from above; pairs that pass are intersected exactly.  Sets already known to be
 joined are not compared again, so a task gives a forest of links, never all pairs.
 
-Which nodes can meet at all follows from the rarest shingles: sets with a link share one of the
-``size - ceil(size * PERCENT / 100) + 1`` first in any order that is the same for all.  The order
-is by a count of all documents' shingles in ``SLOTS`` hashed slots, rare ones first, a table of
-fixed size; it decides how much work there is, not what is found.  Nodes that share such a
-shingle are joined into groups, every node is sent to the tiles of its group, and nodes of
-groups of one nowhere.  Texts that share many of their rarest shingles without being similar
-make large groups, which cost work of the square of their nodes within a band.
+Which nodes can meet at all follows from parts of the sets.  Sets of a class of sizes are cut
+into ``K`` parts by the range of the hash, ``K`` being more than the shingles in which two linked
+sets of the class may differ; so at least one part is equal in both, all its shingles together.
+If so many parts of a set are empty that the equal ones may all be, its empty parts count as
+well.  Nodes with an equal part are joined into groups, every node is sent to the tiles of its
+group, and nodes of groups of one nowhere.  A part holds some three shingles, so that a passage
+which two texts share hardly ever makes a whole part equal.
 
-Shingles of one batch that several nodes have leave it as one row for each shingle and links
-between those nodes, so no shingle is a large key, however many nodes have it.
+Parts of one batch that several nodes have leave it as one row for each part and links between
+those nodes, so no part is a large key, however many nodes have it.
 
 Defined results: a null or empty text, or one without words, has an empty set, linked with
 nothing, not even with another; a text of fewer words than a shingle is one shingle.
@@ -32,28 +32,29 @@ Repeated rows are kept.  An empty table gives an empty table.  Other columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, cut, read
-from .simhash import LOWERED, components
+from .simhash import components
 
 SHINGLE = 5
 PERCENT = 80
-SLOTS = 1 << 22
+#: The largest size of a class, as a multiple of its least one.
+CLASS = 1.5
+#: Parts beyond those needed if no part were empty, as a share of the least size.
+SPARE = 0.03
 #: Slots of the table that tells which texts are worth sending.
 MARKS = 1 << 25
 CHUNK = 1 << 16
-TILE_NODES = 2048
+TILE_NODES = 1024
 TILE_SHINGLES = 1 << 22
-WORDS_KEPT = 1 << 18
-ODD = np.array(
-    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64
-)
+#: Bytes of a text whose words are hashed at once, and of a word that is hashed with the others.
+PIECE = 1 << 20
+LONG_WORD = 256
+BASE = 0x9E3779B97F4A7C15
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -63,26 +64,78 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=WORDS_KEPT)
-def word_hash(word: bytes) -> int:
-    import xxhash
+class Shingler:
+    """Hashes of the shingles of texts.
 
-    return xxhash.xxh3_64_intdigest(word)
+    The hash of a word is that of its bytes as the digits of a number to an odd base, taken from
+    running sums over the text; A to Z have the digits of a to z.  Very long words, for which
+    such hashes are weak, are hashed one by one.
+    """
+
+    def __init__(self, n: int) -> None:
+        self.n = n
+        self.space = np.zeros(256, bool)
+        self.space[[32, 9, 10, 11, 12, 13]] = True
+        self.lowered = np.arange(256, dtype=np.uint8)
+        self.lowered[65:91] += 32
+        self.digit = mixed(self.lowered.astype(np.uint64) + np.uint64(BASE))
+        self.digit[self.space] = 0
+        self.factors = mixed(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
+        self.up = self.down = np.ones(0, np.uint64)
+
+    def powers(self, size: int) -> None:
+        if size > len(self.up):
+            size = 1 << size.bit_length()
+            for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
+                steps = np.full(size, base, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps))
+
+    def piece(self, data: np.ndarray) -> np.ndarray:
+        """Hashes of the words of ``data``."""
+        self.powers(len(data))
+        space = np.ones(len(data) + 2, bool)
+        space[1:-1] = self.space[data]
+        turns = np.flatnonzero(space[1:] != space[:-1])
+        starts, ends = turns[::2], turns[1::2]
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.digit[data] * self.up[: len(data)], out=sums[1:])
+        own = (sums[ends] - sums[starts]) * self.down[starts]
+        sizes = ends - starts
+        for k in np.flatnonzero(sizes > LONG_WORD):
+            import xxhash
+
+            word = self.lowered[data[starts[k] : ends[k]]]
+            own[k] = xxhash.xxh3_64_intdigest(word.tobytes())
+        return mixed(own + sizes.astype(np.uint64))
+
+    def words(self, data: np.ndarray) -> np.ndarray:
+        found, at = [np.empty(0, np.uint64)], 0
+        while at < len(data):
+            end = min(at + PIECE, len(data))
+            while end < len(data) and not self.space[data[end]]:
+                rest = np.flatnonzero(self.space[data[end : end + PIECE]])
+                end = end + int(rest[0]) if len(rest) else min(end + PIECE, len(data))
+            found.append(self.piece(data[at:end]))
+            at = end
+        return np.concatenate(found)
+
+    def of(self, text: pa.StringScalar) -> np.ndarray:
+        """The different shingles of a text, sorted."""
+        if not text.is_valid:
+            return np.empty(0, np.uint64)
+        words = self.words(np.frombuffer(text.as_buffer(), np.uint8))
+        width = min(self.n, len(words))
+        if not width:
+            return words
+        total = np.full(len(words) - width + 1, width, np.uint64)
+        for k in range(width):
+            total += words[k : len(words) - width + 1 + k] * self.factors[k]
+        return np.unique(mixed(total))
 
 
 def shingles(text: str | None, n: int = SHINGLE) -> np.ndarray:
-    """The different shingles of a text, as sorted 64-bit hashes."""
-    words = (text or "").encode("utf-8", "replace").translate(LOWERED).split()
-    if not words:
-        return np.empty(0, np.uint64)
-    own = np.fromiter(map(word_hash, words), np.uint64, len(words))
-    # Hashes of runs: a sum with a multiplier for each place, of as many words as there are.
-    width = min(n, len(own))
-    total = np.zeros(len(own) - width + 1, np.uint64)
-    for k in range(width):
-        factor = mixed(ODD[k % 4 : k % 4 + 1] + np.uint64(k))[0] | np.uint64(1)
-        total += own[k : len(own) - width + 1 + k] * factor
-    return np.unique(mixed(total + np.uint64(width)))
+    return Shingler(n).of(pa.scalar(text, pa.string()))
 
 
 def node_of(own: np.ndarray) -> bytes:
@@ -96,11 +149,6 @@ def short_name(node: bytes) -> int:
     return int.from_bytes(node[:8], "little", signed=True)
 
 
-def least_shared(size: np.ndarray | int, percent: int) -> np.ndarray | int:
-    """How many shingles a set of ``size`` shares with any set that it is linked to."""
-    return -(-size * percent // 100)
-
-
 def linked(shared: int, one: int, other: int, percent: int) -> bool:
     return 100 * shared >= percent * (one + other - shared)
 
@@ -117,129 +165,105 @@ def _table(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
-# --- one pass: sets, and how often shingles occur ---------------------------------------
+# --- who can meet: nodes with an equal part ---------------------------------------------
 
-SURVEY = "doc_id bigint, node binary, n bigint, chunk int, counts binary"
 
+def class_of(size: int) -> int:
+    """The class of a size: 0 has size 1 only, and each class begins above the one before."""
+    number, least = 0, 1
+    while (after := int(least * CLASS) + 1) <= size:
+        number, least = number + 1, after
+    return number
 
-def survey(n: int, slots: int):
-    """Batches of (doc_id, text) to a row for each document, then the task's counts by slot."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(slots, np.uint32)
-        schema = pa.schema(
-            [("doc_id", pa.int64()), ("node", pa.binary()), ("n", pa.int64()),
-             ("chunk", pa.int32()), ("counts", pa.binary())]
-        )
-        for batch in batches:
-            sets = [shingles(t.as_py(), n) for t in batch.column("text")]
-            for own in sets:
-                # Different shingles may share a slot, so each is counted.
-                at, times = np.unique(own % np.uint64(slots), return_counts=True)
-                counts[at] += times.astype(np.uint32)
-            none = [None] * len(sets)
-            columns = [
-                batch.column("doc_id").to_pylist(), [node_of(s) for s in sets],
-                [len(s) for s in sets], none, none,
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
-            )
-        for at in range(0, slots, CHUNK):
-            part = counts[at : at + CHUNK]
-            if part.any():
-                columns = [[None], [None], [None], [at // CHUNK], [part.tobytes()]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)],
-                    schema=schema,
-                )
+def least_of(number: int) -> int:
+    least = 1
+    for _ in range(number):
+        least = int(least * CLASS) + 1
+    return least
 
-    return rows
 
+def most_apart(one: int, other: int, percent: int) -> int:
+    """In how many shingles two linked sets can differ."""
+    return (one + other) * (100 - percent) // (100 + percent)
 
-def added_up(rows: DataFrame, slots: int, kind: type = np.uint32) -> np.ndarray:
-    """Counts (``chunk``, ``counts``) of all tasks as one array of ``slots`` bytes.
 
-    A byte is the logarithm of the count, in eighths of a doubling.  Chunks are added by
-    streaming, each in one task, and there are ``slots / CHUNK`` of them, however many rows.
-    """
+def most_of(number: int) -> int:
+    return int(least_of(number) * CLASS)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.frombuffer(part, kind)
-                if chunk not in sums:
-                    sums[chunk] = np.zeros(len(own), np.uint64)
-                sums[chunk] += own
-        for chunk, total in sums.items():
-            small = np.minimum(255, np.ceil(8 * np.log2(1 + total.astype(float)))).astype(np.uint8)
-            yield _table(chunk=pa.array([chunk], pa.int32()), counts=[small.tobytes()])
 
-    dealt = rows.select("chunk", "counts").repartition(max(1, slots // CHUNK // 8), "chunk")
-    out = np.zeros(slots, np.uint8)
-    for row in dealt.mapInArrow(add, "chunk int, counts binary").collect():
-        out[row.chunk * CHUNK : row.chunk * CHUNK + len(row.counts)] = np.frombuffer(
-            row.counts, np.uint8
-        )
-    return out
+def parts_of(number: int, percent: int) -> int:
+    """Into how many parts the sets of a class are cut, and larger ones that can be linked to them."""
+    most = most_of(number)
+    return most_apart(most, most * 100 // percent, percent) + 2 + int(SPARE * most)
 
 
-# --- who can meet: nodes that share one of their rarest shingles ------------------------
+def parts(own: np.ndarray, number: int, percent: int) -> np.ndarray:
+    """Names of the parts of a set in a class; the empty ones only if the others may all differ."""
+    n = parts_of(number, percent)
+    at = ((own >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    place = mixed(np.arange(n, dtype=np.uint64) + np.uint64(number << 40))
+    used = at[starts].astype(np.int64)
+    full = np.add.reduceat(own, starts) + place[used]
+    # What it can be linked to here: sets of the class, and larger ones if it is of the class.
+    size, most = len(own), most_of(number)
+    other = size * 100 // percent if size <= most else most
+    if len(used) > most_apart(size, other, percent):
+        return mixed(full)
+    return mixed(np.concatenate([full, np.delete(place, used)]))
 
 
-def first_shingles(own: np.ndarray, rarity: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles of a set of which any linked set shares one."""
-    keep = len(own) - least_shared(len(own), percent) + 1
-    order = np.lexsort((own, rarity[own % np.uint64(len(rarity))]))
-    return own[order[:keep]]
+def all_parts(own: np.ndarray, percent: int) -> np.ndarray:
+    """The parts of a set in its class, and in those of the smaller sets that it can be linked to."""
+    least = class_of(-(-len(own) * percent // 100))
+    numbers = range(least, class_of(len(own)) + 1)
+    return np.concatenate([parts(own, number, percent) for number in numbers])
 
 
-def meetings(n: int, percent: int, rarity: np.ndarray):
-    """Batches of ``text`` to (token, u, v): a node of a token (v is null), or a link of nodes."""
+def meetings(n: int, percent: int):
+    """Batches of ``text`` to (part, u, v): a node of a part (v is null), or a link of nodes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
+        shingler = Shingler(n)
         for batch in batches:
-            tokens, nodes = [], []
+            names, nodes = [], []
             for text in batch.column("text"):
-                own = shingles(text.as_py(), n)
+                own = shingler.of(text)
                 name = short_name(node_of(own))
-                if not len(own) or name in done:
-                    continue
-                done.add(name)
-                tokens.append(first_shingles(own, rarity, percent))
-                nodes.append(np.full(len(tokens[-1]), name, np.int64))
-            if not tokens:
+                if len(own) and name not in done:
+                    done.add(name)
+                    names.append(all_parts(own, percent))
+                    nodes.append(np.full(len(names[-1]), name, np.int64))
+            if not names:
                 continue
-            token, node = np.concatenate(tokens).view(np.int64), np.concatenate(nodes)
-            each, at, which = np.unique(token, return_index=True, return_inverse=True)
+            part, node = np.concatenate(names).view(np.int64), np.concatenate(nodes)
+            each, at, which = np.unique(part, return_index=True, return_inverse=True)
             first = node[at]
             met = np.unique(np.stack([node, first[which]], axis=1)[node != first[which]], axis=0)
+            alone = np.arange(len(each) + len(met)) < len(each)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([each, np.zeros(len(met), np.int64)])),
+                    pa.array(np.concatenate([each, met[:, 0]])),
                     pa.array(np.concatenate([first, met[:, 0]])),
-                    pa.array(
-                        np.concatenate([np.zeros(len(each), np.int64), met[:, 1]]),
-                        mask=np.arange(len(each) + len(met)) < len(each),
-                    ),
+                    pa.array(np.concatenate([first, met[:, 1]]), mask=alone),
                 ],
-                names=["token", "u", "v"],
+                names=["part", "u", "v"],
             )
 
     return rows
 
 
-def groups(texts: DataFrame, rarity: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(``node``, ``root``), short names: nodes that may be linked have one root."""
-    found = meetings(n, percent, rarity)
-    rows = cut(texts.select("text").mapInArrow(found, "token bigint, u bigint, v bigint"))
-    asked = rows.filter("v is null")
-    ends = asked.groupBy("token").agg(F.min("u").alias("v"), F.max("u").alias("_most"))
-    shared = ends.filter("v <> _most").select("token", "v")
-    links = asked.select("token", "u").join(shared, "token").filter("u <> v").select("u", "v")
-    links = links.unionByName(rows.filter("v is not null").select("u", "v"))
+def groups(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(``node``, ``root``), short names: nodes that may be linked have one root.
+
+    The rows are shuffled once; a link's row has its node for a part, to be dealt out evenly.
+    """
+    found = meetings(n, percent)
+    rows = texts.select("text").mapInArrow(found, "part bigint, u bigint, v bigint")
+    least = F.min("u").over(Window.partitionBy("part"))
+    links = rows.withColumn("v", F.coalesce("v", least)).filter("u <> v").select("u", "v")
     own = components(links.distinct())
     roots = own.select(F.col("root").alias("node"), "root").distinct()
     return own.unionByName(roots)
@@ -313,6 +337,7 @@ def compared(n: int, percent: int):
     """Rows sorted by (``root``, ``band``, ``tile``), stored ones first, to links (u, v)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(n)
         key, nodes, sets, tile = None, [], [], None
 
         def opened() -> Tile | None:
@@ -334,7 +359,7 @@ def compared(n: int, percent: int):
                     if tile is not None:
                         yield tile.take()
                     key, nodes, sets, tile = own_key, [], [], None
-                name, own = node.as_py(), shingles(text.as_py(), n)
+                name, own = node.as_py(), shingler.of(text)
                 if stored.as_py():
                     nodes.append(name)
                     sets.append(own)
@@ -398,32 +423,55 @@ def tiled(members: DataFrame, edges: np.ndarray) -> DataFrame:
     return found.select("root", "node", "text", sent).select("root", "node", "text", "_slot.*")
 
 
-def links(texts: DataFrame, rarity: np.ndarray, n: int, percent: int) -> DataFrame:
-    """Links (``u``, ``v``) of nodes that join all nodes that are linked.
+def marks_of(nodes: DataFrame) -> np.ndarray:
+    """A table of ``MARKS`` bits, packed, in which every ``node`` has set one.
 
-    Of the texts only those that a table of ``MARKS`` bits does not rule out are sent; it is of
-    fixed size, so that with very many groups more texts go than need to.
+    Each task sends the bits it has set by chunk, and each chunk is put together in one task, so
+    that the driver gets every bit once.
     """
-    roots = cut(groups(texts, rarity, n, percent))
 
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(MARKS, np.uint8)
+    def chunks(bits: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for chunk, own in bits.items():
+            yield _table(chunk=pa.array([chunk], pa.int32()), bits=[own.tobytes()])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(MARKS, bool)
+        for batch in batches:
+            seen[batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64) % MARKS] = True
+        packed = np.packbits(seen).reshape(-1, min(CHUNK, MARKS) // 8)
+        yield from chunks({k: packed[k] for k in np.flatnonzero(packed.any(axis=1)).tolist()})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits: dict[int, np.ndarray] = {}
         for batch in batches:
-            seen[batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64) % MARKS] = 1
-        for at in range(0, MARKS, CHUNK):
-            if seen[at : at + CHUNK].any():
-                part = seen[at : at + CHUNK].tobytes()
-                yield _table(chunk=pa.array([at // CHUNK], pa.int32()), counts=[part])
+            for chunk, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(part, np.uint8)
+                bits[chunk] = bits[chunk] | own if chunk in bits else own
+        yield from chunks(bits)
+
+    schema = "chunk int, bits binary"
+    dealt = nodes.select("node").mapInArrow(mark, schema).repartition(16, "chunk")
+    table = np.zeros((max(1, MARKS // CHUNK), min(CHUNK, MARKS) // 8), np.uint8)
+    for row in dealt.mapInArrow(add, schema).collect():
+        table[row.chunk] = np.frombuffer(row.bits, np.uint8)
+    return table.ravel()
 
-    few = roots.coalesce(8).mapInArrow(marked, "chunk int, counts binary")
-    marks = np.packbits(added_up(few, MARKS, np.uint8) > 0)
+
+def links(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (``u``, ``v``) of nodes that join all nodes that are linked.
+
+    Of the texts only those that a table of ``MARKS`` bits does not rule out are sent; it is of
+    fixed size, so that with very many groups more texts go than need to.
+    """
+    roots = cut(groups(texts, n, percent))
+    marks = marks_of(roots)
 
     def worth_sending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, done = np.unpackbits(marks), set()
+        known, done, shingler = np.unpackbits(marks), set(), Shingler(n)
         for batch in batches:
             kept, nodes, names, sizes = [], [], [], []
             for k, value in enumerate(batch.column("text")):
-                own = shingles(value.as_py(), n)
+                own = shingler.of(value)
                 node = node_of(own)
                 name = short_name(node)
                 if len(own) and node not in done and known[name % MARKS]:
@@ -448,6 +496,22 @@ def links(texts: DataFrame, rarity: np.ndarray, n: int, percent: int) -> DataFra
     return ordered.mapInArrow(compared(n, percent), "u binary, v binary")
 
 
+def named(n: int):
+    """Batches of (doc_id, text) to (doc_id, node, n)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(n)
+        for batch in batches:
+            sets = [shingler.of(t) for t in batch.column("text")]
+            yield _table(
+                doc_id=batch.column("doc_id"),
+                node=pa.array(map(node_of, sets), pa.binary()),
+                n=pa.array(map(len, sets), pa.int64()),
+            )
+
+    return rows
+
+
 def joined(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -458,19 +522,16 @@ def joined(
     """One row for each document: ``doc_id``, ``n_shingles``, ``component_id``."""
     arrow_rows(docs.sparkSession)
     asked = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    rows = cut(asked.mapInArrow(survey(n, SLOTS), SURVEY))
-    own = rows.filter("chunk is null").select("doc_id", "node", "n")
-    rarity = added_up(rows.filter("chunk is not null"), SLOTS)
-    found = components(links(asked.select("text"), rarity, n, percent))
+    own = cut(asked.mapInArrow(named(n), "doc_id bigint, node binary, n bigint"))
+    found = components(links(asked.select("text"), n, percent))
     full = own.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = full.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = cut(rooted)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("node", "component_id")
+    ends = rooted.join(least, "root").select("node", "component_id")
     empty = F.when(F.col("n") == 0, F.col("doc_id"))
-    return own.join(named, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", empty).alias("component_id")
-    )
+    component = F.coalesce("component_id", empty).alias("component_id")
+    return own.join(ends, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), component)
 
 
 def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,10 +86,8 @@ def test_tiles_of_a_large_group(spark, monkeypatch):
     assert found(spark.createDataFrame(rows, SCHEMA)) == expected(rows)
 
 
-def test_order_of_shingles_does_not_matter(spark, monkeypatch):
-    """With one slot all shingles are as rare; then the passage brings half of all texts together."""
-    monkeypatch.setattr(jaccard, "SLOTS", 1)
-    monkeypatch.setattr(jaccard, "MARKS", 1 << 16)
+def test_marks_that_rule_nothing_out(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "MARKS", 64)
     rows = world(4)
     assert found(spark.createDataFrame(rows, SCHEMA)) == expected(rows)
 
@@ -128,19 +126,45 @@ def test_bands_hold_every_possible_pair():
             assert band[largest - 1] - band[size - 1] <= 1
 
 
-def test_first_shingles_of_linked_sets_meet():
-    rng = np.random.default_rng(5)
-    rarity = rng.integers(0, 4, 64).astype(np.uint8)
-    for _ in range(300):
-        size = int(rng.integers(1, 60))
-        a = np.unique(rng.integers(0, 1 << 40, size).astype(np.uint64))
-        b = a.copy()
-        b[rng.permutation(len(b))[: int(len(b) * 0.12)]] = rng.integers(1 << 41, 1 << 42)
-        b = np.unique(b)
-        shared = len(np.intersect1d(a, b))
-        if jaccard.linked(shared, len(a), len(b), 80):
-            meet = [jaccard.first_shingles(x, rarity, 80) for x in (a, b)]
-            assert len(np.intersect1d(*meet))
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_linked_sets_have_an_equal_part(percent):
+    """Also small sets, whose parts are often empty, and sets of different classes."""
+    rng = np.random.default_rng(percent)
+    met = 0
+    for k in range(6000):
+        size = int(rng.integers(1, 12 if k % 2 else 200))
+        a = rng.integers(0, 1 << 63, size).astype(np.uint64) * np.uint64(2)
+        less = int(rng.integers(0, max(1, size * (100 - percent) // 100) + 1))
+        more = int(rng.integers(0, max(1, size * (100 - percent) // percent) + 1))
+        b = np.r_[a[less:], rng.integers(0, 1 << 63, more).astype(np.uint64) * np.uint64(2) + np.uint64(1)]
+        a, b = np.unique(a), np.unique(b)
+        if len(b) and jaccard.linked(len(np.intersect1d(a, b)), len(a), len(b), percent):
+            met += len(a) != len(b)
+            assert len(np.intersect1d(*(jaccard.all_parts(x, percent) for x in (a, b))))
+    assert met > 1000
+
+
+def test_a_shared_passage_makes_no_part_equal():
+    rng = np.random.default_rng(9)
+    passage = rng.integers(0, 1 << 63, 60).astype(np.uint64) * np.uint64(2)
+    sets = [
+        np.unique(np.r_[passage, rng.integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2)])
+        for _ in range(40)
+    ]
+    own = [jaccard.all_parts(s, 80) for s in sets]
+    pairs = [(i, j) for i in range(40) for j in range(i) if len(np.intersect1d(own[i], own[j]))]
+    assert len(pairs) < 0.5 * 40 * 39 / 2
+
+
+def test_words_of_every_length(monkeypatch):
+    """Long words, and texts in pieces cut between words, have the shingles of the whole."""
+    text = " ".join("x" * k + "Y" for k in (1, 5, 300, 255, 256, 257, 3, 2000, 9, 1))
+    whole = jaccard.shingles(text)
+    assert len(whole) == 6
+    for piece in (1, 7, 400):
+        monkeypatch.setattr(jaccard, "PIECE", piece)
+        assert (jaccard.shingles(text) == whole).all()
+    assert (jaccard.shingles(text.lower()) == whole).all()
 
 
 def test_shingles_do_not_depend_on_the_pieces():
