@@ -13,12 +13,13 @@ the overlap from above; pairs that pass are intersected exactly.  Sets already k
 joined are not compared again, so a task gives a forest of links, never all pairs.
 
 Which nodes can meet at all follows from parts of the sets.  Sets of a class of sizes are cut
-into ``K`` parts by the range of the hash, ``K`` being more than the shingles in which two linked
-sets of the class may differ; so at least one part is equal in both, all its shingles together.
-If so many parts of a set are empty that the equal ones may all be, its empty parts count as
-well.  Nodes with an equal part are joined into groups, every node is sent to the tiles of its
-group, and nodes of groups of one nowhere.  A part holds some three shingles, so that a passage
-which two texts share hardly ever makes a whole part equal.
+into ``K`` parts by the range of the hash.  Linked sets of the class differ in ``D`` shingles at
+most, so ``K - D`` parts are equal in both, all their shingles together, and whatever parts are
+left out but ``D + 1``, an equal one remains: the fullest are kept, the same for all by their
+number of shingles and name.  Nodes with such a part in common are joined into groups, every node
+is sent to the tiles of its group, and nodes of groups of one nowhere.  As a part that is kept
+holds two shingles or more in all but the smallest sets, a phrase that two texts share hardly
+ever makes one equal.
 
 Parts of one batch that several nodes have leave it as one row for each part and links between
 those nodes, so no part is a large key, however many nodes have it.
@@ -44,8 +45,8 @@ SHINGLE = 5
 PERCENT = 80
 #: The largest size of a class, as a multiple of its least one.
 CLASS = 1.5
-#: Parts beyond those needed if no part were empty, as a share of the least size.
-SPARE = 0.03
+#: How many times the shingles that may differ there are parts; the emptiest are left out.
+SPARE = 1.2
 #: Slots of the table that tells which texts are worth sending.
 MARKS = 1 << 25
 CHUNK = 1 << 16
@@ -195,23 +196,22 @@ def most_of(number: int) -> int:
 def parts_of(number: int, percent: int) -> int:
     """Into how many parts the sets of a class are cut, and larger ones that can be linked to them."""
     most = most_of(number)
-    return most_apart(most, most * 100 // percent, percent) + 2 + int(SPARE * most)
+    return int(SPARE * most_apart(most, most * 100 // percent, percent)) + 2
 
 
 def parts(own: np.ndarray, number: int, percent: int) -> np.ndarray:
-    """Names of the parts of a set in a class; the empty ones only if the others may all differ."""
+    """Names of the parts of a set in a class of which any set linked to it there has one."""
     n = parts_of(number, percent)
-    at = ((own >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    at = (((own >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
     starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    place = mixed(np.arange(n, dtype=np.uint64) + np.uint64(number << 40))
-    used = at[starts].astype(np.int64)
-    full = np.add.reduceat(own, starts) + place[used]
+    names = np.arange(n, dtype=np.uint64) + np.uint64(number << 40)
+    names[at[starts]] += mixed(np.add.reduceat(own, starts))
+    names = mixed(names)
     # What it can be linked to here: sets of the class, and larger ones if it is of the class.
     size, most = len(own), most_of(number)
     other = size * 100 // percent if size <= most else most
-    if len(used) > most_apart(size, other, percent):
-        return mixed(full)
-    return mixed(np.concatenate([full, np.delete(place, used)]))
+    fullest = np.lexsort((names, -np.bincount(at, minlength=n)))
+    return names[fullest[: most_apart(size, other, percent) + 1]]
 
 
 def all_parts(own: np.ndarray, percent: int) -> np.ndarray:
