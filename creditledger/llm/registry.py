@@ -11,6 +11,7 @@ from . import (
     lm_scoring,
     merkle,
     mixing,
+    negatives,
     quality,
     simhash,
     tokens,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_language_id": langid.op9_language_id,
     "op10_warc": warc.op10_warc,
     "op11_merkle": merkle.op11_merkle,
+    "op12_negatives": negatives.op12_negatives,
     "op13_ngram_join": jaccard.op13_ngram_join,
 }
 
@@ -38,5 +40,6 @@ ORACLE_SQL = {
     "op6_mixing": mixing.OP6_SQL,
     "op8_quality_rules": quality.OP8_SQL,
     "op11_merkle": merkle.OP11_SQL,
+    "op12_negatives": negatives.OP12_SQL,
     "op13_ngram_join": jaccard.OP13_SQL,
 }
