@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import mark_above_zero, subject_key, text_after, text_before
 from ..rules import DEFAULT_RULES, Rules, key, keys
+from .checks import Checks
 from .joins import lookup_join
+from .keyed import NO_CHECKS
 
 # Column names of the dual courses' counters.
 DUAL_COUNTERS = (
@@ -173,10 +175,14 @@ def student_semesters(sums: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
     )
 
 
-def count_semesters(ledger: DataFrame, semesters: DataFrame) -> DataFrame:
+def count_semesters(
+    ledger: DataFrame, semesters: DataFrame, checks: Checks = NO_CHECKS
+) -> DataFrame:
     """The ledger with its counts, and the student's donor semesters beside them."""
     found = F.try_element_at("counts", F.col("subj_key"))
+    semesters = checks.sum(semesters, subjects_counted=F.size("counts"))
     joined = ledger.join(semesters, "studentID", "left")
+    joined = checks.count(joined, ledger_rows_counted=found.isNotNull())
     changed = {
         "semsComplete": F.coalesce(found["semsComp"], F.col("semsComplete")),
         "semsInProgress": F.coalesce(found["semsInp"], F.col("semsInProgress")),

@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..rules import DEFAULT_RULES, Rules, key, keys
+from .checks import Checks
 from .joins import spread_join
-from .keyed import one_row_per_key, update_from
+from .keyed import NO_CHECKS, one_row_per_key, update_from
 
-NEEDS = ("primaryReqd", "primaryNeed", "secondaryNeed", "hasGroup")
+NEEDS = ("primaryReqd", "primaryNeed", "secondaryNeed", "hasGroup", "hasSink")
 
 
 def _c(name: str) -> Column:
@@ -44,6 +45,7 @@ def needs_by_student(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
     return ledger.groupBy("studentID").agg(
         F.map_from_entries(F.collect_list(entry)).alias("needs"),
         F.max(F.col("subj_key") == key(rules.group_subject)).alias("hasGroup"),
+        F.max(F.col("subj_key") == key(rules.sink)).alias("hasSink"),
     )
 
 
@@ -64,6 +66,7 @@ def measure_needs(
         primary["need"].alias("primaryNeed"),
         secondary["need"].alias("secondaryNeed"),
         F.coalesce("hasGroup", F.lit(False)).alias("hasGroup"),
+        F.coalesce("hasSink", F.lit(False)).alias("hasSink"),
     )
 
 
@@ -225,7 +228,7 @@ def dual_postings(dual: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     )
 
 
-def post_dual(ledger: DataFrame, postings: DataFrame) -> DataFrame:
+def post_dual(ledger: DataFrame, postings: DataFrame, checks: Checks = NO_CHECKS) -> DataFrame:
     """Add the postings; those without a ledger row vanish."""
     return update_from(
         ledger,
@@ -233,4 +236,6 @@ def post_dual(ledger: DataFrame, postings: DataFrame) -> DataFrame:
         ["studentID", "subj_key"],
         add={"semsComplete": "addComplete", "semsInProgress": "addInProgress"},
         multi_match=None,
+        checks=checks,
+        name="dual_posting",
     )

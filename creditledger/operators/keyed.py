@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from .checks import Checks
 from .joins import spread_join
 
+NO_CHECKS = Checks(on=False)
+
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
@@ -21,6 +24,20 @@ def refusing(df: DataFrame, problem: Column, message: str) -> DataFrame:
     return df.filter(passes)
 
 
+def parted(
+    df: DataFrame, problem: Column, group: list[str], problem_column: str = "_problem"
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of groups without a ``problem``, and the rows that have one.
+
+    ``problem`` is NULL on rows without one.  Both sides read one plan, in which a window over
+    ``group`` spreads the verdict: rows hashed on ``group`` stay where they are.
+    """
+    marked = df.withColumn(problem_column, problem)
+    worst = F.max(problem_column).over(Window.partitionBy(*group))
+    sound = marked.withColumn("_worst", worst).filter(F.col("_worst").isNull())
+    return sound.drop("_worst", problem_column), marked.filter(F.col(problem_column).isNotNull())
+
+
 def assert_unique(df: DataFrame, keys: list[str], message: str | None = None) -> DataFrame:
     """``df`` unchanged, or a failing query when two rows share a key."""
     copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
@@ -59,18 +76,22 @@ def update_from(
     add: dict[str, str] | None = None,
     multi_match: str | None = "error",
     spread: Column | None = None,
+    checks: Checks = NO_CHECKS,
+    name: str = "updated",
 ) -> DataFrame:
     """Change columns of matching target rows; keep the others, never insert.
 
     ``assign`` replaces target columns by source columns, ``add`` increments
     them.  ``multi_match=None`` states that ``source`` has one row per key.
-    ``spread`` deals the target rows of a key that has very many of them.
+    ``spread`` deals the target rows of a key that has very many of them.  ``checks`` counts the
+    source rows and the target rows changed, under ``name``.
     """
     assign, add = assign or {}, add or {}
     values = list(dict.fromkeys([*assign.values(), *add.values()]))
     if multi_match is not None:
         source = one_row_per_key(source, on, values, multi_match)
     source = source.select(*on, F.struct(*values).alias("_from"))
+    source = checks.count(source, **{f"{name}_sources": F.lit(True)})
     matched = F.col("_from").isNotNull()
     types = {f.name: f.dataType for f in target.schema.fields}
     changed = {
@@ -84,6 +105,7 @@ def update_from(
         joined = target.join(source, on, "left")
     else:
         joined = spread_join(target, source, on, spread)
+    joined = checks.count(joined, **{f"{name}_rows": matched})
     return joined.select(
         [
             changed[c].cast(types[c]).alias(c) if c in changed else F.col(c)

@@ -14,9 +14,12 @@ from ..functions.cohort import (
 from ..functions.text import subject_key
 from ..rules import DEFAULT_RULES, Rules, keys
 from .joins import lookup_join, requirements_are_small
-from .keyed import refusing
+from .keyed import parted, refusing
 
 ANY_COHORT = "any"
+# Why a student is set aside.
+SEVERAL_FULL = "a subject has several full requirements"
+SEVERAL_CURRENT = "a subject has several current requirements"
 
 
 def _small(reqs: DataFrame, small: bool | None) -> bool:
@@ -103,6 +106,8 @@ def seed_ledger(
             F.min("subject").alias("subject"), F.collect_set(F.struct("semsReqd")).alias("totals")
         )
     )
+    if rules.duplicate_seed == "set_aside":
+        rows, _ = parted(rows, F.when(F.size("totals") > 1, SEVERAL_FULL), ["studentID"])
     return _ledger_rows(_seeded(rows, F.col("totals"), rules), {})
 
 
@@ -144,7 +149,7 @@ def requirements_by_grade(
     return found.select("studentID", "semester", "subject", "subj_key", "semsReqd", "semsClose")
 
 
-def ledger_requirements(
+def found_requirements(
     students: DataFrame,
     reqs: DataFrame,
     curr_grad_year: int,
@@ -152,7 +157,7 @@ def ledger_requirements(
     rules: Rules = DEFAULT_RULES,
     small: bool | None = None,
 ) -> DataFrame:
-    """Ledger rows with their current requirement; 0 and semester -1 where there is none.
+    """Per student and subject the different full requirements, least and largest current one.
 
     A student's grades ask for full requirements by year and for current ones by
     semester and cohort.  Both kinds are one lookup on one key, so that a student
@@ -177,7 +182,7 @@ def ledger_requirements(
         F.concat(F.lit("full "), own_year), F.concat(F.lit("now "), semester, F.lit(" "), cohort)
     )
     asking = students.select("studentID", F.explode(asks).alias("ask"))
-    rows = (
+    return (
         lookup_join(asking, lookup, ["ask"], _small(reqs, small), ["studentID"])
         .groupBy("studentID", "subj_key")
         .agg(
@@ -188,6 +193,41 @@ def ledger_requirements(
         )
         .filter(F.size("totals") > 0)
     )
+
+
+def clashes(rules: Rules | None = None) -> Column:
+    """Why a found requirement is no single one; NULL where it is, or where ``rules`` settle it."""
+    several_full = F.size("totals") > 1
+    several_current = F.col("now") != F.col("last")
+    if rules is not None:
+        several_full = several_full & F.lit(rules.duplicate_seed == "set_aside")
+        several_current = several_current & F.lit(rules.current_match == "set_aside")
+    return F.when(several_full, SEVERAL_FULL).when(several_current, SEVERAL_CURRENT)
+
+
+def refused_students(found: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The students set aside: a row for each subject that is in the way, and why."""
+    _, refused = parted(found, clashes(rules), ["studentID"])
+    return refused.select("studentID", "subject", F.col("_problem").alias("reason"))
+
+
+def ledger_requirements(
+    students: DataFrame,
+    reqs: DataFrame,
+    curr_grad_year: int,
+    mid_year: int,
+    rules: Rules = DEFAULT_RULES,
+    small: bool | None = None,
+) -> DataFrame:
+    """Ledger rows with their current requirement; 0 and semester -1 where there is none."""
+    found = found_requirements(students, reqs, curr_grad_year, mid_year, rules, small)
+    return settled_requirements(found, rules)
+
+
+def settled_requirements(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Ledger rows from what was found, several requirements settled as ``rules`` say."""
+    if "set_aside" in (rules.duplicate_seed, rules.current_match):
+        rows, _ = parted(rows, clashes(rules), ["studentID"])
     if rules.current_match == "error":
         message = "several current requirements match one ledger row"
         rows = refusing(rows, F.col("now") != F.col("last"), message)

@@ -47,7 +47,7 @@ def _with_changed(rows: DataFrame, ledger: DataFrame, changed: dict[str, Column]
 # --- donor to receiver, rest to a third subject ---------------------------------
 
 
-def _with_transfer(ledger: DataFrame, rules: Rules) -> DataFrame:
+def with_transfer(ledger: DataFrame, rules: Rules) -> DataFrame:
     """Add what the student's donor gives to the receiver and what is left.
 
     ``short`` is NULL without a receiver row: then nothing is transferred and
@@ -63,7 +63,7 @@ def _with_transfer(ledger: DataFrame, rules: Rules) -> DataFrame:
 
 def donor_transfer(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Per student with a donor and a receiver row: semesters transferred and left."""
-    rows = _with_transfer(ledger, rules)
+    rows = with_transfer(ledger, rules)
     return rows.filter(_is(rules.receiver) & F.col("donorDone").isNotNull()).select(
         "studentID",
         "transferComplete",
@@ -92,12 +92,12 @@ def apply_donor(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
         "semsInProgress": posted("semsInProgress", "transferInProgress", "donorOpen"),
     }
     own = ledger.drop("donorDone", "donorOpen")
-    return _with_changed(_with_transfer(ledger, rules), own, changed)
+    return _with_changed(with_transfer(ledger, rules), own, changed)
 
 
 def lost_donor(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Donor semesters left over for students without a row that takes them."""
-    rows = _with_transfer(ledger, rules)
+    rows = with_transfer(ledger, rules)
     return (
         rows.groupBy("studentID")
         .agg(
@@ -185,6 +185,14 @@ def subject_overflow(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
     )
 
 
+def overflow_with_sink(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The overflow, and whether the student has a sink row that receives it."""
+    rows = _with_overflow(ledger, rules).withColumn("hasSink", _owns(rules.sink))
+    return rows.filter(F.col("compOverflow").isNotNull()).select(
+        "studentID", "subject", "subj_key", "compOverflow", "inpOverflow", "hasSink"
+    )
+
+
 def sink_posting(ledger: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Overflow per student; ``posted`` is false where no sink row receives it."""
     return (

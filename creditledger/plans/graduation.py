@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
-from ..operators import credits, dual, joins, requirements, status, transfer
+from ..operators import credits, dual, joins, journal, requirements, status, transfer
+from ..operators.checks import Checks
 from ..rules import DEFAULT_RULES, Rules
 from ..session import Scratch
 
@@ -47,7 +48,7 @@ class Graduation:
     ``folder`` is a folder that all executors see, for the tables that steps
     rest on: asking for a step writes these, the step itself stays lazy.
     ``close`` removes them.  ``keep_stages`` also writes the versions that only
-    several outputs share.
+    several outputs share.  ``checks`` counts what clashes or matches nothing.
     """
 
     def __init__(
@@ -58,6 +59,7 @@ class Graduation:
         rules: Rules = DEFAULT_RULES,
         folder: str | None = None,
         keep_stages: bool = False,
+        checks: bool = False,
     ) -> None:
         if not isinstance(curr_grad_year, int):
             raise ValueError("curr_grad_year must be given as an int")
@@ -69,6 +71,7 @@ class Graduation:
         self.rules = rules
         self.keep_stages = keep_stages
         self.scratch = Scratch(inputs.students.sparkSession, folder)
+        self.checks = Checks(on=checks)
 
     def close(self) -> None:
         self.scratch.close()
@@ -89,7 +92,8 @@ class Graduation:
 
     @cached_property
     def students(self) -> DataFrame:
-        return requirements.by_student(self.inputs.students)
+        no_id = F.col("studentID").isNull()
+        return requirements.by_student(self.checks.count(self.inputs.students, students_without_id=no_id))
 
     @cached_property
     def seed(self) -> DataFrame:
@@ -105,10 +109,24 @@ class Graduation:
 
     @cached_property
     def required(self) -> DataFrame:
-        ledger = requirements.ledger_requirements(
+        found = self.checks.count(
+            self.found,
+            several_full=F.size("totals") > 1,
+            several_current=F.col("now") != F.col("last"),
+            ledger_rows=F.lit(True),
+        )
+        return schema.check_ledger(requirements.settled_requirements(found, self.rules))
+
+    @cached_property
+    def found(self) -> DataFrame:
+        return requirements.found_requirements(
             self.students, self.reqs, self.year, self.mid_year, self.rules, self.small
         )
-        return schema.check_ledger(ledger)
+
+    @cached_property
+    def refused(self) -> DataFrame:
+        """Students that the rules set aside, who are in no ledger."""
+        return requirements.refused_students(self.found, self.rules)
 
     # --- transcript
 
@@ -119,7 +137,13 @@ class Graduation:
         Irrelevant courses go before the aggregate when the requirements can be
         broadcast, and after it, on far fewer rows, when they cannot.
         """
-        rows, reqs = self.inputs.transcript, self.reqs
+        reqs = self.reqs
+        rows = self.checks.count(
+            self.inputs.transcript,
+            transcript_rows=F.lit(True),
+            transcript_without_student=F.col("studentID").isNull(),
+            transcript_without_subject=F.col("subject").isNull(),
+        )
         if self.small:
             rows = credits.relevant_courses(rows, reqs, self.rules, True)
             sums = credits.course_sums(rows, self.rules)
@@ -133,7 +157,7 @@ class Graduation:
         """The counted ledger, with each student's donor semesters beside it."""
         courses = credits.ledger_courses(self.sums, self.reqs, self.rules, self.small)
         semesters = credits.student_semesters(courses.repartition("studentID"), self.rules)
-        return credits.count_semesters(self.required, semesters)
+        return credits.count_semesters(self.required, semesters, self.checks)
 
     @cached_property
     def counted(self) -> DataFrame:
@@ -183,7 +207,13 @@ class Graduation:
 
     @cached_property
     def posted(self) -> DataFrame:
-        return dual.post_dual(self.snapshot, self.postings)
+        return dual.post_dual(self.snapshot, self.postings, self.checks)
+
+    @cached_property
+    def journal(self) -> DataFrame:
+        """Every move of semesters between the counted and the settled ledger."""
+        versions = (self.with_donor, self.transferred, self.grouped, self.dual, self.posted)
+        return journal.journal(*versions, self.rules)
 
     @cached_property
     def settled(self) -> DataFrame:
@@ -260,8 +290,15 @@ class Outputs:
     total_status: DataFrame
     second_overflow: DataFrame
     lost: DataFrame
+    refused: DataFrame
+    journal: DataFrame | None
+    checks: Checks
     scratch: Scratch
 
+    def counts_of_checks(self) -> dict[str, int]:
+        """What the run met in passing: rows without keys, clashes, sources without a target."""
+        return self.checks.report()
+
     def close(self) -> None:
         self.scratch.close()
 
@@ -302,7 +339,7 @@ def run(
     if not folder:
         raise ValueError("a run needs a folder that all executors see")
     inputs = Inputs(students, reqs, transcript, student_status)
-    steps = Graduation(inputs, curr_grad_year, mid_year, rules, folder, keep_stages=True)
+    steps = Graduation(inputs, curr_grad_year, mid_year, rules, folder, True, checks=True)
     try:
         graded = steps.graded_table
         final = steps.final_of(graded)
@@ -318,6 +355,9 @@ def run(
             total_status=steps.total_status_of(graded),
             second_overflow=transfer.subject_overflow(steps.posted, rules).drop("subj_key"),
             lost=steps.lost,
+            refused=steps.refused,
+            journal=steps.journal if rules.multi_match == "sum" else None,
+            checks=steps.checks,
             scratch=steps.scratch,
         )
     except BaseException:

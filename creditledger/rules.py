@@ -10,8 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 MULTI_MATCH = ("sum", "min", "error")
-CURRENT_MATCH = ("min", "error")
-DUPLICATE_SEED = ("keep", "max", "error")
+CURRENT_MATCH = ("min", "error", "set_aside")
+DUPLICATE_SEED = ("keep", "max", "error", "set_aside")
 COHORT_MATCH = ("contains", "token")
 
 
@@ -45,7 +45,8 @@ class Rules:
     sink: str = "Electives"
     dual_separator: str = "|"
 
-    # How to settle what the data leaves open.
+    # How to settle what the data leaves open.  "error" fails the run; "set_aside" grades all
+    # students but those concerned, who are listed instead.
     multi_match: str = "sum"  # several source rows for one group-subject row
     current_match: str = "min"  # several current requirements for one ledger row
     duplicate_seed: str = "keep"  # one subject, two full requirements

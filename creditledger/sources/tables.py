@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.graduation import Inputs, Outputs
+from .publication import BUCKETS, Manifest, Publication
 
 # Table names of the inputs and outputs.
 INPUT_TABLES = {
@@ -24,6 +25,8 @@ OUTPUT_TABLES = {
     "total_status": "total_grad_sems_status",
     "second_overflow": "grad_subj_overflow2",
     "lost": "lost_semesters",
+    "refused": "refused_students",
+    "journal": "posting_journal",
 }
 
 
@@ -34,11 +37,18 @@ def read_inputs(spark: SparkSession, folder: str) -> Inputs:
     return Inputs(**{name: read(name) for name in INPUT_TABLES}).conformed()
 
 
-def write_outputs(outputs: Outputs, folder: str) -> None:
-    """Replace the output tables.
+def write_outputs(outputs: Outputs, folder: str, buckets: int = BUCKETS) -> Manifest:
+    """Publish all output tables together, as a new version of the publication in ``folder``.
 
-    ``folder`` must not be the input folder: the status table is read while
-    its new version is written.
+    Only buckets of students with changed rows are written; readers see the version before until
+    all tables are there, also if the run fails.
     """
-    for name, table in OUTPUT_TABLES.items():
-        getattr(outputs, name).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{table}")
+    tables = {table: getattr(outputs, name) for name, table in OUTPUT_TABLES.items()}
+    present = {name: df for name, df in tables.items() if df is not None}
+    keys = dict.fromkeys(present, "studentID")
+    return Publication(outputs.ledger.sparkSession, folder, buckets).publish(present, keys)
+
+
+def read_outputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All output tables by their table names, as of the last version published whole."""
+    return Publication(spark, folder).read_all()

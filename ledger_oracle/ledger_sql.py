@@ -260,6 +260,43 @@ def _steps(year: int, mid_year: int) -> list[tuple[str, str]]:
             from worst_code w join total_code t on t.sid = w.sid""",
         ),
         ("final1", "select sid, min(code_all) as code_all from final group by sid"),
+        # --- students set aside
+        (
+            "refused",
+            "select sid, k, min(subject) as subject from required_twice group by sid, k having count(*) > 1",
+        ),
+        # --- every move of semesters
+        (
+            "moves",
+            """select * from (
+              select sid, 'donor' as rule, 'ALGEBRA II' as f, 'ALGEBRA I' as t, tc as c, ti as i,
+                false as taken, true as landed from give
+              union all
+              select d.sid, 'donor rest', 'ALGEBRA II', 'MATHEMATICS', d.dc - coalesce(g.tc, 0),
+                d.di - coalesce(g.ti, 0), false, d.sid in (select sid from l1 where k = 'MATHEMATICS')
+              from donor d left join give g on g.sid = d.sid where d.sid in (select sid from l1 )
+              union all
+              select sid, 'group', k, 'GENERAL SCIENCE', sc, si, true, true from science
+              union all
+              select sid, 'overflow', k, 'ELECTIVES', oc, oi, true,
+                sid in (select sid from l3 where k = 'ELECTIVES') from over1
+              union all
+              select sid, 'dual course', upper(subject), pk, pc, pi, false,
+                (sid, pk) in (select (sid, k) from l4 ) from d5
+              union all
+              select sid, 'dual course', upper(subject), sk, sc, si, false,
+                (sid, sk) in (select (sid, k) from l4 ) from d5
+              union all
+              select sid, 'dual course', upper(subject), 'GENERAL SCIENCE', gc, gi, false,
+                sid in (select sid from l4 where k = 'GENERAL SCIENCE') from d5
+              union all
+              select sid, 'dual course', upper(subject), 'ELECTIVES', oc, oi, false,
+                sid in (select sid from l4 where k = 'ELECTIVES') from d5
+              union all
+              select sid, 'second overflow', k, 'ELECTIVES', oc, oi, true,
+                sid in (select sid from l5 where k = 'ELECTIVES') from over2 )
+            where c <> 0 or i <> 0""",
+        ),
     ]
 
 
@@ -348,6 +385,20 @@ _SELECTS = {
       total::int as "semsReqdTotal", {_LABEL} as "subjStatus" from graded""",
     "update_from": """select s.sid as "studentID", coalesce(t.total, 0)::bigint as sems, s.gs as "gradStatus"
       from status_before s left join (select sid, sum(c + i) as total from l3 group by sid) t on t.sid = s.sid""",
+    "refused_students": """select sid as "studentID", subject,
+      'a subject has several full requirements' as reason from refused""",
+    "ledger_set_aside": """select sid as "studentID", subject, semester, reqd::int as "semsReqdGrade",
+      close_at::int as "semsClose", total::int as "semsReqdTotal" from required_twice
+      where sid not in (select sid from refused )""",
+    "status_set_aside": f"""select s.sid as "studentID", case when f.sid is null then s.gs
+      else {_label('f.code_all')} end as "gradStatus" from status_before s
+      left join (select * from final1 where sid not in (select sid from refused )) f on f.sid = s.sid""",
+    "posting_journal": """select sid as "studentID", rule, f as "fromSubject", t as "toSubject",
+      c::bigint as "semsComplete", i::bigint as "semsInProgress", taken, landed from moves""",
+    "journal_balances": """select sid as "studentID", k as subject, c::bigint as "semsComplete",
+      i::bigint as "semsInProgress" from l6""",
+    "published_status": f"""select s.sid as "studentID", case when f.sid is null then s.gs
+      else {_label('f.code_all')} end as "gradStatus" from status_before s left join final1 f on f.sid = s.sid""",
     "lost_semesters": """select sid as "studentID", kind, subject, c::bigint as "semsComplete",
       i::bigint as "semsInProgress" from lost""",
 }
