@@ -1,13 +1,16 @@
 """Benchmark decontamination: find benchmark passages in documents by the q-gram lemma.
 
 Texts are compared as lower-cased letters and digits with one space for any run of other
-characters.  Each benchmark item is cut into overlapping windows of ``WINDOW`` characters; a
-shorter item is one window.  A window of m characters may be met with ``k = EDIT_RATE * m``
-edits.  By the q-gram lemma, a region of a document within k edits of the window shares at
+characters.  Each benchmark item is covered by windows of two kinds (``KINDS``): long ones, which
+may be met with many edits, and short ones that begin every few characters, so that a fragment of
+``LEAST`` characters holds a whole short window wherever in the item it begins.  An item shorter
+than a long window is one window.  By the q-gram lemma, a region of a document within k edits of the window shares at
 least ``m + 1 - q (k + 1)`` q-grams with it, on diagonals that differ by at most k.  Diagonals
 are covered by bands of twice k that overlap by half, so that such a region has all of these
-in one band.  Shared q-grams are counted by window and band; bands that reach the bound are
-verified by aligning the window inside the band, which gives the least number of edits.
+in one band.  The index has every place of an item once; shared q-grams are counted for the
+windows that cover their place, by window and band; bands that reach the bound are verified by
+aligning the window inside the band, which gives the least number of edits.  Regions that
+overlap are one.
 
 The benchmark is cut into blocks of at most ``BLOCK_CHARS`` characters by the hash of the
 items, each small enough to send to every task; documents are searched against one block after
@@ -35,9 +38,12 @@ from pyspark.sql import functions as F
 from .common import arrow_rows, read
 
 Q = 10
-WINDOW, STRIDE = 100, 50
-EDIT_RATE = 0.08
-BLOCK_CHARS = 16 << 20
+#: Characters of a window, from how many to how many one begins, and edits allowed per character.
+KINDS = ((100, 50, 0.08), (50, 8, 0.04))
+WINDOW = max(window for window, _, _ in KINDS)
+#: Every fragment of an item of so many compared characters is found, with two edits at most.
+LEAST = 50 + 8 - 1
+BLOCK_CHARS = 4 << 20
 PIECE_CHARS = 1 << 20
 FILTER_BITS = 22
 BASE = 0x9E3779B97F4A7C15
@@ -48,17 +54,25 @@ SPACE, GAP = 32, 0
 
 @dataclass
 class Index:
-    """Windows of benchmark items and where each q-gram occurs in them."""
+    """Windows of benchmark items, and where each q-gram occurs in the items."""
 
     items: list
     codes: np.ndarray
+    #: Of each item that has a q-gram: its number, and where it begins in ``codes``.
+    number: np.ndarray
+    begin: np.ndarray
+    #: Of each kind and item: the first of its windows, the last one's start, and their length.
+    base: np.ndarray
+    last: np.ndarray
+    size: np.ndarray
+    #: Of each window.
     start: np.ndarray
     length: np.ndarray
     owner: np.ndarray
     edits: np.ndarray
+    #: The different q-grams, the first of the places of each, and all places.
     grams: np.ndarray
     first: np.ndarray
-    window: np.ndarray
     place: np.ndarray
     filter: np.ndarray
 
@@ -110,55 +124,67 @@ def gram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
 
 
 def build(items: list[tuple[object, str]]) -> Index:
-    parts, start, length, owner = [], [], [], []
-    at = 0
-    for number, (_, text) in enumerate(items):
-        codes, _ = normal(text or "")
-        m = len(codes)
-        if m < Q:
-            continue
-        last = max(0, m - WINDOW)
-        for s in sorted({*range(0, last, STRIDE), last}):
-            start.append(at + s)
-            length.append(min(WINDOW, m - s))
-            owner.append(number)
-        parts.append(codes)
-        at += m
+    texts = [normal(text or "")[0] for _, text in items]
+    number = np.array([i for i, codes in enumerate(texts) if len(codes) >= Q], np.int64)
+    parts = [texts[i] for i in number]
     codes = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-    start, length, owner = (np.array(x, np.int64) for x in (start, length, owner))
-    edits = np.minimum((EDIT_RATE * length).astype(np.int64), (length - Q) // Q)
-    counts = length - Q + 1
-    window = np.repeat(np.arange(len(start)), counts)
-    place = np.arange(len(window)) - np.repeat(np.cumsum(counts) - counts, counts)
+    sizes = np.array([len(c) for c in parts], np.int64)
+    begin = np.cumsum(sizes) - sizes
+    base, last, size, windows = [], [], [], [np.zeros((4, 0), np.int64)]
+    made = 0
+    for kind, (window, stride, rate) in enumerate(KINDS):
+        length = np.minimum(window, sizes)
+        edits = np.minimum((rate * length).astype(np.int64), (length - Q) // Q)
+        # A shorter item is one window of the first kind, which stands for all.
+        n = np.where((kind == 0) | (sizes > window), -((length - sizes) // stride) + 1, 0)
+        base.append(made + np.cumsum(n) - n)
+        last.append(sizes - length)
+        size.append(np.where(n > 0, length, 0))
+        of = np.repeat(np.arange(len(sizes)), n)
+        at = np.minimum((np.arange(len(of)) + made - base[-1][of]) * stride, last[-1][of])
+        windows.append(np.stack([begin[of] + at, length[of], number[of], edits[of]]))
+        made += len(of)
+    start, length, owner, edits = np.concatenate(windows, axis=1)
     hashed = gram_hashes(codes)
-    own = hashed[start[window] + place] if len(window) else np.zeros(0, np.uint64)
-    order = np.argsort(own, kind="stable")
-    grams, first = np.unique(own[order], return_index=True)
+    # Grams that reach from one item into the next are none.
+    whole = np.ones(len(hashed), bool)
+    for k in range(1, Q):
+        ends = (begin + sizes - k)[begin + sizes - k < len(hashed)]
+        whole[ends] = False
+    place = np.flatnonzero(whole)
+    order = np.argsort(hashed[place], kind="stable")
+    place = place[order]
+    grams, first = np.unique(hashed[place], return_index=True)
     bits = np.zeros(1 << FILTER_BITS, bool)
     bits[(grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
     return Index(
         [i for i, _ in items],
         codes,
+        number,
+        begin,
+        np.array(base),
+        np.array(last),
+        np.array(size),
         start,
         length,
         owner,
         edits,
         grams,
-        np.concatenate([first, [len(own)]]),
-        window[order],
-        place[order],
+        np.concatenate([first, [len(place)]]),
+        place,
         bits,
     )
 
 
-def aligned(index: Index, text: np.ndarray, window: int, low: np.ndarray, width: int):
-    """Least edits between a window and a part of ``text`` inside each of some bands.
+def aligned(index: Index, text: np.ndarray, windows: np.ndarray, low: np.ndarray, width: int):
+    """Least edits between windows and a part of ``text`` inside a band each.
 
-    A band holds diagonals ``low`` to ``low + width - 1``: place i of the window faces place
-    i plus the diagonal of the text.  Gives the edits and the end place in the text.
+    The windows are equally long.  A band holds diagonals ``low`` to ``low + width - 1``: place i
+    of the window faces place i plus the diagonal of the text.  Gives the edits and the end place
+    in the text.
     """
-    m = int(index.length[window])
-    pattern = index.codes[index.start[window] : index.start[window] + m]
+    m = int(index.length[windows[0]])
+    start = index.start[windows]
     diagonal = low[:, None] + np.arange(width)[None, :]
     step = np.arange(width)
     cost = np.zeros((len(low), width), np.int32)
@@ -166,7 +192,7 @@ def aligned(index: Index, text: np.ndarray, window: int, low: np.ndarray, width:
     for i in range(m):
         at = diagonal + i
         at = np.where((at >= 0) & (at < len(text)), at, len(text))
-        met = cost + (padded[at] != pattern[i])
+        met = cost + (padded[at] != index.codes[start + i][:, None])
         skipped = np.full_like(cost, m + 1)
         skipped[:, :-1] = cost[:, 1:] + 1
         best = np.minimum(met, skipped) - step
@@ -176,6 +202,21 @@ def aligned(index: Index, text: np.ndarray, window: int, low: np.ndarray, width:
     return cost[rows, end], low + end + m
 
 
+def covering(index: Index, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The windows that hold the q-grams at places of items: (which of ``place``, window)."""
+    item = np.searchsorted(index.begin, place, side="right") - 1
+    own = place - index.begin[item]
+    for kind, (_, stride, _) in enumerate(KINDS):
+        last, size = index.last[kind][item], index.size[kind][item]
+        most = -(-last // stride)
+        low = np.minimum(-(-np.maximum(0, own - (size - Q)) // stride), most)
+        high = np.where(own >= last, most, own // stride)
+        n = np.where(size > 0, high - low + 1, 0)
+        which = np.repeat(np.arange(len(place)), n)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+        yield which, index.base[kind][item[which]] + low[which] + nth
+
+
 def search(index: Index, text: np.ndarray):
     """Matches in one text: (item number, start, end, edits), places of compared characters."""
     hashed = gram_hashes(text)
@@ -199,34 +240,52 @@ def search(index: Index, text: np.ndarray):
     for a, b in zip(starts, [*starts[1:], len(n)], strict=True):
         size = n[a:b]
         begin = np.repeat(index.first[at[a:b]] - (np.cumsum(size) - size), size)
-        posting = begin + np.arange(int(size.sum()))
-        window = index.window[posting]
-        diagonal = np.repeat(maybe[a:b], size) - index.place[posting] + raise_by
-        band = diagonal // half[window]
-        keys = np.concatenate([window * n_bands + band, window * n_bands + band - 1])
-        keys, own_counts = np.unique(keys, return_counts=True)
-        found_keys.append(keys)
-        found_counts.append(own_counts)
+        place = index.place[begin + np.arange(int(size.sum()))]
+        here = np.repeat(maybe[a:b], size)
+        for which, window in covering(index, place):
+            diagonal = here[which] - (place[which] - index.start[window]) + raise_by
+            band = diagonal // half[window]
+            keys = np.concatenate([window * n_bands + band, window * n_bands + band - 1])
+            keys, own_counts = np.unique(keys, return_counts=True)
+            found_keys.append(keys)
+            found_counts.append(own_counts)
     keys, inverse = np.unique(np.concatenate(found_keys), return_inverse=True)
     total = np.bincount(inverse, np.concatenate(found_counts))
     window, band = keys // n_bands, keys % n_bands
     bound = index.length[window] + 1 - Q * (index.edits[window] + 1)
     enough = total >= bound
     window, band = window[enough], band[enough]
+    low = band * half[window] - raise_by - index.edits[window]
     matches = []
-    for w in np.unique(window):
-        k, m = int(index.edits[w]), int(index.length[w])
-        low = band[window == w] * half[w] - raise_by - k
-        for a in range(0, len(low), BANDS):
-            edits, end = aligned(index, text, w, low[a : a + BANDS], 2 * int(half[w]) + 2 * k)
-            good = edits <= k
-            for e, stop in zip(edits[good].tolist(), end[good].tolist(), strict=True):
-                matches.append((int(index.owner[w]), max(0, stop - m), min(stop, len(text)), e))
+    for m in np.unique(index.length[window]):
+        same = np.flatnonzero(index.length[window] == m)
+        for k in np.unique(index.edits[window[same]]):
+            alike = same[index.edits[window[same]] == k]
+            width = 2 * (max(int(k), 1) + 1) + 2 * int(k)
+            for a in range(0, len(alike), BANDS):
+                part = alike[a : a + BANDS]
+                edits, end = aligned(index, text, window[part], low[part], width)
+                good = edits <= k
+                owners = index.owner[window[part][good]].tolist()
+                for o, e, stop in zip(owners, edits[good].tolist(), end[good].tolist(), strict=True):
+                    matches.append((o, max(0, stop - int(m)), min(stop, len(text)), e))
     return matches
 
 
+def merged(regions: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Regions (edits, begin, end) with those that overlap as one, with the least edits of them."""
+    found: list[list[int]] = []
+    for edits, begin, end in sorted(regions, key=lambda r: r[1:]):
+        if found and begin <= found[-1][2]:
+            found[-1][0] = min(found[-1][0], edits)
+            found[-1][2] = max(found[-1][2], end)
+        else:
+            found.append([edits, begin, end])
+    return sorted(tuple(r) for r in found)
+
+
 def matches_of(index: Index, text: str | None) -> list[tuple[object, int, int, int, int]]:
-    """Per item met in a text: (item, regions, start, end, edits), the region of least edits.
+    """Per item met in a text: (item, regions, start, end, edits) of the region of least edits.
 
     ``start`` and ``end`` are places in the text itself.
     """
@@ -239,9 +298,9 @@ def matches_of(index: Index, text: str | None) -> list[tuple[object, int, int, i
             best.setdefault(item, []).append((edits, begin, end))
     found = []
     for item, regions in sorted(best.items()):
-        regions = sorted(set(regions))
+        regions = merged(regions)
         edits, begin, end = regions[0]
-        found.append((index.items[item], len({(b, e) for _, b, e in regions}), begin, end, edits))
+        found.append((index.items[item], len(regions), begin, end, edits))
     return found
 
 

@@ -23,17 +23,70 @@ def least_edits(window, text):
 
 
 def brute(items, text):
-    index = d.build(items)
-    own, _ = d.normal(text or "")
-    own = own.tolist()
+    """Items of which a window is met, the windows cut here from the stated rule."""
+    own = d.normal(text or "")[0].tolist()
     met = set()
-    for w in range(len(index.start)):
-        start, m = int(index.start[w]), int(index.length[w])
-        if least_edits(index.codes[start : start + m].tolist(), own) <= index.edits[w]:
-            met.add(index.items[index.owner[w]])
+    for item, passage in items:
+        whole = d.normal(passage)[0].tolist()
+        for size, stride, rate in ((100, 50, 0.08), (50, 8, 0.04)):
+            if len(whole) < 10 or (size == 50 and len(whole) <= 50):
+                continue
+            last = max(0, len(whole) - size)
+            for s in {*range(0, last, stride), last}:
+                window = whole[s : s + size]
+                if least_edits(window, own) <= min(int(rate * len(window)), (len(window) - 10) // 10):
+                    met.add(item)
     return met
 
 
+@pytest.mark.parametrize("edits", [0, 2])
+def test_every_fragment_of_the_least_length_is_found(edits):
+    """Wherever it begins, in an item of any length; nothing of this is taken from the index."""
+    rng = random.Random(17 + edits)
+    for n in (12, 14, 20, 40, 90):
+        passage = " ".join(words(rng, n))
+        whole = "".join(map(chr, d.normal(passage)[0]))
+        index = d.build([(1, " ".join(words(rng, 30))), (7, passage), (9, " ".join(words(rng, 60)))])
+        for size in (d.LEAST, d.LEAST + 5, 80, 92, 110, 130):
+            for at in range(0, len(whole) - size + 1, 1 if size == d.LEAST else 7):
+                fragment = whole[at : at + size].strip()
+                if len(fragment) < d.LEAST:
+                    continue
+                text = f"{' '.join(words(rng, 6))}. {edited(rng, fragment, edits)}; {' '.join(words(rng, 6))}"
+                assert 7 in {m[0] for m in d.matches_of(index, text)}, (at, size)
+
+
+def test_thirteen_shared_words_are_found_and_five_are_not():
+    rng = random.Random(23)
+    found = missed = 0
+    for _ in range(60):
+        passage = words(rng, 60)
+        index = d.build([(1, " ".join(passage))])
+        at = rng.randrange(47)
+        shared = passage[at : at + 13]
+        if len(" ".join(shared)) >= d.LEAST:
+            found += [m[0] for m in d.matches_of(index, " ".join([*words(rng, 30), *shared, *words(rng, 30)]))] == [1]
+            missed += 1
+        few = [*words(rng, 30), *passage[at : at + 5], *words(rng, 30)]
+        assert d.matches_of(index, " ".join(few)) == []
+    assert found == missed > 10
+
+
+def test_an_index_of_a_full_block_is_small():
+    """What it holds, and the most held while it is built."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    letters = np.array(list("abcdefghijklmnopqrst "))
+    items = [(i, "".join(letters[rng.integers(0, 21, 4000)])) for i in range(d.BLOCK_CHARS // 4000)]
+    tracemalloc.start()
+    index = d.build(items)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 500 << 20
+    assert sum(a.nbytes for a in index.__dict__.values() if isinstance(a, np.ndarray)) < 250 << 20
+
+
 def words(rng, n):
     return [
         "".join(rng.choice(["th", "er", "on", "a", "ing", "qu"]) for _ in range(rng.randrange(1, 4)))
@@ -75,6 +128,7 @@ def test_pieces_of_long_texts(monkeypatch):
     rng = random.Random(9)
     passage = " ".join(words(rng, 40))
     index = d.build([(1, passage)])
+    assert len(passage) > 2 * d.LEAST
     for at in range(100, 400, 7):
         text = " ".join([*words(rng, at), passage, *words(rng, 400 - at)])
         assert [m[0] for m in d.matches_of(index, text)] == [1]
