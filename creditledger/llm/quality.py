@@ -270,12 +270,12 @@ def judged(measured: DataFrame, m: Column, model: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass the base test and that the label model holds for good.
 
-    The texts are measured twice, once for the model and once for the verdict: only counts of
-    vote patterns are shuffled, and no copy of the texts is written.
+    The texts are measured once: the rows are written with their measures, of which the model
+    then reads no more than those, and only counts of vote patterns are shuffled.
     """
     m = F.col("_quality_m")
-    model = cut(fit(cut(docs.select(measures(F.col(text)).alias("_quality_m"))), m))
-    rows = judged(docs.withColumn("_quality_m", measures(F.col(text))), m, model)
+    measured = cut(docs.withColumn("_quality_m", measures(F.col(text))))
+    rows = judged(measured, m, cut(fit(measured.select("_quality_m"), m)))
     return rows.filter(F.col("_quality.kept")).drop("_quality", "_quality_m")
 
 
