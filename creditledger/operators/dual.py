@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..rules import DEFAULT_RULES, Rules, key, keys
 from .checks import Checks
-from .joins import spread_join
+from .joins import split_join
 from .keyed import NO_CHECKS, one_row_per_key, update_from
 
 NEEDS = ("primaryReqd", "primaryNeed", "secondaryNeed", "hasGroup", "hasSink")
@@ -54,10 +54,10 @@ def measure_needs(
 ) -> DataFrame:
     """Give each dual course the needs of its two subjects, NULL without a ledger row.
 
-    The courses of students who have very many are split over several tasks.
+    The courses of students who have very many meet these needs where they are.
     """
     needs = needs_by_student(ledger, rules)
-    rows = spread_join(dual, needs, ["studentID"], F.xxhash64("subj_key"))
+    rows = split_join(dual, needs, ["studentID"])
     primary = F.try_element_at("needs", F.col("primary_key"))
     secondary = F.try_element_at("needs", F.col("secondary_key"))
     return rows.select(

@@ -44,11 +44,35 @@ def hot_keys(facts: DataFrame, on: list[str]) -> DataFrame:
     )
 
 
+def split_join(facts: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
+    """Left join with a lookup of one row a key, in place but for the rows of hot keys.
+
+    There are fewer hot keys than partitions, and the lookup has a row for each at most, so the
+    rows of hot keys meet theirs by broadcast, wherever they are; all others are hashed on the
+    key, and a lookup that is hashed on it already, as a bucketed table is, does not move.  Rows
+    without a key match nothing and go the first way.
+    """
+    hot = F.broadcast(hot_keys(facts, on))
+    is_hot = F.struct(*on).eqNullSafe(F.col("_hot"))
+    known = lookup.dropna(subset=on)
+    some_null = F.lit(False)
+    for c in on:
+        some_null = some_null | F.col(c).isNull()
+    marked = facts.join(hot.withColumn("_is_hot", F.lit(True)), is_hot, "left")
+    warm = F.col("_is_hot").isNotNull() | some_null
+    own = facts.columns
+    of_hot = known.join(hot, is_hot, "left_semi")
+    cold = marked.filter(~warm).select(*own).join(known, on, "left")
+    met = marked.filter(warm).select(*own).join(F.broadcast(of_hot), on, "left")
+    return cold.unionByName(met)
+
+
 def spread_join(
     facts: DataFrame, lookup: DataFrame, on: list[str], spread: Column, how: str = "left"
 ) -> DataFrame:
     """Join on ``on`` that splits the fact rows of every hot key over several tasks.
 
+    For lookups that may have many rows a key; with one row a key ``split_join`` moves less.
     ``lookup`` is repeated for hot keys only, once for each part.  ``spread``
     deals the rows of a key: a hash of columns that tell its rows apart, or the
     input partition where rows may be plain copies; both are the same again when

@@ -30,13 +30,32 @@ OUTPUT_TABLES = {
 }
 
 
-def read_inputs(spark: SparkSession, folder: str) -> Inputs:
+def read_inputs(spark: SparkSession, folder: str, transcript_table: str | None = None) -> Inputs:
+    """The input tables as parquet in ``folder``.
+
+    ``transcript_table`` names a catalog table that is read instead of the transcript there.
+    Kept in buckets of ``studentID``, see ``write_transcript``, it is summed up where it is.
+    """
+
     def read(name: str) -> DataFrame:
+        if name == "transcript" and transcript_table:
+            return spark.table(transcript_table)
         return spark.read.parquet(f"{folder.rstrip('/')}/{INPUT_TABLES[name]}")
 
     return Inputs(**{name: read(name) for name in INPUT_TABLES}).conformed()
 
 
+def write_transcript(transcript: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Keep a transcript as a catalog table in buckets of ``studentID``, sorted by it.
+
+    Every run that reads the table is spared the shuffle of the largest input.  Choose as many
+    buckets as tasks that a bucket's share of the rows should fit.
+    """
+    rows = transcript.repartition(buckets, "studentID")
+    writer = rows.write.format("parquet").bucketBy(buckets, "studentID").sortBy("studentID")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def write_outputs(outputs: Outputs, folder: str, buckets: int = BUCKETS) -> Manifest:
     """Publish all output tables together, as a new version of the publication in ``folder``.
 

@@ -95,10 +95,10 @@ def test_ledger_is_not_shuffled_between_steps(at_scale, written):
     # Students and course sums, each once; joins, windows and the donor add none.
     assert shuffles(steps.spilled) == ["studentID"] * 2
     # The written ledger stays where it is.  Dual courses are hashed by course, counted by
-    # student, and their postings gathered.
+    # student, moved to the student's needs, and their postings gathered.
     steps.snapshot
     own = shuffles(steps.graded)
-    assert own == ["studentID"] + ["studentID, subj_key"] * 2
+    assert own == ["studentID"] * 2 + ["studentID, subj_key"] * 2
     assert shuffles(steps.final) == own
 
 
@@ -212,6 +212,64 @@ def test_every_hot_key_is_split(many_partitions):
     assert inner.count() == keys * copies
 
 
+def test_hot_rows_meet_a_lookup_of_one_row_a_key_where_they_are(many_partitions):
+    """As many hot keys again, and rows without a key: all are there, none has moved."""
+    spark = many_partitions
+    keys, copies = 1010, 40
+    facts = spark.range(keys * copies).select((F.col("id") % keys).alias("k"), F.col("id").alias("n"))
+    unknown = F.lit(None).cast("long").alias("k")
+    facts = facts.unionByName(spark.range(keys * copies).select(unknown, F.col("id").alias("n")))
+    facts = facts.unionByName(spark.range(keys, 3 * keys).select(F.col("id").alias("k"), F.lit(0).alias("n")))
+    lookup = spark.range(2 * keys).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = joins.split_join(facts, lookup, ["k"])
+    want = facts.join(lookup, ["k"], "left").select("k", "n", "v")
+    rows = joined.select("k", "n", "v")
+    assert rows.exceptAll(want).count() == 0 and want.exceptAll(rows).count() == 0
+    largest = max(sizes_of_tasks(joined))
+    assert largest < 2 * facts.count() / facts.rdd.getNumPartitions()
+
+
+def above(plan: str, text: str) -> list[str]:
+    """The nodes above the first one with ``text``, from it up, until a join."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if text in line)
+    depth, found = len(lines[at]) - len(lines[at].lstrip(" :+-*")), []
+    for line in reversed(lines[:at]):
+        own = len(line) - len(line.lstrip(" :+-*"))
+        if own < depth:
+            depth = own
+            found.append(line)
+            if "Join" in line:
+                break
+    return found
+
+
+def test_the_written_ledger_does_not_move_to_its_dual_courses(at_scale, written):
+    steps = written(derived.inputs(at_scale, FOLDER))
+    steps.snapshot
+    plan = plan_of(steps.dual, run=True)
+    nodes = above(plan, "Bucketed: true")
+    assert "SortMergeJoin" in nodes[-1] and "LeftOuter" in nodes[-1]
+    assert not [node for node in nodes if "Exchange" in node]
+    assert "_slot" not in plan
+
+
+def test_a_bucketed_transcript_is_summed_up_where_it_is(at_scale, tmp_path):
+    inputs = derived.inputs(at_scale, FOLDER)
+    name = "transcript_in_buckets"
+    tables.write_transcript(inputs.transcript, name, 16, str(tmp_path / "t"))
+    try:
+        for table, df in (("src_student", inputs.students), ("grad_reqs", inputs.reqs), ("student_status", inputs.student_status)):
+            df.write.parquet(f"{tmp_path}/in/{table}")
+        read = tables.read_inputs(at_scale, f"{tmp_path}/in", name)
+        plain, kept = Graduation(inputs, YEAR, 0), Graduation(read, YEAR, 0)
+        assert shuffles(plain.sums) and not shuffles(kept.sums)
+        assert Counter(kept.sums.collect()) == Counter(plain.sums.collect())
+        assert Counter(kept.final.collect()) == Counter(plain.final.collect())
+    finally:
+        at_scale.sql(f"drop table if exists {name}")
+
+
 def test_salted_rows_spread_over_tasks(at_scale):
     """One key with half of all rows, and null keys with a third: no task has twice the mean."""
     at_scale.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
