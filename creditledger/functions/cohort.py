@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,15 +33,27 @@ def grad_year_of_semester(semester: Column, curr_grad_year: int) -> Column:
     return (F.lit(curr_grad_year) - (F.ceil(semester / 2) - 4)).cast("int").cast("string")
 
 
-def named_years(cohort: Column, match: str) -> Column:
-    """Array of the distinct year texts that ``cohort`` names.
+def ledger_years(curr_grad_year: int) -> list[str]:
+    """What ``grad_year_of_semester`` gives for the semesters of a ledger: -1, and 1 to 8."""
+    return [str(curr_grad_year + ahead) for ahead in range(5)]
+
+
+def _texts(years: Sequence[str]) -> Column:
+    return F.array(*[F.lit(y) for y in years]).cast("array<string>")
+
+
+def named_years(cohort: Column, match: str, years: Sequence[str] | None = None) -> Column:
+    """Array of the distinct year texts that ``cohort`` names; of ``years`` alone, if given.
 
     With ``contains`` these are all its substrings that read as an integer, so
     an equality join on the year finds exactly the cohorts whose text contains
     it.  With ``token`` only whole numbers count; the dash of a range is no sign.
     """
     if match == "token":
-        return F.array_distinct(F.regexp_extract_all(cohort, F.lit(r"[0-9]+"), F.lit(0)))
+        found = F.array_distinct(F.regexp_extract_all(cohort, F.lit(r"[0-9]+"), F.lit(0)))
+        return found if years is None else F.array_intersect(found, _texts(years))
+    if years is not None:
+        return F.filter(_texts(years), lambda year: F.contains(cohort, year))
     starts = F.when(F.length(cohort) > 0, F.sequence(F.lit(1), F.length(cohort)))
     lengths = F.sequence(F.lit(1), F.lit(LONGEST_YEAR_TEXT))
     pieces = F.flatten(

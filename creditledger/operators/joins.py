@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +15,16 @@ BROADCAST_BYTES = 64 << 20
 PARTS = 16
 
 
-def requirements_are_small(reqs: DataFrame) -> bool:
+def requirements_are_small(reqs: DataFrame, years: Sequence[str] | None = None) -> bool:
     """Whether every table derived from the requirements may be broadcast.
 
     Bounds the bytes of the largest derived table, the one with a row per
-    requirement and year text, by one aggregate over the requirements.
+    requirement and year text, of ``years`` if given, by one aggregate over the requirements.
     """
-    texts = 1 + F.coalesce(F.length("gradYear"), F.lit(0)) * LONGEST_YEAR_TEXT
+    texts = F.coalesce(F.length("gradYear"), F.lit(0)) * LONGEST_YEAR_TEXT
+    if years is not None:
+        texts = F.least(texts, F.lit(len(years)))
+    texts = 1 + texts
     width = F.lit(64) + F.coalesce(F.octet_length("subject"), F.lit(0)) * 2
     bound = reqs.agg(F.sum((texts * width).cast("bigint"))).first()[0]
     return (bound or 0) <= BROADCAST_BYTES

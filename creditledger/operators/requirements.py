@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,23 +19,39 @@ from .joins import lookup_join, requirements_are_small
 from .keyed import parted, refusing
 
 ANY_COHORT = "any"
+#: More different years than this, from unusual grades, are not looked for one by one.
+MOST_YEARS = 256
 # Why a student is set aside.
 SEVERAL_FULL = "a subject has several full requirements"
 SEVERAL_CURRENT = "a subject has several current requirements"
 
 
-def _small(reqs: DataFrame, small: bool | None) -> bool:
-    return requirements_are_small(reqs) if small is None else small
+def _small(reqs: DataFrame, small: bool | None, years: Sequence[str] | None) -> bool:
+    return requirements_are_small(reqs, years) if small is None else small
+
+
+def asked_years(students: DataFrame, curr_grad_year: int) -> list[str] | None:
+    """The year texts that the students' grades ask for, a dozen; ``None`` for over MOST_YEARS.
+
+    One aggregate over the grades, of which at most ``MOST_YEARS`` + 1 rows reach the driver.
+    """
+    year = expected_grad_year(F.col("grade"), curr_grad_year).alias("year")
+    found = students.select(year).distinct().limit(MOST_YEARS + 1).collect()
+    return sorted(r.year for r in found if r.year) if len(found) <= MOST_YEARS else None
 
 
-def cohort_rows(reqs: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def cohort_rows(
+    reqs: DataFrame, rules: Rules = DEFAULT_RULES, years: Sequence[str] | None = None
+) -> DataFrame:
     """One row per requirement and year its cohort text names.
 
     Turns "cohort text contains the year" into an equality on ``year``, worked
-    out on the small table instead of once per student.
+    out on the small table instead of once per student.  Where the ``years`` that
+    are asked for are known, there are at most requirements times years of them.
     """
+    named = named_years(F.col("gradYear"), rules.cohort_match, years)
     return reqs.select(
-        F.explode(named_years(F.col("gradYear"), rules.cohort_match)).alias("year"),
+        F.explode(named).alias("year"),
         "semester",
         "subject",
         subject_key("subject").alias("subj_key"),
@@ -53,8 +71,8 @@ def by_student(students: DataFrame) -> DataFrame:
     return sets.select("studentID", F.inline("grades"))
 
 
-def _full_rows(reqs: DataFrame, rules: Rules) -> DataFrame:
-    full = cohort_rows(reqs.filter(F.col("semester") == rules.full_semester), rules)
+def _full_rows(reqs: DataFrame, rules: Rules, years: Sequence[str] | None) -> DataFrame:
+    full = cohort_rows(reqs.filter(F.col("semester") == rules.full_semester), rules, years)
     return full.filter(~F.col("subj_key").isin(keys(rules.seed_excluded)))
 
 
@@ -90,17 +108,18 @@ def seed_ledger(
     curr_grad_year: int,
     rules: Rules = DEFAULT_RULES,
     small: bool | None = None,
+    years: Sequence[str] | None = None,
 ) -> DataFrame:
     """A zero row per student and subject of the student's full requirement."""
     full = (
-        _full_rows(reqs, rules)
+        _full_rows(reqs, rules, years)
         .groupBy("year", "subj_key", "semsReqd")
         .agg(F.min("subject").alias("subject"))
     )
     year = expected_grad_year(F.col("grade"), curr_grad_year)
     due = students.select("studentID", year.alias("year"))
     rows = (
-        lookup_join(due, full, ["year"], _small(reqs, small), ["studentID"])
+        lookup_join(due, full, ["year"], _small(reqs, small, years), ["studentID"])
         .groupBy("studentID", "subj_key")
         .agg(
             F.min("subject").alias("subject"), F.collect_set(F.struct("semsReqd")).alias("totals")
@@ -111,10 +130,10 @@ def seed_ledger(
     return _ledger_rows(_seeded(rows, F.col("totals"), rules), {})
 
 
-def _current_rows(reqs: DataFrame, rules: Rules) -> DataFrame:
+def _current_rows(reqs: DataFrame, rules: Rules, years: Sequence[str] | None) -> DataFrame:
     """Requirement rows by (semester, cohort), a cohort being a year or any."""
     fields = ["semester", "subject", "subj_key", "semsReqd", "semsClose"]
-    own = cohort_rows(reqs, rules)
+    own = cohort_rows(reqs, rules, years)
     first = reqs.filter(F.col("semester") == 1).withColumn("subj_key", subject_key("subject"))
     return own.select(F.col("year").alias("cohort"), *fields).unionByName(
         first.select(F.lit(ANY_COHORT).alias("cohort"), *fields)
@@ -128,6 +147,7 @@ def requirements_by_grade(
     mid_year: int,
     rules: Rules = DEFAULT_RULES,
     small: bool | None = None,
+    years: Sequence[str] | None = None,
 ) -> DataFrame:
     """Requirement rows of each student's current semester.
 
@@ -142,9 +162,9 @@ def requirements_by_grade(
         .otherwise(ANY_COHORT)
         .alias("cohort"),
     )
-    lookup = _current_rows(reqs, rules)
+    lookup = _current_rows(reqs, rules, years)
     found = lookup_join(
-        wanted, lookup, ["semester", "cohort"], _small(reqs, small), ["studentID"]
+        wanted, lookup, ["semester", "cohort"], _small(reqs, small, years), ["studentID"]
     )
     return found.select("studentID", "semester", "subject", "subj_key", "semsReqd", "semsClose")
 
@@ -156,6 +176,7 @@ def found_requirements(
     mid_year: int,
     rules: Rules = DEFAULT_RULES,
     small: bool | None = None,
+    years: Sequence[str] | None = None,
 ) -> DataFrame:
     """Per student and subject the different full requirements, least and largest current one.
 
@@ -165,12 +186,12 @@ def found_requirements(
     """
     year = F.concat(F.lit("full "), "year").alias("ask")
     total = F.struct("semsReqd").alias("total")
-    full = _full_rows(reqs, rules).select(
+    full = _full_rows(reqs, rules, years).select(
         year, "subj_key", "subject", total, F.lit(None).alias("now")
     )
     now = F.struct("semester", "semsReqd", "semsClose").alias("now")
     at = F.concat(F.lit("now "), F.col("semester").cast("string"), F.lit(" "), "cohort")
-    current = _current_rows(reqs, rules).select(
+    current = _current_rows(reqs, rules, years).select(
         at.alias("ask"), "subj_key", F.lit(None).alias("subject"), F.lit(None).alias("total"), now
     )
     lookup = full.unionByName(current)
@@ -183,7 +204,7 @@ def found_requirements(
     )
     asking = students.select("studentID", F.explode(asks).alias("ask"))
     return (
-        lookup_join(asking, lookup, ["ask"], _small(reqs, small), ["studentID"])
+        lookup_join(asking, lookup, ["ask"], _small(reqs, small, years), ["studentID"])
         .groupBy("studentID", "subj_key")
         .agg(
             F.min("subject").alias("subject"),
@@ -218,9 +239,10 @@ def ledger_requirements(
     mid_year: int,
     rules: Rules = DEFAULT_RULES,
     small: bool | None = None,
+    years: Sequence[str] | None = None,
 ) -> DataFrame:
     """Ledger rows with their current requirement; 0 and semester -1 where there is none."""
-    found = found_requirements(students, reqs, curr_grad_year, mid_year, rules, small)
+    found = found_requirements(students, reqs, curr_grad_year, mid_year, rules, small, years)
     return settled_requirements(found, rules)
 
 

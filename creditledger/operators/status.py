@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,17 +62,18 @@ def total_status(
     curr_grad_year: int,
     rules: Rules = DEFAULT_RULES,
     small: bool | None = None,
+    years: Sequence[str] | None = None,
 ) -> DataFrame:
     """Grade the semester total against the cohort's total requirement.
 
     A student gets one row per matching total row, and none without one.
     """
     wanted = (
-        cohort_rows(reqs, rules)
+        cohort_rows(reqs, rules, years)
         .filter(F.col("subj_key").isin(keys(rules.total_subjects)))
         .select("semester", "year", "semsReqd", "semsClose")
     )
-    small = requirements_are_small(reqs) if small is None else small
+    small = requirements_are_small(reqs, years) if small is None else small
     placed = totals.withColumn("year", grad_year_of_semester(F.col("semester"), curr_grad_year))
     found = lookup_join(placed, wanted, ["semester", "year"], small, ["studentID"])
     kept = [c for c in ("minStatus",) if c in totals.columns]
@@ -94,9 +97,11 @@ def final_status_of(
     curr_grad_year: int,
     rules: Rules = DEFAULT_RULES,
     small: bool | None = None,
+    years: Sequence[str] | None = None,
 ) -> DataFrame:
     """Worst subject and graded total of each student, and the lesser of the two."""
-    return _final(total_status(student_standing(ledger), reqs, curr_grad_year, rules, small))
+    totals = student_standing(ledger)
+    return _final(total_status(totals, reqs, curr_grad_year, rules, small, years))
 
 
 def overall_status(ledger: DataFrame, final: DataFrame) -> DataFrame:

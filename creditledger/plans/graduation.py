@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
+from ..functions.cohort import ledger_years
 from ..operators import credits, dual, joins, journal, requirements, status, transfer
 from ..operators.checks import Checks
 from ..rules import DEFAULT_RULES, Rules
@@ -81,7 +82,13 @@ class Graduation:
 
     @cached_property
     def small(self) -> bool:
-        return joins.requirements_are_small(self.inputs.reqs)
+        return joins.requirements_are_small(self.inputs.reqs, self.years)
+
+    @cached_property
+    def years(self) -> list[str] | None:
+        """The years that grades ask for, if few, and those that ledger semesters do."""
+        asked = requirements.asked_years(self.inputs.students, self.year)
+        return None if asked is None else sorted({*asked, *ledger_years(self.year)})
 
     @cached_property
     def reqs(self) -> DataFrame:
@@ -98,13 +105,13 @@ class Graduation:
     @cached_property
     def seed(self) -> DataFrame:
         return requirements.seed_ledger(
-            self.students, self.reqs, self.year, self.rules, self.small
+            self.students, self.reqs, self.year, self.rules, self.small, self.years
         )
 
     @cached_property
     def by_grade(self) -> DataFrame:
         return requirements.requirements_by_grade(
-            self.students, self.reqs, self.year, self.mid_year, self.rules, self.small
+            self.students, self.reqs, self.year, self.mid_year, self.rules, self.small, self.years
         )
 
     @cached_property
@@ -120,7 +127,7 @@ class Graduation:
     @cached_property
     def found(self) -> DataFrame:
         return requirements.found_requirements(
-            self.students, self.reqs, self.year, self.mid_year, self.rules, self.small
+            self.students, self.reqs, self.year, self.mid_year, self.rules, self.small, self.years
         )
 
     @cached_property
@@ -227,12 +234,12 @@ class Graduation:
 
     def final_of(self, graded: DataFrame) -> DataFrame:
         return status.final_status_of(
-            graded, self.reqs, self.year, self.rules, self.small
+            graded, self.reqs, self.year, self.rules, self.small, self.years
         )
 
     def total_status_of(self, graded: DataFrame) -> DataFrame:
         totals = status.total_sems(graded)
-        return status.total_status(totals, self.reqs, self.year, self.rules, self.small)
+        return status.total_status(totals, self.reqs, self.year, self.rules, self.small, self.years)
 
     @cached_property
     def final(self) -> DataFrame:

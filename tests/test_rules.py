@@ -157,6 +157,52 @@ def test_large_requirements_join_without_broadcast(spark):
         assert narrow.exceptAll(wide).count() == 0 and wide.exceptAll(narrow).count() == 0
 
 
+def cohorts_and_grades(spark):
+    texts = ("2024", "12024", "2023-2025", "x2026y2027", "-2024", "", None, "2", "20242025")
+    reqs = reqs_of(spark, *[(t, s, f"S{i}", 1, 1) for i, t in enumerate(texts) for s in (1, 3, 8)])
+    grades = [(i, g) for i, g in enumerate((12, 11, 9, None, 8, -3, 4060, 2036, 13))]
+    return reqs, spark.createDataFrame(grades, "studentID long, grade int")
+
+
+@pytest.mark.parametrize("match", ["contains", "token"])
+def test_asked_years_give_equal_rows(spark, match):
+    reqs, students = cohorts_and_grades(spark)
+    rules = Rules(cohort_match=match)
+    years = requirements.asked_years(students, YEAR)
+    assert "" not in years and len(years) == 8
+    for build in (
+        lambda y: requirements.seed_ledger(students, reqs, YEAR, rules, years=y),
+        lambda y: requirements.requirements_by_grade(students, reqs, YEAR, 0, rules, years=y),
+        lambda y: requirements.ledger_requirements(students, reqs, YEAR, 0, rules, years=y),
+    ):
+        every, asked = build(None), build(years)
+        assert every.count() > 0
+        assert sorted(map(str, every.collect())) == sorted(map(str, asked.collect()))
+
+
+def test_asked_years_bound_the_cohort_rows(spark):
+    reqs = reqs_of(spark, ("20242025" * 500, 8, "English", 8, 7), ("2024", 8, "Art", 8, 7))
+    years = requirements.asked_years(seniors(spark, *range(50)), YEAR)
+    assert years == ["2024"]
+    assert requirements.cohort_rows(reqs, years=years).count() == 2
+    assert requirements.cohort_rows(reqs, years=[]).count() == 0
+    assert requirements.cohort_rows(reqs).count() > 50
+    strange = spark.range(requirements.MOST_YEARS + 1).selectExpr("id AS studentID", "CAST(id AS int) AS grade")
+    assert requirements.asked_years(strange, YEAR) is None
+
+
+def test_total_status_by_the_years_of_ledger_semesters(spark):
+    from creditledger.functions.cohort import ledger_years
+
+    reqs = reqs_of(spark, *[(str(y), s, "Total", 8, 7) for y in range(2020, 2032) for s in (-1, *range(1, 9))])
+    totals = spark.createDataFrame(
+        [(s, s, 5, 1) for s in (-1, *range(1, 9))], "studentID long, semester int, semsComplete long, semsInProgress long"
+    )
+    every = status.total_status(totals, reqs, YEAR)
+    asked = status.total_status(totals, reqs, YEAR, years=ledger_years(YEAR))
+    assert sorted(every.collect()) == sorted(asked.collect()) and every.count() == 9
+
+
 def test_missing_parameters_raise(spark):
     inputs = make_inputs(spark, [(1, 12)], [("2024", 8, "English", 8, 7)], [(1, "Art", 9, 1, 1, 5.0, 5.0)])
     with pytest.raises(ValueError):
