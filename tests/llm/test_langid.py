@@ -80,8 +80,9 @@ def test_pieces_of_long_texts(spark, model, monkeypatch):
     assert ["".join(langid.pieces(t)) for t in texts] == texts
     monkeypatch.setattr(langid, "BATCH_CHARS", 300)
     got = langid.shares(model, texts)
-    assert (got[:-1].argmax(axis=1) == want[:-1].argmax(axis=1)).mean() > 0.95
-    assert np.abs(got[:-1] - want[:-1]).max() < 0.1
+    got, want = got[:-1, :-1], want[:-1, :-1]
+    assert (got.argmax(axis=1) == want.argmax(axis=1)).mean() > 0.95
+    assert np.abs(got - want).max() < 0.1
 
 
 def test_learns_from_text_and_allowed_languages_only(spark):
@@ -104,3 +105,51 @@ def test_odd_rows(odd_docs, no_docs):
     assert {r._lang.lang_pred for r in langid.identify(unknown).collect()} == {"und"}
     more = odd_docs.withColumn("lang_pred", F.lit("x")).withColumn("score", F.lit(1))
     assert langid.keep_known(more).columns == more.columns
+
+
+def made_languages(spark, n, docs_each):
+    """Documents in made languages, each with some words of its own."""
+    rng = np.random.default_rng(5)
+    letters = [chr(c) for c in range(0x61, 0x7B)]
+    rows = []
+    for j in range(n):
+        words = ["".join(rng.choice(letters, rng.integers(3, 9))) for _ in range(40)]
+        for _ in range(docs_each if j else 40 * docs_each):
+            rows.append((len(rows), " ".join(rng.choice(words, 30)), f"l{j:03d}"))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_every_language_is_learned(spark):
+    docs = made_languages(spark, 100, 15)
+    rows = langid.identify(docs).select(langid.held_out("doc_id").alias("held"), "lang", "_lang.lang_pred").collect()
+    assert len({r.lang_pred for r in rows}) == 100
+    held = [r for r in rows if r.held]
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.95 * len(held)
+
+
+def test_the_size_of_a_model_is_bounded():
+    samples = [(f"l{j:04d}", f"word{chr(97 + j % 26)} {chr(97 + j // 26 % 26) * 3}") for j in range(300)]
+    model = langid.train(samples)
+    assert len(model.languages) == 300 and model.weights.size <= langid.MOST_WEIGHTS
+
+
+def test_unlearned_languages_are_rejected_and_learned_ones_kept(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    strange = [
+        "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему",
+        "幸福的家庭都是相似的，不幸的家庭各有各的不幸",
+        "Wszystkie szczęśliwe rodziny są do siebie podobne, każda nieszczęśliwa rodzina jest nieszczęśliwa",
+        "xkcd bvrt qwrt zxcv bnmk lpdf ghjk trwq pldk mnbv ghtr",
+    ]
+    known = "All happy families are alike; each unhappy family is unhappy in its own way"
+    rows = [(-1 - i, t) for i, t in enumerate([*strange, known])]
+    more = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in langid.keep_known(docs.unionByName(more, allowMissingColumns=True)).collect()}
+    assert kept == {r.doc_id for r in docs.collect()} | {-5}
+
+
+def test_copies_do_not_push_languages_out_of_the_sample(spark):
+    docs = made_languages(spark, 5, 10)
+    copies = docs.filter("lang = 'l000'").limit(1).crossJoin(spark.range(3000).select(F.lit(1).alias("_"))).drop("_")
+    sample = langid.labelled_sample(docs.union(copies), "doc_id", "text", "lang")
+    assert {lang for lang, _ in sample} == {f"l{j:03d}" for j in range(5)}
