@@ -39,6 +39,7 @@ ORACLE_SQL = {
     "op2_lm_scoring": lm_scoring.OP2_SQL,
     "op6_mixing": mixing.OP6_SQL,
     "op8_quality_rules": quality.OP8_SQL,
+    "op10_warc": warc.OP10_SQL,
     "op11_merkle": merkle.OP11_SQL,
     "op12_negatives": negatives.OP12_SQL,
     "op13_ngram_join": jaccard.OP13_SQL,

@@ -16,8 +16,8 @@ origin identifier, ordered by segment number and joined; the numbers must have n
 length must be the total.  Then the chunked framing of the HTTP message is taken off.
 
 Which pages repeat is found on digests alone, with partial aggregates, so that a payload that
-a third of all pages share moves as one row per task.  The payloads themselves are only
-shuffled for segments, which are as many rows as a large payload has parts.
+a third of all pages share moves as one row per task.  Whole pages move only if the digests that
+repeat are too many to broadcast, and then no payload gathers many rows; segments move always.
 
 Defined results: a null page counts as empty.  Rows that repeat an id and its payload are
 records of their own and of the same type.  Null ids come after all others; among pages that
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, cut, new_folder, read
+from .common import arrow_rows, cut, new_folder, read, tasks
 
 VERSION = b"WARC/1.1"
 END = b"\r\n"
@@ -152,15 +152,26 @@ def with_first(pages: DataFrame) -> DataFrame:
     """Pages with ``first``, null where the payload is met once only.
 
     ``first`` has the id of the response, ``page_id``, and the number ``n`` of its rows.  Only
-    digests move; the pages are joined with those that repeat.
+    digests move while ``first`` is found.  Payloads of more than a task's share of the repeated
+    rows are fewer than tasks, so their digests are broadcast; the rest is small or joined by
+    hash, which moves their pages, and those of the hot ones by row number, as they are done.
     """
     hashed = pages.withColumn("digest", F.sha1(F.coalesce("html", F.lit(""))))
     own = hashed.groupBy("digest", "page_id").agg(F.count(F.lit(1)).alias("n"))
     least = F.min(F.struct(F.isnull("page_id").alias("no_id"), "page_id", "n")).alias("first")
     per_digest = own.groupBy("digest").agg(F.sum("n").alias("rows"), least)
-    repeated = per_digest.filter("rows > 1").select(F.unhex("digest").alias("of"), "first")
-    same = F.unhex("digest") == F.col("of")
-    return hashed.join(cut(repeated), same, "left").drop("of", "digest")
+    repeated = cut(per_digest.filter("rows > 1"))
+    n = tasks(pages.sparkSession)
+    total = repeated.agg(F.sum("rows")).scalar()
+    is_hot = F.col("rows") * n > total
+    hot = repeated.filter(is_hot).select(F.col("digest").alias("of"), F.col("first").alias("hot"))
+    warm = repeated.filter(~is_hot).select(F.col("digest").alias("key"), "first")
+    marked = hashed.join(F.broadcast(hot), F.col("digest") == F.col("of"), "left")
+    row = F.monotonically_increasing_id().cast("string")
+    key = F.when(F.col("of").isNull(), F.col("digest")).otherwise(row)
+    found = F.coalesce("hot", "first").alias("first")
+    joined = marked.withColumn("key", key).join(warm, "key", "left")
+    return joined.select(*pages.columns, found)
 
 
 def write(pages: DataFrame, folder: str) -> None:
@@ -312,11 +323,9 @@ def reassembled(records: DataFrame) -> DataFrame:
     )
     numbers = F.col("parts.segment")
     right = numbers == F.sequence(F.lit(1), F.size("parts"))
-    block = F.reduce(
-        F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0))),
-        F.col("parts")[0]["block"],
-        lambda all_before, p: F.concat(all_before, p["block"]),
-    )
+    # Joined at once, as text in a set of characters that has one for each byte.
+    texts = F.transform("parts", lambda p: F.decode(p["block"], "ISO-8859-1"))
+    block = F.encode(F.array_join(texts, ""), "ISO-8859-1")
     built = joined.withColumn("block", block)
     right = right & (F.octet_length("block") == F.col("total"))
     checked = F.when(F.coalesce(right, F.lit(False)), F.col("block")).otherwise(
@@ -372,3 +381,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_pages(spark, folder)
     columns = ("page_id", "payload_bytes", "payload_digest", "record_type")
     return pages.select(*columns, page_of(F.col("refers_to")).alias("refers_to"))
+
+
+OP10_SQL = r"""
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages
+), named AS (
+  SELECT *, min(page_id) OVER (PARTITION BY hex) AS least FROM hashed
+), typed AS (
+  SELECT *, least IS NOT NULL AND least IS DISTINCT FROM page_id AS again FROM named
+)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+       list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + (((('0x' || substr(hex, 1 + 5 * (k // 4)::INT, 5))::BIGINT)
+               >> (15 - 5 * (k % 4))::INT) & 31)::INT, 1) FOR k IN range(32)],
+         'string_agg', '') AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN least END AS refers_to
+FROM typed
+"""

@@ -150,3 +150,31 @@ def test_large_ids_beside_nulls_are_exact(spark):
     assert ordered(got) == ordered(brute(rows))
     pages = {r.record_id: r for r in warc.read_pages(spark, folder).collect()}
     assert all(pages[r.refers_to].record_type == "response" for r in pages.values() if r.refers_to)
+
+
+def test_a_third_of_all_rows_has_one_payload(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, "u", "<p>same</p>") for i in range(300)] + [(1000 + i, "u", f"<p>{i % 400}</p>") for i in range(600)]
+        pages = spark.createDataFrame(rows, SCHEMA)
+        got = {r.page_id: r.first and r.first.page_id for r in warc.with_first(pages).collect()}
+        assert len(got) == 900 and {got[i] for i in range(300)} == {0}
+        assert all(got[1000 + i] == (1000 + i % 400 if i < 200 or i >= 400 else None) for i in range(600))
+        _, out = round_trip(spark, rows)
+        assert ordered(out) == ordered(brute(rows))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_segments_are_joined_in_one_pass(spark):
+    import time
+
+    every = bytes(range(256)) * 256
+    number = 1600
+    rows = [("r", "response", None if k == 1 else "r", k, number * len(every) if k == number else None) for k in range(1, number + 1)]
+    columns = "record_id string, record_type string, origin string, segment int, total bigint"
+    segments = spark.createDataFrame(rows, columns).withColumn("block", F.unhex(F.lit(every.hex())))
+    started = time.monotonic()
+    (row,) = warc.reassembled(segments).select(F.sha2("block", 256).alias("hash")).collect()
+    assert time.monotonic() - started < 15
+    assert row.hash == hashlib.sha256(every * number).hexdigest()
