@@ -6,9 +6,13 @@ and after it, and by where it stands: inside an element for navigation, advertis
 like, inside the article, or inside a heading.  A decision tree grown on the small labelled
 table below decides which blocks are main text.
 
-A word in a container's id, class or role is a hint: a full one if it is a whole name, half a
-one if it is part of a name or begins one, when long blocks without links stay.  It is no hint
-on a container that holds the page's article, or most of its text.
+A word in a container's id, class or role is a hint: a full one if it is a whole name or the
+last word of one (``cookie-banner``), half a one if it is another part of a name or begins one,
+when long blocks without links stay; none in a name like ``has-sidebar``.  It is no hint on a
+container that holds the page's article, or most of its text.  The hint of a paragraph or list
+item lasts to its end; text within an inline element with a full hint is left out, up to its end
+or that of the block.  A short line of copyright outside an article is a notice.  Of a page in
+which nothing is main text, the blocks without hints that are no links are.
 
 The tree is grown on the driver from the table, some dozens of rows, and has a few nodes.
 Pages are worked on one by one in Arrow batches; they are never shuffled.
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +44,7 @@ HIDDEN = (
 )
 #: Of these, the text up to the end of the page is hidden if the end tag is missing.
 RAW = "script style title textarea"
+VOID = "wbr img"
 INLINE = (
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
     "small span strike strong sub sup time tt u var wbr img"
@@ -83,6 +89,7 @@ class Names:
     hidden = frozenset(HIDDEN.split())
     raw = frozenset(RAW.split())
     inline = frozenset(INLINE.split())
+    void = frozenset(VOID.split())
     boilerplate = frozenset(BOILERPLATE.split())
     article = frozenset(ARTICLE.split())
     headings = frozenset(HEADINGS.split())
@@ -107,6 +114,13 @@ QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 NAME_PARTS = re.compile(r"[a-zA-Z]+")
 #: How sure it is that an element is not for the article: by a part of a name, a name, its kind.
 PART, NAME, KIND = 0.5, 1.0, 2.0
+#: Words that begin names of what a container has or goes without.
+ABOUT = ("has", "with", "no", "without", "hide", "show")
+COPYRIGHT = re.compile(
+    r"(?:\u00a9|\(c\)|copyright\b).*(?:\b(?:19|20)\d\d\b|\brights\b.*\breserved\b)", re.I | re.S
+)
+#: A line of copyright has at most this many words.
+COPYRIGHT_WORDS = 30
 #: Words that a container must hold at least, and its share of the page's, to be no hint; the
 #: share that the article within it must have.
 WRAPPER_WORDS, WRAPPER_SHARE, ARTICLE_SHARE = 50, 0.5, 1 / 3
@@ -124,10 +138,13 @@ def unwanted(name: str, attributes: str, in_article: bool) -> float:
     for found in ATTRIBUTE.finditer(attributes):
         value = found.group(1) or found.group(2) or found.group(3) or ""
         for token in value.lower().split():
-            for part in NAME_PARTS.findall(token):
+            parts = NAME_PARTS.findall(token)
+            if len(parts) > 1 and parts[0] in ABOUT:
+                continue
+            for part in parts:
                 if part in Names.hints or part.startswith(Names.hint_starts):
                     if not (in_article and part in Names.page_hints):
-                        whole = part == token and part in Names.hints
+                        whole = part == parts[-1] and part in Names.hints
                         level = max(level, NAME if whole else PART)
     return level
 
@@ -160,27 +177,37 @@ def weigh(found: list[Block], under: list[tuple], hints: list[float], articles:
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page, in its order."""
     found: list[Block] = []
-    # Of each open element: name, whether its kind is not for the article, its article, its hint.
-    stack: list[tuple[str, bool, int | None, int | None]] = []
+    # Of each open element: name, whether its kind, or that of one around it, is not for the
+    # article, the articles and the hints around it, its own included.
+    stack: list[tuple[str, bool, tuple, tuple]] = []
+    n_open: Counter[str] = Counter()
     under: list[tuple] = []
     hints: list[float] = []
     articles: list[list] = []
     open_parts: list[tuple[str, bool]] = []
     heading, links = "", 0
     hidden_until = ""
+    # An inline element that is left out, and how many of its name are open.
+    left_out, depth = "", 0
 
-    def open_hints() -> tuple:
-        return tuple(s[3] for s in stack if s[3] is not None)
+    def around() -> tuple[bool, tuple, tuple]:
+        return stack[-1][1:] if stack else (False, (), ())
 
     def opened(name: str, level: float) -> None:
-        article = hint = None
+        bad, own, above = around()
         if name in Names.article:
-            article = len(articles)
-            articles.append([open_hints(), 0])
+            articles.append([above, 0])
+            own = (*own, len(articles) - 1)
         if 0 < level < KIND:
-            hint = len(hints)
             hints.append(level)
-        stack.append((name, level == KIND, article, hint))
+            above = (*above, len(hints) - 1)
+        stack.append((name, bad or level == KIND, own, above))
+        n_open[name] += 1
+
+    def closed() -> str:
+        name = stack.pop()[0]
+        n_open[name] -= 1
+        return name
 
     def flush() -> None:
         if not open_parts:
@@ -190,13 +217,14 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             linked = sum(len(part.split()) for part, in_link in open_parts if in_link)
             words = len(text.split())
-            bad = any(s[1] for s in stack)
-            own = {s[2] for s in stack if s[2] is not None}
+            bad, own, above = around()
+            if not own and words <= COPYRIGHT_WORDS and COPYRIGHT.match(text):
+                bad = True
             for article in own:
                 articles[article][1] += words
             density = min(1.0, linked / words)
             found.append(Block(text, words, density, bad, bool(own), bool(heading)))
-            under.append(open_hints())
+            under.append(above)
         open_parts.clear()
 
     at = 0
@@ -210,7 +238,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         tag = MARKUP.search(page, at)
         stop = tag.start() if tag else len(page)
-        if stop > at:
+        if stop > at and not left_out:
             open_parts.append((entities.unescape(page[at:stop]), links > 0))
         if not tag:
             break
@@ -225,31 +253,43 @@ def blocks_of(page: str) -> list[Block]:
         if name in Names.inline:
             if name == "a":
                 links = max(0, links - 1) if closing else 1
+            if left_out:
+                depth += (-1 if closing else 1) * (name == left_out)
+                left_out = left_out if depth else ""
+            elif not closing and name not in Names.void and unwanted(name, attributes, True) >= NAME:
+                left_out, depth = name, 1
             continue
         flush()
+        left_out = ""
         if name != "br":
             links = 0
         if name in Names.headings:
             heading = "" if closing else name
         if name in Names.containers:
             if closing:
-                if any(s[0] == name for s in stack):
-                    while stack.pop()[0] != name:
+                if n_open[name]:
+                    while closed() != name:
                         pass
             else:
-                inside = any(s[2] is not None for s in stack)
-                opened(name, unwanted(name, attributes, inside))
-        elif not closing and name in ("p", "li", "span") and unwanted(name, attributes, True):
-            # An element that may lack its end tag: what it is for ends with the next block.
-            opened(name, unwanted(name, attributes, True))
+                if stack and stack[-1][0] == "p":
+                    closed()
+                opened(name, unwanted(name, attributes, bool(around()[1])))
             continue
-        while stack and stack[-1][0] in ("p", "li", "span"):
-            stack.pop()
+        # Paragraphs and items may lack their end tags: any block ends a paragraph, and the next
+        # item, or the end of the list, an item.
+        if name != "br" and stack and stack[-1][0] == "p":
+            closed()
+        if name == "li" and stack and stack[-1][0] == "li":
+            closed()
+        if not closing and name in ("p", "li") and unwanted(name, attributes, True):
+            opened(name, unwanted(name, attributes, True))
     flush()
     weigh(found, under, hints, articles)
     return found
 
 
+#: Link density up to which a block is text where the tree finds none.
+MOST_LINKS = 0.5
 #: What the tree looks at, in this order.
 FEATURES = (
     "words link_density words_before density_before words_after density_after "
@@ -392,7 +432,10 @@ def main_text(page: str | None, tree) -> str:
     """The main text of a page: its main blocks joined by one space."""
     found = blocks_of(page or "")
     rows = described(found)
-    return " ".join(b.text for b, row in zip(found, rows, strict=True) if is_main(tree, row))
+    main = [b.text for b, row in zip(found, rows, strict=True) if is_main(tree, row)]
+    if not main:
+        main = [b.text for b in found if not b.boilerplate and b.link_density <= MOST_LINKS]
+    return " ".join(main)
 
 
 def extracted(page: Column) -> Column:

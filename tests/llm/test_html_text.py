@@ -121,3 +121,56 @@ def test_comments_longer_than_the_article(tree):
     said = f"<section id='comments'>{f'<p>{long} indeed</p>' * 9}</section>"
     page = f"<div class='layout has-sidebar'><article><p>{long}</p></article>{said}</div>"
     assert h.main_text(page, tree) == long
+
+
+LONG = " ".join(f"word{i}" for i in range(70))
+
+
+def test_comments_in_list_items(tree):
+    said = f"<ol><li class='comment'><p>{LONG}</p><p>{LONG}</p></li><li class='comment'><p>{LONG}<li><p>{LONG}</p></li></ol>"
+    page = f"<article><p>{P1}</p></article>{said}"
+    kept = h.main_text(page, tree)
+    assert kept.startswith(P1) and kept.count("word1 ") <= 1
+    page = f"<article><p>{P1}</p><ol><li class='comment'><p>{LONG}</p></li><li>An item.</li></ol><p>End.</p></article>"
+    assert h.main_text(page, tree) == f"{P1} An item. End."
+
+
+def test_inline_adverts(tree):
+    page = f"<article><p>Some <span class='ad'>buy <span>this</span> now</span>text <b class='ad'>here</p><p>{P1}</p></article>"
+    assert h.main_text(page, tree) == f"Some text {P1}"
+    page = f"<article><p>A <span class='social-name'>name</span> <img class='ad'>stays.</p><p>{P1}</p></article>"
+    assert h.main_text(page, tree) == f"A name stays. {P1}"
+
+
+@pytest.mark.parametrize("name", ["cookie-banner", "user-comments", "page-sidebar", "site-notice"])
+def test_long_text_under_the_last_word_of_a_name(tree, name):
+    page = f"<article><p>{P1}</p><p>{LONG}</p></article><div class='{name}'><p>{LONG}</p></div>"
+    assert h.main_text(page, tree) == f"{P1} {LONG}"
+
+
+def test_names_of_what_a_container_has(tree):
+    page = f"<body><div class='has-sidebar'><p>{P1}</p></div><div class='no-comments'><p>{P1}</p></div></body>"
+    assert h.main_text(page, tree) == f"{P1} {P1}"
+
+
+def test_short_pages(tree):
+    assert h.main_text("<p>Hello world</p>", tree) == "Hello world"
+    page = "<nav><a href='/'>Home</a></nav><div id='content'><h1>News</h1><p>One.</p><p>Two.</p><p>Three.</p></div>"
+    assert h.main_text(page + "<div class='ad'>Buy</div>", tree) == "News One. Two. Three."
+
+
+def test_a_line_of_copyright(tree):
+    page = f"<div><p>{P1}</p><p>{LONG}</p></div><p>Copyright 2024 The company, all rights are reserved</p>"
+    assert h.main_text(page, tree) == f"{P1} {LONG}"
+    page = f"<article><p>Copyright law of 1976 is the topic.</p><p>{P1}</p></article>"
+    assert h.main_text(page, tree) == f"Copyright law of 1976 is the topic. {P1}"
+
+
+@pytest.mark.parametrize("name", ["div", "ul", "span"])
+def test_deeply_nested_pages_take_linear_time(tree, name):
+    import time
+
+    page = "".join(f"<{name}>word{i} " for i in range(8000))
+    started = time.monotonic()
+    h.blocks_of(page)
+    assert time.monotonic() - started < 1.0
