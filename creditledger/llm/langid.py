@@ -185,10 +185,9 @@ def different(codes, starts, lengths) -> tuple[np.ndarray, np.ndarray]:
 
 def known_trigrams(seen: np.ndarray, codes, starts, lengths) -> np.ndarray:
     """For each word how many of its trigrams are in ``seen``, and how many it has."""
-    first, at = different(codes, starts, lengths)
-    grams, words = trigrams(codes, starts[first], lengths[first])
-    both = (np.bincount(words, seen[grams], len(first)), np.bincount(words, minlength=len(first)))
-    return np.stack(both, axis=1)[at]
+    grams, words = trigrams(codes, starts, lengths)
+    n = len(starts)
+    return np.stack([np.bincount(words, seen[grams], n), np.bincount(words, minlength=n)], axis=1)
 
 
 def potentials(model: Model, codes, starts, lengths) -> np.ndarray:
@@ -424,13 +423,15 @@ def totals(model: Model, texts: list[str]) -> np.ndarray:
     found = np.zeros((len(texts), k + 3))
     if not len(starts) or not k:
         return found
-    marginal, _ = posteriors(emissions(model, codes, starts, lengths), model.transitions, line)
+    first, at = different(codes, starts, lengths)
+    own = codes, starts[first], lengths[first]
+    marginal, _ = posteriors(potentials(model, *own)[at], model.transitions, line)
     lowered = np.array([len(t.lower()) + 1 for t in texts])
     owner = np.searchsorted(np.cumsum(lowered), starts, side="right")
     for j in range(k):
         found[:, j] = np.bincount(owner, marginal[:, j], len(texts))
     found[:, k] = np.bincount(owner, minlength=len(texts))
-    grams = known_trigrams(model.seen, codes, starts, lengths)
+    grams = known_trigrams(model.seen, *own)[at]
     for j in range(2):
         found[:, k + 1 + j] = np.bincount(owner, grams[:, j], len(texts))
     return found
