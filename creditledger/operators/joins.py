@@ -64,7 +64,9 @@ def split_join(facts: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
     for c in on:
         some_null = some_null | F.col(c).isNull()
     marked = facts.join(hot.withColumn("_is_hot", F.lit(True)), is_hot, "left")
-    warm = F.col("_is_hot").isNotNull() | some_null
+    # One expression over both sides of the join: no part of it reaches ``facts``, whose shuffles
+    # stay the same plan for hot and other rows and are run once.
+    warm = F.coalesce(F.col("_is_hot"), some_null)
     own = facts.columns
     of_hot = known.join(hot, is_hot, "left_semi")
     cold = marked.filter(~warm).select(*own).join(known, on, "left")
