@@ -9,9 +9,11 @@ logs with equal turns that of the smallest id stays.
 Running hashes are taken inside ranges of the sorted rows, and the ranges before are added, so
 that a log with a third of all rows is many tasks, whatever its turn numbers are.  The joined
 tables hold one row for each different beginning, however many logs share it.  Rendering takes
-different rows only and works by block of turn numbers: a log of up to ``BLOCK`` turns is one
-text, a longer one is a numbered sequence of texts to be joined.  As the number of a block is
-that of its turns, different rows without a number, or with the same one, are one text.
+different rows only, and at most ``BLOCK`` of them at once: a log of up to ``BLOCK`` turns is one
+text, the turns of a longer one are numbered in sorted ranges as well, and every ``BLOCK`` of
+them are a text, whatever their turn numbers are.  Ranges are drawn by number and the beginnings
+of role and text; rows that agree in these are sorted in one task, with spilling.  The rows of
+very long logs meet the list of kept logs by broadcast.
 
 Built-in expressions only: no UDF, no pandas, no RDD.
 
@@ -22,17 +24,17 @@ with a null id are one log; an empty table gives an empty table.  Further column
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import split_join
 from .common import cut, read, tasks
 
 BLOCK = 1024
 HASH = ("a", "b")
-
-
-def _block(turn: str) -> Column:
-    return F.coalesce(F.floor(F.col(turn) / BLOCK), F.lit(-1)).cast("bigint")
+#: Characters of role and text that ranges are drawn by, so that the driver's sample stays small.
+DRAWN = 64
+TURN = ("conv_id", "turn", "role", "text")
 
 
 def ranged(turns: DataFrame) -> DataFrame:
@@ -84,25 +86,53 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
 
 
 def maximal(turns: DataFrame) -> DataFrame:
-    """The ids of the logs that are no beginning of another, and no copy of one with a smaller id."""
+    """The logs that are no beginning of another, and no copy of one with a smaller id.
+
+    ``conv_id`` and ``all``, the number of the log's turns.
+    """
     prefixes = cut(prefix_hashes(turns))
     key = ["n", *HASH]
     whole = prefixes.filter(F.col("n") == F.col("all"))
     whole = whole.groupBy(*key).agg(F.min("conv_id").alias("conv_id"))
     beginnings = prefixes.filter(F.col("n") < F.col("all")).select(*key).distinct()
-    return whole.join(beginnings, key, "left_anti").select("conv_id")
+    return whole.join(beginnings, key, "left_anti").select("conv_id", F.col("n").alias("all"))
+
+
+def numbered(turns: DataFrame) -> DataFrame:
+    """The different ``turns`` with ``part``, their place in the log divided by ``BLOCK``."""
+    drawn = [F.substring(c, 1, DRAWN) for c in ("role", "text")]
+    ranges = turns.distinct().repartitionByRange(tasks(turns.sparkSession), "conv_id", "turn", *drawn)
+    rows = cut(ranges.withColumn("block", F.spark_partition_id()))
+    counts = rows.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("rows"))
+    earlier = (
+        Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = counts.select(
+        F.col("conv_id").alias("log"),
+        F.col("block").alias("log_block"),
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"),
+    )
+    inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
+    same = F.col("conv_id").eqNullSafe(F.col("log")) & (F.col("block") == F.col("log_block"))
+    placed = rows.withColumn("place", F.row_number().over(inside) - 1).join(offsets, same)
+    part = F.floor((F.col("before") + F.col("place")) / BLOCK)
+    return placed.select(*TURN, part.alias("part"))
 
 
 def render(turns: DataFrame) -> DataFrame:
-    """One text for each log and block: ``conv_id``, ``part``, ``n_turns``, ``rendered``."""
+    """One text for each log and ``part``: ``conv_id``, ``part``, ``n_turns``, ``rendered``.
+
+    Without a column ``part`` each log is one text.
+    """
     empty = F.lit("")
+    part = F.col("part") if "part" in turns.columns else F.lit(0)
     role, text = (F.coalesce(F.col(c), empty) for c in ("role", "text"))
     turn = F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), text, F.lit("<|im_end|>\n"))
     row = F.struct("turn", "role", "text", turn.alias("rendered"))
     # A set, in every task before the shuffle: a row that was logged many times is held once.
     rows = F.array_distinct(F.sort_array(F.collect_set(row)))
     return (
-        turns.groupBy("conv_id", _block("turn").alias("part"))
+        turns.groupBy("conv_id", part.cast("bigint").alias("part"))
         .agg(rows.alias("rows"))
         .select(
             "conv_id",
@@ -115,10 +145,14 @@ def render(turns: DataFrame) -> DataFrame:
 
 def collapse_and_render(turns: DataFrame) -> DataFrame:
     """Render the maximal logs; ``turns`` has conv_id, turn, role and text."""
-    turns = turns.select("conv_id", "turn", "role", "text")
-    kept = maximal(turns).select(F.col("conv_id").alias("log"))
-    same = F.col("conv_id").eqNullSafe(F.col("log"))
-    return render(turns.join(kept, same, "left_semi"))
+    turns = turns.select(*TURN)
+    # A struct is never null: the rows without an id are a log like others.
+    log = F.struct("conv_id").alias("log")
+    kept = cut(maximal(turns).select(log, "all"))
+    rows = split_join(turns.select(log, *TURN), kept, ["log"])
+    short = rows.filter(F.col("all") <= BLOCK).select(*TURN, F.lit(0).cast("bigint").alias("part"))
+    long = numbered(rows.filter(F.col("all") > BLOCK).select(*TURN))
+    return render(short.unionByName(long))
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,10 +160,13 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP1_SQL = r"""
-WITH turns AS (
-  SELECT DISTINCT conv_id, turn, role, text,
-         coalesce(floor(turn / 1024), -1)::BIGINT AS part
-  FROM conversations
+WITH different AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations
+), turns AS (
+  SELECT *, (row_number() OVER (
+               PARTITION BY conv_id
+               ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1) // 1024 AS part
+  FROM different
 ), logs AS (
   SELECT conv_id, count(*) AS n,
          list({'turn': turn, 'role': role, 'text': text}

@@ -99,3 +99,17 @@ def test_rows_without_a_number_are_many_ranges(spark):
     assert sum(r["count"] for r in ranges) == 14001
     assert max(r["count"] for r in ranges) < 2900
     assert rendered(spark, rows) == brute(rows)
+
+
+def test_a_text_holds_a_block_of_turns_whatever_their_numbers(spark):
+    """A third of all rows: one log, half of it without a number, half with one and the same."""
+    beginning = "the same beginning of many texts, longer than what ranges are drawn by, "
+    own = [(1, k % 2 or None, "user", f"{beginning * (k % 3)}{k}") for k in range(5000)]
+    lost = [(None, 4, "tool", f"v{k % 1500}") for k in range(4000)]
+    rows = own + lost + [(k, 0, "user", f"w{k}") for k in range(2, 6000)]
+    out = chat.collapse_and_render(spark.createDataFrame(rows, SCHEMA)).collect()
+    sizes = {(r.conv_id, r.part): r.n_turns for r in out}
+    assert [sizes[1, p] for p in range(5)] == [1024] * 4 + [904]
+    assert [sizes[None, p] for p in range(2)] == [1024, 476]
+    assert len(sizes) == 7 + 5998
+    assert rendered(spark, own + lost) == brute(own + lost)
