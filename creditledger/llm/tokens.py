@@ -31,6 +31,8 @@ from .common import arrow_rows, read
 BATCH_BYTES = 1 << 20
 PIECE_BYTES = 1 << 16
 TOKEN_LIMIT = 4096
+#: What a sentencepiece model writes for a space.
+MARK = "▁".encode()
 
 
 def splits_at_spaces(processor) -> bool:
@@ -47,9 +49,9 @@ def splits_at_spaces(processor) -> bool:
     return all(n(p) == sum(map(n, p.split(" "))) for p in probes if "\n" not in p)
 
 
-def parts(text: str, size: int) -> Iterator[str]:
-    """Cut a text at single spaces, at the first one after each ``size`` characters."""
-    place = re.compile("(?<=[^ ▁\n]) (?=[^ ▁\n])")
+def parts(text: bytes, size: int) -> Iterator[bytes]:
+    """Cut UTF-8 at single spaces, at the first one after each ``size`` bytes."""
+    place = re.compile(b"(?<=[^ \n])(?<!%b) (?=[^ \n])(?!%b)" % (MARK, MARK))
     start = 0
     while len(text) - start > size and (found := place.search(text, start + size)):
         yield text[start : found.start()]
@@ -89,10 +91,11 @@ def count(texts: list[str], lengths: Callable[[list[str]], list[int]], may_split
     batch: list[str] = []
     waiting = 0
     for row, text in enumerate(texts):
-        long = may_split and len(text) > PIECE_BYTES
-        for part in parts(text, PIECE_BYTES) if long else (text,):
+        data = text.encode()
+        long = may_split and len(data) > PIECE_BYTES
+        for part in parts(data, PIECE_BYTES) if long else (data,):
             owners.append(row)
-            batch.append(part)
+            batch.append(part.decode() if long else text)
             waiting += len(part)
             if waiting >= BATCH_BYTES:
                 for owner, n in zip(owners, lengths(batch), strict=True):

@@ -41,6 +41,23 @@ def test_split_texts_count_as_whole(processor, monkeypatch):
     assert tokens.count(texts, lengths, may_split) == [len(processor.encode(t)) for t in texts]
 
 
+def test_batches_and_pieces_hold_bytes(monkeypatch):
+    """Characters of four bytes fill a batch, and end a piece, four times as early."""
+    monkeypatch.setattr(tokens, "PIECE_BYTES", 200)
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 1000)
+    calls = []
+
+    def lengths(texts):
+        calls.append([len(t.encode()) for t in texts])
+        return [len(t.split(" ")) for t in texts]
+
+    word = "𝔘" * 10
+    texts = [" ".join([word] * 100), word, " ".join(["x" * 40] * 100), "", word]
+    assert tokens.count(texts, lengths, True) == [100, 1, 100, 1, 1]
+    assert max(map(sum, calls)) < 1000 + 200 + 41
+    assert max(map(max, calls)) <= 200 + 41
+
+
 def test_json_tokenizers(spark):
     from tokenizers import Tokenizer
 
