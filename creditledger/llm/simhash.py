@@ -17,7 +17,8 @@ A shard with more than ``TILE`` fingerprints is cut into tiles that are compared
 tasks of their own.  A task holds one tile, reads the fingerprints that ask it one batch after
 the other, and returns a spanning forest of the links it found, never all pairs.
 Components come from alternating large-star and small-star steps over tables in the shared
-folder until nothing changes.
+folder until nothing changes.  The rows of a fingerprint, hub or component with more than a
+partition's share of them meet its row by broadcast; there are fewer of these than partitions.
 
 Defined results: a null text has no words and fingerprint zero, linked like any other; a text
 of fewer words than a shingle is one shingle.  ``component_id`` is the smallest id reachable,
@@ -37,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import split_join
 from .common import arrow_rows, cut, drop_cut, read, tasks
 
 SHINGLE = 3
@@ -177,55 +179,59 @@ def links_of(tile: Tile, asking: np.ndarray | None = None) -> tuple[np.ndarray,
     return np.array(u, np.uint64), np.array(v, np.uint64)
 
 
-def placed(levels: int, bits: int, tiles: dict[int, int]):
-    """Arrow batches of ``fp`` to rows (``shard``, ``tile``, ``stored``, ``fp``)."""
+def placed(levels: int, bits: int):
+    """Arrow batches of ``fp`` to rows (``shard``, ``home``, ``fp``): its own shard, and those it asks."""
     steps = steps_to_earlier(levels, bits)
     base = 64 // levels + 1
-    hot = np.array(sorted(tiles), np.int64)
-    hot_tiles = np.array([tiles[s] for s in sorted(tiles)], np.int64)
-
-    def n_tiles(shards: np.ndarray) -> np.ndarray:
-        if not len(hot):
-            return np.ones(len(shards), np.int64)
-        at = np.minimum(np.searchsorted(hot, shards), len(hot) - 1)
-        return np.where(hot[at] == shards, hot_tiles[at], 1)
-
-    def rows(shards, tile, stored, own) -> pa.RecordBatch:
-        flag = np.full(len(own), stored)
-        columns = [shards, tile.astype(np.int64), flag, own.view(np.int64)]
+
+    def rows(shards: np.ndarray, home: bool, own: np.ndarray) -> pa.RecordBatch:
+        columns = [shards, np.full(len(own), home), own.view(np.int64)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], names=["shard", "tile", "stored", "fp"]
+            [pa.array(c) for c in columns], names=["shard", "home", "fp"]
         )
 
-    def asks(shards: np.ndarray, own: np.ndarray, after: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """To the tiles of each shard, from tile ``after`` on."""
-        n = np.maximum(n_tiles(shards) - after, 0)
-        at = np.repeat(np.arange(len(own)), n)
-        tile = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + after[at]
-        for k in range(0, len(at), BLOCK_ROWS):
-            s = slice(k, k + BLOCK_ROWS)
-            yield rows(shards[at[s]], tile[s], False, own[at[s]])
-
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for k in range(0, len(whole), BLOCK_ROWS // 16):
-                own = whole[k : k + BLOCK_ROWS // 16]
+            for k in range(0, len(whole), BLOCK_ROWS):
+                own = whole[k : k + BLOCK_ROWS]
                 rings = ring_numbers(own, levels)
-                home = shard_numbers(rings, levels)
-                tile = (own % n_tiles(home).astype(np.uint64)).astype(np.int64)
-                yield rows(home, tile, True, own)
-                yield from asks(home, own, tile + 1)
+                yield rows(shard_numbers(rings, levels), True, own)
                 for step in steps:
                     there = rings + step
                     real = ((there >= 0) & (there < base)).all(axis=1)
                     if real.any():
-                        shards = shard_numbers(there[real], levels)
-                        yield from asks(shards, own[real], np.zeros(len(shards), np.int64))
+                        yield rows(shard_numbers(there[real], levels), False, own[real])
 
     return spread
 
 
+def tiled(rows: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Rows of ``placed`` dealt to tiles: ``shard``, ``tile``, ``stored``, ``fp``.
+
+    A fingerprint is stored in one tile of its own shard, asks the later ones, and asks all
+    tiles of other shards.  ``crowded`` has the shards of several ``tiles``; Spark broadcasts it
+    if its file is small enough.
+    """
+    n = F.coalesce("tiles", F.lit(1).cast("bigint"))
+    own = F.pmod("fp", n)
+
+    def asked(first: Column) -> Column:
+        each = F.transform(F.sequence(first, n - 1), lambda t: _place(t, False))
+        return F.when(first < n, each).otherwise(F.array().cast("array<struct<tile:bigint,stored:boolean>>"))
+
+    stored = F.array(_place(own, True))
+    places = F.when(F.col("home"), F.concat(stored, asked(own + 1))).otherwise(
+        asked(F.lit(0).cast("bigint"))
+    )
+    dealt = rows.join(crowded, "shard", "left").select("shard", "fp", F.explode(places).alias("at"))
+    return dealt.select("shard", "at.tile", "at.stored", "fp")
+
+
+def _place(tile: Column, stored: bool) -> Column:
+    return F.struct(tile.alias("tile"), F.lit(stored).alias("stored"))
+
+
 def searched(bits: int):
     """Rows sorted by (``shard``, ``tile``), stored ones first, to links (``u``, ``v``)."""
 
@@ -272,10 +278,11 @@ def near_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
         own = fp.to_numpy().view(np.uint64)
         return pd.Series(shard_numbers(ring_numbers(own, levels), levels))
 
-    sizes = distinct.groupBy(home("fp").alias("shard")).count().filter(F.col("count") > TILE)
-    tiles = {row.shard: -(-row["count"] // TILE) for row in sizes.collect()}
-    schema = "shard bigint, tile bigint, stored boolean, fp bigint"
-    rows = distinct.select("fp").mapInArrow(placed(levels, bits, tiles), schema)
+    sizes = distinct.groupBy(home("fp").alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+    tiles = F.ceil(F.col("n") / TILE).alias("tiles")
+    crowded = cut(sizes.filter(F.col("n") > TILE).select("shard", tiles))
+    schema = "shard bigint, home boolean, fp bigint"
+    rows = tiled(distinct.select("fp").mapInArrow(placed(levels, bits), schema), crowded)
     # Shards that nothing is stored in have no rows but asking ones, which meet nothing.
     dealt = rows.repartition(4 * tasks(distinct.sparkSession), "shard", "tile")
     ordered = dealt.sortWithinPartitions("shard", "tile", F.desc("stored"))
@@ -296,11 +303,13 @@ def components(links: DataFrame) -> DataFrame:
     def large_star(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), "m")
+        named = split_join(both.filter("v > u"), least, ["u"])
+        return named.select(F.col("v").alias("u"), "m")
 
     def small_star(edges: DataFrame) -> DataFrame:
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        others = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), "m")
+        named = split_join(edges, least, ["u"])
+        others = named.filter("v <> m").select(F.col("v").alias("u"), "m")
         return others.unionByName(least)
 
     def state(df: DataFrame):
@@ -309,9 +318,10 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut(distinct_links(links))
     before, now = None, state(edges)
     while now != before:
-        wide = distinct_links(large_star(edges).withColumnRenamed("m", "v"))
+        wide = cut(distinct_links(large_star(edges).withColumnRenamed("m", "v")))
         after = cut(distinct_links(small_star(wide).withColumnRenamed("m", "v")))
         drop_cut(edges)
+        drop_cut(wide)
         edges, before, now = after, now, state(after)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
@@ -342,12 +352,12 @@ def grouped(
     )
     rooted = cut(rooted)
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    named = rooted.join(least, "root").select(
+    named = split_join(rooted, least, ["root"]).select(
         "fp",
         F.col("least.doc_id").alias("component_id"),
         F.col("least.text_hash").alias("keeper_hash"),
     )
-    return own.join(named, "fp")
+    return split_join(own, cut(named), ["fp"])
 
 
 def keep_one(

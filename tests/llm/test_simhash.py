@@ -105,6 +105,17 @@ def test_long_chain_is_one_component(spark):
     assert len(found) == 63
 
 
+def test_hubs_and_common_fingerprints(spark):
+    """Nodes with thousands of links, and a fingerprint that a third of all documents have."""
+    links = [(5000, k) for k in range(2000)] + [(-7, k) for k in range(6000, 9000)] + [(1999, 6000)]
+    found = simhash.components(spark.createDataFrame(links, "u long, v long")).collect()
+    assert {r.root for r in found} == {-7} and len(found) == 5001
+    rows = [(k, "" if k % 3 == 0 else f"{k} {k * k} x{k}") for k in range(600)]
+    got = {r.doc_id: r for r in simhash.grouped(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    prints = {i: brute_fingerprint(t) for i, t in rows}
+    assert {i: r.component_id for i, r in got.items()} == brute_components(prints)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = simhash.grouped(odd_docs).collect()
     assert len(rows) == odd_docs.count()
