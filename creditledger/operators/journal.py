@@ -143,15 +143,15 @@ def journal(
 def balances(counted: DataFrame, moves: DataFrame) -> DataFrame:
     """The ledger that the journal leads to: per student and subject, counts and moves added up.
 
-    Partial sums are taken before the one shuffle.
+    Every move gives what it takes and what lands in one pass, so that the ledger versions behind
+    the journal are worked out once.  Partial sums are taken before the one shuffle.
     """
 
-    def legs(subject: str, sign: int, which: str) -> DataFrame:
-        own = moves.filter(which).select(
-            "studentID", F.col(subject).alias("subj_key"), *[(F.col(c) * sign).alias(c) for c in AMOUNTS]
-        )
-        return own
+    def leg(subject: str, sign: int, which: str) -> Column:
+        amounts = [(F.col(c) * sign).alias(c) for c in AMOUNTS]
+        return F.when(F.col(which), F.struct(F.col(subject).alias("subj_key"), *amounts))
 
-    rows = counted.select("studentID", "subj_key", *AMOUNTS)
-    rows = rows.unionByName(legs("fromSubject", -1, "taken")).unionByName(legs("toSubject", 1, "landed"))
+    both = F.array(leg("fromSubject", -1, "taken"), leg("toSubject", 1, "landed"))
+    legs = moves.select("studentID", F.inline(F.array_compact(both)))
+    rows = counted.select("studentID", "subj_key", *AMOUNTS).unionByName(legs)
     return rows.groupBy("studentID", "subj_key").agg(*[F.sum(c).alias(c) for c in AMOUNTS])

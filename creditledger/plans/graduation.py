@@ -80,6 +80,9 @@ class Graduation:
     def _kept(self, df: DataFrame) -> DataFrame:
         return self.scratch.cut(df) if self.keep_stages else df
 
+    def _kept_hashed(self, ledger: DataFrame) -> DataFrame:
+        return self.scratch.cut_hashed(ledger, "studentID") if self.keep_stages else ledger
+
     @cached_property
     def small(self) -> bool:
         return joins.requirements_are_small(self.inputs.reqs, self.years)
@@ -164,7 +167,7 @@ class Graduation:
         """The counted ledger, with each student's donor semesters beside it."""
         courses = credits.ledger_courses(self.sums, self.reqs, self.rules, self.small)
         semesters = credits.student_semesters(courses.repartition("studentID"), self.rules)
-        return credits.count_semesters(self.required, semesters, self.checks)
+        return self._kept_hashed(credits.count_semesters(self.required, semesters, self.checks))
 
     @cached_property
     def counted(self) -> DataFrame:
@@ -182,8 +185,7 @@ class Graduation:
 
     @cached_property
     def grouped(self) -> DataFrame:
-        ledger = transfer.settle_group(self.transferred, self.rules)
-        return self.scratch.cut_hashed(ledger, "studentID") if self.keep_stages else ledger
+        return self._kept_hashed(transfer.settle_group(self.transferred, self.rules))
 
     @cached_property
     def spilled(self) -> DataFrame:

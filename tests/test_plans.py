@@ -254,6 +254,15 @@ def test_the_written_ledger_does_not_move_to_its_dual_courses(at_scale, written)
     assert "_slot" not in plan
 
 
+@pytest.mark.parametrize("name, ledgers", [("posting_journal", 4), ("journal_balances", 5)])
+def test_a_journal_reads_written_ledgers_once(at_scale, name, ledgers):
+    """Each part reads the version it works on, the dual courses are met twice; no step runs again."""
+    plan = plan_of(entry_points.queries()[name](at_scale, FOLDER))
+    assert "c_custkey" not in plan
+    assert plan.count("Bucketed: true") == ledgers
+    assert plan.count("FileScan parquet") == ledgers + 2
+
+
 def test_a_bucketed_transcript_is_summed_up_where_it_is(at_scale, tmp_path):
     inputs = derived.inputs(at_scale, FOLDER)
     name = "transcript_in_buckets"
